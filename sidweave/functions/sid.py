@@ -70,14 +70,27 @@ def answer_sids(answer: Column) -> Column:
     return F.array_distinct(F.filter(inner, lambda x: x != ""))
 
 
+def answer_part(generation: Column) -> Column:
+    """Trimmed text after the last think end."""
+    return strip(after_last_think(strip(generation)))
+
+
+def generation_sids(generations: Column) -> Column:
+    """Predicted id of every generation; the answer part is computed once per element."""
+    return F.transform(F.transform(generations, answer_part), _sid_of_part)
+
+
 def generation_sid(generation: Column) -> Column:
-    """Predicted id of one generation.
+    return F.get(generation_sids(F.array(generation)), 0)
+
+
+def _sid_of_part(tail_text: Column) -> Column:
+    """Predicted id of one answer part.
 
     The text after the last think end is cut at begin marks; the first part that is
     not blank wins, so prose in front of the first begin mark is returned as it is.
     A part with an end mark counts up to that mark.
     """
-    tail_text = strip(after_last_think(strip(generation)))
     has_mark = F.contains(tail_text, F.lit(SID_BEGIN))
     parts = F.split(tail_text, r"<\|sid_begin\|>", -1)
     ids = F.transform(parts, lambda p: strip(F.split(p, r"<\|sid_end\|>", -1)[0]))

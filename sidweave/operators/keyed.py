@@ -10,6 +10,10 @@ from ..session import broadcast_limit, plan_bytes
 SALTS = 64
 
 
+def _salt_range(salts: int) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+
+
 def lookup_join(rows: DataFrame, table: DataFrame, keys: list[str], salt_by: list[str],
                 how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Join rows against a lookup table with unique keys.
@@ -21,7 +25,7 @@ def lookup_join(rows: DataFrame, table: DataFrame, keys: list[str], salt_by: lis
     if plan_bytes(table) <= broadcast_limit(rows.sparkSession):
         return rows.join(F.broadcast(table), keys, how)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)))
-    spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+    spread = table.withColumn("_salt", F.explode(_salt_range(salts)))
     return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -45,13 +49,13 @@ def attach(rows: DataFrame, stats: DataFrame, keys: list[str], salt_by: list[str
     )
     left = rows.join(hot, keys, "left").withColumn(
         "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*salt_by), F.lit(salts))).otherwise(F.lit(0)),
+        F.when(F.col("_hot"), F.pmod(F.xxhash64(*salt_by), F.lit(salts))).otherwise(F.lit(0).cast("bigint")),
     ).drop("_hot")
     right = stats.join(hot, keys, "left").withColumn(
         "_salt",
         F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ).cast("bigint"),
+            F.when(F.col("_hot"), _salt_range(salts)).otherwise(F.array(F.lit(0).cast("bigint")))
+        ),
     ).drop("_hot")
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import key_text
 from ..session import cut
-from .keyed import attach
+from .keyed import attach, lookup_join
 
 BUCKET_DIGITS = 4
 
@@ -74,18 +74,30 @@ def with_hash_key(df: DataFrame, seed, id_cols: list[str]) -> DataFrame:
     )
 
 
-def _bucket_offsets(keyed: DataFrame) -> DataFrame:
-    """Rows before each hash bucket; at most 16**BUCKET_DIGITS rows, hence broadcastable."""
-    counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select("_bucket", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+def _bucket_offsets(keyed: DataFrame, within: list[str] | None = None) -> DataFrame:
+    """Rows before each hash bucket: at most 16**BUCKET_DIGITS rows per `within` group."""
+    within = within or []
+    counts = keyed.groupBy(*within, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*within).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(
+        *within, "_bucket", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
 
 
-def hash_rank(df: DataFrame, seed, id_cols: list[str], name: str = "rn") -> DataFrame:
-    """1-based position in a seeded shuffle; the same for any partitioning."""
+def hash_rank(df: DataFrame, seed, id_cols: list[str], name: str = "rn",
+              within: list[str] | None = None) -> DataFrame:
+    """1-based position in a seeded shuffle, overall or inside each `within` group.
+
+    The same for any partitioning. A hot group is still spread over its hash buckets.
+    """
+    keys = [*(within or []), "_bucket"]
     keyed = with_hash_key(df, seed, id_cols)
-    w = Window.partitionBy("_bucket").orderBy("_h", *id_cols)
-    out = keyed.withColumn("_in", F.row_number().over(w)).join(F.broadcast(_bucket_offsets(keyed)), "_bucket")
+    w = Window.partitionBy(*keys).orderBy("_h", *id_cols)
+    ranked = keyed.withColumn("_in", F.row_number().over(w))
+    offsets = _bucket_offsets(keyed, within)
+    if within:
+        out = lookup_join(ranked, offsets, keys, ["_in"])
+    else:
+        out = ranked.join(F.broadcast(offsets), keys)
     return out.withColumn(name, F.col("_before") + F.col("_in")).drop("_h", "_bucket", "_in", "_n", "_before")
 
 

@@ -1,4 +1,4 @@
 """Imports every query module so that the registry is complete."""
 
-from . import q_builders  # noqa: F401
+from . import q_builders, q_corpus, q_eval  # noqa: F401
 from .catalog import ORACLES, QUERIES  # noqa: F401

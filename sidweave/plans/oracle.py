@@ -113,10 +113,10 @@ CTES: dict[str, str] = {
  CASE WHEN c_nationkey<>21 THEN 'fits '||c_mktsegment END reco_cot, target_pid
  FROM customer LEFT JOIN seqs ON c_custkey=uid""",
     "train": "SELECT * FROM user_meta WHERE split=0",
-    "pid2sid": """SELECT 'video' AS "domain", p_partkey pid, p_partkey%8192 a, p_partkey*31%8192 b,
- p_partkey*131%8192 c FROM part WHERE p_size>3 UNION ALL
- SELECT 'product', p_partkey, p_partkey*7%8192, p_partkey*53%8192, p_partkey*211%8192
- FROM part WHERE p_size<48""",
+    "pid2sid": """SELECT 'video' AS "domain", p_partkey pid, k%8192 a, k*31%8192 b, k*131%8192 c
+ FROM (SELECT *, p_partkey//3 k FROM part) WHERE p_size>3 UNION ALL
+ SELECT 'product', p_partkey, k*7%8192, k*53%8192, k*211%8192
+ FROM (SELECT *, p_partkey//3 k FROM part) WHERE p_size<48""",
     "sidmap": f"""SELECT "domain" AS dom, pid, a, b, c, a*67108864+b*8192+c code,
  {SID.format('a', 'b', 'c')} s FROM pid2sid""",
     "captions": """SELECT p_partkey pid, CASE WHEN p_type='ECONOMY' THEN NULL WHEN p_retailprice<905 THEN ''

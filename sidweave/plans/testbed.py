@@ -97,7 +97,8 @@ def user_meta(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _codes(key, a: int, b: int, c: int):
-    return F.array(*[(F.col(key) * m % 8192).cast("int") for m in (a, b, c)])
+    three = F.floor(F.col(key) / 3)  # neighbouring items share an id
+    return F.array(*[(three * m % 8192).cast("int") for m in (a, b, c)])
 
 
 def pid2sid(spark: SparkSession, sf: str) -> DataFrame:

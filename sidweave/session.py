@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +46,9 @@ def broadcast_limit(spark: SparkSession) -> int:
     units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
     value = int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
     return min(value, DEFAULT_BROADCAST_BYTES)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder next to the checkpoints, so that every executor can reach it."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/work-{uuid.uuid4().hex}/{name}"
