@@ -32,7 +32,7 @@ def lookup_join(rows: DataFrame, table: DataFrame, keys: list[str], salt_by: lis
 def attach(rows: DataFrame, stats: DataFrame, keys: list[str], salt_by: list[str], size_col: str,
            hot_rows: int = 1_000_000, max_hot: int = 1000, salts: int = SALTS,
            how: str = "left") -> DataFrame:
-    """Add per-group statistics (one row per key, `size_col` = group size) to every row.
+    """Add per-group rows (`size_col` = group size) to every row of the group.
 
     A window over the key would put a hot group into one task. Here the statistics come from
     a partially aggregated groupBy and are joined back. The at most `max_hot` largest groups
@@ -43,7 +43,7 @@ def attach(rows: DataFrame, stats: DataFrame, keys: list[str], salt_by: list[str
         # The estimate proves that no group can be large enough to need the hot list.
         return rows.join(stats, keys, how)
     hot = F.broadcast(
-        stats.where(F.col(size_col) >= hot_rows)
+        stats.where(F.col(size_col) >= hot_rows).groupBy(*keys).agg(F.max(size_col).alias(size_col))
         .orderBy(F.desc(size_col)).limit(max_hot)
         .select(*keys, F.lit(True).alias("_hot"))
     )

@@ -118,3 +118,16 @@ def hash_first(df: DataFrame, n, seed, id_cols: list[str], flag: str = "chosen")
         flag, F.col("_before") + F.row_number().over(w) <= F.col("_need")
     )
     return whole.unionByName(edge).drop("_h", "_bucket", "_n", "_before", "_total", "_need")
+
+
+def group_running_sums(df: DataFrame, keys: list[str], order: list[Column], row_id: str,
+                       sums: dict[str, Column]) -> DataFrame:
+    """Exclusive running sums inside each group, without sorting a group in one task."""
+    run = cut(running_sums(df, [*[F.col(k) for k in keys], *order], sums))
+    first = F.struct(*order)
+    starts = run.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_members"), *[F.min_by(k, first).alias(f"_start_{k}") for k in sums])
+    out = attach(run, starts, keys, [row_id], "_members")
+    for k in sums:
+        out = out.withColumn(k, F.col(k) - F.col(f"_start_{k}")).drop(f"_start_{k}")
+    return out.drop("_members")

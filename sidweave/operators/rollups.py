@@ -1,0 +1,119 @@
+"""Validation roll-ups over rollout tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.common import hash_int
+from .keyed import attach
+from .numbering import group_row_numbers, group_running_sums
+
+
+def long_form(rows: DataFrame, keys: list[str], variables: list[str]) -> DataFrame:
+    """keys, variable, value; text columns are not variables."""
+    types = dict(rows.dtypes)
+    numeric = [v for v in variables if types[v] != "string"]
+    return rows.select(*keys, *[F.col(v).cast("double").alias(v) for v in numeric]).unpivot(
+        keys, numeric, "variable", "value")
+
+
+def prompt_statistics(rows: DataFrame, variables: list[str], prompt: str = "uid") -> DataFrame:
+    """Mean and population std per (source, prompt, variable) with the group size n."""
+    long = long_form(rows, ["data_source", prompt], variables)
+    return long.groupBy("data_source", prompt, "variable").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+
+
+def _draw_sizes(n: Column) -> Column:
+    """2, 4, 8, ... below n, then n itself."""
+    powers = F.transform(F.sequence(F.lit(1), F.lit(62)), lambda i: F.pow(F.lit(2.0), i).cast("bigint"))
+    return F.when(n > 1, F.array_append(F.filter(powers, lambda p: p < n), n))
+
+
+def best_worst(values: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Mean and std of the best and worst of k draws with replacement, k = 2, 4, ..., n.
+
+    The limit of the resampling estimate in closed form: with F the empirical distribution,
+    P(max = x) = F(x)^k - F(x-)^k. Values are collapsed to counts, and the distribution comes
+    from a distributed running sum.
+    """
+    counts = values.groupBy(*keys, F.col(value).alias("x")).agg(F.count(F.lit(1)).alias("c"))
+    sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    run = group_running_sums(counts, keys, [F.col("x")], "x", {"below": F.col("c")})
+    both = attach(run, sizes, keys, ["x"], "n").withColumn("k", F.explode(_draw_sizes(F.col("n"))))
+    lo, hi, k = F.col("below") / F.col("n"), (F.col("below") + F.col("c")) / F.col("n"), F.col("k")
+    top = F.pow(hi, k) - F.pow(lo, k)
+    low = F.pow(1 - lo, k) - F.pow(1 - hi, k)
+    x = F.col("x")
+    moments = both.groupBy(*keys, "k").agg(
+        F.sum(x * top).alias("best"), F.sum(x * x * top).alias("_b2"),
+        F.sum(x * low).alias("worst"), F.sum(x * x * low).alias("_w2"))
+
+    def std(second: str, mean: str) -> Column:
+        return F.sqrt(F.greatest(F.col(second) - F.col(mean) * F.col(mean), F.lit(0.0)))
+
+    return moments.select(*keys, "k", F.col("best").alias("best_mean"), std("_b2", "best").alias("best_std"),
+                          F.col("worst").alias("worst_mean"), std("_w2", "worst").alias("worst_std"))
+
+
+def majority_value(votes: DataFrame, keys: list[str], pred: str, value: str, order: str) -> DataFrame:
+    """Value of the first vote for the most frequent prediction; ties go to the prediction seen first."""
+    per_pred = votes.groupBy(*keys, pred).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))).alias("_first"))
+    best = F.max_by("_first.v", F.struct("_n", (-F.col("_first.o")).alias("o")))
+    return per_pred.groupBy(*keys).agg(best.alias("majority"))
+
+
+def majority_bootstrap(votes: DataFrame, keys: list[str], pred: str, value: str, row_id: str, seed,
+                       trials: int = 1000) -> DataFrame:
+    """Mean and std of the majority value over resamples of k votes, k = 2, 4, ..., n.
+
+    Each draw is a hashed index into the numbered votes of its group, so draws are rows of a
+    join and a hot group is resampled by many tasks.
+    """
+    numbered = group_row_numbers(votes.select(*keys, row_id, pred, value), keys, [F.col(row_id)], row_id, "at")
+    sizes = votes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    draws = sizes.select(*keys, "n", F.explode(_draw_sizes(F.col("n"))).alias("k")).withColumn(
+        "trial", F.explode(F.sequence(F.lit(0), F.lit(trials - 1)))).repartition(*keys, "k", "trial").withColumn(
+        "j", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("k"))))
+    names = [F.col(x) for x in keys]
+    picked = draws.withColumn("at", F.pmod(hash_int(seed, *names, F.col("k"), F.col("trial"), F.col("j")), F.col("n")) + 1)
+    voted = picked.join(numbered, [*keys, "at"])
+    per_trial = majority_value(voted, [*keys, "k", "trial"], pred, value, "j")
+    return per_trial.groupBy(*keys, "k").agg(F.avg("majority").alias("maj_mean"), F.stddev_pop("majority").alias("maj_std"))
+
+
+def over_prompts(stats: DataFrame, metrics: list[str]) -> DataFrame:
+    """Mean over prompts per (source, variable, n, metric)."""
+    long = stats.unpivot(["data_source", "variable", "n"], metrics, "metric", "value")
+    return long.where("value IS NOT NULL").groupBy("data_source", "variable", "n", "metric").agg(F.avg("value").alias("value"))
+
+
+def core_labels(summary: DataFrame, core: str = "acc", fallback: str = "reward") -> DataFrame:
+    """'val-core' for mean/maj/best/pass metrics of the core variable at its largest n, else 'val-aux'."""
+    per_source = summary.groupBy("data_source").agg(F.max((F.col("variable") == core).cast("int")).alias("_has"))
+    largest = summary.groupBy("data_source", "variable").agg(F.max("n").alias("_max"))
+    s = summary.join(largest, ["data_source", "variable"]).join(per_source, "data_source")
+    main = F.when(F.col("_has") == 1, F.lit(core)).otherwise(F.lit(fallback))
+    lead = F.rlike(F.col("metric"), F.lit("^(mean|maj|best|pass)"))
+    is_core = (F.col("variable") == main) & lead & (F.col("n") == F.col("_max"))
+    return s.withColumn("section", F.when(is_core, "val-core").otherwise("val-aux")).drop("_has", "_max")
+
+
+def repeated_prompts(rows: DataFrame, prompt: str) -> DataFrame:
+    return rows.groupBy(prompt).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def length_summary(rows: DataFrame, length: str, turns: str) -> DataFrame:
+    return rows.agg(
+        F.avg(length).alias("length_mean"), F.max(length).alias("length_max"), F.min(length).alias("length_min"),
+        F.avg(turns).alias("turns_mean"), F.max(turns).alias("turns_max"), F.min(turns).alias("turns_min"))
+
+
+def best_truth_reward(probes: DataFrame, key: str, log_probs: str, truth_len: str) -> DataFrame:
+    """Mean log-probability of the truth tail per probe, the largest per original row."""
+    lp, n = F.col(log_probs), F.col(truth_len)
+    tail = F.slice(lp, F.greatest(F.size(lp) - n, F.lit(0)) + 1, n)
+    mean = F.aggregate(tail, F.lit(0.0), lambda s, x: s + x) / F.size(tail)
+    return probes.groupBy(key).agg(F.max(mean).alias("reward"), F.count(F.lit(1)).alias("probes"))

@@ -66,11 +66,8 @@ def _arr(side: str, expr: str, cond: str = "true") -> str:
     return f"coalesce(list({expr} ORDER BY rk DESC) FILTER (WHERE {rk} AND {cond}), [])"
 
 
-_ROLL = "((row_id*{a}+i*{b})%97)::DOUBLE/50-{s}"
-
-
 def _tok(a: int, b: int, s: float) -> str:
-    return f"[((event_id*{a}+i*{b})%97)::DOUBLE/50-{s} FOR i IN range(len)]"
+    return f"[((event_id*{a}+i*{b})%97)::DOUBLE/64-{s} FOR i IN range(len)]"
 
 
 _SPELL = """CASE (uid+rk*3)%5
@@ -141,7 +138,7 @@ CTES: dict[str, str] = {
  [CASE WHEN i=len-1 AND event_id%3=0 THEN 0 ELSE 1 END FOR i IN range(len)] mask,
  {_tok(31, 17, 1.0)} token_rewards, {_tok(37, 11, 1.0)} token_values, {_tok(41, 19, 2.5)} old_lp,
  {_tok(43, 23, 2.5)} ref_lp,
- [((event_id*41+i*19)%97)::DOUBLE/50-2.5+((event_id*7+i*29)%31-15)::DOUBLE/40 FOR i IN range(len)] rollout_lp
+ [((event_id*41+i*19)%97)::DOUBLE/64-2.5+((event_id*7+i*29)%31-15)::DOUBLE/64 FOR i IN range(len)] rollout_lp
  FROM (SELECT *, (3+event_id*13%6) len FROM events)""",
     "tok": """SELECT row_id, uid, data_source, score, len, step, unnest(range(len)) pos, unnest(mask) m,
  unnest(token_rewards) r, unnest(token_values) v, unnest(old_lp) o, unnest(ref_lp) f,
@@ -165,7 +162,7 @@ def sql(body: str, **extra: str) -> str:
     _needed(" ".join([*extra.values(), body]), seen)
     seen = [n for n in seen if n not in extra]
     parts = [f"{n} AS ({CTES[n]})" for n in seen] + [f"{n} AS ({q})" for n, q in extra.items()]
-    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
+    return ("WITH RECURSIVE " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
 def exploded(arr: str, slot: str, source: str = "train", domain: str = "video", keys: str = "uid") -> str:

@@ -190,7 +190,7 @@ def rollouts(spark: SparkSession, sf: str) -> DataFrame:
     idx = F.sequence(F.lit(0), length - 1)
 
     def tokens(a: int, b: int, shift: float):
-        return F.transform(idx, lambda i: ((e * a + i * b) % 97).cast("double") / 50 - shift)
+        return F.transform(idx, lambda i: ((e * a + i * b) % 97).cast("double") / 64 - shift)
 
     return read(spark, sf, "events").select(
         e.alias("row_id"), F.col("user_id").alias("uid"), F.col("event_type").alias("data_source"),
@@ -199,6 +199,15 @@ def rollouts(spark: SparkSession, sf: str) -> DataFrame:
         F.transform(idx, lambda i: F.when((i == length - 1) & (e % 3 == 0), 0).otherwise(1)).alias("mask"),
         tokens(31, 17, 1.0).alias("token_rewards"), tokens(37, 11, 1.0).alias("token_values"),
         tokens(41, 19, 2.5).alias("old_lp"), tokens(43, 23, 2.5).alias("ref_lp"),
-        F.transform(idx, lambda i: ((e * 41 + i * 19) % 97).cast("double") / 50 - 2.5
-                    + ((e * 7 + i * 29) % 31 - 15).cast("double") / 40).alias("rollout_lp"),
+        F.transform(idx, lambda i: ((e * 41 + i * 19) % 97).cast("double") / 64 - 2.5
+                    + ((e * 7 + i * 29) % 31 - 15).cast("double") / 64).alias("rollout_lp"),
     )
+
+
+def chats(spark: SparkSession, sf: str) -> DataFrame:
+    """Chat rows of at most eight consecutive turns: chat_id, part, messages[role, content]."""
+    c = read(spark, sf, "conversations").withColumn("part", F.floor(F.col("turn") / 8))
+    ordered = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
+    return c.groupBy(F.col("conv_id").alias("chat_id"), "part").agg(
+        F.transform(ordered, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+        .alias("messages"))
