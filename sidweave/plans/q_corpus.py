@@ -17,6 +17,7 @@ from ..session import read, scratch
 from ..sources import files, sinks
 from . import oracle as O
 from . import testbed as TB
+from . import q_builders  # noqa: F401  registers the oracles reused below
 from .catalog import ORACLES, query
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",

@@ -15,12 +15,13 @@ from ..operators.numbering import group_row_numbers
 from ..session import cut, read
 from . import oracle as O
 from . import testbed as TB
+from . import q_builders  # noqa: F401  registers the oracles reused below
 from .catalog import ORACLES, query
 
 _ID = "q.conv_id*100+q.turn"
 
 
-def _raw_rows(spark, sf):
+def raw_rows(spark, sf):
     """Training rows in every content shape: chat pairs of conversations and text rows of documents."""
     c = read(spark, sf, "conversations")
     user = c.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("q"))
@@ -51,37 +52,37 @@ def _raw_rows(spark, sf):
     return chats.unionByName(docs)
 
 
-_PAIR = dict(
+PAIR = dict(
     pr="SELECT " + _ID + " id, q.conv_id, q.turn, q.text q, CASE q.conv_id%3 WHEN 1 THEN '<think>ok</think>' WHEN 2 THEN '<think> '||chr(10)||'</think>' ELSE '' END||a.text "
        "||CASE WHEN q.turn NOT IN (0,2) THEN q.text ELSE '' END a FROM conversations q JOIN conversations a ON a.conv_id=q.conv_id AND a.turn=q.turn+1 "
        "AND q.role='user' AND a.role='assistant'")
 
 
-def _chats(spark, sf):
-    rows = K.parse_payload(_raw_rows(spark, sf)).where("raw_messages IS NOT NULL")
+def chats(spark, sf):
+    rows = K.parse_payload(raw_rows(spark, sf)).where("raw_messages IS NOT NULL")
     return rows.withColumn("messages", K.flatten_messages(F.col("raw_messages")))
 
 
-@query("F1_row_dispatch", O.sql("SELECT id, 'chat' AS kind, 2::INT AS parts FROM pr UNION ALL SELECT -doc_id-1, 'text', 1::INT FROM documents WHERE n_chars>=300", **_PAIR))
+@query("F1_row_dispatch", O.sql("SELECT id, 'chat' AS kind, 2::INT AS parts FROM pr UNION ALL SELECT -doc_id-1, 'text', 1::INT FROM documents WHERE n_chars>=300", **PAIR))
 def f1(spark, sf):
-    r = K.parse_payload(_raw_rows(spark, sf))
+    r = K.parse_payload(raw_rows(spark, sf))
     is_chat = F.col("raw_messages").isNotNull()
     return r.select("id", F.when(is_chat, "chat").otherwise("text").alias("kind"),
                     F.coalesce(F.when(is_chat, F.size("raw_messages")), F.size("raw_segments")).alias("parts"))
 
 
-@query("F2_message_flatten", O.sql("SELECT id, 'user,assistant' AS roles, q, md5(a) AS a_md5, true AS supported FROM pr", **_PAIR))
+@query("F2_message_flatten", O.sql("SELECT id, 'user,assistant' AS roles, q, md5(a) AS a_md5, true AS supported FROM pr", **PAIR))
 def f2(spark, sf):
     m = F.col("messages")
-    return _chats(spark, sf).select("id", F.array_join(F.col("messages.role"), ",").alias("roles"), m[0]["content"].alias("q"),
+    return chats(spark, sf).select("id", F.array_join(F.col("messages.role"), ",").alias("roles"), m[0]["content"].alias("q"),
                                     F.md5(m[1]["content"]).alias("a_md5"), K.supported(m).alias("supported"))
 
 
 @query("F3_think_tagging", O.sql(
-    "SELECT id, q||CASE conv_id%3 WHEN 1 THEN '/think' ELSE '/no_think' END AS q, md5(CASE conv_id%3 WHEN 0 THEN '<think>'||chr(10)||'</think>'||chr(10)||a ELSE a END) AS a_md5 FROM pr", **_PAIR))
+    "SELECT id, q||CASE conv_id%3 WHEN 1 THEN '/think' ELSE '/no_think' END AS q, md5(CASE conv_id%3 WHEN 0 THEN '<think>'||chr(10)||'</think>'||chr(10)||a ELSE a END) AS a_md5 FROM pr", **PAIR))
 def f3(spark, sf):
     m = K.tag_thinking(F.col("messages"))
-    return _chats(spark, sf).withColumn("t", m).select("id", F.col("t")[0]["content"].alias("q"), F.md5(F.col("t")[1]["content"]).alias("a_md5"))
+    return chats(spark, sf).withColumn("t", m).select("id", F.col("t")[0]["content"].alias("q"), F.md5(F.col("t")[1]["content"]).alias("a_md5"))
 
 
 _PIECE = "'<s_[abc]_\\d+>|<\\|[a-z_]+\\|>|[^\\s<]+|<'"
@@ -105,7 +106,7 @@ def ids(x):
     "SELECT id, len(i)::INT AS n, len(i)::INT-1 AS loss, md5(array_to_string(i,',')) AS ids_md5 FROM (SELECT -doc_id-1 id, "
     + ids("text||' <|endoftext|>'") + " i FROM documents WHERE n_chars>=300) WHERE len(i)<=1500"))
 def f4(spark, sf):
-    rows = K.parse_payload(_raw_rows(spark, sf)).where("raw_segments IS NOT NULL")
+    rows = K.parse_payload(raw_rows(spark, sf)).where("raw_segments IS NOT NULL")
     t = K.completion_tokens(rows, 1500)
     return t.select("id", F.size("input_ids").alias("n"), F.aggregate("loss_mask", F.lit(0), lambda s, x: s + x).alias("loss"),
                     F.md5(F.array_join("input_ids", ",")).alias("ids_md5"))
@@ -114,9 +115,9 @@ def f4(spark, sf):
 @query("F5_chat_tokens", O.sql(
     "SELECT id, len(i)::INT AS n, len(regexp_extract_all(a," + _PIECE + "))::INT AS loss, md5(array_to_string(i,',')) AS ids_md5 FROM (SELECT id, a, "
     + ids("'<|im_start|>user'||chr(10)||q||' <|im_end|>'||chr(10)||'<|im_start|>assistant'||chr(10)||a||' <|im_end|>'||chr(10)||'<|endoftext|>'")
-    + " i FROM pr) WHERE len(i)<=400", **_PAIR))
+    + " i FROM pr) WHERE len(i)<=400", **PAIR))
 def f5(spark, sf):
-    t = K.chat_tokens(_chats(spark, sf), F.col("messages"), 400)
+    t = K.chat_tokens(chats(spark, sf), F.col("messages"), 400)
     return t.select("id", F.size("input_ids").alias("n"), F.aggregate("loss_mask", F.lit(0), lambda s, x: s + x).alias("loss"),
                     F.md5(F.array_join("input_ids", ",")).alias("ids_md5"))
 
@@ -163,17 +164,21 @@ def f8(spark, sf):
 _SHARD, _MAX = 400, 512
 
 
-def _packed(spark, sf, cut_to_pad):
-    rows = K.parse_payload(_raw_rows(spark, sf)).where("raw_segments IS NOT NULL")
+def packs_of(spark, sf, cut_to_pad):
+    rows = K.parse_payload(raw_rows(spark, sf)).where("raw_segments IS NOT NULL")
     t = K.completion_tokens(rows, 1500 if cut_to_pad else _MAX).withColumn("epoch", F.lit(0.0))
-    packs = P.pack_rows(t, ["id"], _MAX, cut_to_pad, _SHARD)
-    return packs.select(
+    return P.pack_rows(t, ["id"], _MAX, cut_to_pad, _SHARD)
+
+
+def _packed(spark, sf, cut_to_pad):
+    return packs_of(spark, sf, cut_to_pad).select(
         "shard", "pack", "tokens", F.size("input_ids").alias("padded"),
         F.aggregate("loss_mask", F.lit(0), lambda s, x: s + x).alias("loss"), F.array_join("cu_seqlens", ",").alias("cu_seqlens"),
         F.md5(F.array_join(F.slice("input_ids", F.lit(1), F.col("tokens")), ",")).alias("ids_md5"))
 
 
-def _pack_sql(cut_to_pad):
+def pack_ctes(cut_to_pad):
+    """tk: numbered token rows per shard; fold: pack, place and taken tokens of every row."""
     limit = 1500 if cut_to_pad else _MAX
     over = f"(p.used+t.n>={_MAX})"
     if cut_to_pad:
@@ -186,16 +191,24 @@ def _pack_sql(cut_to_pad):
         step = (f"t.n, CASE WHEN {move} THEN p.nxt+1 ELSE p.nxt END, CASE WHEN {move} THEN 0 ELSE p.nat END, CASE WHEN {move} THEN p.nxt+1 ELSE p.nxt END, "
                 f"CASE WHEN {move} THEN 1 ELSE p.nat+1 END, CASE WHEN {move} THEN t.n ELSE p.used+t.n END")
         first = "n, 0::BIGINT, 0::BIGINT, 0::BIGINT, 1::BIGINT, n"
-    return O.sql(
+    return {
+        "tk": "SELECT source, (row_number() OVER (ORDER BY id)-1)//" + str(_SHARD) + " shard, (row_number() OVER (ORDER BY id)-1)%" + str(_SHARD)
+              + " r, i, len(i)::BIGINT n FROM (SELECT source, -doc_id-1 id, " + ids("text||' <|endoftext|>'") + f" i FROM documents WHERE n_chars>=300) WHERE len(i)<={limit}",
+        "tn": "SELECT shard, r, n FROM tk",
+        "fold": f"SELECT shard, r, {first} FROM tn WHERE r=0 UNION ALL SELECT t.shard, t.r, {step} FROM fold p JOIN tn t ON t.shard=p.shard AND t.r=p.r+1",
+    }
+
+
+def named_fold(sql):
+    return sql.replace("fold AS (", "fold(shard,r,take,pack,place,nxt,nat,used) AS (")
+
+
+def _pack_sql(cut_to_pad):
+    return named_fold(O.sql(
         "SELECT shard, pack::INT AS pack, sum(take)::INT AS tokens, ((greatest(sum(take),512)+7)//8*8+64)::INT AS padded, "
         "sum(take-(take=n)::INT)::INT AS loss, '0,'||string_agg(cum,',' ORDER BY place)||','||((greatest(sum(take),512)+7)//8*8+64) AS cu_seqlens, "
         "md5(string_agg(array_to_string(i[1:take],','),',' ORDER BY place)) AS ids_md5 FROM (SELECT *, (sum(take) OVER (PARTITION BY shard, pack ORDER BY place))::BIGINT::VARCHAR cum "
-        "FROM fold JOIN tk USING (shard, r)) GROUP BY 1,2 HAVING sum(take-(take=n)::INT)>0",
-        tk="SELECT (row_number() OVER (ORDER BY id)-1)//" + str(_SHARD) + " shard, (row_number() OVER (ORDER BY id)-1)%" + str(_SHARD)
-           + " r, i, len(i)::BIGINT n FROM (SELECT -doc_id-1 id, " + ids("text||' <|endoftext|>'") + f" i FROM documents WHERE n_chars>=300) WHERE len(i)<={limit}",
-        tn="SELECT shard, r, n FROM tk",
-        fold=f"SELECT shard, r, {first} FROM tn WHERE r=0 UNION ALL SELECT t.shard, t.r, {step} FROM fold p JOIN tn t ON t.shard=p.shard AND t.r=p.r+1"
-    ).replace("fold AS (", "fold(shard,r,take,pack,place,nxt,nat,used) AS (")
+        "FROM fold JOIN tk USING (shard, r)) GROUP BY 1,2 HAVING sum(take-(take=n)::INT)>0", **pack_ctes(cut_to_pad)))
 
 
 @query("F9_packing_cut", _pack_sql(True))
@@ -210,13 +223,13 @@ def f9b(spark, sf):
 
 @query("F10_source_errors", "SELECT source, count(*) AS samples, sum((n_chars<300)::INT)::BIGINT AS errors, " + O.r6("avg((n_chars<300)::INT)") + " AS error_ratio FROM documents GROUP BY 1")
 def f10(spark, sf):
-    rows = _raw_rows(spark, sf).where("source <> 'chat'")
+    rows = raw_rows(spark, sf).where("source <> 'chat'")
     failed = ~(F.coalesce(F.size(F.from_json("segments", K.RAW_SEGMENTS)), F.lit(0)) > 0)
     return K.source_errors(rows, failed).withColumn("error_ratio", r6(F.col("error_ratio")))
 
 
 def _pair_arrays(spark, sf):
-    rows = _chats(spark, sf).select("id", "messages")
+    rows = chats(spark, sf).select("id", "messages")
     m = F.col("messages")
     return rows.select("id", K.word_tokenizer(m[0]["content"]).alias("p"), K.word_tokenizer(m[1]["content"]).alias("r"))
 
@@ -234,37 +247,37 @@ for _mode, _cut in _CUTS.items():
         f"SELECT id, md5(array_to_string(CASE WHEN len(w)>{_PMAX} THEN {_cut} ELSE list_concat(w,[7 FOR z IN range({_PMAX}-len(w))]) END,',')) AS ids_md5, "
         f"least(len(w),{_PMAX})::INT AS attended, array_to_string([CASE WHEN z<least(len(w),{_PMAX}) AND z>=CASE WHEN np>1 THEN least(np,{_PMAX})-1 ELSE 0 END "
         f"AND z<>least(len(w),{_PMAX})-1 THEN 1 ELSE 0 END FOR z IN range({_PMAX})],'') AS loss_mask FROM (SELECT id, len({toks('q')}) np, list_concat({ids('q')},{ids('a')}) w FROM pr)",
-        **_PAIR))(_run)
+        **PAIR))(_run)
 
 
-@query("F12_nested_keys", O.sql("SELECT id, q AS prompt, a AS response FROM pr", **_PAIR))
+@query("F12_nested_keys", O.sql("SELECT id, q AS prompt, a AS response FROM pr", **PAIR))
 def f12(spark, sf):
-    nested = _chats(spark, sf).select("id", F.struct(F.struct(F.col("messages").alias("turns")).alias("chat")).alias("extra"))
+    nested = chats(spark, sf).select("id", F.struct(F.struct(F.col("messages").alias("turns")).alias("chat")).alias("extra"))
     return nested.select("id", F.get("extra.chat.turns", 0)["content"].alias("prompt"), F.get("extra.chat.turns", 1)["content"].alias("response"))
 
 
 @query("F13_preference_tokens", O.sql(
     "SELECT id, md5(array_to_string(list_concat(c[1:80],[0 FOR z IN range(80-len(c))]),',')) AS chosen_md5, least(len(c),80)::INT AS chosen_attended, "
     "md5(array_to_string(list_concat(r[1:80],[0 FOR z IN range(80-len(r))]),',')) AS rejected_md5 FROM (SELECT id, list_concat(list_concat("
-    + ids("q") + "," + ids("a") + "),[1]) c, list_concat(list_concat(" + ids("q") + "," + ids("q") + "),[1]) r FROM pr)", **_PAIR))
+    + ids("q") + "," + ids("a") + "),[1]) c, list_concat(list_concat(" + ids("q") + "," + ids("q") + "),[1]) r FROM pr)", **PAIR))
 def f13(spark, sf):
     m = F.col("messages")
-    rows = _chats(spark, sf).select("id", m[0]["content"].alias("prompt"), m[1]["content"].alias("chosen"), m[0]["content"].alias("rejected"))
+    rows = chats(spark, sf).select("id", m[0]["content"].alias("prompt"), m[1]["content"].alias("chosen"), m[0]["content"].alias("rejected"))
     t = K.preference_tokens(rows, 80)
     return t.select("id", F.md5(F.array_join(F.col("pair")[0]["input_ids"], ",")).alias("chosen_md5"),
                     F.aggregate(F.col("pair")[0]["attention_mask"], F.lit(0), lambda s, x: s + x).alias("chosen_attended"),
                     F.md5(F.array_join(F.col("pair")[1]["input_ids"], ",")).alias("rejected_md5"))
 
 
-@query("F14_short_prompts", O.sql(f"SELECT id, len({toks('q')})::INT AS n FROM pr WHERE len({toks('q')})<=30", **_PAIR))
+@query("F14_short_prompts", O.sql(f"SELECT id, len({toks('q')})::INT AS n FROM pr WHERE len({toks('q')})<=30", **PAIR))
 def f14(spark, sf):
-    rows = _chats(spark, sf).withColumn("n", F.size(K.words(F.col("messages")[0]["content"])))
+    rows = chats(spark, sf).withColumn("n", F.size(K.words(F.col("messages")[0]["content"])))
     return K.short_prompts(rows, F.col("n"), 30).select("id", "n")
 
 
-@query("F15_prompt_and_truth", O.sql("SELECT id, q||'/think' AS prompt, a AS ground_truth, 'rule' AS style FROM pr", **_PAIR))
+@query("F15_prompt_and_truth", O.sql("SELECT id, q||'/think' AS prompt, a AS ground_truth, 'rule' AS style FROM pr", **PAIR))
 def f15(spark, sf):
-    r = K.prompt_and_truth(_chats(spark, sf), F.col("messages"), "/think")
+    r = K.prompt_and_truth(chats(spark, sf), F.col("messages"), "/think")
     return r.select("id", F.array_join(F.col("prompt.content"), "|").alias("prompt"), "reward_model.ground_truth", "reward_model.style")
 
 
@@ -289,9 +302,9 @@ def f16(spark, sf):
 
 @query("F17_benchmark_prompts", O.sql(
     "SELECT id::VARCHAR AS sample_id, '<|im_start|>user'||chr(10)||q||' <|im_end|>'||chr(10)||'<|im_start|>assistant'||chr(10)||a||' <|im_end|>'||chr(10) AS prompt, "
-    "CASE WHEN conv_id%4=2 THEN '[1,2]' ELSE 'the answer '||id END AS ground_truth, '{\"uid\":'||id||'}' AS metadata, id AS row_index FROM pr WHERE conv_id%4<>1", **_PAIR))
+    "CASE WHEN conv_id%4=2 THEN '[1,2]' ELSE 'the answer '||id END AS ground_truth, '{\"uid\":'||id||'}' AS metadata, id AS row_index FROM pr WHERE conv_id%4<>1", **PAIR))
 def f17(spark, sf):
-    raw = _raw_rows(spark, sf)
+    raw = raw_rows(spark, sf)
     answer = F.when(F.col("g") == 1, F.lit('"  "')).when(F.col("g") == 2, F.lit("[1,2]")).otherwise(
         F.concat(F.lit('" the answer '), F.col("id").cast("string"), F.lit(' "')))
     raw = raw.withColumn("g", F.floor(F.col("id") / 100) % 4).withColumn("metadata", F.when(F.col("source") != "chat", "{bad").otherwise(
