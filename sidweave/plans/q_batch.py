@@ -398,7 +398,7 @@ def p3(spark, sf):
     return out.select(*[r6(F.col(c)).alias(c) for c in out.columns])
 
 
-_STEP = "SELECT event_id step, ts, value/100 loss, user_id+1 tokens, 1 samples, (user_id+1)//2 valid_tokens, value/1000 secs FROM events"
+_STEP = "SELECT event_id step, ts, value/100 loss, user_id+1 tokens, 1 samples, (user_id+1)//2 valid_tokens, value/700 secs FROM events"
 _PER = ("count(*) AS steps, " + O.r6("avg(loss)") + " AS loss, sum(tokens)::BIGINT AS tokens, count(*) AS samples, sum(valid_tokens)::BIGINT AS valid_tokens, " + O.r6("sum(secs)")
         + " AS \"seconds\", " + O.r6("sum(secs)/count(*)") + " AS sec_per_step, " + O.r6("sum(tokens)/(sum(secs)*8)") + " AS tokens_per_sec, " + O.r6("count(*)/(sum(secs)*8)")
         + " AS samples_per_sec, " + O.r6("sum(valid_tokens)/sum(tokens)") + " AS valid_token_ratio")
@@ -406,7 +406,7 @@ _PER = ("count(*) AS steps, " + O.r6("avg(loss)") + " AS loss, sum(tokens)::BIGI
 
 def _steps(events):
     return events.select(F.col("event_id").alias("step"), F.col("ts").cast("timestamp").alias("ts"), (F.col("value") / 100).alias("loss"), (F.col("user_id") + 1).alias("tokens"), F.lit(1).alias("samples"),
-                         F.floor((F.col("user_id") + 1) / 2).alias("valid_tokens"), (F.col("value") / 1000).alias("seconds"))
+                         F.floor((F.col("user_id") + 1) / 2).alias("valid_tokens"), (F.col("value") / 700).alias("seconds"))
 
 
 def _rounded(df):

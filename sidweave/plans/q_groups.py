@@ -233,7 +233,7 @@ def _judged(spark, sf):
     return r.withColumn("acc", (F.col("row_id") % 3) / 2.0)
 
 
-_JD = dict(jd="SELECT row_id, uid, floor(score) score, (row_id%3)/2.0::DOUBLE/7 acc FROM rollouts")
+_JD = dict(jd="SELECT row_id, uid, floor(score) score, (row_id%3)/2.0::DOUBLE acc FROM rollouts")
 
 
 @query("K19_ranking_accuracy", O.sql(
@@ -253,8 +253,8 @@ def k20(spark, sf):
 _K21 = dict(
     ro2="SELECT row_id, any_value(uid) uid, sum(r*m)/sum(m) mr, any_value(row_id%2) acc FROM tok GROUP BY row_id",
     g2="SELECT uid, count(*) n, sum(mr) st, sum(acc) sa FROM ro2 GROUP BY 1",
-    fr="SELECT t.row_id, t.pos, t.m, CASE WHEN t.m=1 THEN (r*n/(n-1)-st/(n-1))*5.0::DOUBLE/7 ELSE 0 END + CASE WHEN pos=len-1 THEN "
-       "(acc*n/(n-1)-sa/(n-1))*2.0::DOUBLE/7 ELSE 0 END tot FROM tok t JOIN ro2 USING (row_id) JOIN g2 ON g2.uid=ro2.uid",
+    fr="SELECT t.row_id, t.pos, t.m, CASE WHEN t.m=1 THEN (r*n/(n-1)-st/(n-1))*0.318309886183790::DOUBLE ELSE 0 END + CASE WHEN pos=len-1 THEN "
+       "(acc*n/(n-1)-sa/(n-1))*0.271828182845904::DOUBLE ELSE 0 END tot FROM tok t JOIN ro2 USING (row_id) JOIN g2 ON g2.uid=ro2.uid",
     w="SELECT row_id, pos, m, sum(tot*m) OVER (PARTITION BY row_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) x FROM fr")
 
 
@@ -262,7 +262,7 @@ _K21 = dict(
     "SELECT row_id, pos, " + O.r6("x") + " AS return, " + O.r6("(x-mu)/sqrt(va+1e-8)") + " AS advantage FROM w CROSS JOIN st", **_K21, **_white("x")[0]))
 def k21(spark, sf):
     r = TB.rollouts(spark, sf).withColumn("acc", F.col("row_id") % 2)
-    out = G.multi_source_leave_one_out(r, "acc", 5 / 7, 2 / 7)
+    out = G.multi_source_leave_one_out(r, "acc", 0.318309886183790, 0.271828182845904)
     return _tokens(out, **{"return": "returns", "advantage": "advantages"})
 
 
