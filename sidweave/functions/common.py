@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -40,6 +40,17 @@ def stable_uuid(*parts) -> Column:
     return F.concat_ws("-", *[F.substring(h, a, n) for a, n in cuts])
 
 
+def once(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add columns that are computed exactly once per row.
+
+    The optimizer copies a projected expression into later filters and lambdas; a one-element
+    generator keeps an expensive one (parsing, tokenising) in its place.
+    """
+    fields = F.struct(*[c.alias(k) for k, c in cols.items()])
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in cols]
+    return df.select("*", F.explode(F.array(fields)).alias("_once")).select(*kept, "_once.*")
+
+
 def r6(col) -> Column:
     """Six decimals; adding zero folds -0.0 into 0.0."""
     return F.round(_c(col).cast("double"), 6) + F.lit(0.0)

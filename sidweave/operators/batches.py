@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
 from .keyed import with_totals
 from .numbering import row_numbers
 
@@ -119,4 +118,4 @@ def unfold(df: DataFrame, columns: list[str], parts: int) -> DataFrame:
 
 def numbered(df: DataFrame, order: list[str]) -> DataFrame:
     """A batch from any table: `row_id` from a unique order."""
-    return cut(row_numbers(df, [F.col(c) for c in order], "_rn")).withColumn("row_id", F.col("_rn") - 1).drop("_rn")
+    return row_numbers(df, [F.col(c) for c in order], "_rn").withColumn("row_id", F.col("_rn") - 1).drop("_rn")

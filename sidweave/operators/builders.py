@@ -45,27 +45,25 @@ def _tag(slot: str, arr: Column, domain: str) -> Column:
 
 
 def sequences_to_sids(rows: DataFrame, keys: list[str], slots: dict[str, tuple[Column, str]],
-                      sid_map: DataFrame) -> DataFrame:
+                      sid_map: DataFrame, lists: tuple[str, ...] = ()) -> DataFrame:
     """Replace id arrays by concatenated SID text, one output column per slot.
 
     `slots` maps an output name to (id array, domain); `sid_map` has domain, pid, sid.
     Unmapped ids vanish, duplicates and order stay, a slot without mapped id is ''.
-    Only rows with at least one mapped id come back.
+    Slots named in `lists` stay arrays of (pos, sid_text). Only rows with at least one mapped
+    id come back.
     """
     tagged = F.flatten(F.array(*[_tag(name, arr, domain) for name, (arr, domain) in slots.items()]))
     ids = rows.select(*keys, F.explode(tagged).alias("x")).select(*keys, "x.*").where("pid IS NOT NULL")
     mapping = sid_map.select("domain", "pid", sid_text(F.col("sid")).alias("sid_text"))
     hits = lookup_join(ids, mapping, ["domain", "pid"], [*keys, "slot", "pos"])
+
+    def ordered(name: str) -> Column:
+        return F.array_sort(F.collect_list(F.when(F.col("slot") == name, F.struct("pos", "sid_text"))))
+
     return hits.groupBy(*keys).agg(*[
-        F.array_join(
-            F.transform(
-                F.array_sort(F.collect_list(
-                    F.when(F.col("slot") == name, F.struct("pos", "sid_text"))
-                )),
-                lambda s: s["sid_text"],
-            ), "",
-        ).alias(name)
-        for name in slots
+        (ordered(n) if n in lists else F.array_join(F.transform(ordered(n), lambda s: s["sid_text"]), "")).alias(n)
+        for n in slots
     ])
 
 
@@ -175,6 +173,11 @@ def label_cond_rows(users: DataFrame, sid_map: DataFrame, max_label: int = MAX_L
     return chat_rows(s, task, ["uid"], query, F.col("target"), meta)
 
 
+def _labelled_candidates(slot: str, label: int) -> Column:
+    return F.transform(slot, lambda c: F.struct(
+        c["pos"].alias("pos"), c["sid_text"].alias("cand"), F.lit(label).alias("label")))
+
+
 def label_pred_rows(users: DataFrame, sid_map: DataFrame, max_label: int = MAX_LABEL,
                     max_target: int = MAX_TARGET) -> DataFrame:
     """Point-wise rows: one per mapped candidate among the first targets, answer = long view."""
@@ -182,21 +185,23 @@ def label_pred_rows(users: DataFrame, sid_map: DataFrame, max_label: int = MAX_L
     base = training_users(users).where(
         F.size("target_video_pid") == F.size("target_video_longview")
     )
-    hist = sequences_to_sids(base, ["uid"], _positive_slots(max_label), sid_map)
-    hist = hist.withColumn("hist", _event_history()).where("hist <> ''").select("uid", "hist")
-    cand = base.select("uid", F.posexplode(F.arrays_zip(
-        head(F.col("target_video_pid"), max_target).alias("pid"),
-        head(F.col("target_video_longview"), max_target).alias("label"),
-    )).alias("pos", "c")).select("uid", "pos", "c.pid", "c.label")
-    mapping = sid_map.where("domain = 'video'").select("pid", sid_text(F.col("sid")).alias("cand"))
-    rows = lookup_join(cand, mapping, ["pid"], ["uid", "pos"]).join(hist, "uid")
+    pid, mask = head(F.col("target_video_pid"), max_target), head(F.col("target_video_longview"), max_target)
+    # History and candidates share one id lookup; NULL keeps a candidate's place in the other slot.
+    slots = {
+        **_positive_slots(max_label),
+        "yes": (F.zip_with(pid, mask, lambda p, m: F.when(m == 1, p)), "video"),
+        "no": (F.zip_with(pid, mask, lambda p, m: F.when(m == 1, F.lit(None)).otherwise(p)), "video"),
+    }
+    s = sequences_to_sids(base, ["uid"], slots, sid_map, lists=("yes", "no"))
+    s = s.withColumn("hist", _event_history()).where("hist <> ''")
+    label = F.col("label")
+    sides = [_labelled_candidates("yes", 1), _labelled_candidates("no", 0)]
+    rows = s.select("uid", "hist", F.explode(F.concat(*sides)).alias("c")).select("uid", "hist", "c.*")
     uid = F.col("uid")
-    label = F.when(F.col("label") == 1, 1).otherwise(0)
     query = fill(T.LABEL_PRED, {"hist": F.col("hist"), "cand": F.col("cand")}, SEED, task, uid,
                  F.col("pos"), "prompt")
     answer = F.when(label == 1, T.LABEL_YES).otherwise(T.LABEL_NO)
     meta = chat.meta_json(uid=uid, label=label)
-    rows = rows.withColumn("label", label)
     return chat_rows(rows, task, ["uid", "pos"], query, answer, meta, keep=["uid", "pos", "label"])
 
 

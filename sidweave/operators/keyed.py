@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..session import broadcast_limit, plan_bytes
 
 SALTS = 64
+SMALL_INPUT = 64 * 1024 * 1024
 
 
 def _salt_range(salts: int) -> Column:
@@ -39,9 +40,8 @@ def attach(rows: DataFrame, stats: DataFrame, keys: list[str], salt_by: list[str
     of `hot_rows` rows or more are salted, so their rows spread over `salts` tasks; every
     other group takes part unsalted. The broadcast hot list is bounded by `max_hot`.
     """
-    if plan_bytes(rows) < 64 * broadcast_limit(rows.sparkSession):
-        # The estimate proves that no group can be large enough to need the hot list.
-        return rows.join(stats, keys, how)
+    if plan_bytes(rows) < min(SMALL_INPUT, 64 * broadcast_limit(rows.sparkSession)):
+        return rows.join(stats, keys, how)  # all rows together are smaller than one hot group
     hot = F.broadcast(
         stats.where(F.col(size_col) >= hot_rows).groupBy(*keys).agg(F.max(size_col).alias(size_col))
         .orderBy(F.desc(size_col)).limit(max_hot)

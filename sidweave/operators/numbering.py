@@ -57,7 +57,7 @@ def running_sums(df: DataFrame, order: list[Column], sums: dict[str, Column]) ->
 def group_row_numbers(df: DataFrame, keys: list[str], order: list[Column], row_id: str,
                       name: str = "rn") -> DataFrame:
     """1-based position inside each group; a hot group is spread over many range partitions."""
-    numbered = cut(row_numbers(df, [*[F.col(k) for k in keys], *order], "_global"))
+    numbered = row_numbers(df, [*[F.col(k) for k in keys], *order], "_global")
     starts = numbered.groupBy(*keys).agg(
         F.min("_global").alias("_start"), F.count(F.lit(1)).alias("_members")
     )
@@ -123,7 +123,7 @@ def hash_first(df: DataFrame, n, seed, id_cols: list[str], flag: str = "chosen")
 def group_running_sums(df: DataFrame, keys: list[str], order: list[Column], row_id: str,
                        sums: dict[str, Column]) -> DataFrame:
     """Exclusive running sums inside each group, without sorting a group in one task."""
-    run = cut(running_sums(df, [*[F.col(k) for k in keys], *order], sums))
+    run = running_sums(df, [*[F.col(k) for k in keys], *order], sums)
     first = F.struct(*order)
     starts = run.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_members"), *[F.min_by(k, first).alias(f"_start_{k}") for k in sums])

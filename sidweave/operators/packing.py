@@ -53,7 +53,9 @@ def pack_rows(rows: DataFrame, order: list[str], max_length: int, cut_to_pad: bo
               shard_rows: int = 10_000, pad_id: int = 0) -> DataFrame:
     """Packs of (input_ids, loss_mask, source, epoch) rows: padded ids and masks, sample index per token,
     cumulative lengths, sources and mean epoch. Packs without a loss token are dropped."""
-    numbered = cut(row_numbers(rows.select("input_ids", "loss_mask", "source", "epoch", *order), [F.col(c) for c in order]))
+    # Tokens are stored once; numbering samples its input for range bounds before it shuffles.
+    tokens = cut(rows.select("input_ids", "loss_mask", "source", "epoch", *order))
+    numbered = row_numbers(tokens, [F.col(c) for c in order])
     sharded = numbered.withColumn("shard", F.floor((F.col("rn") - 1) / shard_rows))
     plan = plan_packs(sharded.select("shard", "rn", F.size("input_ids").alias("length")), max_length, cut_to_pad)
     taken = sharded.join(plan, ["shard", "rn"])

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import hash_int
+from ..session import cut
 from .keyed import lookup_join
 
 K1, B = 0.9, 0.4
@@ -33,7 +34,9 @@ def _blocks(rows: int, size: int) -> int:
 def _block_top_k(queries: DataFrame, corpus: DataFrame, score: Callable[[pd.DataFrame, pd.DataFrame], np.ndarray],
                  k: int, query_block: int, corpus_block: int) -> DataFrame:
     """Best k per query; `score` gives a (queries x documents) matrix for two blocks."""
-    nq, nc = _blocks(queries.count(), query_block), _blocks(corpus.count(), corpus_block)
+    # At least one corpus block per core, as long as blocks keep a few hundred rows.
+    cores, rows = queries.sparkSession.sparkContext.defaultParallelism, corpus.count()
+    nq, nc = _blocks(queries.count(), query_block), max(_blocks(rows, corpus_block), min(cores, _blocks(rows, 256)))
 
     def pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -110,13 +113,16 @@ def lexical_search(queries: DataFrame, corpus: DataFrame, k: int, query_block: i
                 where.setdefault(word, []).append(i)
         counted = {word: np.unique(rows, return_counts=True) for word, rows in where.items()}
         out = np.zeros((len(left), len(right)))
-        for j, (words, weights) in enumerate(zip(right["terms"], right["weights"])):
-            for word, weight in zip(words, weights):
-                if word in counted:
-                    rows, times = counted[word]
-                    out[rows, j] += weight * times
+        # Postings of the block sorted by term: one outer product per term, not one step per posting.
+        sizes = right["terms"].map(len).to_numpy()
+        flat = pd.DataFrame({"term": np.concatenate(right["terms"].to_numpy()), "doc": np.repeat(np.arange(len(right)), sizes),
+                             "weight": np.concatenate(right["weights"].to_numpy())})
+        for term, part in flat[flat["term"].isin(counted)].groupby("term", sort=False):
+            rows, times = counted[term]
+            out[np.ix_(rows, part["doc"].to_numpy())] += np.outer(times, part["weight"].to_numpy())
         return out
 
     asked = queries.select("query_id", terms(F.col("text")).alias("terms"))
-    best = _block_top_k(asked, term_weights(queries, corpus), score, k, query_block, corpus_block)
+    # Stored once: counting the rows must not weigh the corpus a second time.
+    best = _block_top_k(asked, cut(term_weights(queries, corpus)), score, k, query_block, corpus_block)
     return best.where("score > 0")

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import answers as A
+from ..functions.common import once
 from ..functions.sid import THINK_BEGIN, THINK_END, code_triples
+from .keyed import lookup_join
 
 
 def _zero() -> Column:
@@ -35,12 +37,9 @@ def after_first_think(pred: Column) -> Column:
     return F.when(both, F.substring(pred, F.instr(pred, THINK_END) + len(THINK_END), F.length(pred)))
 
 
-def partial_hit(pred: Column, truth: Column) -> Column:
-    """Mean over predicted triples of 100 / 10 / 1 for a match on three, two or one level."""
-    goals = code_triples(truth)
+def _partial(named: Column, goals: Column) -> Column:
     heads2 = F.transform(goals, lambda g: F.substring_index(g, ",", 2))
     heads1 = F.transform(goals, lambda g: F.substring_index(g, ",", 1))
-    named = code_triples(pred)
     each = F.transform(named, lambda p: F.when(F.array_contains(goals, p), 100.0)
                        .when(F.array_contains(heads2, F.substring_index(p, ",", 2)), 10.0)
                        .when(F.array_contains(heads1, F.substring_index(p, ",", 1)), 1.0).otherwise(0.0))
@@ -48,29 +47,47 @@ def partial_hit(pred: Column, truth: Column) -> Column:
     return F.when((F.size(named) > 0) & (F.size(goals) > 0), total / F.size(named)).otherwise(_zero())
 
 
-def hit_ratio(pred: Column, truth: Column) -> Column:
-    """Distinct hits behind the think block over the number of predictions, repeats counted."""
-    named, goals = code_triples(after_first_think(pred)), code_triples(truth)
+def _ratio(named: Column, goals: Column) -> Column:
     return F.when((F.size(named) > 0) & (F.size(goals) > 0),
                   F.size(F.array_intersect(named, goals)) / F.size(named)).otherwise(_zero())
 
 
+def _first(named: Column, goals: Column) -> Column:
+    return _flag(F.coalesce(F.array_contains(goals, F.get(named, 0)), F.lit(False)))
+
+
+def _any(named: Column, goals: Column) -> Column:
+    return _flag(F.coalesce(F.arrays_overlap(named, goals), F.lit(False)))
+
+
+def partial_hit(pred: Column, truth: Column) -> Column:
+    """Mean over predicted triples of 100 / 10 / 1 for a match on three, two or one level."""
+    return _partial(code_triples(pred), code_triples(truth))
+
+
+def hit_ratio(pred: Column, truth: Column) -> Column:
+    """Distinct hits behind the think block over the number of predictions, repeats counted."""
+    return _ratio(code_triples(after_first_think(pred)), code_triples(truth))
+
+
 def first_hit(pred: Column, truth: Column) -> Column:
-    first = F.get(code_triples(after_first_think(pred)), 0)
-    return _flag(F.coalesce(F.array_contains(code_triples(truth), first), F.lit(False)))
+    return _first(code_triples(after_first_think(pred)), code_triples(truth))
 
 
 def pass_rate(pred: Column, truth: Column) -> Column:
     """1 when any triple of the whole text, thinking included, is in the truth."""
-    return _flag(F.coalesce(F.arrays_overlap(code_triples(pred), code_triples(truth)), F.lit(False)))
+    return _any(code_triples(pred), code_triples(truth))
 
 
-def recommendation_scores(pred: Column, truth: Column) -> dict[str, Column]:
-    first = first_hit(pred, truth)
-    return {
-        "score": first, "format_reward": think_format(pred), "partial_hit_reward": partial_hit(pred, truth),
-        "hit_reward": hit_ratio(pred, truth), "pass_rate": pass_rate(pred, truth), "pass_at_1": first,
-    }
+def recommendation_scores(rows: DataFrame, pred: str, truth: str) -> DataFrame:
+    """All recommendation rewards of a table; every text is searched for triples once."""
+    p = F.col(pred)
+    s = once(rows, _all=code_triples(p), _end=code_triples(after_first_think(p)), _goal=code_triples(F.col(truth)))
+    first = _first(F.col("_end"), F.col("_goal"))
+    return s.withColumns({
+        "score": first, "format_reward": think_format(p), "partial_hit_reward": _partial(F.col("_all"), F.col("_goal")),
+        "hit_reward": _ratio(F.col("_end"), F.col("_goal")), "pass_rate": _any(F.col("_all"), F.col("_goal")),
+        "pass_at_1": first}).drop("_all", "_end", "_goal")
 
 
 def number_score(pred: Column, truth: Column, flexible: bool = False, format_score: float = 0.0) -> Column:
@@ -158,7 +175,7 @@ def conversation_reward(metrics: DataFrame, weights: DataFrame, row: str = "row_
     `metrics`: row, metric, value (NULL = failed, counts 0); `weights`: metric, weight (one row per metric name).
     """
     mean = metrics.groupBy(row, "metric").agg(F.avg(F.coalesce("value", F.lit(0.0))).alias("_m"))
-    weighted = mean.join(weights, "metric").withColumn(
+    weighted = lookup_join(mean, weights, ["metric"], [row]).withColumn(
         "_w", F.greatest(F.least(F.col("_m") * F.col("weight"), F.lit(1.0)), F.lit(-1.0)))
     return weighted.groupBy(row).agg(F.sum("_w").alias("reward"))
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.common import hash_int, non_blank, pick_index, strip
+from ..functions.common import hash_int, non_blank, once, pick_index, strip
 from ..functions.sid import CODE_RANGE, VOCAB_BASE
 
 Tokenizer = Callable[[Column], Column]
@@ -33,10 +33,11 @@ def words(text: Column) -> Column:
 
 def word_id(word: Column) -> Column:
     """Id code for code tokens, a hashed id below the code range for all other words."""
-    layer = F.instr(F.lit("abc"), F.regexp_extract(word, r"^<s_([abc])_\d+>$", 1)) - 1
-    code = F.regexp_extract(word, r"^<s_[abc]_(\d+)>$", 1)
-    itemic = VOCAB_BASE + layer * CODE_RANGE + code.try_cast("int")
-    return F.when(code != "", itemic).otherwise(hash_int(word) % VOCAB_BASE).cast("int")
+    layer = F.instr(F.lit("abc"), F.substring(word, 4, 1)) - 1
+    code = F.regexp_extract(word, r"^<s_[abc]_(\d+)>$", 1).try_cast("int")
+    itemic = VOCAB_BASE + layer * CODE_RANGE + code
+    plain = (hash_int(word) % VOCAB_BASE).cast("int")
+    return F.when(F.startswith(word, F.lit("<s_")), F.coalesce(itemic, plain)).otherwise(plain)
 
 
 def word_tokenizer(text: Column) -> Column:
@@ -57,9 +58,9 @@ def parse_payload(rows: DataFrame) -> DataFrame:
     """Adds raw_messages / raw_segments; a non-empty message list wins, rows with neither are dropped."""
     messages = F.try_variant_get(F.try_parse_json("messages"), "$", RAW_MESSAGES)
     segments = F.from_json("segments", RAW_SEGMENTS)
-    s = rows.withColumn("raw_messages", F.when(F.size(messages) > 0, messages)).withColumn(
-        "raw_segments", F.when(F.size(segments) > 0, segments))
-    s = s.withColumn("raw_segments", F.when(F.col("raw_messages").isNull(), F.col("raw_segments")))
+    s = once(rows, _m=messages, _s=segments)
+    s = s.withColumn("raw_messages", F.when(F.size("_m") > 0, F.col("_m"))).withColumn(
+        "raw_segments", F.when(F.col("raw_messages").isNull() & (F.size("_s") > 0), F.col("_s"))).drop("_m", "_s")
     return s.where("raw_messages IS NOT NULL OR raw_segments IS NOT NULL")
 
 
@@ -112,13 +113,13 @@ def completion_tokens(rows: DataFrame, max_length: int, tokenize: Tokenizer = wo
     """Text segments plus end token; too long rows are rejected; every token but the last counts."""
     text = F.concat(F.array_join(F.transform(F.filter("raw_segments", lambda s: s["type"] == "text"),
                                              lambda s: s["text"]), ""), F.lit(" " + END))
-    s = rows.withColumn("input_ids", tokenize(text)).where(F.size("input_ids") <= max_length)
+    s = once(rows, input_ids=tokenize(text)).where(F.size("input_ids") <= max_length)
     return s.withColumn("loss_mask", F.transform("input_ids", lambda x, i: F.when(i < F.size("input_ids") - 1, 1).otherwise(0)))
 
 
 def chat_tokens(rows: DataFrame, messages: Column, max_length: int, tokenize: Tokenizer = word_tokenizer) -> DataFrame:
     """Rendered chat plus end token; too long rows are rejected; only assistant tokens count."""
-    s = rows.withColumn("input_ids", tokenize(F.concat(render_chat(messages), F.lit(END))))
+    s = once(rows, input_ids=tokenize(F.concat(render_chat(messages), F.lit(END))))
     s = s.where(F.size("input_ids") <= max_length)
     start = tokenize(F.lit(TURN_START + "assistant\n"))
     return s.withColumn("loss_mask", span_mask(F.col("input_ids"), start, tokenize(F.lit(TURN_END))))
@@ -192,7 +193,7 @@ def pad_right(ids: Column, max_length: int, value: int) -> Column:
 def pair_tokens(rows: DataFrame, prompt_ids: Column, response_ids: Column, max_length: int, mode: str = "right",
                 pad: int = 0) -> DataFrame:
     """Prompt plus response, cut or padded to max_length; the prompt and the last token carry no loss."""
-    s = rows.withColumn("_p", prompt_ids).withColumn("_r", response_ids)
+    s = once(rows, _p=prompt_ids, _r=response_ids)
     whole = F.concat("_p", "_r")
     n_prompt, n_all = F.size("_p"), F.size("_p") + F.size("_r")
     s = s.withColumn("input_ids", pad_right(truncate(whole, max_length, mode), max_length, pad))
@@ -278,7 +279,7 @@ def benchmark_prompts(rows: DataFrame, row_index: str) -> DataFrame:
     leaves the metadata and becomes the truth."""
     messages = flatten_messages(F.try_variant_get(F.try_parse_json("messages"), "$", RAW_MESSAGES))
     meta = F.try_variant_get(F.try_parse_json("metadata"), "$", "map<string,variant>")
-    s = rows.withColumn("_m", messages).withColumn("_meta", meta)
+    s = once(rows, _m=messages, _meta=meta)
     answer = F.try_element_at(F.col("_meta"), F.lit("answer"))
     text = F.when(F.schema_of_variant(answer) == "STRING", F.try_variant_get(answer, "$", "string")).otherwise(
         F.to_json(answer))

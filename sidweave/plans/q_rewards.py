@@ -62,8 +62,8 @@ _pair_query("J6_pass_rate", _PASS, lambda p, t: W.pass_rate(p, t))
     f"SELECT sample_id, rk::INT AS rk, {_FIRST} AS score, {_FMT} AS format_reward, {_PART} AS partial_hit_reward, "
     f"{_HITR} AS hit_reward, {_PASS} AS pass_rate, {_FIRST} AS pass_at_1 FROM rw", **_RW))
 def j7(spark, sf):
-    scores = W.recommendation_scores(F.col("text"), F.col("answer"))
-    return _pairs(spark, sf).select("sample_id", "rk", *[r6(c).alias(n) for n, c in scores.items()])
+    scored = W.recommendation_scores(_pairs(spark, sf), "text", "answer").drop("text", "answer")
+    return scored.select("sample_id", "rk", *[r6(F.col(c)).alias(c) for c in scored.columns[2:]])
 
 
 def _solutions(spark, sf):

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import chat
-from ..functions.common import r6
+from ..functions.common import once, r6
 from ..functions.sid import pack
 from ..operators import packing as P
 from ..operators import quantizer as Q
 from ..operators import retrieval as R
 from ..operators import tokens as K
 from ..operators.numbering import group_row_numbers
-from ..session import cut, read
+from ..session import cut, read, spread
 from . import oracle as O
 from . import testbed as TB
 from . import q_builders  # noqa: F401  registers the oracles reused below
@@ -44,7 +44,7 @@ def raw_rows(spark, sf):
         (F.col("conv_id") * 100 + F.col("turn")).alias("id"), F.lit("chat").alias("source"),
         F.when(F.col("turn") == 0, plain).when(F.col("turn") == 2, listed).otherwise(mixed).alias("messages"),
         F.lit(None).cast("string").alias("segments"), "q", F.when(~F.col("turn").isin(0, 2), F.concat("a", "q")).otherwise(F.col("a")).alias("a"))
-    d = read(spark, sf, "documents")
+    d = spread(read(spark, sf, "documents"))
     docs = d.select(
         (-F.col("doc_id") - 1).alias("id"), "source", F.when(F.col("lang") == "es", "[]").otherwise(F.lit(None)).alias("messages"),
         F.when(F.col("n_chars") < 300, "[]").otherwise(chat.segments_json(F.col("text"))).alias("segments"),
@@ -60,7 +60,7 @@ PAIR = dict(
 
 def chats(spark, sf):
     rows = K.parse_payload(raw_rows(spark, sf)).where("raw_messages IS NOT NULL")
-    return rows.withColumn("messages", K.flatten_messages(F.col("raw_messages")))
+    return once(rows, messages=K.flatten_messages(F.col("raw_messages")))
 
 
 @query("F1_row_dispatch", O.sql("SELECT id, 'chat' AS kind, 2::INT AS parts FROM pr UNION ALL SELECT -doc_id-1, 'text', 1::INT FROM documents WHERE n_chars>=300", **PAIR))
@@ -430,8 +430,8 @@ def _terms(x):
     wt="SELECT doc_id, term, ln(1+(nd-df+0.5::DOUBLE)/(df+0.5::DOUBLE))*tf*1.9::DOUBLE/(tf+0.9::DOUBLE*(1-0.4::DOUBLE+0.4::DOUBLE*dlen/av)) w FROM tf JOIN dfq USING (term) CROSS JOIN "
        "(SELECT count(*) nd, avg(len(t)) av FROM dl)"))
 def g8(spark, sf):
-    docs = read(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(read(spark, sf, "documents").select("doc_id", "text"))
     q = read(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     title, _ = R.title_and_text(F.col("text"))
-    best = R.lexical_search(q, docs, 3, 64, 256)
+    best = R.lexical_search(q, docs, 3)
     return best.join(docs, "doc_id").select("query_id", "doc_id", r6(F.col("score")).alias("score"), "rank", title.alias("title"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sid import sid_text
-from ..session import read
+from ..session import read, spread
 
 TARGET, HISTORY = 12, 600
 GENERATIONS = 12
@@ -22,7 +22,7 @@ EVENTS = ["longview", "like", "follow", "forward", "not_interested"]
 def interactions(spark: SparkSession, sf: str) -> DataFrame:
     """Newest interactions per user, ranked 1 = newest."""
     orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    lines = read(spark, sf, "lineitem").select(
+    lines = spread(read(spark, sf, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
         "l_discount", "l_returnflag", "l_linestatus",
     )
@@ -52,11 +52,14 @@ def user_meta(spark: SparkSession, sf: str) -> DataFrame:
     ))).alias("seq")
     per_user = inter.groupBy("uid").agg(seq)
 
-    def part(hist: bool, field: str, cond=lambda x: F.lit(True)):
-        side = (lambda x: x["o"] < -TARGET) if hist else (lambda x: x["o"] >= -TARGET)
-        return F.transform(F.filter("seq", lambda x: side(x) & cond(x)), lambda x: x[field])
+    halves = per_user.select("uid", F.filter("seq", lambda x: x["o"] < -TARGET).alias("h"),
+                             F.filter("seq", lambda x: x["o"] >= -TARGET).alias("t"))
 
-    arrays = per_user.select(
+    def part(hist: bool, field: str, cond=None):
+        side = F.col("h" if hist else "t")
+        return (side if cond is None else F.filter(side, cond))[field]
+
+    arrays = halves.select(
         "uid",
         part(True, "pid").alias("hist_video_pid"), part(False, "pid").alias("target_video_pid"),
         *[part(True, e).alias(f"hist_video_{e}") for e in EVENTS],
@@ -192,7 +195,7 @@ def rollouts(spark: SparkSession, sf: str) -> DataFrame:
     def tokens(a: int, b: int, shift: float):
         return F.transform(idx, lambda i: ((e * a + i * b) % 97).cast("double") / 64 - shift)
 
-    return read(spark, sf, "events").select(
+    return spread(read(spark, sf, "events")).select(
         e.alias("row_id"), F.col("user_id").alias("uid"), F.col("event_type").alias("data_source"),
         F.col("value").alias("score"), F.get_json_object("props", "$.k").alias("pred"),
         length.cast("bigint").alias("len"), (e % 10).alias("step"),

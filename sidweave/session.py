@@ -52,3 +52,17 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder next to the checkpoints, so that every executor can reach it."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/work-{uuid.uuid4().hex}/{name}"
+
+
+SPREAD_MIN, SPREAD_PER_CORE = 256 * 1024, 64 * 1024 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a small input over the cores.
+
+    A file of one row group is read by one task however many cores there are. Inputs of 64 MB per core
+    or more fill the cluster by themselves and pass through unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = plan_bytes(df)
+    return df.repartition(cores) if SPREAD_MIN < size < cores * SPREAD_PER_CORE else df

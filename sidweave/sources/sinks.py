@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.keyed import lookup_join
 from ..operators.numbering import row_numbers
-from ..session import cut
 from .files import _fs, find_parquet_files
 
 
@@ -26,7 +26,7 @@ def assign_shards(df: DataFrame, max_rows: int, order: list[Column]) -> DataFram
     """Add `rn` (1-based), `shard` and `shards` for contiguous shards of exactly max_rows rows."""
     if max_rows <= 0:
         raise ValueError("max_rows must be positive")
-    numbered = cut(row_numbers(df, order))
+    numbered = row_numbers(df, order)  # rests on a checkpoint
     total = numbered.agg(F.max("rn").alias("_total"))
     return numbered.crossJoin(F.broadcast(total)).select(
         *df.columns, "rn", F.floor((F.col("rn") - 1) / max_rows).cast("int").alias("shard"),
@@ -99,7 +99,7 @@ def write_generations(samples: DataFrame, out: str, chunk: int = 200) -> None:
     """
     keys = ["model", "task", "split"]
     sizes = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    spread = samples.join(sizes, keys).withColumn(
+    spread = lookup_join(samples, sizes, keys, ["sample_id"]).withColumn(
         "_chunk", F.pmod(F.xxhash64("sample_id"), F.ceil(F.col("_n") / chunk).cast("bigint")))
     docs = spread.groupBy(*keys, "_chunk").agg(
         F.map_from_entries(F.collect_list(F.struct("sample_id", "payload"))).alias("samples"))

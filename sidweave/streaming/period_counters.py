@@ -23,3 +23,10 @@ def start(steps: DataFrame, devices: int, table: str, checkpoint: str, window: s
 
     return (windowed(steps, devices, window).writeStream.outputMode("complete")
             .option("checkpointLocation", checkpoint).foreachBatch(replace).trigger(availableNow=True).start())
+
+
+def start_append(steps: DataFrame, devices: int, table: str, checkpoint: str, window: str = "1 hour",
+                 late: str = "10 minutes") -> StreamingQuery:
+    """Append each window once the watermark has passed it; state holds open windows only."""
+    return (windowed(steps, devices, window, late).writeStream.outputMode("append").format("parquet")
+            .option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
