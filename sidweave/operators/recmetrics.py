@@ -32,7 +32,7 @@ def select_candidates(generations: Column, logprobs: Column, strategy: str) -> C
         return generations
     if strategy != "top_k_by_logprobs":
         raise ValueError(f"unknown strategy {strategy}")
-    bad = F.size(generations) != F.coalesce(F.size(logprobs), F.lit(-1))
+    bad = (F.size(generations) > 0) & (F.size(generations) != F.coalesce(F.size(logprobs), F.lit(-1)))
     return F.when(bad, F.raise_error(F.lit("logprobs missing or of another length"))).otherwise(
         F.array_distinct(by_logprob(generations, logprobs)))
 

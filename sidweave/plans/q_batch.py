@@ -14,7 +14,6 @@ from ..operators import tokens as K
 from ..session import read, scratch
 from ..streaming import period_counters as SC
 from . import oracle as O
-from . import testbed as TB
 from .catalog import query
 from .q_corpus import md5_order
 from .q_tokens import PAIR, chats, named_fold, pack_ctes, packs_of
@@ -42,9 +41,9 @@ def m2(spark, sf):
     return BT.pick_rows(b, index)
 
 
-@query("M2_slice_rows", "SELECT (event_id-100)//7 AS row_id, value FROM events WHERE event_id>=100 AND event_id<9000 AND (event_id-100)%7=0")
+@query("M2_slice_rows", "SELECT (event_id-100)//7 AS row_id, value FROM events WHERE event_id>=100 AND (event_id-100)%7=0")
 def m2b(spark, sf):
-    return BT.slice_rows(_batch(spark, sf, "value"), 100, 9000, 7)
+    return BT.slice_rows(_batch(spark, sf, "value"), 100, 1 << 62, 7)
 
 
 @query("M3_union_columns", "SELECT event_id AS row_id, event_type, value, props FROM events")
@@ -419,11 +418,11 @@ def p4(spark, sf):
     return _rounded(MO.period_counters(_steps(read(spark, sf, "events")), 100, 8))
 
 
-@query("P4_streaming_counters", f"SELECT epoch(time_bucket(INTERVAL 1 HOUR, ts))::BIGINT AS period_start, {_PER} FROM ({_STEP}) GROUP BY 1")
+@query("P4_streaming_counters", f"SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS period_start, {_PER} FROM ({_STEP}) GROUP BY 1")
 def p4b(spark, sf):
     """The same counters per hour from a stream over the event files, run to the end of what is there."""
     schema = read(spark, sf, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     table = scratch(spark, "periods")
     SC.start(_steps(stream), 8, table, scratch(spark, "stream")).awaitTermination()
-    return _rounded(spark.read.parquet(table).withColumn("period_start", F.unix_timestamp("period_start")))
+    return _rounded(spark.read.parquet(table).withColumn("period_start", F.date_format("period_start", "yyyy-MM-dd HH:mm:ss")))

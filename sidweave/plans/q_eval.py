@@ -174,8 +174,7 @@ for _kind in ("pass", "position1_pass", "recall"):
     **dict(_H12, pl="SELECT sample_id, list(sid ORDER BY lp DESC, rk) p FROM (SELECT sample_id, text, any_value(sid) sid, "
                     "max(lp) lp, arg_min(rk,(-lp,rk)) rk FROM pred GROUP BY 1,2) GROUP BY 1")))
 def h12(spark, sf):
-    m = _rounded(R.sid_metrics(TB.generations(spark, sf).where(F.size("generations") > 0), KS, "top_k_by_logprobs")
-                 .unionByName(R.sid_metrics(TB.generations(spark, sf).where(F.size("generations") == 0), KS)))
+    m = _rounded(R.sid_metrics(TB.generations(spark, sf), KS, "top_k_by_logprobs"))
     return m.select("sample_id", "split", *[f"`{c}`" for c in m.columns if "@" in c])
 
 

@@ -46,56 +46,34 @@ def interactions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def user_meta(spark: SparkSession, sf: str) -> DataFrame:
-    inter = interactions(spark, sf)
-    seq = F.array_sort(F.collect_list(F.struct(
-        (-F.col("rk")).alias("o"), "pid", "ad_pid", *EVENTS, "keyword"
-    ))).alias("seq")
-    per_user = inter.groupBy("uid").agg(seq)
-
-    halves = per_user.select("uid", F.filter("seq", lambda x: x["o"] < -TARGET).alias("h"),
-                             F.filter("seq", lambda x: x["o"] >= -TARGET).alias("t"))
-
-    def part(hist: bool, field: str, cond=None):
-        side = F.col("h" if hist else "t")
-        return (side if cond is None else F.filter(side, cond))[field]
-
-    arrays = halves.select(
-        "uid",
-        part(True, "pid").alias("hist_video_pid"), part(False, "pid").alias("target_video_pid"),
-        *[part(True, e).alias(f"hist_video_{e}") for e in EVENTS],
-        *[part(False, e).alias(f"target_video_{e}") for e in EVENTS],
-        part(True, "pid", lambda x: x["longview"] == 1).alias("hist_longview_video_list"),
-        part(True, "ad_pid", lambda x: x["forward"] == 1).alias("hist_ad_pid"),
-        part(False, "ad_pid", lambda x: x["forward"] == 1).alias("target_ad_pid"),
-        part(True, "pid", lambda x: x["keyword"] == "N").alias("hist_goods_pid"),
-        part(False, "pid", lambda x: x["keyword"] == "N").alias("target_goods_pid"),
-        *[F.array_join(part(False, "pid", lambda x, k=k: x["keyword"] == k), ",").alias(f"kw_{k}")
-          for k in "ANR"],
-        F.get(part(False, "pid"), 0).alias("target_pid"),
+    per_user = interactions(spark, sf).groupBy("uid").agg(F.array_sort(F.collect_list(F.struct(
+        (-F.col("rk")).alias("o"), "pid", "ad_pid", *EVENTS, "keyword"))).alias("seq"))
+    halves = per_user.selectExpr("uid", f"filter(seq, x -> x.o < -{TARGET}) AS h", f"filter(seq, x -> x.o >= -{TARGET}) AS t")
+    arrays = halves.selectExpr(
+        "uid", "h.pid AS hist_video_pid", "t.pid AS target_video_pid",
+        *[f"h.`{e}` AS hist_video_{e}" for e in EVENTS], *[f"t.`{e}` AS target_video_{e}" for e in EVENTS],
+        "filter(h, x -> x.longview = 1).pid AS hist_longview_video_list",
+        "filter(h, x -> x.forward = 1).ad_pid AS hist_ad_pid", "filter(t, x -> x.forward = 1).ad_pid AS target_ad_pid",
+        "filter(h, x -> x.keyword = 'N').pid AS hist_goods_pid", "filter(t, x -> x.keyword = 'N').pid AS target_goods_pid",
+        *[f"array_join(filter(t, x -> x.keyword = '{k}').pid, ',') AS kw_{k}" for k in "ANR"],
+        "get(t.pid, 0) AS target_pid",
     )
     cust = read(spark, sf, "customer")
-    nation = F.col("c_nationkey")
     rows = cust.join(arrays, F.col("c_custkey") == F.col("uid"), "left")
-    kw = F.concat(F.lit('{"A":['), F.col("kw_A"), F.lit('],"N":['), F.col("kw_N"), F.lit('],"":['),
-                  F.col("kw_R"), F.when(nation == 23, F.lit("]")).otherwise(F.lit("]}")))
-    short = F.expr("slice(hist_video_forward, 1, greatest(size(hist_video_forward) - 1, 0))")
-    return rows.select(
-        F.col("c_custkey").alias("uid"),
-        F.when(F.col("c_acctbal") < 0, 1).otherwise(0).alias("split"),
-        "hist_video_pid", "target_video_pid",
+    return rows.selectExpr(
+        "c_custkey AS uid", "CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS split", "hist_video_pid", "target_video_pid",
         *[f"hist_video_{e}" for e in EVENTS if e != "forward"],
-        F.when(nation == 24, short).otherwise(F.col("hist_video_forward")).alias("hist_video_forward"),
+        "CASE WHEN c_nationkey = 24 THEN slice(hist_video_forward, 1, greatest(size(hist_video_forward) - 1, 0)) "
+        "ELSE hist_video_forward END AS hist_video_forward",
         *[f"target_video_{e}" for e in EVENTS],
         "hist_longview_video_list", "hist_ad_pid", "target_ad_pid", "hist_goods_pid", "target_goods_pid",
-        F.when(nation == 19, F.lit(None)).when(nation == 18, F.lit("")).when(nation == 17, F.lit("  "))
-        .otherwise(F.concat_ws(" ", "c_name", "c_mktsegment")).alias("inter_user_profile_with_sid"),
-        kw.alias("inter_keyword_to_items"),
-        F.when(F.col("c_mktsegment") != "BUILDING", F.concat(F.lit("saw "), "c_mktsegment"))
-        .alias("reco_gsu_caption"),
-        F.when(nation == 22, F.lit("   ")).otherwise(
-            F.concat(F.lit("item "), F.col("target_pid").cast("string"))).alias("reco_target_caption"),
-        F.when(nation != 21, F.concat(F.lit("fits "), "c_mktsegment")).alias("reco_cot"),
-        "target_pid",
+        "CASE c_nationkey WHEN 19 THEN NULL WHEN 18 THEN '' WHEN 17 THEN '  ' ELSE concat_ws(' ', c_name, c_mktsegment) END "
+        "AS inter_user_profile_with_sid",
+        "concat('{\"A\":[', kw_A, '],\"N\":[', kw_N, '],\"\":[', kw_R, CASE WHEN c_nationkey = 23 THEN ']' ELSE ']}' END) "
+        "AS inter_keyword_to_items",
+        "CASE WHEN c_mktsegment <> 'BUILDING' THEN concat('saw ', c_mktsegment) END AS reco_gsu_caption",
+        "CASE WHEN c_nationkey = 22 THEN '   ' ELSE concat('item ', target_pid) END AS reco_target_caption",
+        "CASE WHEN c_nationkey <> 21 THEN concat('fits ', c_mktsegment) END AS reco_cot", "target_pid",
     )
 
 
