@@ -129,9 +129,14 @@ def item_metrics(samples: DataFrame, keys: list[str], ks: list[int], items: Data
     chosen = select_candidates(F.col("generations"), F.col("logprobs"), strategy)
     mapped = generations_to_items(samples, keys, chosen, items)
     rows = samples.select(*keys, truth_items(F.col("answer_pid")).alias("_truth")).join(mapped, keys, "left")
+    return rows.select(*keys, *_item_columns(ks))
+
+
+def _item_columns(ks: list[int]) -> list[Column]:
+    """Item metrics of a row with `items` and `_truth`."""
     metrics = hits(F.col("items"), F.col("_truth"), ks, "pid_", F.lit(0).cast("bigint"))
-    return rows.select(*keys, F.coalesce("items", F.array().cast("array<bigint>")).alias("pid_generations"),
-                       *[c.alias(n) for n, c in metrics.items()])
+    mapped = F.coalesce("items", F.array().cast("array<bigint>")).alias("pid_generations")
+    return [mapped, *[c.alias(n) for n, c in metrics.items()]]
 
 
 def overall(per_sample: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
@@ -146,8 +151,11 @@ def merged_metrics(samples: DataFrame, keys: list[str], ks: list[int], items: Da
     """SID and item metrics of every sample side by side."""
     sid = sid_metrics(samples, ks, strategy)
     names = [n for n in sid.columns if "@" in n]
-    return sid.select(*keys, *[f"`{n}`" for n in names]).join(
-        item_metrics(samples, keys, ks, items, strategy), keys, "full")
+    chosen = select_candidates(F.col("generations"), F.col("logprobs"), strategy)
+    mapped = generations_to_items(samples, keys, chosen, items)
+    rows = sid.select(*keys, *[f"`{n}`" for n in names], truth_items(F.col("answer_pid")).alias("_truth")).join(
+        mapped, keys, "left")
+    return rows.select(*keys, *[f"`{n}`" for n in names], *_item_columns(ks))
 
 
 def debug_rows(samples: DataFrame, keys: list[str], ks: list[int]) -> DataFrame:

@@ -89,8 +89,9 @@ def term_weights(queries: DataFrame, corpus: DataFrame) -> DataFrame:
     counted = corpus.select("doc_id", terms(F.col("text")).alias("t"))
     sized = counted.select("doc_id", F.size("t").alias("len"), F.explode("t").alias("term"))
     wanted = queries.select(F.explode(terms(F.col("text"))).alias("term")).distinct()
-    tf = lookup_join(sized, wanted, ["term"], ["doc_id"]).groupBy("doc_id", "len", "term").agg(
-        F.count(F.lit(1)).alias("tf"))
+    # Stored once: term and document frequencies both read the postings.
+    tf = cut(lookup_join(sized, wanted, ["term"], ["doc_id"]).groupBy("doc_id", "len", "term").agg(
+        F.count(F.lit(1)).alias("tf")))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     total = counted.agg(F.count(F.lit(1)).alias("_docs"), F.avg(F.size("t")).alias("_avg"))
     idf = df.crossJoin(F.broadcast(total)).select(  # one row

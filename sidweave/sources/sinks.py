@@ -22,38 +22,31 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def assign_shards(df: DataFrame, max_rows: int, order: list[Column]) -> DataFrame:
-    """Add `rn` (1-based), `shard` and `shards` for contiguous shards of exactly max_rows rows."""
+def write_shards(df: DataFrame, out: str, max_rows: int, order: list[Column], prefix: str = "part") -> list[str]:
+    """Write contiguous shards of exactly max_rows rows (the last one may be shorter) as
+    `prefix-iiiii-of-nnnnn.parquet`, one file each; empty input writes nothing."""
     if max_rows <= 0:
         raise ValueError("max_rows must be positive")
-    numbered = row_numbers(df, order)  # rests on a checkpoint
-    total = numbered.agg(F.max("rn").alias("_total"))
-    return numbered.crossJoin(F.broadcast(total)).select(
-        *df.columns, "rn", F.floor((F.col("rn") - 1) / max_rows).cast("int").alias("shard"),
-        F.ceil(F.col("_total") / max_rows).cast("int").alias("shards"))
-
-
-def write_shards(df: DataFrame, out: str, max_rows: int, order: list[Column], prefix: str = "part") -> list[str]:
-    """Write `prefix-iiiii-of-nnnnn.parquet`, one file per shard; empty input writes nothing."""
     spark = df.sparkSession
-    rows = assign_shards(df, max_rows, order)
-    head = rows.select("shards").limit(1).collect()
-    if not head:
+    numbered = row_numbers(df, order)  # rests on a checkpoint
+    rows = numbered.agg(F.max("rn")).first()[0]
+    if rows is None:
         return []
-    total = head[0]["shards"]
+    total = -(-rows // max_rows)
     staged = f"{out}/_staged"
-    rows.repartition(total, "shard").sortWithinPartitions("shard", "rn").drop("rn", "shards").write.mode(
-        "overwrite").option("compression", "snappy").partitionBy("shard").parquet(staged)
+    shard = F.floor((F.col("rn") - 1) / max_rows).cast("int")
+    numbered.withColumn("shard", shard).repartition(total, "shard").sortWithinPartitions("shard", "rn").drop(
+        "rn").write.mode("overwrite").option("compression", "snappy").partitionBy("shard").parquet(staged)
     fs, _ = _fs(spark, out)
-    jvm = spark.sparkContext._jvm
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     final = []
-    for path in find_parquet_files(spark, staged):
-        shard = int(path.split("shard=")[1].split("/")[0])
-        target = f"{out}/{prefix}-{shard:05d}-of-{total:05d}.parquet"
-        if not fs.rename(jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(target)):
+    for path in spark.read.parquet(staged).inputFiles():
+        number = int(path.split("shard=")[1].split("/")[0])
+        target = f"{out}/{prefix}-{number:05d}-of-{total:05d}.parquet"
+        if not fs.rename(path_of(path), path_of(target)):
             raise OSError(f"could not place {target}")
         final.append(target)
-    fs.delete(jvm.org.apache.hadoop.fs.Path(staged), True)
+    fs.delete(path_of(staged), True)
     return sorted(final)
 
 
