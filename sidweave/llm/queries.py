@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read, scratch
-from . import certified_packing, repair_ids, token_counts
+from . import certified_packing, repair_ids, simhash_trie, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +34,9 @@ def op5_repair_ids(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op7_certified_packing(spark: SparkSession, sf: str) -> DataFrame:
     return certified_packing.best_fit_packing(read(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op3_simhash_trie(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash_trie.simhash_classes(read(spark, sf, "documents"), words=4, budget=4)
+    return found.select("doc_id", "fingerprint", "component_id")

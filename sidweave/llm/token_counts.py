@@ -23,8 +23,10 @@ from ._memo import PieceMemo, memo
 
 CHUNK, OVERLAP, WIDEN = 16_384, 256, 8
 COUNTED = "doc_id bigint, n_bytes bigint, n_tokens bigint"
-PIECES = "row bigint, doc_id bigint, n_bytes bigint, chunk_no bigint, begin bigint, cut_left bigint, cut_right bigint, text string"
-SEAMS = ("row bigint, doc_id bigint, n_bytes bigint, seam bigint, right_side boolean, "
+PIECES = "row bigint, mark bigint, doc_id bigint, n_bytes bigint, chunk_no bigint, begin bigint, cut_left bigint, cut_right bigint, text string"
+CHUNK_ROW = pa.schema([(c, pa.int64()) for c in ("row", "mark", "doc_id", "n_bytes", "chunk_no", "begin", "cut_left", "cut_right")]
+                      + [("text", pa.string())])
+SEAMS = ("row bigint, mark bigint, doc_id bigint, n_bytes bigint, seam bigint, right_side boolean, "
          "places array<bigint>, before array<bigint>")
 
 
@@ -44,7 +46,7 @@ def _chunks(chunk: int, overlap: int):
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                row, doc, text = (batch.column(c)[k].as_py() for c in ("row", "doc_id", "text"))
+                row, mark, doc, text = (batch.column(c)[k].as_py() for c in ("row", "mark", "doc_id", "text"))
                 size, n = len(text.encode()), len(text)
                 step = chunk if 2 * overlap < n else n
                 starts = range(0, n, step)
@@ -52,12 +54,10 @@ def _chunks(chunk: int, overlap: int):
                 for no, a in enumerate(starts):
                     b, last = a + step, a + step >= n
                     lo, hi = max(0, a - overlap), n if last else min(n, b + overlap)
-                    out.append((row, doc, size, no, lo, a if no else -1, -1 if last else b, text[lo:hi]))
+                    out.append((row, mark, doc, size, no, lo, a if no else -1, -1 if last else b, text[lo:hi]))
                     if len(out) == 64 or last:
                         yield pa.RecordBatch.from_pylist(
-                            [dict(zip(("row", "doc_id", "n_bytes", "chunk_no", "begin", "cut_left", "cut_right", "text"), x)) for x in out],
-                            schema=pa.schema([(c, pa.int64()) for c in ("row", "doc_id", "n_bytes", "chunk_no", "begin", "cut_left", "cut_right")]
-                                             + [("text", pa.string())]))
+                            [dict(zip(CHUNK_ROW.names, x)) for x in out], schema=CHUNK_ROW)
                         out = []
     return run
 
@@ -98,7 +98,7 @@ def _seams(vocab: str, overlap: int):
             out = []
             for r in batch.to_pylist():
                 ends = token_ends(m, r["text"])
-                base = {k: r[k] for k in ("row", "doc_id", "n_bytes")}
+                base = {k: r[k] for k in ("row", "mark", "doc_id", "n_bytes")}
                 if r["cut_left"] >= 0:
                     p, k = _places(m, r["text"], r["begin"], r["cut_left"], overlap, ends)
                     out.append(base | {"seam": r["chunk_no"], "right_side": True, "places": p, "before": k})
@@ -108,24 +108,24 @@ def _seams(vocab: str, overlap: int):
                 else:  # the last chunk's tokens, as a seam of its own
                     out.append(base | {"seam": -1, "right_side": False, "places": [0], "before": [len(ends)]})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema(
-                [("row", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("seam", pa.int64()), ("right_side", pa.bool_()),
+                [("row", pa.int64()), ("mark", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("seam", pa.int64()), ("right_side", pa.bool_()),
                  ("places", pa.list_(pa.int64())), ("before", pa.list_(pa.int64()))]))
     return run
 
 
 def _spliced(long: DataFrame, vocab: str, chunk: int, overlap: int) -> DataFrame:
-    """row, doc_id, n_bytes, n_tokens (NULL: a seam had no common place) of long texts."""
-    pieces = long.mapInArrow(_chunks(chunk, overlap), PIECES).repartition(_text.partitions(long), "row", "chunk_no")
+    """mark, doc_id, n_bytes, n_tokens (NULL: a seam had no common place) of long texts."""
+    pieces = long.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_chunks(chunk, overlap), PIECES).repartition(_text.partitions(long), "row", "chunk_no")
     sides = pieces.mapInArrow(_seams(vocab, overlap), SEAMS)
     left, right = (F.max(F.when(F.col("right_side") == side, F.struct("places", "before"))) for side in (False, True))
-    seams = sides.groupBy("row", "doc_id", "n_bytes", "seam").agg(left.alias("l"), right.alias("r"))
+    seams = sides.groupBy("row", "mark", "doc_id", "n_bytes", "seam").agg(left.alias("l"), right.alias("r"))
     meet = F.array_min(F.array_intersect("l.places", "r.places"))
 
     def at(side: str):
         return F.element_at(f"{side}.before", F.array_position(f"{side}.places", F.col("meet")).cast("int"))
 
     one = F.when(F.col("seam") == -1, F.element_at("l.before", 1)).when(F.col("meet").isNotNull(), at("l") - at("r"))
-    return seams.withColumn("meet", meet).withColumn("n", one).groupBy("row", "doc_id", "n_bytes").agg(
+    return seams.withColumn("meet", meet).withColumn("n", one).groupBy("row", "mark", "doc_id", "n_bytes").agg(
         F.when(F.count("n") == F.count(F.lit(1)), F.sum("n")).alias("n_tokens"))
 
 
@@ -138,12 +138,12 @@ def token_counts(docs: DataFrame, vocab: str, limit: int = 4096, chunk: int = CH
     """
     rows = _text.rows(docs, id_col=id_col, text_col=text_col)
     short = rows.where(F.length("text") <= chunk).mapInArrow(_whole(vocab), COUNTED)
-    long = rows.withColumn("row", F.monotonically_increasing_id()).where(F.length("text") > chunk)
+    long = rows.where(F.length("text") > chunk).withColumn("mark", F.xxhash64("doc_id", "text"))
     done, todo = short, long
     while True:
         tried = cut(_spliced(todo, vocab, chunk, overlap))
-        done = done.unionByName(tried.where("n_tokens IS NOT NULL").drop("row"))
-        failed = tried.where("n_tokens IS NULL").select("row")
+        done = done.unionByName(tried.where("n_tokens IS NOT NULL").select("doc_id", "n_bytes", "n_tokens"))
+        failed = tried.where("n_tokens IS NULL").select("mark")
         if failed.isEmpty():
             return done.withColumn("over_limit", F.col("n_tokens") > limit)
-        todo, overlap = long.join(failed, "row", "left_semi"), overlap * widen
+        todo, overlap = long.join(failed, "mark", "left_semi"), overlap * widen
