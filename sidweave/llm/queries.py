@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read, scratch
-from . import certified_packing, repair_ids, simhash_trie, token_counts
+from . import (
+    certified_packing, chat_format, edit_decontam, ftrl_toxicity, repair_ids, rule_quality, secret_novelty, simhash_trie, threshold_sketch,
+    token_counts,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,11 +22,55 @@ def query(fn):
     return fn
 
 
+def _op1_oracle() -> str:
+    """The same rows from plain string functions; formatted_chars counts the marks and the escapes."""
+    def escaped(c: str) -> str:
+        marks = " + ".join(f"(length({c}) - length(replace({c}, '{m}', ''))) // {len(m)}" for m in chat_format.CONTROLS)
+        return f"length({c}) + length({c}) - length(replace({c}, chr(92), '')) + {marks}"
+
+    said = "'</s>[INST] ok [/INST]'"
+    frame = len(chat_format.OPEN) + len(chat_format.CLOSE) + 2
+    return f"""
+    WITH t AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', {said} UNION ALL SELECT -1, 1, 'assistant', {said}),
+    g AS (
+        SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
+               coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '') AS learnt,
+               CAST(sum({frame} + {escaped('role')} + {escaped('text')}) AS BIGINT) AS formatted_chars
+        FROM t GROUP BY conv_id)
+    SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256, formatted_chars FROM g"""
+
+
+ORACLES["op1_chat_format"] = _op1_oracle()
+
+
+@query
+def op1_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    said = "'</s>[INST] ok [/INST]'"
+    extra = spark.sql(f"SELECT -1L AS conv_id, array(named_struct('role', 'user', 'content', {said}), "
+                      f"named_struct('role', 'assistant', 'content', {said})) AS messages")
+    layouts = [read(spark, sf, "conversations"), extra]
+    turns = [chat_format.canonical(table) for table in layouts]
+    return chat_format.digests(chat_format.format_turns(turns[0].unionByName(turns[1])))
+
+
 @query
 def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+@query
+def op3_simhash_trie(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash_trie.simhash_classes(read(spark, sf, "documents"), words=4, budget=4)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op4_edit_decontam(spark: SparkSession, sf: str) -> DataFrame:
+    return edit_decontam.leaks(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
 @query
 def op5_repair_ids(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "repair_ids")
@@ -31,12 +78,26 @@ def op5_repair_ids(spark: SparkSession, sf: str) -> DataFrame:
     return repair_ids.read_shards(spark, path)
 
 
+@query
+def op6_threshold_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    return threshold_sketch.edited_likeness(read(spark, sf, "documents"))
+
+
 @query
 def op7_certified_packing(spark: SparkSession, sf: str) -> DataFrame:
     return certified_packing.best_fit_packing(read(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 @query
-def op3_simhash_trie(spark: SparkSession, sf: str) -> DataFrame:
-    found = simhash_trie.simhash_classes(read(spark, sf, "documents"), words=4, budget=4)
-    return found.select("doc_id", "fingerprint", "component_id")
+def op8_secret_novelty(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_novelty.secret_scan(read(spark, sf, "documents"))
+
+
+@query
+def op9_ftrl_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return ftrl_toxicity.toxicity(read(spark, sf, "documents"), read(spark, sf, "labels"), threshold=0.5)
+
+
+@query
+def op10_rule_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return rule_quality.quality(read(spark, sf, "documents"), read(spark, sf, "labels"), threshold=0.3)
