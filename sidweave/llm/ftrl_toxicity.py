@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from . import _labels, _text
 
-BITS, SAMPLE, EPOCHS = 20, 20_000, 4
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 3.0, 1.0
+BITS, SAMPLE, EPOCHS = 20, 20_000, 6
+ALPHA, BETA, L1, L2 = 1.5, 1.0, 5.0, 1.0
 WORD = re.compile(r"\w+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
