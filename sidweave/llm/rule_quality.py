@@ -135,6 +135,8 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, seed: int = SEED) -> t
         return float(np.log(share / (1 - share))), []
     rng = np.random.default_rng(seed)
     rules = sorted(set().union(*(tree_rules(x, y, rng) for _ in range(trees))))
+    if not rules:  # too few rows for a tree
+        return float(np.log(share / (1 - share))), []
     z = np.stack([holds(r, x) for r in rules], 1).astype(float)
     spread = z.std(0)
     z, rules = z[:, spread > 0], [r for r, s in zip(rules, spread) if s > 0]

@@ -1,0 +1,23 @@
+import public_tokenizers
+import pytest
+
+#: NULLs in every column, empty and long texts, ties, repeated rows.
+EDGE = [(1, "Alpha beta gamma delta epsilon zeta eta theta."), (1, "Alpha beta gamma delta epsilon zeta eta theta."), (2, None), (3, ""),
+        (None, "x y"), (None, None), (4, " \t\n "), (5, "ab " * 8000), (6, "日本語" * 3000), (7, "</s> <s> [INST] <|endoftext|>"), (2, "tie of 2")]
+
+
+@pytest.fixture()
+def edge(spark):
+    """Edge rows with extra columns whose names the operators use inside."""
+    rows = [(i, t, "x", 1, None) for i, t in EDGE]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, fp string, row int, n_tokens string")
+
+
+@pytest.fixture()
+def nothing(edge):
+    return edge.where("false")
+
+
+@pytest.fixture(scope="session")
+def path():
+    return public_tokenizers.path
