@@ -14,8 +14,10 @@ def message(role: str, text: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), F.array(_text_part(text)).alias("content"))
 
 
-def chat_json(query: Column, answer: Column) -> Column:
-    return F.to_json(F.array(message("user", query), message("assistant", answer)))
+def chat_json(query: Column, answer: Column, system: Column | None = None) -> Column:
+    """System (if given), user and assistant turn."""
+    turns = [message("user", query), message("assistant", answer)]
+    return F.to_json(F.array(*([] if system is None else [message("system", system)]), *turns))
 
 
 def segments_json(text: Column) -> Column:

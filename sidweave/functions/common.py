@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+SLOT = re.compile(r"(\{\w+\})")
+
 
 def _c(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
@@ -33,6 +37,22 @@ def pick(options: list[str], *parts) -> Column:
     return F.element_at(F.array(*[F.lit(o) for o in options]), pick_index(len(options), *parts) + 1)
 
 
+def fill(options: list[str], values: dict[str, Column], *parts) -> Column:
+    """The picked wording with its `{name}` slots filled.
+
+    Wordings are cut at their slots before any value is known, so braces inside a value stay as they are.
+    """
+    def filled(option: str) -> Column:
+        pieces = [p for p in SLOT.split(option) if p]
+        return F.concat(*[values[p[1:-1]] if SLOT.fullmatch(p) and p[1:-1] in values else F.lit(p) for p in pieces])
+
+    at = pick_index(len(options), *parts)
+    out = filled(options[-1])
+    for i in range(len(options) - 2, -1, -1):
+        out = F.when(at == i, filled(options[i])).otherwise(out)
+    return out
+
+
 def stable_uuid(*parts) -> Column:
     """UUID-shaped id that a retried task reproduces exactly."""
     h = F.md5(key_text(*parts))

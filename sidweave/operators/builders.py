@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import chat
-from ..functions.common import head, mask_select, non_blank, non_empty, pick, pick_index, stable_uuid, tail
+from ..functions.common import fill, head, mask_select, non_blank, non_empty, pick, pick_index, stable_uuid, tail
 from ..functions.sid import CODE_RANGE, LAYER_LETTERS, SID_BEGIN, SID_END, sid_text, token_id
 from . import templates as T
 from .keyed import lookup_join
+from .labelmetrics import NO, YES
 
 SEED = 42
 MAX_HIST, MAX_TARGET = 512, 10
@@ -25,14 +26,6 @@ MAX_LABEL = 10
 EVENTS = list(T.EVENT_NAMES)
 
 
-def fill(options: list[str], values: dict[str, Column], *pick_key) -> Column:
-    """Substitute `{name}` slots of the picked wording."""
-    out = pick(options, *pick_key)
-    for name, value in values.items():
-        out = F.replace(out, F.lit("{" + name + "}"), value)
-    return out
-
-
 def training_users(users: DataFrame) -> DataFrame:
     """Rows of the training split; a table without the column counts as all-training."""
     return users.where(F.col("split") == 0) if "split" in users.columns else users
@@ -69,11 +62,13 @@ def sequences_to_sids(rows: DataFrame, keys: list[str], slots: dict[str, tuple[C
 
 def chat_rows(df: DataFrame, task: str, keys: list[str], query: Column, answer: Column,
               metadata: Column, keep: list[str] | None = None) -> DataFrame:
+    ids = [F.col(k) for k in keys]
+    system = pick(T.SYSTEM[task], SEED, task, *ids, "system") if task in T.SYSTEM else None
     return df.select(
         *(keep or keys),
         F.lit(task).alias("source"),
-        stable_uuid(task, *[F.col(k) for k in keys]).alias("uuid"),
-        chat.chat_json(query, answer).alias("messages"),
+        stable_uuid(task, *ids).alias("uuid"),
+        chat.chat_json(query, answer, system).alias("messages"),
         metadata.alias("metadata"),
     )
 
@@ -102,12 +97,14 @@ def video_rows(users: DataFrame, sid_map: DataFrame, max_hist: int = MAX_HIST,
     return chat_rows(s, task, ["uid"], query, F.col("target"), chat.meta_json(uid=uid))
 
 
-def _labelled(text: str, col: str) -> Column:
-    return F.when(F.col(col) != "", F.concat(F.lit(text), F.col(col)))
+def _labelled(task: str, part: str, col: str) -> Column:
+    """A part of the history behind a wording picked for this user and part."""
+    lead = pick(T.LEADS[part], SEED, task, F.col("uid"), part)
+    return F.when(F.col(col) != "", F.concat(lead, F.col(col)))
 
 
 def _cross_domain_rows(users: DataFrame, sid_map: DataFrame, task: str, wording: list[str], domain: str,
-                       hist_col: str, target_col: str, hist_label: str, max_video: int, max_hist: int,
+                       hist_col: str, target_col: str, part: str, max_video: int, max_hist: int,
                        max_target: int) -> DataFrame:
     slots = {
         "video": (tail(F.col("hist_longview_video_list"), max_video), "video"),
@@ -116,7 +113,7 @@ def _cross_domain_rows(users: DataFrame, sid_map: DataFrame, task: str, wording:
     }
     s = sequences_to_sids(training_users(users), ["uid"], slots, sid_map)
     s = s.where("target <> '' AND (video <> '' OR hist <> '')")
-    parts = F.concat_ws("\n", _labelled("Long views: ", "video"), _labelled(hist_label, "hist"))
+    parts = F.concat_ws("\n", _labelled(task, "video", "video"), _labelled(task, part, "hist"))
     uid = F.col("uid")
     query = fill(wording, {"hist": parts}, SEED, task, uid, "prompt")
     return chat_rows(s, task, ["uid"], query, F.col("target"), chat.meta_json(uid=uid))
@@ -127,14 +124,14 @@ def ad_rows(users: DataFrame, sid_map: DataFrame, max_video: int = MAX_CROSS_VID
     """Cross-domain ad rows: long-view videos and ad clicks, either part may be missing.
     Ads live in the video id map."""
     return _cross_domain_rows(users, sid_map, "ad", T.AD, "video", "hist_ad_pid", "target_ad_pid",
-                              "Ad clicks: ", max_video, max_hist, max_target)
+                              "ad", max_video, max_hist, max_target)
 
 
 def product_rows(users: DataFrame, sid_map: DataFrame, max_video: int = MAX_CROSS_VIDEO,
                  max_hist: int = MAX_GOODS, max_target: int = MAX_TARGET) -> DataFrame:
     """As ad_rows, with goods looked up in the product id map."""
     return _cross_domain_rows(users, sid_map, "product", T.PRODUCT, "product", "hist_goods_pid",
-                              "target_goods_pid", "Goods viewed: ", max_video, max_hist, max_target)
+                              "target_goods_pid", "goods", max_video, max_hist, max_target)
 
 
 def _positive_slots(max_label: int) -> dict[str, tuple[Column, str]]:
@@ -144,8 +141,8 @@ def _positive_slots(max_label: int) -> dict[str, tuple[Column, str]]:
     }
 
 
-def _event_history() -> Column:
-    return F.concat_ws("\n", *[_labelled(f"{T.EVENT_NAMES[e]}: ", f"h_{e}") for e in EVENTS])
+def _event_history(task: str) -> Column:
+    return F.concat_ws("\n", *[_labelled(task, e, f"h_{e}") for e in EVENTS])
 
 
 def label_cond_rows(users: DataFrame, sid_map: DataFrame, max_label: int = MAX_LABEL,
@@ -164,7 +161,7 @@ def label_cond_rows(users: DataFrame, sid_map: DataFrame, max_label: int = MAX_L
                     F.when(F.col("event") == EVENTS[0], positives[EVENTS[0]]))
     slots = {**_positive_slots(max_label), "target": (head(chosen, max_target), "video")}
     s = sequences_to_sids(rows, ["uid", "event"], slots, sid_map)
-    s = s.withColumn("hist", _event_history()).where("hist <> '' AND target <> ''")
+    s = s.withColumn("hist", _event_history(task)).where("hist <> '' AND target <> ''")
     name = reduce(lambda acc, e: acc.when(F.col("event") == e, T.EVENT_NAMES[e]), EVENTS[1:],
                   F.when(F.col("event") == EVENTS[0], T.EVENT_NAMES[EVENTS[0]]))
     uid = F.col("uid")
@@ -180,7 +177,8 @@ def _labelled_candidates(slot: str, label: int) -> Column:
 
 def label_pred_rows(users: DataFrame, sid_map: DataFrame, max_label: int = MAX_LABEL,
                     max_target: int = MAX_TARGET) -> DataFrame:
-    """Point-wise rows: one per mapped candidate among the first targets, answer = long view."""
+    """Point-wise rows: one per mapped candidate among the first targets; the answer is the character
+    that the label metrics read for a long view or none."""
     task = "label_pred"
     base = training_users(users).where(
         F.size("target_video_pid") == F.size("target_video_longview")
@@ -193,14 +191,14 @@ def label_pred_rows(users: DataFrame, sid_map: DataFrame, max_label: int = MAX_L
         "no": (F.zip_with(pid, mask, lambda p, m: F.when(m == 1, F.lit(None)).otherwise(p)), "video"),
     }
     s = sequences_to_sids(base, ["uid"], slots, sid_map, lists=("yes", "no"))
-    s = s.withColumn("hist", _event_history()).where("hist <> ''")
+    s = s.withColumn("hist", _event_history(task)).where("hist <> ''")
     label = F.col("label")
     sides = [_labelled_candidates("yes", 1), _labelled_candidates("no", 0)]
     rows = s.select("uid", "hist", F.explode(F.concat(*sides)).alias("c")).select("uid", "hist", "c.*")
     uid = F.col("uid")
     query = fill(T.LABEL_PRED, {"hist": F.col("hist"), "cand": F.col("cand")}, SEED, task, uid,
                  F.col("pos"), "prompt")
-    answer = F.when(label == 1, T.LABEL_YES).otherwise(T.LABEL_NO)
+    answer = F.when(label == 1, YES).otherwise(NO)
     meta = chat.meta_json(uid=uid, label=label)
     return chat_rows(rows, task, ["uid", "pos"], query, answer, meta, keep=["uid", "pos", "label"])
 
@@ -211,7 +209,7 @@ def label_tally(label_rows: DataFrame) -> DataFrame:
 
 def captioned_items(captions: DataFrame, sid_map: DataFrame) -> DataFrame:
     """pid, sid text and caption of mapped items with a caption."""
-    mapping = sid_map.where("domain = 'video'").select("pid", "sid", sid_text(F.col("sid")).alias("sid_text"))
+    mapping = sid_map.where("domain = 'video'").select("pid", sid_text(F.col("sid")).alias("sid_text"))
     return captions.where(non_empty(F.col("dense_caption"))).join(mapping, "pid")
 
 
@@ -221,25 +219,19 @@ def item_rows(captions: DataFrame, sid_map: DataFrame) -> DataFrame:
     pid = F.col("pid")
     query = fill(T.ITEM, {"sid": F.col("sid_text")}, SEED, task, pid, "prompt")
     return chat_rows(captioned_items(captions, sid_map), task, ["pid"], query, F.col("dense_caption"),
-                     chat.meta_json(pid=pid, sid=F.col("sid")))
+                     chat.meta_json(pid=pid, sid=F.col("sid_text")))
 
 
 def item_text_rows(captions: DataFrame, sid_map: DataFrame) -> DataFrame:
     """Item-understanding text rows in one of three layouts, the last one a JSON object."""
     task = "item_text"
     sid, caption, pid = F.col("sid_text"), F.col("dense_caption"), F.col("pid")
-    slots = {"sid": sid, "caption": caption}
-    layouts = []
-    for option in T.ITEM_TEXT:
-        text = F.lit(option)
-        for name, value in slots.items():
-            text = F.replace(text, F.lit("{" + name + "}"), value)
-        layouts.append(text)
+    layouts = [fill([option], {"sid": sid, "caption": caption}, pid) for option in T.ITEM_TEXT]
     layouts.append(F.to_json(F.struct(sid.alias("item"), caption.alias("caption"))))
     at = pick_index(len(layouts), SEED, task, pid, "layout")
     text = F.when(at == 0, layouts[0]).when(at == 1, layouts[1]).otherwise(layouts[2])
     return text_rows(captioned_items(captions, sid_map), task, ["pid"], text,
-                     chat.meta_json(pid=pid, sid=F.col("sid")))
+                     chat.meta_json(pid=pid, sid=sid))
 
 
 def keyword_items(users: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.answers import boxed_answer
-from ..functions.common import key_text, non_empty, pick_index, strip
+from ..functions.common import fill, key_text, non_empty, pick_index, strip
 from ..session import cut
 from .numbering import hash_rank, row_numbers
 from .sampling import split_ratio
@@ -128,10 +128,7 @@ def multiple_choice(rows: DataFrame, index: str, seed: int = 42) -> DataFrame:
         F.md5(key_text(seed, key, i)).alias("h"), c.alias("c")))), lambda x: x["c"])
     at = pick_index(4, seed, key, "gold")
     choices = F.array_insert(wrong, at + 1, F.col("correct"))
-    query = F.lit(CHOICE_PROMPT)
-    query = F.replace(query, F.lit("{question}"), F.col("question"))
-    for i, letter in enumerate("ABCD"):
-        query = F.replace(query, F.lit("{" + letter + "}"), F.get(choices, i))
+    query = fill([CHOICE_PROMPT], {"question": F.col("question"), **{c: F.get(choices, i) for i, c in enumerate("ABCD")}}, key)
     return rows.select("*", query.alias("query"), F.substring(F.lit("ABCD"), at + 1, F.lit(1)).alias("gold"))
 
 
@@ -175,10 +172,13 @@ def solved_math(rows: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def solved_math_evaluation(rows: DataFrame, source: str, index: str) -> DataFrame:
-    """Truth = content of an answer that is nothing but a box, else the answer as it is."""
-    raw = F.col("solution")
-    truth = F.coalesce(F.when(F.startswith(raw, F.lit("\\boxed{")) & F.endswith(raw, F.lit("}")),
-                              F.substring(raw, F.lit(8), F.length(raw) - 8)), raw)
+    """Truth = content of an answer that is nothing but a box (braced, or a blank and the content), else the
+    answer as it is. Without a `solution` column, or where it is NULL, the answer is the `answer` column."""
+    given = [F.col(c) for c in ("solution", "answer") if c in rows.columns]
+    raw = F.coalesce(*given)
+    braced = F.when(F.startswith(raw, F.lit("\\boxed{")) & F.endswith(raw, F.lit("}")), F.substring(raw, F.lit(8), F.length(raw) - 8))
+    spaced = F.when(F.startswith(raw, F.lit("\\boxed ")), F.substring(raw, F.lit(8), F.length(raw)))
+    truth = F.coalesce(spaced, braced, raw)
     prompt = F.array(turn("user", F.concat_ws(" ", F.col("problem"), F.lit(BOX_HINT))))
     return rl_row(rows, F.lit(source), prompt, "math", truth, "test", index, answer=raw, question=F.col("problem"))
 

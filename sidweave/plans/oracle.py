@@ -28,17 +28,19 @@ def lit(text: str) -> str:
 
 
 def fill(options: list[str], values: dict[str, str], *key: str) -> str:
-    arms = " ".join(f"WHEN {i} THEN {lit(o)}" for i, o in enumerate(options))
-    out = f"(CASE {h(*key)} % {len(options)} {arms} END)"
-    for name, value in values.items():
-        out = f"replace({out}, '{{{name}}}', {value})"
-    return out
+    def filled(option: str) -> str:
+        pieces = [p for p in re.split(r"(\{\w+\})", option) if p]
+        return "||".join(f"({values[p[1:-1]]})" if p[1:-1] in values else lit(p) for p in pieces)
 
+    arms = " ".join(f"WHEN {i} THEN {filled(o)}" for i, o in enumerate(options))
+    return f"(CASE {h(*key)} % {len(options)} {arms} END)"
 
-def chat(query: str, answer: str) -> str:
+
+def chat(query: str, answer: str, system: str | None = None) -> str:
     def msg(role, text):
         return f"{{'role':'{role}','content':[{{'type':'text','text':{text}}}]}}"
-    return f"to_json([{msg('user', query)},{msg('assistant', answer)}])::VARCHAR"
+    first = "" if system is None else msg("system", system) + ","
+    return f"to_json([{first}{msg('user', query)},{msg('assistant', answer)}])::VARCHAR"
 
 
 def segments(text: str) -> str:
@@ -83,7 +85,7 @@ CTES: dict[str, str] = {
  (l_linestatus='F')::INT forward, (l_returnflag='R')::INT not_interested, l_returnflag keyword
  FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, l_orderkey DESC,
  l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) rk
- FROM lineitem JOIN orders ON l_orderkey=o_orderkey) WHERE rk<=612""",
+ FROM lineitem JOIN orders ON l_orderkey=o_orderkey)""",
     "seqs": "SELECT uid, " + ", ".join([
         _arr("h", "pid") + " hist_video_pid", _arr("t", "pid") + " target_video_pid",
         *[_arr("h", f'"{e}"') + f" hist_video_{e}" for e in EVENTS],
@@ -121,18 +123,17 @@ CTES: dict[str, str] = {
     "sid2pid": """SELECT code, pid, n AS "count", nd count_ds FROM (SELECT l_partkey pid, count(*) n,
  count(DISTINCT l_suppkey) nd FROM lineitem GROUP BY 1) JOIN sidmap USING (pid) WHERE dom='video'""",
     "gen_items": """SELECT uid, rk, i.pid tp, t.s ts, CASE WHEN rk%3=1 THEN i.pid ELSE i.pid+rk END gp, g.s gs
- FROM inter i LEFT JOIN sidmap t ON t.pid=i.pid AND t.dom='video'
- LEFT JOIN sidmap g ON g.dom='video' AND g.pid=CASE WHEN rk%3=1 THEN i.pid ELSE i.pid+rk END
- WHERE rk<=12""",
+ FROM (SELECT uid*1000000+(rk-1)//12 uid, (rk-1)%12+1 rk, pid FROM inter) i LEFT JOIN sidmap t ON t.pid=i.pid AND t.dom='video'
+ LEFT JOIN sidmap g ON g.dom='video' AND g.pid=CASE WHEN rk%3=1 THEN i.pid ELSE i.pid+rk END""",
     "gen": f"""SELECT uid, uid::VARCHAR sample_id, rk, {_SPELL} AS text, -((uid*7+rk*5)%11)::DOUBLE/4 lp,
  length({_SPELL})::BIGINT ot, (rk*3+uid%7)::DOUBLE/8 tm
- FROM gen_items JOIN customer ON c_custkey=uid WHERE c_acctbal>=0""",
-    "truth": """SELECT c_custkey uid, c_custkey::VARCHAR sample_id, lower(c_mktsegment) split, c_acctbal,
- 'Watched by '||c_custkey||': '||repeat('clip ',45) prompt, coalesce(answer,'') answer,
+ FROM gen_items JOIN customer ON c_custkey=uid//1000000 WHERE c_acctbal>=0""",
+    "truth": """SELECT coalesce(uid, c_custkey*1000000) uid, coalesce(uid, c_custkey*1000000)::VARCHAR sample_id,
+ lower(c_mktsegment) split, c_acctbal, 'Watched by '||coalesce(uid, c_custkey*1000000)||': '||repeat('clip ',45) prompt, coalesce(answer,'') answer,
  coalesce(answer_pid,[]) answer_pid FROM customer LEFT JOIN
  (SELECT uid, string_agg(ts,'' ORDER BY rk) answer,
  list(CASE WHEN ts IS NULL THEN 0 ELSE tp END ORDER BY rk) answer_pid FROM gen_items GROUP BY 1)
- ON uid=c_custkey""",
+ ON uid//1000000=c_custkey""",
     "rollouts": f"""SELECT event_id row_id, user_id uid, event_type data_source, value score,
  json_extract_string(props,'$.k') pred, len, event_id%10 step,
  [CASE WHEN i=len-1 AND event_id%3=0 THEN 0 ELSE 1 END FOR i IN range(len)] mask,

@@ -17,14 +17,17 @@ from .catalog import query
 
 def _chat_sql(task, keys, query_sql, answer, metadata, source, cols=None, **extra):
     cols = cols or ", ".join(keys)
+    system = O.fill(T.SYSTEM[task], {}, str(B.SEED), O.lit(task), *keys, "'system'") if task in T.SYSTEM else None
     return O.sql(
         f"SELECT {cols}, '{task}' AS source, {O.uuid(task, *keys)} AS uuid, "
-        f"{O.chat(query_sql, answer)} AS messages, {metadata} AS metadata FROM {source}", **extra)
+        f"{O.chat(query_sql, answer, system)} AS messages, {metadata} AS metadata FROM {source}", **extra)
 
 
-def _labelled(pairs):
-    return "concat_ws(chr(10)," + ",".join(
-        f"CASE WHEN {c}<>'' THEN {O.lit(t)}||{c} END" for t, c in pairs) + ")"
+def _labelled(task, pairs):
+    def lead(part):
+        return O.fill(T.LEADS[part], {}, str(B.SEED), O.lit(task), "uid", O.lit(part))
+
+    return "concat_ws(chr(10)," + ",".join(f"CASE WHEN {c}<>'' THEN {lead(t)}||{c} END" for t, c in pairs) + ")"
 
 
 _HT = {"hist": (O.tail("hist_video_pid", 512), "video"), "target": (O.head("target_video_pid", 10), "video")}
@@ -55,21 +58,21 @@ def c3(spark, sf):
     return B.video_rows(TB.user_meta(spark, sf), TB.pid2sid(spark, sf))
 
 
-def _cross_sql(task, wording, domain, hist, target, label, max_hist):
+def _cross_sql(task, wording, domain, hist, target, part, max_hist):
     s = O.sequences({"video": (O.tail("hist_longview_video_list", 100), "video"),
                      "hist": (O.tail(hist, max_hist), domain), "target": (O.head(target, 10), domain)})
-    parts = _labelled([("Long views: ", "video"), (label, "hist")])
+    parts = _labelled(task, [("video", "video"), (part, "hist")])
     return _chat_sql(task, ["uid"], O.fill(wording, {"hist": parts}, *O.seeded(task, "uid")), "target",
                      O.meta(uid="uid"), "s WHERE target<>'' AND (video<>'' OR hist<>'')", s=s)
 
 
-@query("C4_ad_rows", _cross_sql("ad", T.AD, "video", "hist_ad_pid", "target_ad_pid", "Ad clicks: ", 200))
+@query("C4_ad_rows", _cross_sql("ad", T.AD, "video", "hist_ad_pid", "target_ad_pid", "ad", 200))
 def c4(spark, sf):
     return B.ad_rows(TB.user_meta(spark, sf), TB.pid2sid(spark, sf))
 
 
 @query("C5_product_rows", _cross_sql("product", T.PRODUCT, "product", "hist_goods_pid",
-                                     "target_goods_pid", "Goods viewed: ", 100))
+                                     "target_goods_pid", "goods", 100))
 def c5(spark, sf):
     return B.product_rows(TB.user_meta(spark, sf), TB.pid2sid(spark, sf))
 
@@ -82,7 +85,12 @@ _EVENTS = B.EVENTS
 _HSLOTS = {f"h_{e}": (O.tail(f"p_{e}", 10), "video") for e in _EVENTS}
 _HPOS = ", ".join(f"{_sel('hist_video_pid', f'hist_video_{e}')} p_{e}" for e in _EVENTS)
 _TPOS = ", ".join(f"{_sel('target_video_pid', f'target_video_{e}')} t_{e}" for e in _EVENTS)
-_HIST = _labelled([(f"{T.EVENT_NAMES[e]}: ", f"h_{e}") for e in _EVENTS])
+
+
+def _hist(task):
+    return _labelled(task, [(e, f"h_{e}") for e in _EVENTS])
+
+
 _OFFER = "[x FOR x IN [" + ",".join(
     f"CASE WHEN len(t_{e})>0 THEN '{e}' END" for e in _EVENTS) + "] IF x IS NOT NULL]"
 _CHOSEN = "CASE event " + " ".join(f"WHEN '{e}' THEN t_{e}" for e in _EVENTS) + " END"
@@ -99,7 +107,7 @@ _ENAME = "CASE event " + " ".join(f"WHEN '{e}' THEN {O.lit(T.EVENT_NAMES[e])}" f
       + " % len(offered))::INT] event FROM o WHERE len(offered)>0",
     g=f"SELECT *, {_CHOSEN} chosen FROM e",
     s=O.sequences({**_HSLOTS, "target": (O.head("chosen", 10), "video")}, "g", "uid, event"),
-    w=f"SELECT *, {_HIST} hist FROM s"))
+    w=f"SELECT *, {_hist('label_cond')} hist FROM s"))
 def c6(spark, sf):
     return B.label_cond_rows(TB.user_meta(spark, sf), TB.pid2sid(spark, sf))
 
@@ -107,7 +115,7 @@ def c6(spark, sf):
 _PRED = dict(
     p=f"SELECT *, {_HPOS} FROM train",
     s=O.sequences(_HSLOTS, "p"),
-    w=f"SELECT uid, {_HIST} hist FROM s",
+    w=f"SELECT uid, {_hist('label_pred')} hist FROM s",
     c="SELECT uid, unnest(target_video_pid[1:10]) pid, unnest(target_video_longview[1:10]) label, "
       "generate_subscripts(target_video_pid[1:10],1)-1 pos FROM train",
     j="SELECT c.uid, pos, label, s cand, hist FROM c JOIN w ON w.uid=c.uid AND hist<>'' "
@@ -117,7 +125,7 @@ _PRED = dict(
 @query("C7_label_pred_rows", _chat_sql(
     "label_pred", ["uid", "pos"],
     O.fill(T.LABEL_PRED, {"hist": "hist", "cand": "cand"}, *O.seeded("label_pred", "uid", "pos")),
-    "CASE WHEN label=1 THEN 'yes' ELSE 'no' END", O.meta(uid="uid", label="label"), "j",
+    "CASE WHEN label=1 THEN '是' ELSE '否' END", O.meta(uid="uid", label="label"), "j",
     cols="uid, pos::INT AS pos, label", **_PRED))
 def c7(spark, sf):
     return B.label_pred_rows(TB.user_meta(spark, sf), TB.pid2sid(spark, sf))
@@ -125,8 +133,8 @@ def c7(spark, sf):
 
 @query("C8_item_rows", _chat_sql(
     "item_understand", ["pid"], O.fill(T.ITEM, {"sid": "s"}, *O.seeded("item_understand", "pid")),
-    "dense_caption", O.meta(pid="pid", sid="[a,b,c]"),
-    "(SELECT pid,s,a,b,c,dense_caption FROM captions JOIN sidmap USING (pid) WHERE dom='video' AND dense_caption<>'')"))
+    "dense_caption", O.meta(pid="pid", sid="s"),
+    "(SELECT pid,s,dense_caption FROM captions JOIN sidmap USING (pid) WHERE dom='video' AND dense_caption<>'')"))
 def c8(spark, sf):
     return B.item_rows(TB.captions(spark, sf), TB.pid2sid(spark, sf))
 
@@ -166,8 +174,8 @@ def _text_sql(task, keys, text, metadata, source, **extra):
     "CASE " + O.h("42", "'item_text'", "pid", "'layout'") + " % 3 "
     "WHEN 0 THEN 'Item '||s||' shows: '||dense_caption WHEN 1 THEN dense_caption||' This is item '||s||'.' "
     "ELSE to_json({'item':s,'caption':dense_caption})::VARCHAR END",
-    O.meta(pid="pid", sid="[a,b,c]"),
-    "(SELECT pid,s,a,b,c,dense_caption FROM captions JOIN sidmap USING (pid) WHERE dom='video' AND dense_caption<>'')"))
+    O.meta(pid="pid", sid="s"),
+    "(SELECT pid,s,dense_caption FROM captions JOIN sidmap USING (pid) WHERE dom='video' AND dense_caption<>'')"))
 def c11(spark, sf):
     return B.item_text_rows(TB.captions(spark, sf), TB.pid2sid(spark, sf))
 

@@ -1,9 +1,8 @@
 """Recommendation tables derived from the driver's star schema, entirely on Spark.
 
-An order line is an interaction of its customer with its part. A user table row keeps the
-12 newest interactions as target and the up to 600 before them as history (more than any
-builder's window), so the per-user rank filter prunes rows before the shuffle and a heavy
-user never becomes an unbounded group.
+An order line is an interaction of its customer with its part. A user table row has the 12 newest
+interactions as target and all before them as history: the builders cut each slot at its own window,
+some of them after a filter, so no shorter history gives the same rows.
 """
 
 from __future__ import annotations
@@ -14,13 +13,13 @@ from pyspark.sql import functions as F
 from ..functions.sid import sid_text
 from ..session import read, spread
 
-TARGET, HISTORY = 12, 600
-GENERATIONS = 12
+TARGET = 12
+SAMPLE, SAMPLES_PER_USER = 12, 1_000_000
 EVENTS = ["longview", "like", "follow", "forward", "not_interested"]
 
 
 def interactions(spark: SparkSession, sf: str) -> DataFrame:
-    """Newest interactions per user, ranked 1 = newest."""
+    """All interactions per user, ranked 1 = newest."""
     orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     lines = spread(read(spark, sf, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
@@ -33,7 +32,7 @@ def interactions(spark: SparkSession, sf: str) -> DataFrame:
     ranked = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
         "rk", F.row_number().over(w)
     )
-    return ranked.where(F.col("rk") <= TARGET + HISTORY).select(
+    return ranked.select(
         F.col("o_custkey").alias("uid"), "rk", F.col("l_partkey").alias("pid"),
         F.col("l_suppkey").alias("ad_pid"),
         (F.col("l_quantity") >= 25).cast("int").alias("longview"),
@@ -113,13 +112,14 @@ def sid2pid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def generations(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per customer: model outputs and the truth they are scored against.
+    """Model outputs and the truth they are scored against, one row for each 12 interactions of a customer.
 
-    Output i names the i-th newest item (0, 3, 6 ...) or a part with a nearby key, in one of
+    uid is the sample's number: the customer, and which 12 of the customer's interactions. Output i names the i-th newest item (0, 3, 6 ...) or a part with a nearby key, in one of
     five spellings; customers in debt have no outputs at all.
     """
     mapping = pid2sid(spark, sf).where("domain = 'video'").select("pid", sid_text(F.col("sid")).alias("s"))
-    inter = interactions(spark, sf).where(F.col("rk") <= GENERATIONS).select("uid", "rk", "pid")
+    number = F.col("uid") * SAMPLES_PER_USER + F.floor((F.col("rk") - 1) / SAMPLE)
+    inter = interactions(spark, sf).select(number.alias("uid"), ((F.col("rk") - 1) % SAMPLE + 1).alias("rk"), "pid")
     guess = F.when(F.col("rk") % 3 == 1, F.col("pid")).otherwise(F.col("pid") + F.col("rk"))
     both = inter.select("uid", "rk", F.explode(F.array(
         F.struct(F.lit("t").alias("kind"), F.col("pid").alias("pid")),
@@ -142,14 +142,14 @@ def generations(spark: SparkSession, sf: str) -> DataFrame:
         )
 
     rows = read(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment").join(
-        hit, F.col("c_custkey") == F.col("uid"), "left")
+        hit, F.col("c_custkey") == F.floor(F.col("uid") / SAMPLES_PER_USER), "left")
     real = F.coalesce(F.col("c_acctbal") >= 0, F.lit(False)) & F.col("g").isNotNull()
     none = lambda t: F.array().cast(f"array<{t}>")
-    return rows.withColumn("uid", F.col("c_custkey")).select(
+    return rows.withColumn("uid", F.coalesce("uid", F.col("c_custkey") * SAMPLES_PER_USER)).select(
         F.lit("base").alias("model"), F.lit("video").alias("task"),
         F.lower("c_mktsegment").alias("split"),
-        F.col("c_custkey").cast("string").alias("sample_id"),
-        F.concat(F.lit("Watched by "), F.col("c_custkey").cast("string"), F.lit(": "),
+        F.col("uid").cast("string").alias("sample_id"),
+        F.concat(F.lit("Watched by "), F.col("uid").cast("string"), F.lit(": "),
                  F.repeat(F.lit("clip "), F.lit(45))).alias("prompt"),
         F.when(real, F.transform("g", spell)).otherwise(none("string")).alias("generations"),
         F.when(real, F.transform("g", lambda x: -((F.col("uid") * 7 + x["rk"] * 5) % 11).cast("double") / 4))
