@@ -49,7 +49,7 @@ def sequences_to_sids(rows: DataFrame, keys: list[str], slots: dict[str, tuple[C
     tagged = F.flatten(F.array(*[_tag(name, arr, domain) for name, (arr, domain) in slots.items()]))
     ids = rows.select(*keys, F.explode(tagged).alias("x")).select(*keys, "x.*").where("pid IS NOT NULL")
     mapping = sid_map.select("domain", "pid", sid_text(F.col("sid")).alias("sid_text"))
-    hits = lookup_join(ids, mapping, ["domain", "pid"], [*keys, "slot", "pos"])
+    hits = lookup_join(ids, mapping, ["domain", "pid"])
 
     def ordered(name: str) -> Column:
         return F.array_sort(F.collect_list(F.when(F.col("slot") == name, F.struct("pos", "sid_text"))))

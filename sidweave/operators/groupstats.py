@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import array_sum
-from .keyed import attach, with_group_stats, with_totals
-from .numbering import group_running_sums, row_numbers
+from .keyed import lookup_join, with_group_stats, with_totals
+from .numbering import group_row_numbers, group_running_sums, row_numbers
 
 EPS = 1e-6
 BOUND = 20.0
@@ -58,7 +58,7 @@ def whiten(rows: DataFrame, values: str, mask: str = "mask", out: str = "advanta
 
 def group_normalised(rows: DataFrame, by_std: bool = True, eps: float = EPS) -> DataFrame:
     """(score - mean) / (std + eps); a lone rollout keeps mean 0 and std 1."""
-    s = with_group_stats(outcome(rows), ["uid"], "row_id",
+    s = with_group_stats(outcome(rows), ["uid"],
                          [F.avg("score").alias("_mean"), F.stddev_samp("score").alias("_std")])
     alone = F.col("group_rows") == 1
     diff = F.col("score") - F.when(alone, 0.0).otherwise(F.col("_mean"))
@@ -77,7 +77,7 @@ def best_versus_second(rows: DataFrame, by_std: bool = True, eps: float = EPS) -
     lead = top.groupBy("uid").agg((F.max("score") - F.min("score")).alias("_lead"),
                                   F.min_by("row_id", "_r").alias("_best"))
     spread_ = scored.groupBy("uid").agg(F.stddev_samp("score").alias("_std"), F.count(F.lit(1)).alias("_members"))
-    s = attach(scored, lead.join(spread_, "uid"), ["uid"], ["row_id"], "_members")
+    s = lookup_join(scored, lead.join(spread_, "uid"), ["uid"], "left")
     value = F.col("_lead") / (F.col("_std") + eps) if by_std else F.col("_lead")
     lone = F.raise_error(F.lit("a group needs at least two rollouts")).cast("double")
     adv = F.when(F.col("_members") < 2, lone).when(F.col("row_id") == F.col("_best"), value).otherwise(0.0)
@@ -85,7 +85,7 @@ def best_versus_second(rows: DataFrame, by_std: bool = True, eps: float = EPS) -
 
 
 def _baseline(rows: DataFrame, agg: Column) -> DataFrame:
-    s = with_group_stats(rows, ["uid"], "row_id", [agg.alias("_base")])
+    s = with_group_stats(rows, ["uid"], [agg.alias("_base")])
     return s.withColumn("_base", F.when(F.col("group_rows") == 1, 0.0).otherwise(F.col("_base")))
 
 
@@ -193,7 +193,7 @@ def multi_source_leave_one_out(rows: DataFrame, acc: str, token_share: float, ac
     """Leave-one-out per reward source (token rewards, accuracy on the last token), summed, then suffix sums."""
     mask, r = F.col("mask"), F.col("token_rewards")
     s = rows.withColumn("_tok", array_sum(masked(r, mask)) / F.aggregate("mask", F.lit(0), lambda a, m: a + m))
-    s = with_group_stats(s, ["uid"], "row_id", [F.sum("_tok").alias("_st"), F.sum(acc).alias("_sa")])
+    s = with_group_stats(s, ["uid"], [F.sum("_tok").alias("_st"), F.sum(acc).alias("_sa")])
     n = F.col("group_rows")
     scale = n / (n - 1)
     token = F.transform(F.arrays_zip(r.alias("r"), mask.alias("m")), lambda x: F.when(
@@ -205,11 +205,12 @@ def multi_source_leave_one_out(rows: DataFrame, acc: str, token_share: float, ac
     return whiten(s, "returns", out="advantages").drop("_tok", "_st", "_sa", "_valid", "group_rows")
 
 
-def varied_groups(rows: DataFrame, max_groups: int) -> DataFrame:
-    """Groups whose score varies (or with one rollout), the first max_groups by uid."""
+def varied_groups(rows: DataFrame, prompts: int, per_prompt: int) -> DataFrame:
+    """Rollouts of groups whose score varies (or with one rollout), in arrival order (row_id), cut to
+    prompts * per_prompt trajectories."""
     stats = rows.groupBy("uid").agg(F.stddev_pop("score").alias("_sd"), F.count(F.lit(1)).alias("_n"))
-    kept = stats.where("_sd > 0 OR _n = 1").orderBy("uid").limit(max_groups)
-    return attach(rows, kept.select("uid", "_n"), ["uid"], ["row_id"], "_n", how="inner").drop("_n")
+    kept = lookup_join(rows, stats.where("_sd > 0 OR _n = 1").select("uid"), ["uid"])
+    return kept.orderBy("row_id").limit(prompts * per_prompt)
 
 
 # ---- divergence -------------------------------------------------------------------------
@@ -385,27 +386,30 @@ def token_differences(a: Column, b: Column, mask: Column) -> Column:
 def ranking_accuracy(rows: DataFrame, acc: str = "acc", score: str = "score") -> DataFrame:
     """Pairwise ranking accuracy per group, weighted by the label gap, without forming pairs.
 
-    |a - b| is the sum of the gaps between consecutive label levels of the group that lie between
-    a and b. At each level the label is binary, and the right pairs are counted by a running
-    sum of lower-labelled rows in (score, row) order; a tie is right when the lower label comes first.
-    Work is rows times label levels of the group.
+    In (score, row) order the right weight is the sum of acc_j - acc_i over i before j with acc_i below
+    acc_j. It is summed over the levels of a binary tree of places: at each level a row of a right half
+    needs the count and sum of the smaller labels in the left half, which are running sums in label
+    order. The total weight comes from each row's rank among the labels. Work is n log n per group.
     """
-    levels = rows.groupBy("uid", F.col(acc).alias("level")).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy("uid").orderBy("level")
-    gaps = levels.withColumn("gap", F.col("level") - F.lag("level").over(w)).where("gap IS NOT NULL")
-    sizes = rows.groupBy("uid").agg(F.count(F.lit(1)).alias("_members"))
-    cuts = gaps.select("uid", "level", "gap").join(sizes, "uid")
-    expanded = attach(rows.select("uid", "row_id", acc, score), cuts, ["uid"], ["row_id"], "_members", how="inner")
-    upper = (F.col(acc) >= F.col("level")).cast("bigint")
-    run = group_running_sums(expanded.withColumn("_up", upper), ["uid", "level"],
-                             [F.col(score), F.col("row_id")], "row_id", {"_below": 1 - F.col("_up")})
-    per_level = run.groupBy("uid", "level").agg(
-        F.max("gap").alias("gap"), F.sum(F.col("_up") * F.col("_below")).alias("_right"),
-        (F.sum("_up") * F.sum(1 - F.col("_up"))).alias("_pairs"))
-    per_group = per_level.groupBy("uid").agg(
-        (F.sum(F.col("gap") * F.col("_right")) / F.sum(F.col("gap") * F.col("_pairs"))).alias("_acc"))
-    return sizes.select("uid").join(per_group, "uid", "left").select(
-        "uid", F.coalesce("_acc", F.lit(0.5)).alias("accuracy"))
+    base = rows.select("uid", "row_id", F.col(acc).cast("double").alias("a"), F.col(score).alias("s"))
+    sizes = base.groupBy("uid").agg(F.count(F.lit(1)).alias("_members"))
+    placed = group_row_numbers(base, ["uid"], [F.col("s"), F.col("row_id")], "row_id", "at").withColumn("at", F.col("at") - 1)
+    deep = F.ceil(F.log2("_members")).cast("int")
+    levels = lookup_join(placed, sizes, ["uid"]).where("_members > 1").withColumn("level", F.explode(F.sequence(F.lit(0), deep - 1)))
+    tree = levels.select("uid", "row_id", "a", "level", F.expr("shiftright(at, level + 1)").alias("block"),
+                         F.expr("1 - (shiftright(at, level) & 1)").alias("left"))
+    run = group_running_sums(tree, ["uid", "level", "block"], [F.col("a"), F.col("left"), F.col("row_id")], "row_id",
+                             {"_n": F.col("left"), "_s": F.col("left") * F.col("a")})
+    right = run.where("left = 0").groupBy("uid").agg(F.sum(F.col("a") * F.col("_n") - F.col("_s")).alias("_right"))
+    ranked = lookup_join(group_row_numbers(base, ["uid"], [F.col("a"), F.col("row_id")], "row_id", "rank"), sizes, ["uid"])
+    total = ranked.groupBy("uid").agg(F.sum(F.col("a") * (2 * F.col("rank") - F.col("_members") - 1)).alias("_total"))
+    return total.join(right, "uid", "left").select(
+        "uid", F.when(F.col("_total") > 0, F.coalesce("_right", F.lit(0.0)) / F.col("_total")).otherwise(0.5).alias("accuracy"))
+
+
+def mean_ranking_accuracy(rows: DataFrame, acc: str = "acc", score: str = "score") -> DataFrame:
+    """Mean over the groups."""
+    return ranking_accuracy(rows, acc, score).agg(F.avg("accuracy").alias("accuracy"))
 
 
 def sign_accuracy(rows: DataFrame, acc: str = "acc", score: str = "score") -> DataFrame:
@@ -468,7 +472,7 @@ def group_index(rows: DataFrame, label: str) -> DataFrame:
         F.col("_all_whole"), F.round(F.col("_label").try_cast("double")).try_cast("bigint")).otherwise(
         F.col("_rn") - 1).alias("gidx"))
     keyed = rows.withColumn("_label", F.col(label).cast("string"))
-    return attach(keyed, indexed, ["_label"], ["row_id"], "_members").drop("_label", "_members")
+    return lookup_join(keyed, indexed, ["_label"], "left").drop("_label", "_members")
 
 
 def floored_group_stats(rows: DataFrame, group: str, score: str, eps: float = EPS) -> DataFrame:

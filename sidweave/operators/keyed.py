@@ -1,70 +1,30 @@
-"""Joins that hold when one key carries a third of all rows."""
+"""Joins that hold when one key carries a third of all rows.
+
+There is one path for all sizes and no copying of tables beforehand. Catalyst broadcasts a side only if
+its size, measured at run time, is under the session's threshold. Beyond it both sides shuffle on the key,
+and adaptive execution (spark.sql.adaptive.skewJoin) cuts the partition of each hot key, however many
+there are, into pieces that join the same entries of the other side in tasks of their own.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_limit, plan_bytes
-
-SALTS = 64
-SMALL_INPUT = 64 * 1024 * 1024
-
 
-def _salt_range(salts: int) -> Column:
-    return F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+def lookup_join(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join rows against a table with unique keys."""
+    return rows.join(table, keys, how)
 
 
-def lookup_join(rows: DataFrame, table: DataFrame, keys: list[str], salt_by: list[str],
-                how: str = "inner", salts: int = SALTS) -> DataFrame:
-    """Join rows against a lookup table with unique keys.
+def with_group_stats(rows: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
+    """rows + aggregates of their group + `group_rows`.
 
-    The table is broadcast only when its estimated size is under the session's broadcast
-    threshold. Beyond that both sides shuffle on (key, salt): rows of a hot key spread over
-    `salts` tasks while each table entry is repeated `salts` times.
+    A window over the key would put a hot group into one task; the statistics come from a partially
+    aggregated groupBy and are joined back.
     """
-    if plan_bytes(table) <= broadcast_limit(rows.sparkSession):
-        return rows.join(F.broadcast(table), keys, how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)))
-    spread = table.withColumn("_salt", F.explode(_salt_range(salts)))
-    return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
-
-
-def attach(rows: DataFrame, stats: DataFrame, keys: list[str], salt_by: list[str], size_col: str,
-           hot_rows: int = 1_000_000, max_hot: int = 1000, salts: int = SALTS,
-           how: str = "left") -> DataFrame:
-    """Add per-group rows (`size_col` = group size) to every row of the group.
-
-    A window over the key would put a hot group into one task. Here the statistics come from
-    a partially aggregated groupBy and are joined back. The at most `max_hot` largest groups
-    of `hot_rows` rows or more are salted, so their rows spread over `salts` tasks; every
-    other group takes part unsalted. The broadcast hot list is bounded by `max_hot`.
-    """
-    if plan_bytes(rows) < min(SMALL_INPUT, 64 * broadcast_limit(rows.sparkSession)):
-        return rows.join(stats, keys, how)  # all rows together are smaller than one hot group
-    hot = F.broadcast(
-        stats.where(F.col(size_col) >= hot_rows).groupBy(*keys).agg(F.max(size_col).alias(size_col))
-        .orderBy(F.desc(size_col)).limit(max_hot)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
-    left = rows.join(hot, keys, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*salt_by), F.lit(salts))).otherwise(F.lit(0).cast("bigint")),
-    ).drop("_hot")
-    right = stats.join(hot, keys, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), _salt_range(salts)).otherwise(F.array(F.lit(0).cast("bigint")))
-        ),
-    ).drop("_hot")
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
-
-
-def with_group_stats(rows: DataFrame, keys: list[str], row_id: str, aggs: list[Column],
-                     **kw) -> DataFrame:
-    """rows + aggregates of their group + `group_rows`, without a window over the group."""
     stats = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"), *aggs)
-    return attach(rows, stats, keys, [row_id], "group_rows", **kw)
+    return lookup_join(rows, stats, keys, "left")
 
 
 def with_totals(rows: DataFrame, aggs: list[Column], source: DataFrame | None = None) -> DataFrame:

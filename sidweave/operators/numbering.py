@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import key_text
 from ..session import cut
-from .keyed import attach, lookup_join
+from .keyed import lookup_join
 
 BUCKET_DIGITS = 4
 
@@ -61,7 +61,7 @@ def group_row_numbers(df: DataFrame, keys: list[str], order: list[Column], row_i
     starts = numbered.groupBy(*keys).agg(
         F.min("_global").alias("_start"), F.count(F.lit(1)).alias("_members")
     )
-    out = attach(numbered, starts, keys, [row_id], "_members")
+    out = lookup_join(numbered, starts, keys, "left")
     return out.withColumn(name, F.col("_global") - F.col("_start") + 1).drop(
         "_global", "_start", "_members"
     )
@@ -95,7 +95,7 @@ def hash_rank(df: DataFrame, seed, id_cols: list[str], name: str = "rn",
     ranked = keyed.withColumn("_in", F.row_number().over(w))
     offsets = _bucket_offsets(keyed, within)
     if within:
-        out = lookup_join(ranked, offsets, keys, ["_in"])
+        out = lookup_join(ranked, offsets, keys)
     else:
         out = ranked.join(F.broadcast(offsets), keys)
     return out.withColumn(name, F.col("_before") + F.col("_in")).drop("_h", "_bucket", "_in", "_n", "_before")
@@ -127,7 +127,7 @@ def group_running_sums(df: DataFrame, keys: list[str], order: list[Column], row_
     first = F.struct(*order)
     starts = run.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_members"), *[F.min_by(k, first).alias(f"_start_{k}") for k in sums])
-    out = attach(run, starts, keys, [row_id], "_members")
+    out = lookup_join(run, starts, keys, "left")
     for k in sums:
         out = out.withColumn(k, F.col(k) - F.col(f"_start_{k}")).drop(f"_start_{k}")
     return out.drop("_members")

@@ -81,7 +81,7 @@ def generations_to_items(samples: DataFrame, keys: list[str], candidates: Column
     """keys + `items`: one item id per candidate, 0 where no code or no item is known."""
     text = samples.select(*keys, F.posexplode(candidates).alias("at", "text"))
     coded = text.select(*keys, "at", packed_from_text(after_last_think(F.col("text"))).alias("code"))
-    found = lookup_join(coded, items.select("code", "pid"), ["code"], [*keys, "at"], "left")
+    found = lookup_join(coded, items.select("code", "pid"), ["code"], "left")
     entry = F.struct("at", F.coalesce("pid", F.lit(0).cast("bigint")).alias("pid"))
     return found.groupBy(*keys).agg(
         F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["pid"]).alias("items"))

@@ -90,13 +90,13 @@ def term_weights(queries: DataFrame, corpus: DataFrame) -> DataFrame:
     sized = counted.select("doc_id", F.size("t").alias("len"), F.explode("t").alias("term"))
     wanted = queries.select(F.explode(terms(F.col("text"))).alias("term")).distinct()
     # Stored once: term and document frequencies both read the postings.
-    tf = cut(lookup_join(sized, wanted, ["term"], ["doc_id"]).groupBy("doc_id", "len", "term").agg(
+    tf = cut(lookup_join(sized, wanted, ["term"]).groupBy("doc_id", "len", "term").agg(
         F.count(F.lit(1)).alias("tf")))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     total = counted.agg(F.count(F.lit(1)).alias("_docs"), F.avg(F.size("t")).alias("_avg"))
     idf = df.crossJoin(F.broadcast(total)).select(  # one row
         "term", "_avg", F.log(1 + (F.col("_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    scored = lookup_join(tf, idf, ["term"], ["doc_id"])
+    scored = lookup_join(tf, idf, ["term"])
     norm = K1 * (1 - B + B * F.col("len") / F.col("_avg"))
     weight = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)
     return scored.groupBy("doc_id").agg(

@@ -175,7 +175,7 @@ def conversation_reward(metrics: DataFrame, weights: DataFrame, row: str = "row_
     `metrics`: row, metric, value (NULL = failed, counts 0); `weights`: metric, weight (one row per metric name).
     """
     mean = metrics.groupBy(row, "metric").agg(F.avg(F.coalesce("value", F.lit(0.0))).alias("_m"))
-    weighted = lookup_join(mean, weights, ["metric"], [row]).withColumn(
+    weighted = lookup_join(mean, weights, ["metric"]).withColumn(
         "_w", F.greatest(F.least(F.col("_m") * F.col("weight"), F.lit(1.0)), F.lit(-1.0)))
     return weighted.groupBy(row).agg(F.sum("_w").alias("reward"))
 

@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import hash_int
-from .keyed import attach
+from .keyed import lookup_join
 from .numbering import group_row_numbers, group_running_sums
 
 
+PRIME = 2_147_483_647
+
+
 def long_form(rows: DataFrame, keys: list[str], variables: list[str]) -> DataFrame:
     """keys, variable, value; text columns are not variables."""
     types = dict(rows.dtypes)
@@ -41,7 +44,7 @@ def best_worst(values: DataFrame, keys: list[str], value: str) -> DataFrame:
     counts = values.groupBy(*keys, F.col(value).alias("x")).agg(F.count(F.lit(1)).alias("c"))
     sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     run = group_running_sums(counts, keys, [F.col("x")], "x", {"below": F.col("c")})
-    both = attach(run, sizes, keys, ["x"], "n").withColumn("k", F.explode(_draw_sizes(F.col("n"))))
+    both = lookup_join(run, sizes, keys, "left").withColumn("k", F.explode(_draw_sizes(F.col("n"))))
     lo, hi, k = F.col("below") / F.col("n"), (F.col("below") + F.col("c")) / F.col("n"), F.col("k")
     top = F.pow(hi, k) - F.pow(lo, k)
     low = F.pow(1 - lo, k) - F.pow(1 - hi, k)
@@ -69,16 +72,17 @@ def majority_bootstrap(votes: DataFrame, keys: list[str], pred: str, value: str,
                        trials: int = 1000) -> DataFrame:
     """Mean and std of the majority value over resamples of k votes, k = 2, 4, ..., n.
 
-    Each draw is a hashed index into the numbered votes of its group, so draws are rows of a
-    join and a hot group is resampled by many tasks.
+    Each trial has a hash, and its draws are multiples of it modulo a prime: indexes into the numbered
+    votes of the group. Draws are rows of a join, so a hot group is resampled by many tasks.
     """
     numbered = group_row_numbers(votes.select(*keys, row_id, pred, value), keys, [F.col(row_id)], row_id, "at")
     sizes = votes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    names = [F.col(x) for x in keys]
     draws = sizes.select(*keys, "n", F.explode(_draw_sizes(F.col("n"))).alias("k")).withColumn(
-        "trial", F.explode(F.sequence(F.lit(0), F.lit(trials - 1)))).repartition(*keys, "k", "trial").withColumn(
+        "trial", F.explode(F.sequence(F.lit(0), F.lit(trials - 1)))).withColumn(
+        "h", hash_int(seed, *names, F.col("k"), F.col("trial"))).repartition(*keys, "k", "trial").withColumn(
         "j", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("k"))))
-    names = [F.col(x) for x in keys]
-    picked = draws.withColumn("at", F.pmod(hash_int(seed, *names, F.col("k"), F.col("trial"), F.col("j")), F.col("n")) + 1)
+    picked = draws.withColumn("at", (F.col("h") * (2 * F.col("j") + 1) + F.col("j") * F.col("j") * 40503) % PRIME % F.col("n") + 1).drop("h")
     voted = picked.join(numbered, [*keys, "at"])
     per_trial = majority_value(voted, [*keys, "k", "trial"], pred, value, "j")
     return per_trial.groupBy(*keys, "k").agg(F.avg("majority").alias("maj_mean"), F.stddev_pop("majority").alias("maj_std"))

@@ -47,7 +47,7 @@ def c2(spark, sf):
     m = TB.pid2sid(spark, sf).where("domain='video'").select("pid", S.sid_text(F.col("sid")).alias("sid"))
     items = TB.read(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("pid")).agg(
         F.count(F.lit(1)).alias("n"))
-    return lookup_join(items, m, ["pid"], ["pid"], "left").select(
+    return lookup_join(items, m, ["pid"], "left").select(
         "pid", "n", F.coalesce("sid", F.lit("")).alias("sid"))
 
 

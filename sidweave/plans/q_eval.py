@@ -483,6 +483,14 @@ def i16(spark, sf):
     return J.evaluate_reasoning(model, truth, stubs.verdict, cached)
 
 
+@query("I16_reasoning_summary", O.sql(
+    "SELECT " + O.r6("avg(s)") + " AS llm_score, count(*) AS llm_eval_num_samples FROM (SELECT CASE WHEN quality=0 THEN 2.0::DOUBLE "
+    "WHEN length(refined)%7 BETWEEN 1 AND 5 THEN (length(refined)%7)::DOUBLE ELSE 3.0::DOUBLE END AS s "
+    "FROM documents d JOIN fin USING (doc_id) LEFT JOIN labels USING (doc_id))", **_REFINED))
+def i16b(spark, sf):
+    return J.judge_summary(i16(spark, sf)).withColumn("llm_score", r6(F.col("llm_score")))
+
+
 @query("I17_batch_call", "SELECT conv_id*100+turn AS idx, CASE WHEN length(text)>=40 THEN length(text)::VARCHAR END AS result, "
        "CASE WHEN length(text)<40 THEN 'prompt too short' END AS error, length(text)>=40 AS success FROM conversations")
 def i17(spark, sf):

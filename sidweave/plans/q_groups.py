@@ -104,10 +104,10 @@ def k9(spark, sf):
 
 @query("K10_varied_groups", O.sql(
     "SELECT row_id, uid, f AS score FROM (SELECT *, least(score,20) f FROM rollouts) JOIN (SELECT uid FROM (SELECT uid, least(score,20) f FROM rollouts) "
-    "GROUP BY uid HAVING stddev_pop(f)>0 OR count(*)=1 ORDER BY uid LIMIT 100) USING (uid)"))
+    "GROUP BY uid HAVING stddev_pop(f)>0 OR count(*)=1) USING (uid) ORDER BY row_id LIMIT 800"))
 def k10(spark, sf):
     r = TB.rollouts(spark, sf).select("row_id", "uid", F.least("score", F.lit(20.0)).alias("score"))
-    return G.varied_groups(r, 100)
+    return G.varied_groups(r, 100, 8)
 
 
 _KL = {"k1": "o-f", "abs": "abs(o-f)", "k2": "0.5::DOUBLE*(o-f)*(o-f)",
@@ -244,6 +244,14 @@ def k19(spark, sf):
     return G.ranking_accuracy(_judged(spark, sf)).withColumn("accuracy", r6(F.col("accuracy")))
 
 
+@query("K19_mean_ranking_accuracy", O.sql(
+    "SELECT " + O.r6("avg(accuracy)") + " AS accuracy FROM (SELECT uid, CASE WHEN sum(abs(a.acc-b.acc))=0 THEN 0.5::DOUBLE ELSE "
+    "sum(CASE WHEN (a.score>b.score)=(a.acc>b.acc) THEN abs(a.acc-b.acc) ELSE 0 END)/sum(abs(a.acc-b.acc)) END AS accuracy "
+    "FROM jd a JOIN jd b USING (uid) WHERE a.row_id<b.row_id GROUP BY uid)", **_JD))
+def k19b(spark, sf):
+    return G.mean_ranking_accuracy(_judged(spark, sf)).withColumn("accuracy", r6(F.col("accuracy")))
+
+
 @query("K20_sign_accuracy", O.sql("SELECT " + O.r6("avg((sign(score-20)=sign(acc*2-1))::INT)") + " AS accuracy FROM jd", **_JD))
 def k20(spark, sf):
     s = G.sign_accuracy(_judged(spark, sf).withColumn("score", F.col("score") - 20))
@@ -381,7 +389,7 @@ def l3(spark, sf):
     return L.majority_value(TB.rollouts(spark, sf), ["data_source", "uid"], "pred", "score", "row_id")
 
 
-_H = O.h("17", "data_source", "uid", "k", "trial", "j")
+_H = O.h("17", "data_source", "uid", "k", "trial")
 
 
 @query("L4_majority_bootstrap", O.sql(
@@ -389,10 +397,10 @@ _H = O.h("17", "data_source", "uid", "k", "trial", "j")
     "arg_max(v, (c,-f)) v FROM (SELECT d.data_source, d.uid, k, trial, pred, count(*) c, min(j) f, arg_min(score, j) v FROM dr d JOIN nu n ON "
     "n.data_source=d.data_source AND n.uid=d.uid AND n.place=d.pick GROUP BY ALL) GROUP BY 1,2,3,4) GROUP BY 1,2,3",
     ks=_KSZ, nu="SELECT data_source, uid, pred, score, row_number() OVER (PARTITION BY data_source, uid ORDER BY row_id) place FROM rollouts",
-    tr="SELECT data_source, uid, n, k, unnest(range(20)) trial FROM ks",
-    dr=f"SELECT *, {_H}%n+1 pick FROM (SELECT *, unnest(range(1,k+1)) j FROM tr)"))
+    tr=f"SELECT *, {_H} h FROM (SELECT data_source, uid, n, k, unnest(range(1000)) trial FROM ks)",
+    dr="SELECT *, (h*(2*j+1)+j*j*40503)%2147483647%n+1 pick FROM (SELECT *, unnest(range(1,k+1)) j FROM tr)"))
 def l4(spark, sf):
-    b = L.majority_bootstrap(TB.rollouts(spark, sf), ["data_source", "uid"], "pred", "score", "row_id", 17, trials=20)
+    b = L.majority_bootstrap(TB.rollouts(spark, sf), ["data_source", "uid"], "pred", "score", "row_id", 17)
     return b.select("data_source", "uid", "k", r6(F.col("maj_mean")).alias("maj_mean"), r6(F.col("maj_std")).alias("maj_std"))
 
 

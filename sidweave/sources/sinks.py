@@ -92,7 +92,7 @@ def write_generations(samples: DataFrame, out: str, chunk: int = 200) -> None:
     """
     keys = ["model", "task", "split"]
     sizes = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    spread = lookup_join(samples, sizes, keys, ["sample_id"]).withColumn(
+    spread = lookup_join(samples, sizes, keys).withColumn(
         "_chunk", F.pmod(F.xxhash64("sample_id"), F.ceil(F.col("_n") / chunk).cast("bigint")))
     docs = spread.groupBy(*keys, "_chunk").agg(
         F.map_from_entries(F.collect_list(F.struct("sample_id", "payload"))).alias("samples"))

@@ -51,14 +51,33 @@ def test_running_sums(skewed):
         total += r[2]
 
 
-def test_hot_groups_are_salted(skewed, shuffled_joins):
+def test_group_statistics(skewed, shuffled_joins):
     rows, df = skewed
-    got = keyed.with_group_stats(df, ["uid"], "row_id", [F.sum("score").alias("s")], hot_rows=100, salts=8).collect()
+    got = keyed.with_group_stats(df, ["uid"], [F.sum("score").alias("s")]).collect()
     want = pd.DataFrame(rows, columns=["row_id", "uid", "score", "pred"]).groupby("uid")["score"].agg(["sum", "size"])
     assert len(got) == 900
     assert all(r.s == want.loc[r.uid, "sum"] and r.group_rows == want.loc[r.uid, "size"] for r in got)
 
 
+def test_hot_keys_are_split(spark, shuffled_joins):
+    """1500 keys of many rows each and a hotter one: its partition is read by several tasks."""
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 1500)
+        rows = spark.range(200_000).repartition(16).select(key.alias("k"), "id")
+        joined = keyed.lookup_join(rows, spark.range(-1, 1500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")), ["k"])
+        assert joined.where("v = 2 * k").count() == 200_000
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("n", [1, 450, 899, 900, 5000])
 def test_exact_sample(skewed, n):
     _, df = skewed
@@ -142,7 +161,8 @@ def test_single_member_groups(spark):
     with pytest.raises(Exception, match="two rollouts"):
         G.best_versus_second(lone).collect()
     varied = spark.createDataFrame([(1, "a", 1.0), (2, "b", 1.0), (3, "b", 1.0), (4, "c", 1.0), (5, "c", 2.0)], "row_id bigint, uid string, score double")
-    assert sorted(r.row_id for r in G.varied_groups(varied, 10).collect()) == [1, 4, 5]
+    assert sorted(r.row_id for r in G.varied_groups(varied, 10, 2).collect()) == [1, 4, 5]
+    assert sorted(r.row_id for r in G.varied_groups(varied, 1, 2).collect()) == [1, 4]  # in arrival order
 
 
 def test_majority_and_ties(spark):
