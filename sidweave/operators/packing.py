@@ -1,8 +1,8 @@
 """Sequence packing.
 
-Rows are numbered globally and cut into shards of a fixed number of rows; the greedy fold over
-lengths runs per shard (so its input is bounded by `shard_rows`), and packs are then put
-together by key, each bounded by `max_length` tokens.
+Keys and lengths are numbered globally and cut into shards of a fixed number of rows; the greedy fold
+runs per shard (so its input is bounded by `shard_rows`). Token arrays then meet their plan once and are
+put together by pack, each bounded by `max_length` tokens or one longer row.
 """
 
 from __future__ import annotations
@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from .numbering import row_numbers
+from .tokens import itemic_mask
 
-PLAN = "shard bigint, rn bigint, pack int, take int, at int"
+PLAN = "shard bigint, rn bigint, pack int, take int, at int, upto int"
 
 
 def plan_packs(lengths: DataFrame, max_length: int, cut_to_pad: bool) -> DataFrame:
-    """(shard, rn, length) -> pack number inside the shard, tokens taken, place in the pack.
+    """(shard, rn, length) -> pack number inside the shard, tokens taken, place in the pack, tokens up to its end.
 
     A row that would reach max_length closes the pack: with cut_to_pad it is shortened to fit and goes
     in, otherwise it opens the next pack. The last pack of a shard is kept.
@@ -30,14 +31,14 @@ def plan_packs(lengths: DataFrame, max_length: int, cut_to_pad: bool) -> DataFra
         for rn, n in zip(pdf["rn"], pdf["length"]):
             if used + n >= max_length:
                 if cut_to_pad:
-                    out.append((rn, pack, min(n, max_length - used), at))
+                    out.append((rn, pack, min(n, max_length - used), at, min(used + n, max_length)))
                     pack, used, at = pack + 1, 0, 0
                     continue
                 if at:
                     pack, used, at = pack + 1, 0, 0
-            out.append((rn, pack, n, at))
+            out.append((rn, pack, n, at, used + n))
             used, at = used + n, at + 1
-        res = pd.DataFrame(out, columns=["rn", "pack", "take", "at"])
+        res = pd.DataFrame(out, columns=["rn", "pack", "take", "at", "upto"])
         res.insert(0, "shard", pdf["shard"].iloc[0])
         return res
 
@@ -51,30 +52,32 @@ def padded_length(tokens: Column, max_length: int) -> Column:
 
 def pack_rows(rows: DataFrame, order: list[str], max_length: int, cut_to_pad: bool = True,
               shard_rows: int = 10_000, pad_id: int = 0) -> DataFrame:
-    """Packs of (input_ids, loss_mask, source, epoch) rows: padded ids and masks, sample index per token,
-    cumulative lengths, sources and mean epoch. Packs without a loss token are dropped."""
-    # Tokens are stored once; numbering samples its input for range bounds before it shuffles.
-    tokens = cut(rows.select("input_ids", "loss_mask", "source", "epoch", *order))
-    numbered = row_numbers(tokens, [F.col(c) for c in order])
+    """Packs of (input_ids, loss_mask, source, epoch) rows: padded ids, positions inside each sample, loss
+    and item masks, sample index per token, cumulative lengths (of the samples, and of the pack for full
+    attention), sources and mean epoch. `order` is a unique key. Packs without a loss token are dropped."""
+    tokens = cut(rows.select("input_ids", "loss_mask", "source", "epoch", *order))  # tokenised once
+    numbered = row_numbers(tokens.select(*order, F.size("input_ids").alias("length")), [F.col(c) for c in order])
     sharded = numbered.withColumn("shard", F.floor((F.col("rn") - 1) / shard_rows))
-    plan = plan_packs(sharded.select("shard", "rn", F.size("input_ids").alias("length")), max_length, cut_to_pad)
-    taken = sharded.join(plan, ["shard", "rn"])
+    plan = plan_packs(sharded.select("shard", "rn", "length"), max_length, cut_to_pad)
+    taken = tokens.join(sharded.drop("length").join(plan, ["shard", "rn"]), order)
     entry = F.struct("at", F.slice("input_ids", F.lit(1), F.col("take")).alias("ids"),
-                     F.slice("loss_mask", F.lit(1), F.col("take")).alias("mask"), "take", "source")
+                     F.slice("loss_mask", F.lit(1), F.col("take")).alias("mask"), "take", "upto", "source")
     packs = taken.groupBy("shard", "pack").agg(F.array_sort(F.collect_list(entry)).alias("s"), F.avg("epoch").alias("epoch"))
     joined = packs.select(
         "shard", "pack", "epoch",
         F.flatten(F.col("s.ids")).alias("ids"), F.flatten(F.col("s.mask")).alias("mask"),
         F.flatten(F.transform("s", lambda x: F.array_repeat(x["at"], x["take"]))).alias("sample_idx"),
-        F.col("s.take").alias("takes"), F.col("s.source").alias("sources"))
+        F.flatten(F.transform("s", lambda x: F.sequence(F.lit(0), x["take"] - 1))).alias("position_ids"),
+        F.col("s.upto").alias("ends"), F.col("s.source").alias("sources"))
     joined = joined.where(F.exists("mask", lambda m: m != 0)).withColumn("tokens", F.size("ids"))
     pad = padded_length(F.col("tokens"), max_length) - F.col("tokens")
-    starts = F.transform(F.sequence(F.lit(1), F.size("takes")), lambda i: F.aggregate(
-        F.slice("takes", F.lit(1), i), F.lit(0), lambda s, x: s + x))
+    whole = padded_length(F.col("tokens"), max_length)
     return joined.select(
         "shard", "pack", "tokens", "epoch", "sources",
         F.concat("ids", F.array_repeat(F.lit(pad_id), pad)).alias("input_ids"),
         F.concat("mask", F.array_repeat(F.lit(0), pad)).alias("loss_mask"),
+        F.concat("position_ids", F.array_repeat(F.lit(0), pad)).alias("position_ids"),
+        F.concat(itemic_mask(F.col("ids")), F.array_repeat(F.lit(0), pad)).alias("item_mask"),
         F.concat("sample_idx", F.array_repeat(F.lit(-1), pad)).alias("sample_idx"),
-        F.concat(F.array(F.lit(0)), starts, F.array(padded_length(F.col("tokens"), max_length))).alias("cu_seqlens"))
+        F.concat(F.array(F.lit(0)), "ends", F.array(whole)).alias("cu_seqlens"), F.array(F.lit(0), whole).alias("full_seqlens"))
 

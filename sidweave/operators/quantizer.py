@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,31 +64,48 @@ def decode(df: DataFrame, codes: str, codebook: list[np.ndarray]) -> DataFrame:
     return df.withColumn("decoded", run(F.col(codes)))
 
 
-def train(df: DataFrame, column: str, n_layers: int = 3, k: int = 8192, seed: int = 42,
-          max_iter: int = 20) -> list[np.ndarray]:
-    """One k-means per layer on what the layers before left over. Returns the codebook."""
-    rest = cut(df.select(F.col(column).cast("array<double>").alias("x")))
-    codebook = []
-    for _ in range(n_layers):
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, distanceMeasure="euclidean", featuresCol="v").fit(
-            rest.select(array_to_vector("x").alias("v")))
-        centres = np.stack(model.clusterCenters())
-        codebook.append(centres)
-        rest = cut(rest.select(_residual(df, centres)(F.col("x")).alias("x")))
-    return codebook
+def _assign(df: DataFrame, centres: np.ndarray, to: str) -> DataFrame:
+    """key, x -> code (to="code"), or x minus its centre (to="rest")."""
+    shared = df.sparkSession.sparkContext.broadcast(centres.astype(np.float32))  # one layer at a time
 
-
-def _residual(df: DataFrame, centres: np.ndarray):
-    shared = df.sparkSession.sparkContext.broadcast(centres)
-
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf("int" if to == "code" else "array<double>")
     def run(vectors: pd.Series) -> pd.Series:
         if not len(vectors):
             return pd.Series([], dtype=object)
-        x = np.stack(vectors.to_numpy())
-        return pd.Series((x - shared.value[_nearest(x, shared.value)]).tolist())
+        x, layer = np.stack(vectors.to_numpy()), shared.value.astype(np.float64)
+        code = _nearest(x, layer)
+        return pd.Series(code.astype(np.int32) if to == "code" else (x - layer[code]).tolist())
+
+    return df.withColumn(to, run("x"))
 
-    return run
+
+def _means(coded: DataFrame, old: np.ndarray) -> np.ndarray:
+    """New centres from sums per (code, place), partially aggregated; a centre without rows stays."""
+    sums = coded.select("code", F.posexplode("x").alias("at", "v")).groupBy("code", "at").agg(
+        F.sum(F.round("v", 9).cast("decimal(28,9)")).alias("s"), F.count(F.lit(1)).alias("n"))
+    new = old.copy()
+    for r in sums.collect():  # codes x dim numbers: the model's own size
+        new[r.code, r.at] = round(float(r.s) / r.n, 6)
+    return new
+
+
+def train(df: DataFrame, key: str, column: str, n_layers: int = 3, k: int = 8192, seed: int = 42,
+          max_iter: int = 20) -> list[np.ndarray]:
+    """One k-means per layer on what the layers before left over. Returns the codebook.
+
+    A layer starts from the k rows with the smallest hash of their key and takes `max_iter` Lloyd steps. Sums
+    are exact decimals, so the codebook does not depend on the partitioning.
+    """
+    rest = cut(df.select(F.col(key).alias("key"), F.col(column).cast("array<double>").alias("x")))
+    codebook = []
+    for layer in range(n_layers):
+        first = rest.orderBy(F.md5(F.concat_ws("|", F.lit(seed), F.lit(layer), F.col("key").cast("string")))).limit(k).select("x").collect()
+        centres = np.round(np.array([r.x for r in first], np.float64), 6)
+        for _ in range(max_iter):
+            centres = _means(_assign(rest, centres, "code"), centres)
+        codebook.append(centres)
+        rest = cut(_assign(rest, centres, "rest").select("key", F.col("rest").alias("x")))
+    return codebook
 
 
 def codebook_from_rows(rows: DataFrame, n_layers: int) -> list[np.ndarray]:

@@ -125,10 +125,10 @@ _SHARDS = ("SELECT shard, any_value(shards) AS shards, count(*) AS n, min({k}) A
 def b1(spark, sf):
     """Shards written as files and read back: number, size and key range of each."""
     out = scratch(spark, "shards")
-    sinks.write_shards(read(spark, sf, "events"), out, 700, [F.col("event_id")])
+    names = sinks.write_shards(read(spark, sf, "events"), out, 700, [F.col("event_id")])
     name = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)-of-(\d+)\.parquet", 1).cast("int")
     total = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)-of-(\d+)\.parquet", 2).cast("int")
-    back = spark.read.parquet(out).select("event_id", name.alias("shard"), total.alias("shards"))
+    back = spark.read.parquet(*names).select("event_id", name.alias("shard"), total.alias("shards"))
     return back.groupBy("shard").agg(F.max("shards").alias("shards"), F.count(F.lit(1)).alias("n"),
                                      F.min("event_id").alias("lo"), F.max("event_id").alias("hi"))
 
@@ -138,8 +138,8 @@ def b1(spark, sf):
        "ceil(count(*) OVER ()/4000.0)::BIGINT t FROM orders) GROUP BY ALL")
 def b2(spark, sf):
     out = scratch(spark, "listed")
-    sinks.write_shards(read(spark, sf, "orders"), out, 4000, [F.col("o_orderkey")])
-    rows = files.load_manifest(spark, sinks.write_manifest(spark, out))
+    names = sinks.write_shards(read(spark, sf, "orders"), out, 4000, [F.col("o_orderkey")])
+    rows = files.load_manifest(spark, sinks.write_manifest(spark, out, names))
     return rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("n"))
 
 

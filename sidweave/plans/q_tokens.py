@@ -161,12 +161,12 @@ def f8(spark, sf):
     return d.select("doc_id", F.size("pos").alias("n"), F.aggregate("pos", F.lit(0).cast("bigint"), lambda s, x: s + x).alias("total"))
 
 
-_SHARD, _MAX = 400, 512
+_SHARD, _MAX, _LONGEST = 400, 512, 1 << 30  # no text is too long to be packed
 
 
 def packs_of(spark, sf, cut_to_pad):
     rows = K.parse_payload(raw_rows(spark, sf)).where("raw_segments IS NOT NULL")
-    t = K.completion_tokens(rows, 1500 if cut_to_pad else _MAX).withColumn("epoch", F.lit(0.0))
+    t = K.completion_tokens(rows, _LONGEST).withColumn("epoch", F.lit(0.0))
     return P.pack_rows(t, ["id"], _MAX, cut_to_pad, _SHARD)
 
 
@@ -174,12 +174,13 @@ def _packed(spark, sf, cut_to_pad):
     return packs_of(spark, sf, cut_to_pad).select(
         "shard", "pack", "tokens", F.size("input_ids").alias("padded"),
         F.aggregate("loss_mask", F.lit(0), lambda s, x: s + x).alias("loss"), F.array_join("cu_seqlens", ",").alias("cu_seqlens"),
-        F.md5(F.array_join(F.slice("input_ids", F.lit(1), F.col("tokens")), ",")).alias("ids_md5"))
+        F.md5(F.array_join(F.slice("input_ids", F.lit(1), F.col("tokens")), ",")).alias("ids_md5"),
+        F.md5(F.array_join(F.slice("position_ids", F.lit(1), F.col("tokens")), ",")).alias("positions_md5"),
+        F.aggregate("item_mask", F.lit(0), lambda s, x: s + x).alias("item_tokens"), F.array_join("full_seqlens", ",").alias("full_seqlens"))
 
 
 def pack_ctes(cut_to_pad):
     """tk: numbered token rows per shard; fold: pack, place and taken tokens of every row."""
-    limit = 1500 if cut_to_pad else _MAX
     over = f"(p.used+t.n>={_MAX})"
     if cut_to_pad:
         step = (f"CASE WHEN {over} THEN least(t.n,{_MAX}-p.used) ELSE t.n END, p.nxt, p.nat, "
@@ -193,7 +194,7 @@ def pack_ctes(cut_to_pad):
         first = "n, 0::BIGINT, 0::BIGINT, 0::BIGINT, 1::BIGINT, n"
     return {
         "tk": "SELECT source, (row_number() OVER (ORDER BY id)-1)//" + str(_SHARD) + " shard, (row_number() OVER (ORDER BY id)-1)%" + str(_SHARD)
-              + " r, i, len(i)::BIGINT n FROM (SELECT source, -doc_id-1 id, " + ids("text||' <|endoftext|>'") + f" i FROM documents WHERE n_chars>=300) WHERE len(i)<={limit}",
+              + " r, i, len(i)::BIGINT n FROM (SELECT source, -doc_id-1 id, " + ids("text||' <|endoftext|>'") + " i FROM documents WHERE n_chars>=300)",
         "tn": "SELECT shard, r, n FROM tk",
         "fold": f"SELECT shard, r, {first} FROM tn WHERE r=0 UNION ALL SELECT t.shard, t.r, {step} FROM fold p JOIN tn t ON t.shard=p.shard AND t.r=p.r+1",
     }
@@ -207,7 +208,8 @@ def _pack_sql(cut_to_pad):
     return named_fold(O.sql(
         "SELECT shard, pack::INT AS pack, sum(take)::INT AS tokens, ((greatest(sum(take),512)+7)//8*8+64)::INT AS padded, "
         "sum(take-(take=n)::INT)::INT AS loss, '0,'||string_agg(cum,',' ORDER BY place)||','||((greatest(sum(take),512)+7)//8*8+64) AS cu_seqlens, "
-        "md5(string_agg(array_to_string(i[1:take],','),',' ORDER BY place)) AS ids_md5 FROM (SELECT *, (sum(take) OVER (PARTITION BY shard, pack ORDER BY place))::BIGINT::VARCHAR cum "
+        "md5(string_agg(array_to_string(i[1:take],','),',' ORDER BY place)) AS ids_md5, md5(string_agg(array_to_string(range(take),','),',' ORDER BY place)) AS positions_md5, "
+        "sum(len([x FOR x IN i[1:take] IF x BETWEEN 151669 AND 151669+24575]))::INT AS item_tokens, '0,'||((greatest(sum(take),512)+7)//8*8+64) AS full_seqlens FROM (SELECT *, (sum(take) OVER (PARTITION BY shard, pack ORDER BY place))::BIGINT::VARCHAR cum "
         "FROM fold JOIN tk USING (shard, r)) GROUP BY 1,2 HAVING sum(take-(take=n)::INT)>0", **pack_ctes(cut_to_pad)))
 
 
@@ -314,16 +316,16 @@ def f17(spark, sf):
 
 # ---- vectors ----------------------------------------------------------------------------
 
-_DIM = 32
+_DIM = 64
 
 
-def _vectors(spark, sf):
-    return Q.load_embeddings(read(spark, sf, "embeddings"), "vec_id", "embedding", _DIM)
+def _vectors(spark, sf, dim=_DIM):
+    return Q.load_embeddings(read(spark, sf, "embeddings"), "vec_id", "embedding", dim)
 
 
 @query("G1_embedding_load", "SELECT vec_id, len(e)::INT AS dim, " + O.r6("list_sum([x::DOUBLE FOR x IN e])") + " AS total FROM (SELECT vec_id, embedding[1:32] e FROM embeddings)")
 def g1(spark, sf):
-    return _vectors(spark, sf).select("vec_id", F.size("embedding").alias("dim"), r6(F.aggregate(
+    return _vectors(spark, sf, 32).select("vec_id", F.size("embedding").alias("dim"), r6(F.aggregate(
         "embedding", F.lit(0.0), lambda s, x: s + x.cast("double"))).alias("total"))
 
 
@@ -331,7 +333,7 @@ def g1(spark, sf):
 def g2(spark, sf):
     """Codes used per layer after training on all vectors."""
     v = cut(_vectors(spark, sf).withColumn("x", F.col("embedding").cast("array<double>")))
-    coded = Q.encode(v, "x", Q.train(v, "x", n_layers=2, k=8, max_iter=10))
+    coded = Q.encode(v, "x", Q.train(v, "vec_id", "x", n_layers=3, k=32, max_iter=20))
     return coded.select(F.posexplode("codes").alias("layer", "code")).groupBy("layer", "code").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -347,18 +349,18 @@ def _label_codebook(spark, sf):
 
 
 _CB = dict(
-    el="SELECT label, unnest(range(32)) pos, unnest(embedding[1:32])::DOUBLE x FROM embeddings",
+    el="SELECT label, unnest(range(64)) pos, unnest(embedding)::DOUBLE x FROM embeddings",
     mn="SELECT label, pos, avg(x) m FROM el GROUP BY 1,2",
     cb="SELECT layer, label code, list(round(m/pow(2.0::DOUBLE,layer),4) ORDER BY pos) c FROM mn CROSS JOIN (SELECT unnest([0,1,2]) layer) GROUP BY 1,2",
-    v0="SELECT vec_id, [x::DOUBLE FOR x IN embedding[1:32]] x FROM embeddings")
+    v0="SELECT vec_id, [x::DOUBLE FOR x IN embedding] x FROM embeddings")
 
 
 def _layers_sql():
     extra = dict(_CB)
     for i in range(3):
-        extra[f"n{i}"] = (f"SELECT vec_id, arg_min(code, (round(list_sum(list_transform(range(1,33), lambda k: (x[k]-c[k])**2)),12), code)) code "
+        extra[f"n{i}"] = (f"SELECT vec_id, arg_min(code, (round(list_sum(list_transform(range(1,65), lambda k: (x[k]-c[k])**2)),12), code)) code "
                           f"FROM v{i} JOIN cb ON layer={i} GROUP BY vec_id")
-        extra[f"v{i + 1}"] = (f"SELECT vec_id, list_transform(range(1,33), lambda k: x[k]-c[k]) x FROM v{i} JOIN n{i} USING (vec_id) JOIN cb USING (code) WHERE layer={i}")
+        extra[f"v{i + 1}"] = (f"SELECT vec_id, list_transform(range(1,65), lambda k: x[k]-c[k]) x FROM v{i} JOIN n{i} USING (vec_id) JOIN cb USING (code) WHERE layer={i}")
     return extra
 
 
@@ -376,10 +378,10 @@ def g3(spark, sf):
     return _coded(spark, sf)[0].select("vec_id", F.array_join("codes", ",").alias("codes"))
 
 
-_DEC = dict(_LAY, de="SELECT v0.vec_id, v0.x, list_transform(range(1,33), lambda k: v0.x[k]-v3.x[k]) o FROM v0 JOIN v3 USING (vec_id)")
+_DEC = dict(_LAY, de="SELECT v0.vec_id, v0.x, list_transform(range(1,65), lambda k: v0.x[k]-v3.x[k]) o FROM v0 JOIN v3 USING (vec_id)")
 
 
-@query("G4_decode", O.sql("SELECT vec_id, k-1 AS pos, " + O.r6("o[k]") + " AS value FROM (SELECT vec_id, o, unnest(range(1,33)) k FROM de)", **_DEC))
+@query("G4_decode", O.sql("SELECT vec_id, k-1 AS pos, " + O.r6("o[k]") + " AS value FROM (SELECT vec_id, o, unnest(range(1,65)) k FROM de)", **_DEC))
 def g4(spark, sf):
     coded, book = _coded(spark, sf)
     d = Q.decode(coded, "codes", book).select("vec_id", F.posexplode("decoded").alias("pos", "v"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,9 @@ from ..operators.numbering import row_numbers
 from .files import _fs, find_parquet_files
 
 
+RENAMES = 32  # file moves asked for at a time
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, p = _fs(spark, path)
     out = fs.create(p, True)
@@ -24,7 +29,9 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 def write_shards(df: DataFrame, out: str, max_rows: int, order: list[Column], prefix: str = "part") -> list[str]:
     """Write contiguous shards of exactly max_rows rows (the last one may be shorter) as
-    `prefix-iiiii-of-nnnnn.parquet`, one file each; empty input writes nothing."""
+    `prefix-iiiii-of-nnnnn.parquet`, one file each, in a folder of this run under `out`; returns their
+    paths in order. Files of an earlier run stay in that run's folder and are in no later list; a
+    manifest written from the returned paths makes a finished run visible. Empty input writes nothing."""
     if max_rows <= 0:
         raise ValueError("max_rows must be positive")
     spark = df.sparkSession
@@ -33,27 +40,31 @@ def write_shards(df: DataFrame, out: str, max_rows: int, order: list[Column], pr
     if rows is None:
         return []
     total = -(-rows // max_rows)
-    staged = f"{out}/_staged"
+    run = f"{out}/run-{uuid.uuid4().hex}"
+    staged = f"{run}/_staged"
     shard = F.floor((F.col("rn") - 1) / max_rows).cast("int")
     numbered.withColumn("shard", shard).repartition(total, "shard").sortWithinPartitions("shard", "rn").drop(
         "rn").write.mode("overwrite").option("compression", "snappy").partitionBy("shard").parquet(staged)
     fs, _ = _fs(spark, out)
     path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    final = []
-    for path in spark.read.parquet(staged).inputFiles():
+
+    def place(path: str) -> str:
         number = int(path.split("shard=")[1].split("/")[0])
-        target = f"{out}/{prefix}-{number:05d}-of-{total:05d}.parquet"
+        target = f"{run}/{prefix}-{number:05d}-of-{total:05d}.parquet"
         if not fs.rename(path_of(path), path_of(target)):
             raise OSError(f"could not place {target}")
-        final.append(target)
+        return target
+
+    with ThreadPoolExecutor(RENAMES) as pool:
+        final = sorted(pool.map(place, spark.read.parquet(staged).inputFiles()))
     fs.delete(path_of(staged), True)
-    return sorted(final)
+    return final
 
 
-def write_manifest(spark: SparkSession, out: str, name: str = "file_list.json") -> str:
-    """Absolute Parquet paths of a folder as one JSON array."""
+def write_manifest(spark: SparkSession, out: str, paths: list[str] | None = None, name: str = "file_list.json") -> str:
+    """The given Parquet paths, or all under a folder, as one JSON array."""
     path = f"{out}/{name}"
-    write_text(spark, path, json.dumps(find_parquet_files(spark, out), indent=2))
+    write_text(spark, path, json.dumps(find_parquet_files(spark, out) if paths is None else paths, indent=2))
     return path
 
 
@@ -64,8 +75,7 @@ def merge_and_shard(general: DataFrame | None, recommendation: DataFrame | None,
     if not parts:
         raise ValueError("at least one corpus is needed")
     merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
-    write_shards(merged, out, max_rows, order)
-    return write_manifest(merged.sparkSession, out)
+    return write_manifest(merged.sparkSession, out, write_shards(merged, out, max_rows, order))
 
 
 def run_tasks(jobs: dict[str, Callable[[], DataFrame]], switches: dict[str, bool], kind: str, out: str) -> list[str]:

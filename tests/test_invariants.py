@@ -229,7 +229,9 @@ def test_quantizer_learns(spark):
     centres = rng.normal(size=(4, 6)) * 5
     x = centres[rng.integers(0, 4, 200)] + rng.normal(size=(200, 6)) * 0.1
     df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id bigint, x array<double>")
-    book = Q.train(df, "x", n_layers=2, k=4, seed=1, max_iter=10)
+    book = Q.train(df, "id", "x", n_layers=2, k=4, seed=1, max_iter=10)
+    again = Q.train(df.repartition(5), "id", "x", n_layers=2, k=4, seed=1, max_iter=10)
+    assert all((a == b).all() for a, b in zip(book, again))
     coded = Q.encode(df, "x", book)
     losses = [Q.reconstruction_loss(Q.decode(Q.encode(df, "x", book, n), "codes", book), "x", "decoded").first().loss for n in (1, 2)]
     assert losses[1] < losses[0] < 0.2
