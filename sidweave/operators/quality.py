@@ -27,14 +27,21 @@ def _reencode(cells: pd.Series) -> pd.Series:
     return cells.map(one)
 
 
+@F.pandas_udf(T.StringType())
+def _readable(cells: pd.Series) -> pd.Series:
+    return cells.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
+
+
 def repair_escapes(df: DataFrame, fields: list[str] | None = None) -> DataFrame:
-    """Re-encode JSON cells that hold unicode escapes; all other cells never reach Python."""
+    """Re-encode JSON cells that hold unicode escapes; of binary cells, bytes that are no UTF-8 are dropped.
+    All other cells never reach Python."""
     present = [f for f in (fields or ["messages", "segments"]) if f in df.columns]
     types = dict(df.dtypes)
     for f in present:
         cell = F.col(f)
         if types[f] == "binary":
-            cell = F.regexp_replace(F.decode(cell, "UTF-8"), "�", "")
+            whole = F.try_validate_utf8(cell.cast("string"))
+            cell = F.coalesce(whole, _readable(F.when(whole.isNull(), cell)))
         escaped = F.contains(cell, F.lit("\\u"))
         df = df.withColumn(f, F.when(escaped, _reencode(F.when(escaped, cell))).otherwise(cell))
     return df

@@ -241,6 +241,15 @@ def d10(spark, sf):
     return quality.repair_escapes(c.select("conv_id", "turn", raw.alias("segments")))
 
 
+@query("D10_byte_repair", "SELECT doc_id, md5(CASE WHEN doc_id%2=0 THEN text||'x' ELSE text END) AS text_md5 FROM documents")
+def d10b(spark, sf):
+    """Binary cells, every other one with a broken byte sequence in it."""
+    broken = F.concat(F.encode("text", "UTF-8"), F.lit(bytearray(b"\xff\xc3")), F.lit(bytearray(b"x")))
+    cells = read(spark, sf, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 2 == 0, broken).otherwise(F.encode("text", "UTF-8")).alias("segments"))
+    return quality.repair_escapes(cells).select("doc_id", F.md5("segments").alias("text_md5"))
+
+
 def _contract_input(spark, sf):
     d = read(spark, sf, "documents")
     docs = d.select(

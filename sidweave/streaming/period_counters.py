@@ -16,17 +16,15 @@ def windowed(steps: DataFrame, devices: int, window: str = "1 hour", late: str =
     return with_rates(grouped, devices).withColumn("period_start", F.col("w.start")).drop("w")
 
 
-def start(steps: DataFrame, devices: int, table: str, checkpoint: str, window: str = "1 hour") -> StreamingQuery:
-    """Keep the table of all windows current; every trigger replaces it in one overwrite."""
+def start(steps: DataFrame, devices: int, table: str, checkpoint: str, window: str = "1 hour",
+          late: str = "10 minutes") -> StreamingQuery:
+    """Keep a table of all windows current, open ones included.
+
+    Each trigger rewrites only the windows it changed, each in a partition folder of its own, so a repeated
+    batch writes the same rows again; windows that the watermark has passed leave the state.
+    """
     def replace(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(table)
+        batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period_start").parquet(table)
 
-    return (windowed(steps, devices, window).writeStream.outputMode("complete")
+    return (windowed(steps, devices, window, late).writeStream.outputMode("update")
             .option("checkpointLocation", checkpoint).foreachBatch(replace).trigger(availableNow=True).start())
-
-
-def start_append(steps: DataFrame, devices: int, table: str, checkpoint: str, window: str = "1 hour",
-                 late: str = "10 minutes") -> StreamingQuery:
-    """Append each window once the watermark has passed it; state holds open windows only."""
-    return (windowed(steps, devices, window, late).writeStream.outputMode("append").format("parquet")
-            .option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

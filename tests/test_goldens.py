@@ -175,3 +175,16 @@ def test_refined_reasoning(spark):
 def test_pack_and_unpack(spark):
     got = spark.range(1).select(S.unpack(S.pack(F.lit(8191), F.lit(0), F.lit(77))).alias("x")).first().x
     assert got == [8191, 0, 77]
+
+
+def test_choice_and_box_forms(spark):
+    from sidweave.operators import prep
+
+    rows = spark.createDataFrame([(1, "Which of \\vec{A} and \\vec{B}?", "r {C}", ["w1", "w2 {question}", "w3"])], "id bigint, question string, correct string, incorrect array<string>")
+    said = prep.multiple_choice(rows, "id").first().query
+    assert said.startswith("Which of \\vec{A} and \\vec{B}?") and "r {C}" in said and "w2 {question}" in said
+    maths = spark.createDataFrame([(1, "p", None, "\\boxed 3"), (2, "p", "\\boxed{4}", "x"), (3, "p", "plain", "x")], "id bigint, problem string, solution string, answer string")
+    truths = [r.reward_model.ground_truth for r in prep.solved_math_evaluation(maths, "s", "id").collect()]
+    assert truths == ["3", "4", "plain"]
+    only = maths.drop("solution")
+    assert prep.solved_math_evaluation(only, "s", "id").first().reward_model.ground_truth == "3"

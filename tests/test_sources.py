@@ -82,13 +82,26 @@ def test_union_conflict(spark):
     assert padded.count() == 4 and BT.unpad(padded).count() == 2
 
 
-def test_stream_appends_closed_windows(spark, tmp_path):
-    src = str(tmp_path / "log")
+def test_stream_keeps_every_window(spark, tmp_path):
+    """Two runs over a growing log give the rows of one batch, open windows included."""
+    src, out = str(tmp_path / "log"), str(tmp_path / "out")
     rows = spark.sql("SELECT id AS step, timestamp_seconds(id * 600) AS ts, 1.0D AS loss, 10L AS tokens, 1 AS samples, 5L AS valid_tokens, "
                      "0.5D AS seconds FROM range(60)")
-    rows.write.parquet(src)
-    stream = spark.readStream.schema(rows.schema).parquet(src)
-    SC.start_append(stream, 2, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
-    done = {r.period_start: r.steps for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    batch = {r.period_start: r.steps for r in SC.windowed(rows, 2).collect()}
-    assert done and all(batch[k] == v for k, v in done.items())
+    for part in (rows.where("step < 33"), rows.where("step >= 33")):
+        part.write.mode("append").parquet(src)
+        stream = spark.readStream.schema(rows.schema).parquet(src)
+        SC.start(stream, 2, out, str(tmp_path / "ck")).awaitTermination()
+    done = {r.period_start: r.steps for r in spark.read.parquet(out).collect()}
+    assert done == {r.period_start: r.steps for r in SC.windowed(rows, 2).collect()} and len(done) == 10
+
+
+def test_a_second_run_lists_its_own_shards(spark, tmp_path):
+    out = str(tmp_path / "twice")
+    for n in (100, 50):
+        manifest = sinks.merge_and_shard(spark.range(n).withColumnRenamed("id", "k"), None, out, 20, [F.col("k")])
+        assert files.load_manifest(spark, manifest).count() == n
+
+
+def test_broken_bytes_are_dropped(spark):
+    df = spark.createDataFrame([(1, bytearray(b"a\xff\xc3b\xef\xbf\xbd")), (2, bytearray("é".encode())), (3, None)], "id int, segments binary")
+    assert [r.segments for r in quality.repair_escapes(df).orderBy("id").collect()] == ["ab\ufffd", "é", None]
