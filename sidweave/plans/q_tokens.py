@@ -408,11 +408,11 @@ def g6(spark, sf):
 
 
 @query("G7_dense_retrieval", "WITH u AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE/sqrt(list_sum(list_transform(embedding, lambda y: y::DOUBLE*y::DOUBLE)))) v FROM embeddings), "
-       "s AS (SELECT a.vec_id query_id, b.vec_id doc_id, round(list_sum(list_transform(range(1,65), lambda k: a.v[k]*b.v[k])),6)+0.0 score FROM u a CROSS JOIN u b) "
+       "s AS (SELECT a.vec_id query_id, b.vec_id doc_id, round(list_sum(list_transform(range(1,65), lambda k: a.v[k]*b.v[k])),6)+0.0 score FROM u a CROSS JOIN u b WHERE a.vec_id%20=0) "
        "SELECT query_id, doc_id, score, \"rank\"::INT AS \"rank\" FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS \"rank\" FROM s) WHERE \"rank\"<=5")
 def g7(spark, sf):
     e = read(spark, sf, "embeddings")
-    out = R.dense_search(e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")),
+    out = R.dense_search(e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")),
                          e.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector")), 5, 256, 256)
     return out.withColumn("score", r6(F.col("score")))
 
