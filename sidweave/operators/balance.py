@@ -46,14 +46,16 @@ def differencing(lengths: list[int], k: int, equal: bool = False) -> list[int]:
 
 
 def least_loaded(lengths: list[int], k: int, equal: bool = False) -> list[int]:
-    """Part per item in input order: always the lightest part; `equal` adds a bias that counts items first."""
-    bias = sum(lengths) + 1 if equal else 0
-    loads = [0] * k
+    """Part per item in input order: the lightest part; with `equal` the one with the fewest items first.
+    Equal parts need a number of items that k divides."""
+    if equal and len(lengths) % k:
+        raise ValueError(f"{len(lengths)} items do not divide into {k} equal parts")
+    waiting = [(0, 0, j) for j in range(k)]  # (items if equal, load, part)
     part = []
     for n in lengths:
-        to = min(range(k), key=lambda j: (loads[j], j))
-        part.append(to)
-        loads[to] += n + bias
+        items, load, j = heapq.heappop(waiting)
+        part.append(j)
+        heapq.heappush(waiting, (items + equal, load + n, j))
     return part
 
 

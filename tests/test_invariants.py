@@ -249,3 +249,12 @@ def test_importance_weight_bounds(spark):
                 assert len({round(w, 12) for w in r.weights[:8]}) == 1
     dead = G.importance_weights(df, "token", 2.0, mode="mask", veto=0.9).collect()
     assert all(sum(r.kept_mask) == 0 for r in dead if any(c == 1 for c in r.catastrophic))
+
+
+def test_greedy_parts():
+    from sidweave.operators.balance import least_loaded
+
+    assert least_loaded([5, 1, 1, 1, 9, 2], 2) == [0, 1, 1, 1, 1, 0]
+    assert least_loaded([5, 1, 1, 1, 9, 2], 2, equal=True) == [0, 1, 1, 0, 0, 1]
+    with pytest.raises(ValueError, match="equal parts"):
+        least_loaded([1, 2, 3], 2, equal=True)
