@@ -83,8 +83,8 @@ def title_and_text(text: Column) -> tuple[Column, Column]:
 def term_weights(queries: DataFrame, corpus: DataFrame) -> DataFrame:
     """doc_id, terms[], weights[]: saturated term weight per document, for query terms only.
 
-    Term counts are aggregated per document first; the join with the term table is salted when the table
-    is too large to broadcast, because a frequent term fills a large share of the postings.
+    Term counts are aggregated per document first; a frequent term fills a large share of the postings, so
+    where the term table is too large to broadcast, adaptive execution splits the term's partition.
     """
     counted = corpus.select("doc_id", terms(F.col("text")).alias("t"))
     sized = counted.select("doc_id", F.size("t").alias("len"), F.explode("t").alias("term"))
