@@ -3,8 +3,8 @@
 Distinct fingerprints, sorted, are the leaves of a binary trie. A pair of nodes carries the number of
 bits in which the two prefixes differ; its children are the pairs of their children, and a pair is
 pruned when that number exceeds the error budget. The top of the trie (counts of at most 2**TOP
-prefixes) is expanded first, until a pair holds at most `leaf` fingerprints; the remaining pairs become
-tasks, in which the traversal goes on over whole levels at a time. A task reports a spanning forest of
+prefixes) is expanded first, LEAST levels for parallel work and then until a pair holds at most `leaf`
+fingerprints; the remaining pairs become tasks, in which the traversal goes on over whole levels at a time. A task reports a spanning forest of
 its links, and components join the forests.
 """
 
@@ -23,7 +23,7 @@ from ..session import cut
 from . import _text
 from ._components import components
 
-TOP, LEAF, DIRECT, LEVEL = 16, 1 << 15, 128, 200_000
+TOP, LEAST, LEAF, DIRECT, LEVEL = 16, 5, 1 << 20, 128, 200_000
 HASHED = "doc_id bigint, text_hash bigint, fp bigint"
 
 
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42, id_col: str =
     return rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_hash(words, seed), HASHED)
 
 
-def top_pairs(counts: dict[int, int], budget: int, leaf: int, top: int = TOP) -> list[tuple[int, int, int]]:
+def top_pairs(counts: dict[int, int], budget: int, leaf: int, top: int = TOP, least: int = LEAST) -> list[tuple[int, int, int]]:
     """(depth, prefix, prefix) pairs that tasks traverse, from the counts of `top`-bit prefixes."""
     sizes = [np.zeros(1 << d, np.int64) for d in range(top + 1)]
     for prefix, n in counts.items():
@@ -68,7 +68,7 @@ def top_pairs(counts: dict[int, int], budget: int, leaf: int, top: int = TOP) ->
         size = sizes[d]
         held = np.where(a == b, size[a], size[a] + size[b])
         live = (diff <= budget) & (size[a] > 0) & (size[b] > 0) & ((a != b) | (size[a] > 1))
-        stop = live & ((held <= leaf) | (d == top))
+        stop = live & (((held <= leaf) & (d >= least)) | (d == top))
         out += [(d, int(x), int(y)) for x, y in zip(a[stop], b[stop])]
         go = live & ~stop
         a, b, diff = a[go], b[go], diff[go]
