@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-LIMIT, LONGEST, SEEN, TOGETHER = 500_000, 64, 1 << 23, 4000
+LIMIT, LONGEST, SEEN, TOGETHER = 800_000, 64, 1 << 23, 4000
 _READY: dict[tuple[str, str], Memo] = {}
 
 
@@ -44,10 +44,11 @@ class Memo:
         """Texts that must go to the library whole."""
         raise NotImplementedError
 
-    lead = ""  # what the library must see before a chunk that is not the text's first
+    def folded(self, texts: pa.Array) -> pa.Array:
+        """Texts with the same ids and fewer distinct chunks."""
+        return texts
 
-    def tidy(self, chunk: str) -> str:
-        return chunk
+    lead = ""  # what the library must see before a chunk that is not the text's first
 
     def loose(self, chunk: str) -> bool:
         """Whether a full stop or comma at the end is always a token of its own."""
@@ -58,7 +59,7 @@ class Memo:
         return True
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        texts = pc.fill_null(texts, "")
+        texts = self.folded(pc.fill_null(texts, ""))
         whole = self.odd(texts).to_numpy(zero_copy_only=False)
         words = pc.split_pattern(texts, " ")
         bounds = words.offsets.to_numpy().astype(np.int64)
@@ -81,8 +82,10 @@ class Memo:
         starts = np.cumsum(sizes) - sizes
         each = sizes[codes]
         ends = np.cumsum(each)
-        place = np.arange(ends[-1] if len(ends) else 0, dtype=np.int64) + np.repeat(starts[codes] - ends + each, each)
         edges = np.concatenate([[0], ends])[bounds]
+        narrow = np.int32 if edges[-1] < 1 << 31 else np.int64
+        place = np.repeat((starts[codes] - ends + each).astype(narrow), each)
+        place += np.arange(edges[-1], dtype=narrow)
         flat = pool[place]
         if not whole.any():
             return flat, edges
@@ -104,7 +107,7 @@ class Memo:
         stems = {}
         for k in missing:
             c = chunks[k]
-            stems[k] = (self.tidy(c[:-1]), self.tails[c[-1]]) if self.loose(c) else (self.tidy(c), b"")
+            stems[k] = (c[:-1], self.tails[c[-1]]) if self.loose(c) else (c, b"")
         ask = [s for s in {s for s, _ in stems.values()} if s not in known]
         fresh = {}
         for i in range(0, len(ask), TOGETHER):
@@ -141,11 +144,27 @@ class ByteMemo(Memo):
 
     def __init__(self, path: str) -> None:
         self.library = _library(path)
+        vocab = self.library.get_vocab()
+        self.first = np.zeros(max(vocab.values()) + 1, bool)  # ids that begin with a blank
+        self.first[[i for v, i in vocab.items() if v.startswith("Ġ")]] = True
         super().__init__()
 
     def call(self, texts):
         return [_packed(e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def call_distinct(self, chunks):
+        """One call for all chunks of a blank and letters: each is one word, so its first id tells it apart."""
+        plain = [c for c in chunks if c[:1] == " " and c[1:].isalpha()]
+        ids = np.frombuffer(self.call(["".join(plain)])[0], np.uint32)
+        starts = np.flatnonzero(self.first[ids])
+        if len(starts) != len(plain):
+            return self.call(chunks)
+        raw, edges = ids.tobytes(), [*(starts * 4).tolist(), 4 * len(ids)]
+        got = {c: raw[a:b] for c, a, b in zip(plain, edges, edges[1:])}
+        rest = [c for c in chunks if c not in got]
+        got.update(zip(rest, self.call(rest)))
+        return [got[c] for c in chunks]
+
     def odd(self, texts):
         return pc.or_(pc.match_substring(texts, "  "), pc.starts_with(texts, " "))
 
@@ -182,8 +201,10 @@ class WordMemo(Memo):
     def odd(self, texts):
         return pa.array(np.zeros(len(texts), bool))
 
-    def tidy(self, chunk):
-        return chunk.lower() if chunk.isascii() else chunk
+    def folded(self, texts):
+        """ASCII letters in lower case, as the tokenizer's own normaliser makes them; texts that may hold
+        special strings, which it looks for before that, stay."""
+        return pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
 
 
 class PieceMemo(Memo):

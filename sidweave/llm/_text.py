@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICE_CHARS = 4_000_000
+SLICE_CHARS, RUN_BYTES = 4_000_000, 8_000_000
 
 
 def rows(docs: DataFrame, *extra: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -32,5 +34,16 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, l
         yield first, held
 
 
+def runs(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, pa.Array]]:
+    """As slices, but Arrow texts; runs are cut by bytes."""
+    texts = batch.column(batch.schema.get_field_index(column))
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + RUN_BYTES)) + 1
+        yield at, texts.slice(at, to - at)
+        at = to
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

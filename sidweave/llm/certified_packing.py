@@ -33,8 +33,8 @@ PACKED = PIECES + ", part int, bin bigint, offset bigint, bins bigint, bound big
 def _pieces(vocab: str, kind: str, size: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, texts in _text.slices(batch):
-                flat, edges = memo(kind, vocab).ids(pa.array(texts, pa.string()))
+            for at, texts in _text.runs(batch):
+                flat, edges = memo(kind, vocab).ids(texts)
                 docs, cols = batch.column(0).slice(at, len(texts)), ([], [], [], [], [])
                 for k in range(len(texts)):
                     ids = np.append(flat[edges[k]:edges[k + 1]], end_id).astype("<u4")

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,10 +34,10 @@ SEAMS = ("row bigint, mark bigint, doc_id bigint, n_bytes bigint, seam bigint, r
 def _whole(vocab: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, texts in _text.slices(batch):
-                _, edges = memo("piece", vocab).ids(pa.array(texts, pa.string()))
+            for at, texts in _text.runs(batch):
+                _, edges = memo("piece", vocab).ids(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(texts)), pa.array([len(t.encode()) for t in texts], pa.int64()),
+                    [batch.column(0).slice(at, len(texts)), pc.binary_length(texts).cast(pa.int64()),
                      pa.array(np.diff(edges), pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
     return run
 
