@@ -31,7 +31,9 @@ from . import _text
 from ._crc import joined
 from ._memo import memo
 
-BLOCK, PASSES, RULES, LEAST = 1 << 18, 5, 12_000, 12
+BLOCK, PASSES, RULES, LEAST = 1 << 18, 4, 12_000, 12
+SLOT_BITS, NO_RULE = 18, np.uint32((1 << 32) - 1)
+SLOTS = 1 << SLOT_BITS
 SHARD = pa.schema([("part", pa.int32()), ("shard", pa.int64()), ("first", pa.int64()), ("n_ids", pa.int64()),
                    ("docs", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("ends", pa.list_(pa.bool_())),
                    ("base", pa.int64()), ("rules", pa.binary()), ("sizes", pa.binary()), ("symbols", pa.binary())])
@@ -40,39 +42,56 @@ SHARD_DDL = ("part int, shard bigint, first bigint, n_ids bigint, docs array<big
 
 
 def compress(ids: np.ndarray, passes: int = PASSES, rules: int = RULES, least: int = LEAST):
-    """(base, rules as pairs, expansion lengths, symbols) of one shard's ids."""
+    """(base, rules as pairs, expansion lengths, symbols) of one shard's ids.
+
+    Of two chosen pairs with one slot in the lookup table only one becomes a rule in that pass.
+    """
     base = int(ids.max()) + 1 if len(ids) else 0
-    seq, pairs = ids.astype(np.uint32), np.zeros((0, 2), np.uint32)
+    seq, pairs = ids.astype(np.uint32), [np.zeros((0, 2), np.uint32)]
+    made = 0
+    wide, bits = (np.uint32, 16) if base + rules < 1 << 16 else (np.uint64, 32)
+    slot_key, slot_rule = np.zeros(SLOTS, wide), np.zeros(SLOTS, np.uint32)
     for _ in range(passes):
-        if len(seq) < 2 or len(pairs) >= rules:
+        if len(seq) < 2 or made >= rules:
             break
-        names, small = np.unique(seq, return_inverse=True)  # small symbols make 32-bit pair keys
-        wide = np.uint32 if len(names) < 1 << 16 else np.uint64
-        keys = small[:-1].astype(wide) * wide(len(names)) + small[1:].astype(wide)
+        keys = seq[:-1].astype(wide) << wide(bits) | seq[1:].astype(wide)
         ordered = np.sort(keys)
         cuts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         counts = np.diff(np.append(cuts, len(ordered)))
         often = np.flatnonzero(counts >= least)
         if not len(often):
             break
-        often = often[np.argsort(-counts[often], kind="stable")][:rules - len(pairs)]
-        chosen = np.sort(ordered[cuts[often]])
-        rank = np.minimum(np.searchsorted(chosen, keys), len(chosen) - 1)
-        hits = np.flatnonzero(chosen[rank] == keys)
+        often = often[np.argsort(-counts[often], kind="stable")][:rules - made]
+        chosen = ordered[cuts[often]][::-1]  # the most frequent is written last and stays
+        slot_key[:] = 0  # key 0 is no pair that a slot stands for unless its rule says so
+        slot_rule[:] = NO_RULE
+        at = _slots(chosen)
+        slot_key[at] = chosen
+        slot_rule[at] = np.arange(len(chosen), dtype=np.uint32)
+        at = _slots(keys)
+        hits = np.flatnonzero((slot_key[at] == keys) & (slot_rule[at] != NO_RULE))
         run = np.concatenate([[True], np.diff(hits) > 1])  # in a run of overlapping hits, every other one
         heads = np.maximum.accumulate(np.where(run, np.arange(len(hits)), 0))
         hits = hits[(np.arange(len(hits)) - heads) % 2 == 0]
-        used, rule = np.unique(rank[hits], return_inverse=True)
+        picked = slot_rule[at[hits]]
+        used = np.bincount(picked, minlength=len(chosen)) > 0
+        number = np.cumsum(used) - 1
         both = chosen[used]
-        seq[hits] = base + len(pairs) + rule
+        seq[hits] = base + made + number[picked]
         keep = np.ones(len(seq), bool)
         keep[hits + 1] = False
         seq = seq[keep]
-        pairs = np.concatenate([pairs, np.stack([names[both // wide(len(names))], names[both % wide(len(names))]], 1).astype(np.uint32)])
-    sizes = np.ones(len(pairs), np.int64)
-    for k, (a, b) in enumerate(pairs.tolist()):
-        sizes[k] = (sizes[a - base] if a >= base else 1) + (sizes[b - base] if b >= base else 1)
-    return base, pairs, sizes.astype(np.uint32), seq
+        pairs.append(np.stack([both >> wide(bits), both & wide((1 << bits) - 1)], 1).astype(np.uint32))
+        made += len(both)
+    pairs = np.concatenate(pairs)
+    sizes = []
+    for a, b in pairs.tolist():
+        sizes.append((sizes[a - base] if a >= base else 1) + (sizes[b - base] if b >= base else 1))
+    return base, pairs, np.array(sizes, np.uint32), seq
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
 def expand(base: int, pairs: np.ndarray, sizes: np.ndarray, symbols: np.ndarray, start: int = 0, stop: int | None = None) -> np.ndarray:
@@ -113,8 +132,8 @@ def _writer(vocab: str, kind: str, block: int, end_id: int):
 
         for batch in batches:
             ids_of = batch.column(0)
-            for at, texts in _text.slices(batch):
-                flat, edges = memo(kind, vocab).ids(pa.array(texts, pa.string()))
+            for at, texts in _text.runs(batch):
+                flat, edges = memo(kind, vocab).ids(texts)
                 for k in range(len(texts)):
                     own = np.append(flat[edges[k]:edges[k + 1]], np.uint32(end_id)).astype(np.uint32)
                     while len(own):
@@ -133,9 +152,10 @@ def _writer(vocab: str, kind: str, block: int, end_id: int):
 
 def write_shards(docs: DataFrame, vocab: str, path: str, kind: str = "byte", block: int = BLOCK, end_id: int = 0,
                  id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Encode every whole text, append `end_id` and write shards in ascending (id, text) order."""
+    """Encode every whole text, append `end_id` and write shards in ascending (id, text) order. Ranges are cut
+    by the id alone, so the sample of range bounds holds no texts."""
     ordered = _text.rows(docs, id_col=id_col, text_col=text_col).repartitionByRange(
-        _text.partitions(docs), "doc_id", "text").sortWithinPartitions("doc_id", "text")
+        _text.partitions(docs), "doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(_writer(vocab, kind, block, end_id), SHARD_DDL).write.parquet(path, compression="zstd")
 
 
