@@ -1,9 +1,11 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 Texts are lower-cased and white space is folded. Each test item is cut into windows of `window`
-code points, half overlapping (a short item is one window). A window of n code points may differ in
-k = n // RATE edits; cut into k + 1 pieces, at least one piece of a matching region is unchanged. All
-pieces of a block of items are found by one automaton; each hit places the window in the document, and
+code points, half overlapping (a short item is one window), and into windows of two thirds of that, which
+begin every third of it: a passage of `window` points holds a whole one wherever it starts, so a passage
+of that length is found if it has no more edits than a short window may have (copied word for word: always).
+A window of n code points may differ in k = n // RATE edits; cut into k + 1 pieces, at least one piece of a
+matching region is unchanged. All pieces of a block of items are found by one automaton; each hit places the window in the document, and
 Myers' bit-parallel algorithm gives the smallest edit distance of the window within k of that place.
 """
 
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from . import _text
 
-WINDOW, RATE, LEAST, BLOCK_CHARS = 120, 20, 24, 4_000_000
+WINDOW, RATE, LEAST, BLOCK_CHARS = 120, 20, 24, 2_000_000
 FOUND = "doc_id bigint, item_id bigint, errors int, at bigint"
 
 
@@ -27,11 +29,15 @@ def normal(text: str) -> str:
 
 
 def windows(text: str, size: int = WINDOW) -> list[str]:
-    """Half-overlapping windows of a normal text, the last flush with its end."""
-    if len(text) <= size:
-        return [text] if len(text) >= LEAST else []
-    starts = [*range(0, len(text) - size, size // 2), len(text) - size]
-    return [text[s:s + size] for s in starts]
+    """Windows of `size` every half of it and of two thirds of `size` every third of it, so that any `size` points
+    of a normal text hold a whole one; the last of either kind is flush with the end."""
+    if len(text) < LEAST:
+        return []
+    short, out = max(1, size * 2 // 3), []
+    for n, step in ((size, max(1, size // 2)), (short, max(1, size - short))):
+        starts = [*range(0, len(text) - n, step), len(text) - n] if len(text) > n else [0] * (n == size)
+        out += [text[s:s + n] for s in starts]
+    return out
 
 
 def pieces(window: str, rate: int = RATE) -> list[tuple[int, str]]:

@@ -112,6 +112,34 @@ def test_leaks_against_brute_force(spark, sf, edge, nothing):
     assert D.leaks(nothing, items).count() == 0 and D.leaks(table, items.limit(0)).count() == 0
 
 
+def test_passages_of_every_offset_are_found(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    items = [(n, D.normal(" ".join(rng.sample(words, 60)))[:n].strip().ljust(n, "x")) for n in (121, 140, 179, 233, 300)]
+    docs, want = [], set()
+    for item, text in items:
+        for n in (D.WINDOW, 140):  # every passage, found without windows(): it is cut from the item
+            for at in range(len(text) - n + 1):
+                cut = list(text[at:at + n])
+                for k in rng.sample(range(n), rng.randint(0, D.WINDOW * 2 // 3 // D.RATE)) if at % 2 else ():
+                    cut[k] = "#"
+                docs.append((len(docs), f"Words before <{''.join(cut)}> and after"))
+                want.add((len(docs) - 1, item))
+    matcher = D.Matcher(items)
+    assert {(i, item) for i, t in docs for item in matcher.search(t)} == want
+    assert not any(matcher.search("before " + t[20:60] + " after") for _, t in items)
+    some = spark.createDataFrame(docs[::40], "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    assert D.decontaminated(some, bench).count() == 0 and D.leaks(some, bench).select("doc_id").distinct().count() == len(docs[::40])
+
+
+def test_long_windows_keep_their_edits():
+    rng = random.Random(6)
+    text = "".join(rng.choice("abcdefgh") for _ in range(120))
+    doc = text[:44] + "".join(c if k % 5 else "#" for k, c in enumerate(text[44:74])) + text[74:]  # six edits within thirty points
+    assert D.Matcher([(1, text)]).search(doc) == {1: (6, 0)}
+
+
 def brute_sketch(spark, text):
     words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
     grams = [words[i:i + 5] for i in range(max(1, len(words) - 4))] if words else []
