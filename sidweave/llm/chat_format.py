@@ -108,41 +108,71 @@ def canonical(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
     return df.select(F.col(id_col).alias("conv_id"), F.coalesce(F.expr(m.turns).cast(TURNS), F.array().cast(TURNS)).alias("turns"))
 
 
-#: Variant types of the layouts that records may have, for reading them with typed fields.
-_LISTS = {"messages": "array<struct<role:string,content:string>>", "conversations": "array<struct<`from`:string,value:string>>",
-          "prompt": "array<struct<role:string,content:string>>"}
+def _elements(record: Column, top: str) -> Column:
+    """An array field's elements as variants; NULL if the field is no array."""
+    return F.try_variant_get(record, f"$.{top}", "array<variant>")
 
 
-def record_paths(record: Column) -> Column:
-    """Known field paths of a variant record: a flat field, or the fields of an array's first element."""
-    def has(path: str) -> Column:
-        if "[]." in path:
-            top, leaf = path.split("[].")
-            return F.try_variant_get(record, f"$.{top}[0].{leaf}", "string").isNotNull()
-        return F.try_variant_get(record, f"$.{path}", "variant").isNotNull() & F.try_variant_get(record, f"$.{path}[0]", "variant").isNull()
+def _has(record: Column, path: str, valued: bool = False, empty: bool = False) -> Column:
+    """Whether a variant record has a known path: a flat field, or a field of any element of an array.
+    `valued`: with a value beside JSON's null; `empty`: an empty array has every field."""
+    def there(v: Column, at: str) -> Column:
+        field = F.try_variant_get(v, at, "variant")
+        return field.isNotNull() & ~F.is_variant_null(field) if valued else field.isNotNull()
 
-    return F.array_compact(F.array(*[F.when(has(p), F.lit(p)) for p in sorted(KNOWN)]))
+    if "[]." in path:
+        top, leaf = path.split("[].")
+        found = F.exists(_elements(record, top), lambda e: there(e, f"$.{leaf}"))
+        return found | (F.size(_elements(record, top)) == 0) if empty else found
+    return there(record, f"$.{path}") & _elements(record, path).isNull()
+
+
+#: A record is a whole conversation, so the fields of turn rows say nothing about its layout.
+RECORD_MAPPINGS = tuple(m for m in MAPPINGS if m.turns)
+RECORD_KNOWN = tuple(sorted({p for m in RECORD_MAPPINGS for p in m.paths}))
+
+
+def record_paths(record: Column, valued: bool = False, empty: bool = False) -> Column:
+    """Known field paths of a variant record, whichever elements of its arrays they are in."""
+    return F.array_compact(F.array(*[F.when(_has(record, p, valued, empty), F.lit(p)) for p in RECORD_KNOWN]))
 
 
 def canonical_records(df: DataFrame, record_col: str, id_col: str = "conv_id") -> DataFrame:
-    """conv_id, layout, turns of JSON text records, each by the fingerprint of its own fields.
+    """conv_id, layout, turns of JSON text records, each by the fingerprint of its own fields, else by the mapping
+    with the most fields that are all there (the first listed of equals): first of those whose fields all have
+    a value, then of all, then with an empty array standing for its elements' fields.
 
     Records that are not JSON or have no known layout give layout NULL and no turns.
     """
     rows = df.select(F.col(id_col).alias("conv_id"), F.try_parse_json(F.col(record_col)).alias("r"))
-    rows = rows.withColumn("fp", F.sha2(F.array_join(record_paths(F.col("r")), "\n"), 256))
-    layout, turns = F.lit(None).cast("string"), F.array().cast(TURNS)
+    r = F.col("r")
+    rows = once(rows, has=F.struct(record_paths(r).alias("any"), record_paths(r, valued=True).alias("valued"), record_paths(r, empty=True).alias("empty")))
+    rows = rows.withColumn("fp", F.sha2(F.array_join("has.any", "\n"), 256))
+    layout = F.lit(None).cast("string")
+    for kind in ("empty", "any", "valued"):  # what is tried first is put on last
+        for m in sorted(reversed(RECORD_MAPPINGS), key=lambda m: len(m.paths)):
+            fits = F.size(F.array_except(F.array(*map(F.lit, m.paths)), f"has.{kind}")) == 0
+            layout = F.when(fits, F.lit(m.name)).otherwise(layout)
     for fp, m in BY_FINGERPRINT.items():
-        if not m.turns:
-            continue
-        sql = m.turns
+        if m.turns:
+            layout = F.when(F.col("fp") == fp, F.lit(m.name)).otherwise(layout)
+    rows = once(rows, layout=layout)
+    turns = F.array().cast(TURNS)
+    for m in RECORD_MAPPINGS:
         fields = sorted({p.split("[]")[0] for p in m.paths})
-        typed = {f: _LISTS[f] if any(p.startswith(f + "[]") for p in m.paths) else "string" for f in fields}
-        row = "named_struct(" + ", ".join(f"'{f}', try_variant_get(r, '$.{f}', '{t}')" for f, t in typed.items()) + ")"
-        sql = f"transform(array({row}), x -> {_qualified(sql, fields)})[0]"
-        layout = F.when(F.col("fp") == fp, F.lit(m.name)).otherwise(layout)
-        turns = F.when(F.col("fp") == fp, F.expr(sql).cast(TURNS)).otherwise(turns)
-    return rows.select("conv_id", layout.alias("layout"), F.coalesce(turns, F.array().cast(TURNS)).alias("turns"))
+        lists = {p.split("[].")[0]: [q.split("[].")[1] for q in m.paths if q.startswith(p.split("[].")[0] + "[].")] for p in m.paths if "[]." in p}
+        row = "named_struct(" + ", ".join(f"'{f}', {_typed(f, lists.get(f))}" for f in fields) + ")"
+        sql = f"transform(array({row}), x -> {_qualified(m.turns, fields)})[0]"
+        turns = F.when(F.col("layout") == m.name, F.expr(sql).cast(TURNS)).otherwise(turns)
+    return rows.select("conv_id", "layout", F.coalesce(turns, F.array().cast(TURNS)).alias("turns"))
+
+
+def _typed(field: str, leaves: list[str] | None) -> str:
+    """SQL for a field of the variant r: a string, or an array of structs read element by element, so that one odd element costs no other."""
+    if not leaves:
+        return f"try_variant_get(r, '$.{field}', 'string')"
+    one = ", ".join(f"'{n}', try_variant_get(e, '$.{n}', 'string')" for n in leaves)
+    return f"transform(try_variant_get(r, '$.{field}', 'array<variant>'), e -> named_struct({one}))"
 
 
 def _qualified(sql: str, fields: list[str]) -> str:

@@ -164,6 +164,34 @@ def test_records_of_many_layouts(spark):
     assert got[50] == got[51] == (None, [])
 
 
+def test_records_keep_their_conversations(spark):
+    two = [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}]
+    said = [("user", "a"), ("assistant", "b")]
+    records = [
+        ({"conv_id": 7, "messages": two}, "messages", said),
+        ({"conv_id": 7, "turn": 0, "role": "user", "text": "t", "messages": two}, "messages", said),
+        ({"instruction": "i", "input": "j", "output": "o", "text": "i j o"}, "instruction_input", [("user", "i\nj"), ("assistant", "o")]),
+        ({"messages": [{"role": "user", "content": None}, two[1]]}, "messages", [("user", ""), said[1]]),
+        ({"messages": [{"role": "user"}, two[1]]}, "messages", [("user", ""), said[1]]),
+        ({"messages": [{}, {"content": "b"}, two[0]]}, "messages", [("", ""), ("", "b"), said[0]]),
+        ({"messages": [None, "odd", *two]}, "messages", [("", ""), ("", ""), *said]),
+        ({"messages": [{"role": "user", "content": None}]}, "messages", [("user", "")]),
+        ({"conversations": [{"from": "human"}, {"from": "gpt", "value": "b"}]}, "speakers", [("user", ""), said[1]]),
+        ({"prompt": [{"role": "user", "content": None}, two[1]], "completion": "c"}, "prompt_turns_completion", [("user", ""), said[1], ("assistant", "c")]),
+        ({"prompt": "p", "response": "r", "instruction": "i", "input": "j", "output": "o"}, "instruction_input", [("user", "i\nj"), ("assistant", "o")]),
+        ({"instruction": None, "input": None, "output": None, "prompt": "p", "response": "r"}, "prompt_response", [("user", "p"), ("assistant", "r")]),
+        ({"messages": [], "conversations": [{"from": "gpt", "value": "b"}]}, "speakers", [said[1]]),
+        ({"prompt": [], "completion": "c"}, "prompt_turns_completion", [("assistant", "c")]),
+        ({"messages": []}, "messages", []),
+        ({"instruction": "i", "output": None}, "instruction", [("user", "i"), ("assistant", "")]),
+        ({"conv_id": 7, "turn": 0, "role": "user", "text": "t"}, None, []),
+        ([1], None, []), ("text", None, []), (None, None, []),
+    ]
+    rows = [(i, json.dumps(r)) for i, (r, _, _) in enumerate(records)]
+    got = {r.conv_id: (r.layout, [(t.role, t.text) for t in r.turns]) for r in C.canonical_records(spark.createDataFrame(rows, "conv_id bigint, rec string"), "rec").collect()}
+    assert got == {i: (layout, turns) for i, (_, layout, turns) in enumerate(records)}
+
+
 def test_op1_against_sql(spark, duck, sf):
     from parity import compare
 
