@@ -1,9 +1,10 @@
 """Token ids in grammar-compressed shards, and random access to them.
 
 Documents are range-partitioned by id and encoded in order; every `block` ids make a shard. Re-Pair
-replaces frequent neighbouring id pairs by nonterminals: each pass counts all pairs of the shard, makes a
-rule for each of the most frequent ones and replaces its occurrences from left to right (of two that
-overlap, the first); it stops when no pair is frequent. A shard row holds
+replaces frequent neighbouring id pairs by nonterminals: each pass counts the pairs of the shard, makes a
+rule for each that is found LEAST times and replaces its occurrences from left to right (of two that
+overlap, the first); it stops when no pair is found LEAST times, after as many passes and rules as that
+takes. A shard row holds
 
     part, shard           range partition and place in it
     first, n_ids          ids of the partition before the shard, ids in it
@@ -31,7 +32,7 @@ from . import _text
 from ._crc import joined
 from ._memo import memo
 
-BLOCK, PASSES, RULES, LEAST = 1 << 18, 4, 12_000, 12
+BLOCK, LEAST = 1 << 18, 12
 SLOT_BITS, NO_RULE = 18, np.uint32((1 << 32) - 1)
 SLOTS = 1 << SLOT_BITS
 SHARD = pa.schema([("part", pa.int32()), ("shard", pa.int64()), ("first", pa.int64()), ("n_ids", pa.int64()),
@@ -41,53 +42,55 @@ SHARD_DDL = ("part int, shard bigint, first bigint, n_ids bigint, docs array<big
              "ends array<boolean>, base bigint, rules binary, sizes binary, symbols binary")
 
 
-def compress(ids: np.ndarray, passes: int = PASSES, rules: int = RULES, least: int = LEAST):
-    """(base, rules as pairs, expansion lengths, symbols) of one shard's ids.
+def compress(ids: np.ndarray, least: int = LEAST):
+    """(base, rules as pairs, expansion lengths, symbols) of one shard's ids, in which no pair is found `least` times.
 
-    Of two chosen pairs with one slot in the lookup table only one becomes a rule in that pass.
+    Of two chosen pairs with one slot in the lookup table only one becomes a rule in that pass. A pair of
+    symbols that a pass has counted too rarely can only become rarer, so later passes count the others.
     """
     base = int(ids.max()) + 1 if len(ids) else 0
-    seq, pairs = ids.astype(np.uint32), [np.zeros((0, 2), np.uint32)]
-    made = 0
-    wide, bits = (np.uint32, 16) if base + rules < 1 << 16 else (np.uint64, 32)
-    slot_key, slot_rule = np.zeros(SLOTS, wide), np.zeros(SLOTS, np.uint32)
-    for _ in range(passes):
-        if len(seq) < 2 or made >= rules:
-            break
-        keys = seq[:-1].astype(wide) << wide(bits) | seq[1:].astype(wide)
+    seq, pairs, sizes = ids.astype(np.uint32), [np.zeros((0, 2), np.uint32)], np.ones(base, np.int64)
+    slot_rule = np.empty(SLOTS, np.uint32)
+    live = np.ones(max(0, len(seq) - 1), bool)  # the pair that begins here may be frequent
+    while True:
+        wide, bits = (np.uint32, 16) if len(sizes) <= 1 << 16 else (np.uint64, 32)
+        at = np.flatnonzero(live)
+        keys = seq[at].astype(wide) << wide(bits) | seq[at + 1].astype(wide)
         ordered = np.sort(keys)
-        cuts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        cuts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[:len(ordered)])
         counts = np.diff(np.append(cuts, len(ordered)))
         often = np.flatnonzero(counts >= least)
         if not len(often):
             break
-        often = often[np.argsort(-counts[often], kind="stable")][:rules - made]
+        often = often[np.argsort(-counts[often], kind="stable")]
         chosen = ordered[cuts[often]][::-1]  # the most frequent is written last and stays
-        slot_key[:] = 0  # key 0 is no pair that a slot stands for unless its rule says so
+        slot_key = np.zeros(SLOTS, wide)  # key 0 is no pair that a slot stands for unless its rule says so
         slot_rule[:] = NO_RULE
-        at = _slots(chosen)
-        slot_key[at] = chosen
-        slot_rule[at] = np.arange(len(chosen), dtype=np.uint32)
-        at = _slots(keys)
-        hits = np.flatnonzero((slot_key[at] == keys) & (slot_rule[at] != NO_RULE))
+        slots = _slots(chosen)
+        slot_key[slots] = chosen
+        slot_rule[slots] = np.arange(len(chosen), dtype=np.uint32)
+        slots = _slots(keys)
+        rule = slot_rule[slots]
+        live[at] = rule != NO_RULE  # chosen, or in a chosen pair's slot
+        found = (slot_key[slots] == keys) & (rule != NO_RULE)
+        hits, picked = at[found], rule[found]
         run = np.concatenate([[True], np.diff(hits) > 1])  # in a run of overlapping hits, every other one
         heads = np.maximum.accumulate(np.where(run, np.arange(len(hits)), 0))
-        hits = hits[(np.arange(len(hits)) - heads) % 2 == 0]
-        picked = slot_rule[at[hits]]
+        taken = (np.arange(len(hits)) - heads) % 2 == 0
+        hits, picked = hits[taken], picked[taken]
         used = np.bincount(picked, minlength=len(chosen)) > 0
         number = np.cumsum(used) - 1
-        both = chosen[used]
-        seq[hits] = base + made + number[picked]
+        both, fresh = chosen[used], np.uint32(len(sizes))
+        seq[hits] = fresh + number[picked].astype(np.uint32)
         keep = np.ones(len(seq), bool)
         keep[hits + 1] = False
+        live = np.append(live, False)[keep][:-1]
         seq = seq[keep]
+        new = seq >= fresh
+        live |= new[:-1] | new[1:]
         pairs.append(np.stack([both >> wide(bits), both & wide((1 << bits) - 1)], 1).astype(np.uint32))
-        made += len(both)
-    pairs = np.concatenate(pairs)
-    sizes = []
-    for a, b in pairs.tolist():
-        sizes.append((sizes[a - base] if a >= base else 1) + (sizes[b - base] if b >= base else 1))
-    return base, pairs, np.array(sizes, np.uint32), seq
+        sizes = np.concatenate([sizes, sizes[pairs[-1]].sum(1)])
+    return base, np.concatenate(pairs), sizes[base:].astype(np.uint32), seq
 
 
 def _slots(keys: np.ndarray) -> np.ndarray:
@@ -101,16 +104,14 @@ def expand(base: int, pairs: np.ndarray, sizes: np.ndarray, symbols: np.ndarray,
     stop = int(ends[-1]) if stop is None and len(ends) else stop or 0
     lo, hi = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
     seq, skipped = symbols[lo:hi], int(ends[lo - 1]) if lo else 0
-    while len(seq) and len(pairs) and (seq >= base).any():
+    at = ends[lo:hi] - table[seq] - skipped
+    out = np.empty(int(ends[lo:hi][-1]) - skipped if len(seq) else 0, np.uint32)
+    while len(seq):
         rule = seq >= base
-        width = 1 + rule.astype(np.int64)
-        at = np.cumsum(width) - width
-        wider = np.empty(int(width.sum()), np.uint32)
-        wider[at[~rule]] = seq[~rule]
-        wider[at[rule]] = pairs[seq[rule] - base, 0]
-        wider[at[rule] + 1] = pairs[seq[rule] - base, 1]
-        seq = wider
-    return seq[start - skipped:stop - skipped]
+        out[at[~rule]] = seq[~rule]
+        left, right = pairs[seq[rule] - base].T
+        seq, at = np.concatenate([left, right]), np.concatenate([at[rule], at[rule] + table[left]])
+    return out[start - skipped:stop - skipped]
 
 
 def _writer(vocab: str, kind: str, block: int, end_id: int):

@@ -73,6 +73,23 @@ def test_grammar_round_trip_and_random_access():
     assert len(grammar[3]) < len(ids) / 5  # forty copies shrink
 
 
+def test_grammar_leaves_no_frequent_pair():
+    rng = np.random.default_rng(4)
+    words = [rng.integers(0, 50_000, n) for n in rng.integers(2, 90, 3000)]
+    zipf = np.concatenate([words[min(2999, int(k))] for k in rng.zipf(1.3, 9000)])[:1 << 18]
+    copies = np.tile(rng.integers(0, 50_000, 512), 400)
+    wide = np.repeat(rng.permutation(40_000), 2).reshape(-1, 2)[rng.integers(0, 15_000, 1 << 17)].ravel()  # more than 12 000 rules
+    for ids in (zipf, copies, wide, np.full(9000, 3), rng.integers(0, 3, 9000), np.zeros(12, int), np.zeros(13, int)):
+        ids = ids.astype(np.uint32)
+        base, pairs, sizes, seq = repair_ids.compress(ids)
+        _, counts = np.unique(seq[:-1].astype(np.int64) << 32 | seq[1:], return_counts=True)
+        assert not len(counts) or counts.max() < repair_ids.LEAST
+        assert (repair_ids.expand(base, pairs, sizes, seq) == ids).all()
+        for a, b in ((0, 1), (5, 12), (len(ids) // 3, len(ids) // 2), (len(ids) - 3, len(ids))):
+            assert (repair_ids.expand(base, pairs, sizes, seq, a, b) == ids[a:b]).all()
+    assert max(repair_ids.compress(copies.astype(np.uint32))[2]) >= 512  # a whole copy is in one rule
+
+
 def test_check_sums_join():
     a, b, c = b"abcd" * 7, b"", b"xyz!" * 1001
     assert _crc.combine([(zlib.crc32(x), len(x)) for x in (a, b, c)]) == zlib.crc32(a + b + c)
