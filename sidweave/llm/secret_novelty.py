@@ -63,8 +63,16 @@ def novelty(text: str, start: int, end: int) -> float:
     return (len(_compressor().compress(around + own)) - len(_compressor().compress(around))) / len(own)
 
 
+def novel(text: str, start: int, end: int) -> bool:
+    """Whether a run reaches NOVEL: as a whole, or, if over LONGEST, in any of its stretches of LONGEST and of
+    2 * SHORTEST characters, which overlap by SHORTEST; the last of either kind is flush with the end."""
+    if end - start <= LONGEST:
+        return novelty(text, start, end) >= NOVEL
+    return any(novelty(text, s, s + n) >= NOVEL for n in (LONGEST, 2 * SHORTEST) for s in (*range(start, end - n, n - SHORTEST), end - n))
+
+
 def novel_spans(text: str, base: list[Span]) -> list[Span]:
-    """Candidates hold a letter and a digit; longer ones are measured by their first LONGEST characters."""
+    """Candidates hold a letter and a digit."""
     out, seen = [], set()
     for near in CONTEXT.finditer(text):
         at = near.end()
@@ -77,7 +85,7 @@ def novel_spans(text: str, base: list[Span]) -> list[Span]:
             own = text[s:e]
             if not (any(c.isdigit() for c in own) and any(c.isalpha() for c in own)) or any(s < b and a < e for _, a, b, _ in base):
                 continue
-            if novelty(text, s, min(e, s + LONGEST)) >= NOVEL:
+            if novel(text, s, e):
                 out.append(("novel", s, e, s))
     return out
 

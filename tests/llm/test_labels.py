@@ -103,6 +103,20 @@ def test_novel_spans():
     assert S.redacted("plain") == "plain" and S.redacted('token = "deadbeefdeadbeefdeadbeef"!') == 'token = "[SECRET]"!'
 
 
+def test_long_runs_are_measured_to_their_end():
+    rng = np.random.default_rng(8)
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    for n in (390, 401, 500, 1200, 2999):
+        for size in (32, 48, 64, 200, 400):
+            key, dull = "".join(rng.choice(letters, size)), ("/usr/local/bin" * 300)[:n]
+            for run in (dull + key, dull + key + dull):
+                text = f"bearer {run} is sent"
+                if len(run) > S.LONGEST:
+                    assert [x[:3] for x in S.spans(text)[1]] == [("novel", 7, 7 + len(run))]
+                    assert S.redacted(text) == "bearer [SECRET] is sent"
+        assert S.spans(f"bearer {dull}x1 is sent")[1] == S.spans("bearer " + "=" * n + "a1")[1] == []
+
+
 def test_secret_scan_rows(spark, edge, nothing):
     docs = spark.createDataFrame(list(enumerate(SECRETS)), "doc_id bigint, text string").unionByName(edge.select("doc_id", "text"))
     for r in S.secret_scan(docs).where("doc_id < 0 OR n_hex + n_assign + n_access > 0").collect():
