@@ -2,7 +2,7 @@
 
 Beside the base patterns, a candidate is a run of key characters that stands close behind a sensitive
 word. Its novelty is what it adds, per character, to the zstandard size of its surroundings when the
-compressor is primed with identifiers: names, paths and words from the surroundings cost little, random
+compressor is primed with identifiers and words: names, paths and words from the surroundings cost little, random
 keys nearly a byte a character. Candidates of at least NOVEL that no base span overlaps are reported.
 """
 
@@ -36,6 +36,38 @@ IDENTIFIERS = ("access_key access_token account_id admin api_key apikey app_secr
                "service_account session_id session_key session_token settings. signature ssh-rsa static string test_token token undefined user "
                "user_id username value webhook_secret xxxxxxxxxxxxxxxx 00000000 12345678 abcdefghijklmnopqrstuvwxyz 0123456789abcdef "
                "ABCDEFGHIJKLMNOPQRSTUVWXYZ /usr/local/bin/ /etc/ssl/certs/ .pem .json .yaml .env .com .org .net")
+#: Words of names, paths and prose, so that long names made of them are known.
+WORDS = """about above accept access account action active activity adapter address administrator after against agent allow amount analysis another
+answer application archive argument array article assistant async attempt attribute audience auth authenticate authenticated authentication authenticity
+authority author authors authorized authorizer available average backend backup balance banner basket because before between binary board body boundary
+branch browser buffer build builder bundle business button cache calendar callback campaign cancel capability catalog category certificates chain challenge
+change channel character charge check children circumstances city claim class classification cleanup client clock close cloud cluster code collection
+column command comment common communication community company compare complete component components compute condition configuration connect connection
+console constant constants consumer contact container content context contract control controller convert cookie cookies copy core count counter country
+create created creator crypto current customer cycle daemon dashboard data debug decode default definition delegate delete delivery deploy deployment
+description design desktop destination detail details developer development device dialog dictionary different digest directory disable discovery display
+distribution document documentation domain download driver duration dynamic editor education element email employee enable encode encoding engine entity
+entry enum error event example exception exchange execute executor expired expiration export extension external factory failure feature field fields file
+files filter final first folder follow format forward frame framework frontend function functions gateway general generate generated generator global grant
+group guide handler hash header headers health hello helper helpers history home hook hooks host hours http https human identifier identity image images
+implementation important include index individual info information initial inline input insert install instance integer integration interceptor interface
+internal international internationalization interval invalid invoice issue issuer item iterator java javascript job json keys label language large latest layer layout
+level library license light limit link list listener loader local location lock logger logging logout long machine mail main management manager mapper
+market master match maximum media member memory message messages metadata method middleware migration minimum mobile mode model models module modules
+monitor month move name namespace native network never node node_modules normal notification number object offline online open operation operator option
+options order organization origin output owner package page panel parameter parameters parent parse parser partial partner path pattern payload payment
+people performance period permission permissions person phone picture pipeline platform player plugin point policy pool position power prefix prepare
+previous private process processing processor producer product production profile program project promise property protected protocol provider providers
+proxy public publish purchase query queue random range reader receive record recovery redirect reference region register registration registry relation
+release reload remote remove render replace reply report repository request required reset resolve resolver resource resources response responsibility
+result results retry return review role router routes rule runtime sample scale schedule schema scope screen script search second section security select
+sender serializer server servers service services setting settings setup share short shutdown signal signed signer simple single size social software source
+spring stack standard start state statement status storage store strategy stream structure student style submit subscription success suffix support switch
+symbol sync system table target task team template templates tenant terminal test tests testing text theme thread throttle through ticket time timeout
+timestamp title tokens toolkit tools topic total trace track traffic transaction transfer transform transport trigger type types under understanding
+unique university update upload usage users utils utility valid validate validation validator variable vendor verification verify verifier version video
+view views virtual visible volume wallet warning watch website while widget window without worker workflow wrapper writer written year zone
+django doc docs established facebook github google linkedin packages react samesite share state-of-the-art twitter well-known youtube"""
 
 Span = tuple[str, int, int, int]  # kind, start, end, start of the secret itself
 
@@ -52,7 +84,8 @@ def base_spans(text: str) -> list[Span]:
 
 @cache
 def _compressor():
-    primer = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    words = " ".join(WORDS.split())
+    primer = zstandard.ZstdCompressionDict(f"{words.upper()} {words.title()} {words} {IDENTIFIERS}".encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     return zstandard.ZstdCompressor(level=6, dict_data=primer, write_checksum=False, write_content_size=False, write_dict_id=False)
 
 
@@ -72,7 +105,7 @@ def novel(text: str, start: int, end: int) -> bool:
 
 
 def novel_spans(text: str, base: list[Span]) -> list[Span]:
-    """Candidates hold a letter and a digit."""
+    """Runs of SHORTEST characters or more that begin within REACH behind a sensitive word, whatever characters they hold."""
     out, seen = [], set()
     for near in CONTEXT.finditer(text):
         at = near.end()
@@ -82,8 +115,7 @@ def novel_spans(text: str, base: list[Span]) -> list[Span]:
             if e - s < SHORTEST or s in seen:
                 continue
             seen.add(s)
-            own = text[s:e]
-            if not (any(c.isdigit() for c in own) and any(c.isalpha() for c in own)) or any(s < b and a < e for _, a, b, _ in base):
+            if any(s < b and a < e for _, a, b, _ in base):
                 continue
             if novel(text, s, e):
                 out.append(("novel", s, e, s))

@@ -103,6 +103,18 @@ def test_novel_spans():
     assert S.redacted("plain") == "plain" and S.redacted('token = "deadbeefdeadbeefdeadbeef"!') == 'token = "[SECRET]"!'
 
 
+def test_any_characters_may_be_a_key():
+    rng = np.random.default_rng(9)
+    for letters in ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"):
+        for size in (16, 24, 40) if len(letters) > 10 else (20, 24):
+            for _ in range(20):
+                key = "".join(rng.choice(list(letters), size))
+                assert S.redacted(f"Authorization: Bearer {key} was sent") == "Authorization: Bearer [SECRET] was sent"
+    for known in ("internationalization", "getAuthenticatedUserSession", "authentication_credentials_provider", "src/components/login/index.js", "responsibilities",
+                  "----------------", "UsernamePasswordAuthenticationToken", "www.example.com/login/callback", "org.springframework.security.core"):
+        assert S.spans(f"The session and the author of {known} and more")[1] == []
+
+
 def test_long_runs_are_measured_to_their_end():
     rng = np.random.default_rng(8)
     letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
