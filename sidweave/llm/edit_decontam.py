@@ -11,6 +11,7 @@ Myers' bit-parallel algorithm gives the smallest edit distance of the window wit
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from . import _text
 
 WINDOW, RATE, LEAST, BLOCK_CHARS = 120, 20, 24, 2_000_000
+#: Two characters within a word: neither is of a script that is written without spaces.
+INSIDE = re.compile(r"(?:(?![\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff])[^\W_]){2}")
 FOUND = "doc_id bigint, item_id bigint, errors int, at bigint"
 
 
@@ -28,10 +31,10 @@ def normal(text: str) -> str:
     return " ".join(text.lower().split())
 
 
-def windows(text: str, size: int = WINDOW) -> list[str]:
+def windows(text: str, size: int = WINDOW, least: int = LEAST) -> list[str]:
     """Windows of `size` every half of it and of two thirds of `size` every third of it, so that any `size` points
-    of a normal text hold a whole one; the last of either kind is flush with the end."""
-    if len(text) < LEAST:
+    of a normal text hold a whole one; the last of either kind is flush with the end. Texts under `least` points have none."""
+    if len(text) < max(1, least):
         return []
     short, out = max(1, size * 2 // 3), []
     for n, step in ((size, max(1, size // 2)), (short, max(1, size - short))):
@@ -71,16 +74,33 @@ def myers(eq: dict[str, int], m: int, text: str, most: int) -> tuple[int, int]:
     return best, end
 
 
+def bordered(pattern: str, text: str, lo: int, hi: int, most: int) -> tuple[int, int]:
+    """(smallest edit distance of the pattern to a part of text[lo:hi] that no word runs out of, where that part starts);
+    over `most`: (most + 1, -1)."""
+    cuts = [i for i in range(lo, hi + 1) if i in (0, len(text)) or not INSIDE.match(text[i - 1:i + 1])]
+    best, start = most + 1, -1
+    for a in cuts:
+        row, ends = list(range(len(pattern) + 1)), set(cuts)
+        for j in range(a, min(hi, a + len(pattern) + most)):
+            above, row = row, [j - a + 1]
+            for i, c in enumerate(pattern):
+                row.append(min(above[i] + (c != text[j]), above[i + 1] + 1, row[i] + 1))
+            if j + 1 in ends and row[-1] < best:
+                best, start = row[-1], a
+    return best, start
+
+
 class Matcher:
     """An automaton over the pieces of some items' windows."""
 
-    def __init__(self, items: list[tuple[int, str]], window: int = WINDOW, rate: int = RATE) -> None:
+    def __init__(self, items: list[tuple[int, str]], window: int = WINDOW, rate: int = RATE, least: int = LEAST) -> None:
         self.rate, self.windows, places = rate, [], {}
         for item, text in items:
-            for w in windows(normal(text or ""), window):
+            text = normal(text or "")
+            for w in windows(text, window, least):
                 for offset, piece in pieces(w, rate):
                     places.setdefault(piece, []).append((len(self.windows), offset + len(piece)))
-                self.windows.append((item, w, masks(w)))
+                self.windows.append((item, w, masks(w), len(text) < LEAST))
         self.automaton = ahocorasick.Automaton()
         for piece, at in places.items():
             self.automaton.add_word(piece, at)
@@ -99,20 +119,25 @@ class Matcher:
                 if (w, start) in tried:
                     continue
                 tried.add((w, start))
-                item, pattern, eq = self.windows[w]
+                item, pattern, eq, short = self.windows[w]
                 if item in best and best[item][0] == 0:
                     continue
                 k = len(pattern) // self.rate
                 lo = max(0, start - k)
+                if short:
+                    errors, begin = bordered(pattern, text, lo, min(len(text), start + len(pattern) + k), k)
+                    if errors <= k:
+                        best[item] = min(best.get(item, (k + 1, 0)), (errors, begin))
+                    continue
                 errors, stop = myers(eq, len(pattern), text[lo:start + len(pattern) + k], k)
                 if errors <= k:
                     best[item] = min(best.get(item, (k + 1, 0)), (errors, max(0, lo + stop - len(pattern))))
         return best
 
 
-def _search(shared, window: int, rate: int):
+def _search(shared, window: int, rate: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(shared.value, window, rate)
+        matcher = Matcher(shared.value, window, rate, least)
         for batch in batches:
             for at, texts in _text.slices(batch):
                 ids, rows = batch.column(0), ([], [], [], [])
@@ -133,29 +158,33 @@ def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list[DataFra
     return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)]
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rate: int = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rate: int = RATE, block_chars: int = BLOCK_CHARS,
+          least: int = 1) -> DataFrame:
     """doc_id, item_id, errors, at: one row for each document row and test item found in it.
 
     `at` is the place in the normal text of the window with the fewest errors. Items under LEAST code
-    points, NULL items and NULL item ids are left out: too short to tell a leak. NULL and empty texts
+    points (whole, in as many edits for their length) have to stand between word borders; items under `least`, empty and
+    NULL items and NULL item ids are left out. NULL and empty texts
     match nothing. Repeated rows give repeated results; an empty table or benchmark gives an empty result.
     """
     spark, out = docs.sparkSession, None
     for block in blocks(benchmark, block_chars):
         shared = spark.sparkContext.broadcast([(r.item_id, r.text) for r in block.collect()])
-        found = _text.rows(docs).mapInArrow(_search(shared, window, rate), FOUND)
+        found = _text.rows(docs).mapInArrow(_search(shared, window, rate, least), FOUND)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else spark.createDataFrame([], FOUND)
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rate: int = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of `docs` in which no test item is found, block after block, filtered where they are read."""
+def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rate: int = RATE, block_chars: int = BLOCK_CHARS,
+                   least: int = LEAST) -> DataFrame:
+    """The rows of `docs` in which no test item is found, block after block, filtered where they are read. Items under
+    `least` code points drop no document: an answer like "yes" stands in most of them; leaks() reports them."""
     spark, names = docs.sparkSession, docs.columns
     for block in blocks(benchmark, block_chars):
         shared = spark.sparkContext.broadcast([(r.item_id, r.text) for r in block.collect()])
 
         def run(batches, shared=shared):
-            matcher = Matcher(shared.value, window, rate)
+            matcher = Matcher(shared.value, window, rate, least)
             for batch in batches:
                 texts = batch.column(names.index("text"))
                 yield batch.filter(pa.array([not matcher.search(t.as_py() or "") for t in texts], pa.bool_()))

@@ -140,6 +140,20 @@ def test_long_windows_keep_their_edits():
     assert D.Matcher([(1, text)]).search(doc) == {1: (6, 0)}
 
 
+def test_short_items(spark):
+    items = [(1, "Yes"), (2, "x"), (3, "Who wrote it?"), (4, "twenty-one points, ok"), (5, " "), (6, None), (7, "日本語")]
+    docs = ["yesterday", "Oh YES, sir", "yes", "boxes 12x3", "x", "asked: who\n wrote  it? Nobody", "who wrote it", "so twenty-one paints, ok then",
+            "so twenty-one points, okay", "so twenty-one pints, ok", "abctwenty-one points, ok", "twenty-two paints, ok", "私は日本語", "日本語!", ""]
+    want = {(1, 1, 0, 3), (2, 1, 0, 0), (4, 2, 0, 0), (5, 3, 0, 7), (7, 4, 1, 3), (9, 4, 1, 3), (12, 7, 0, 2), (13, 7, 0, 0)}
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {tuple(r) for r in D.leaks(table, bench).collect()}
+    assert got == want, got ^ want
+    assert D.leaks(table, bench, least=D.LEAST).count() == 0
+    assert D.decontaminated(table, bench).count() == len(docs)
+    assert {r.doc_id for r in D.decontaminated(table, bench, least=1).collect()} == set(range(len(docs))) - {i for i, *_ in want}
+
+
 def brute_sketch(spark, text):
     words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
     grams = [words[i:i + 5] for i in range(max(1, len(words) - 4))] if words else []
