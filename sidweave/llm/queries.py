@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read, scratch
 from . import (
-    certified_packing, chat_format, edit_decontam, ftrl_toxicity, repair_ids, rule_quality, secret_novelty, simhash_trie, threshold_sketch,
+    certified_packing, chat_format, edit_decontam, ftrl_toxicity, rank_array_bpe, repair_ids, rule_quality, secret_novelty, simhash_trie, threshold_sketch,
     token_counts,
 )
 
@@ -101,3 +101,8 @@ def op9_ftrl_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_rule_quality(spark: SparkSession, sf: str) -> DataFrame:
     return rule_quality.quality(read(spark, sf, "documents"), read(spark, sf, "labels"), threshold=0.3)
+
+
+@query
+def op13_rank_array_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return rank_array_bpe.round_trip(read(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

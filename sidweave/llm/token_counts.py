@@ -66,7 +66,7 @@ def _chunks(chunk: int, overlap: int):
 def token_ends(m: PieceMemo, text: str) -> np.ndarray:
     """Byte offsets at which the tokens of a text end (a literal word mark needs the library's own offsets)."""
     ids = np.frombuffer(m.call([text])[0], np.uint32) if "▁" in text else m.ids(pa.array([text], pa.string()))[0]
-    ends = np.cumsum(m.sizes[ids]) - 1  # the library's own word mark before the text
+    ends = np.cumsum(m.sizes_of[ids]) - 1  # the library's own word mark before the text
     size = len(text.encode())
     if len(ends) and ends[-1] == size:
         return ends
