@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import read, scratch
 from . import (
     certified_packing, chat_format, edit_decontam, ftrl_toxicity, rank_array_bpe, repair_ids, rule_quality, secret_novelty, simhash_trie, threshold_sketch,
-    token_counts,
+    strata_search, token_counts,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,25 @@ def op10_rule_quality(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op13_rank_array_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return rank_array_bpe.round_trip(read(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+ORACLES["op11_strata_search"] = r"""
+    WITH t AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+    p AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+    d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+    s AS (SELECT count(*) AS size, CAST(sum(n) AS BIGINT) AS total FROM d),
+    m AS (SELECT doc_id, 100 - 25 + (25 * n * size) // total AS m FROM d, s),
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * size + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, s GROUP BY term, size),
+    q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    r AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+          FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM r WHERE score > 0 QUALIFY rank <= 20"""
+
+
+@query
+def op11_strata_search(spark: SparkSession, sf: str) -> DataFrame:
+    return strata_search.ranked_search(read(spark, sf, "documents"), read(spark, sf, "benchmark"), k=20)
