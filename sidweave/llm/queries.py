@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read, scratch
 from . import (
-    certified_packing, chat_format, edit_decontam, ftrl_toxicity, rank_array_bpe, repair_ids, rule_quality, secret_novelty, simhash_trie, threshold_sketch,
-    strata_search, token_counts,
+    certified_packing, chat_format, edit_decontam, ftrl_toxicity, hat_collocations, rank_array_bpe, repair_ids, rule_quality, secret_novelty,
+    simhash_trie, strata_search, threshold_sketch, token_counts,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,30 @@ ORACLES["op11_strata_search"] = r"""
 @query
 def op11_strata_search(spark: SparkSession, sf: str) -> DataFrame:
     return strata_search.ranked_search(read(spark, sf, "documents"), read(spark, sf, "benchmark"), k=20)
+
+
+ORACLES["op12_hat_collocations"] = r"""
+    WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+                      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+    p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws FROM d),
+    g AS (SELECT lang, unnest(flatten(list_transform(range(1, 5), lambda k:
+              list_transform(range(1, greatest(len(ws) - k + 2, 1)), lambda s: ws[s:s + k - 1])))) AS ws FROM p WHERE len(ws) > 0),
+    c AS (SELECT lang, ws, count(*) AS f FROM g GROUP BY ALL),
+    n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM c WHERE len(ws) = 1 GROUP BY lang),
+    often AS (SELECT * FROM c WHERE f >= 30),
+    k AS (SELECT lang, ws, f AS a, unnest(range(1, len(ws))) AS k FROM often WHERE len(ws) > 1),
+    s AS (SELECT k.lang, k.ws, k.a, k.k, x.f AS l, y.f AS r, CAST((2000000 * CAST(k.a AS HUGEINT)) // (x.f + y.f) AS BIGINT) AS score
+          FROM k JOIN often x ON x.lang = k.lang AND x.ws = k.ws[1:k.k] JOIN often y ON y.lang = k.lang AND y.ws = k.ws[k.k + 1:]),
+    w AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+    i AS (SELECT lang, f, unnest(flatten(list_transform(range(2, len(ws)), lambda z:
+              list_transform(range(1, len(ws) - z + 2), lambda b: ws[b:b + z - 1])))) AS ws FROM often WHERE len(ws) > 2),
+    m AS (SELECT lang, ws, max(f) AS f FROM i GROUP BY ALL),
+    o AS (SELECT w.lang, array_to_string(w.ws, ' ') AS phrase, a, l, r, score FROM w LEFT JOIN m ON m.lang = w.lang AND m.ws = w.ws
+          WHERE m.f IS NULL OR 100 * CAST(m.f AS HUGEINT) < 80 * CAST(a AS HUGEINT))
+    SELECT o.lang, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM o JOIN n ON n.lang = o.lang QUALIFY rank <= 2000"""
+
+
+@query
+def op12_hat_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return hat_collocations.collocations(read(spark, sf, "documents"))
