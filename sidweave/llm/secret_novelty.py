@@ -10,14 +10,16 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
-from functools import cache
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
 from . import _text
+from ._memo import kept
 
 #: The base patterns. Letters of the first match in either case, ASCII only.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -82,11 +84,14 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-@cache
-def _compressor():
-    words = " ".join(WORDS.split())
-    primer = zstandard.ZstdCompressionDict(f"{words.upper()} {words.title()} {words} {IDENTIFIERS}".encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    return zstandard.ZstdCompressor(level=6, dict_data=primer, write_checksum=False, write_content_size=False, write_dict_id=False)
+def _compressor() -> zstandard.ZstdCompressor:
+    """One for the life of the worker; a cached function would be shipped by name, which needs an installed copy."""
+    held = kept("novelty")
+    if "compressor" not in held:
+        words = " ".join(WORDS.split())
+        primer = zstandard.ZstdCompressionDict(f"{words.upper()} {words.title()} {words} {IDENTIFIERS}".encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        held["compressor"] = zstandard.ZstdCompressor(level=6, dict_data=primer, write_checksum=False, write_content_size=False, write_dict_id=False)
+    return held["compressor"]
 
 
 def novelty(text: str, start: int, end: int) -> float:
@@ -105,20 +110,35 @@ def novel(text: str, start: int, end: int) -> bool:
 
 
 def novel_spans(text: str, base: list[Span]) -> list[Span]:
-    """Runs of SHORTEST characters or more that begin within REACH behind a sensitive word, whatever characters they hold."""
-    out, seen = [], set()
+    """Runs of SHORTEST characters or more that begin within REACH behind a sensitive word, whatever characters they hold.
+
+    Sensitive words inside a run begin later candidates of the same run. A run is measured from its first candidate
+    on, and from later ones only if that did not reach NOVEL and at most LONGEST characters are left, as the first
+    one's stretches cover what lies before; so a run costs time in proportion to its length.
+    """
+    ordered = sorted((a, b) for _, a, b, _ in base)
+    starts, reach = [a for a, _ in ordered], list(accumulate((b for _, b in ordered), max))
+    out, begins, ends, over, seen = [], [], [], [], set()  # known runs in order; over: nothing more to measure in it
     for near in CONTEXT.finditer(text):
-        at = near.end()
-        while m := CANDIDATE.search(text, at, min(len(text), near.end() + REACH)):
-            s, e = m.start(), CANDIDATE.match(text, m.start()).end()
-            at = e
-            if e - s < SHORTEST or s in seen:
+        at, stop = near.end(), min(len(text), near.end() + REACH)
+        while m := CANDIDATE.search(text, at, stop):
+            s = m.start()
+            k = bisect_right(begins, s) - 1
+            if k < 0 or s >= ends[k]:
+                begins.append(s)
+                ends.append(CANDIDATE.match(text, s).end())
+                over.append(False)
+                k = len(ends) - 1
+            at = e = ends[k]
+            if over[k] or e - s < SHORTEST or s in seen or (e - s > LONGEST and s > begins[k]):
                 continue
             seen.add(s)
-            if any(s < b and a < e for _, a, b, _ in base):
+            hit = bisect_right(starts, e - 1) - 1
+            if hit >= 0 and reach[hit] > s:  # a base span overlaps
                 continue
             if novel(text, s, e):
                 out.append(("novel", s, e, s))
+                over[k] = True
     return out
 
 

@@ -219,8 +219,9 @@ def keep_one(docs: DataFrame, words: int = 4, budget: int = 4) -> DataFrame:
     """The rows of `docs` of which one is kept for each component: that of the smallest id (NULL last)."""
     found = simhash_classes(docs, words, budget)
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))).alias("k")
-    kept = found.groupBy("root").agg(first).select(F.col("k.id").alias("_id"), F.col("k.hash").alias("_hash"))
-    marked = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
-    rows = marked.join(kept, same, "left_semi")
-    return rows.dropDuplicates(["doc_id", "_text_hash"]).select(*[f"`{c}`" for c in docs.columns])
+    kept = found.groupBy("root").agg(first).select("k.id", "k.hash")
+    # all columns travel in one struct, so none can clash with the two names beside it
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("own_id"),
+                         F.xxhash64(F.coalesce("text", F.lit(""))).alias("own_hash"))
+    rows = marked.join(kept, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash")), "left_semi")
+    return rows.dropDuplicates(["own_id", "own_hash"]).select("row.*")

@@ -9,8 +9,9 @@ EDGE = [(1, "Alpha beta gamma delta epsilon zeta eta theta."), (1, "Alpha beta g
 @pytest.fixture()
 def edge(spark):
     """Edge rows with extra columns whose names the operators use inside."""
-    rows = [(i, t, "x", 1, None) for i, t in EDGE]
-    return spark.createDataFrame(rows, "doc_id bigint, text string, fp string, row int, n_tokens string")
+    names = ("_text_hash", "_id", "_hash", "_range", "_ghost", "text_hash", "own_id", "id", "hash")
+    rows = [(i, t, "x", 1, None, *(f"{n} {k}" for n in names)) for k, (i, t) in enumerate(EDGE)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, fp string, row int, n_tokens string, " + ", ".join(f"{n} string" for n in names))
 
 
 @pytest.fixture()

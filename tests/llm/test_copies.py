@@ -59,6 +59,9 @@ def test_keep_one(spark, edge, nothing):
     rows = sorted((str(r.doc_id), str(r.text)) for r in kept.collect())
     assert len([r for r in rows if r[0] == "1"]) == 1  # of two equal rows one stays
     assert len(rows) == S.simhash_classes(edge).select("root").distinct().count() == 7
+    for r in kept.collect():  # every column as it came, whatever its name
+        k = r["_id"].split()[1]
+        assert all(r[n] == f"{n} {k}" for n in edge.columns[5:]) and (r.doc_id, r.text) == EDGE[int(k)]
     assert S.keep_one(nothing).count() == 0 and S.simhash_classes(nothing).count() == 0
 
 

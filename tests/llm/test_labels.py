@@ -2,6 +2,10 @@
 
 import hashlib
 import json
+import os
+import string
+import subprocess
+import sys
 import zlib
 
 import corpus_pipeline
@@ -129,6 +133,71 @@ def test_long_runs_are_measured_to_their_end():
         assert S.spans(f"bearer {dull}x1 is sent")[1] == S.spans("bearer " + "=" * n + "a1")[1] == []
 
 
+def test_long_runs_take_time_in_proportion():
+    import random
+    import time
+
+    rng = random.Random(6)
+    for text in ("token" * 20_000, "secret=" * 14_000, "key: " + "token_" * 17_000 + " auth " * 1000, "".join(rng.choice("token= s") for _ in range(100_000)),
+                 "password: " + "".join(rng.choice("abc0") for _ in range(100_000))):
+        S.spans("token x")
+        began = time.process_time()
+        S.spans(text)
+        assert time.process_time() - began < 1
+
+
+ALPHABETS = {"base62": string.ascii_letters + string.digits, "base64": string.ascii_letters + string.digits + "+/", "upper and digits": string.ascii_uppercase + string.digits,
+             "lower and digits": string.ascii_lowercase + string.digits, "letters": string.ascii_letters, "lower": string.ascii_lowercase}
+
+
+def planted(name: str, length: int, n: int = 60) -> float:
+    """Share of random keys behind a sensitive word, in prose, that are reported where they stand."""
+    import random
+
+    rng, hits = random.Random(f"{name} {length}"), 0
+    for _ in range(n):
+        key = "".join(rng.choice(ALPHABETS[name]) for _ in range(length))
+        text = f"The deploy notes say the {rng.choice(['credential', 'bearer', 'session', 'private key', 'auth header'])} is {key} and nothing else was changed on the server."
+        hits += any(k == "novel" and text[a:b] == key for k, a, b, _ in S.spans(text)[1])
+    return hits / n
+
+
+@pytest.mark.parametrize("name, length, least", [(a, n, 0.95) for a in ("base62", "base64") for n in (16, 20, 24, 32, 40, 64, 100)]
+                         + [("upper and digits", n, 0.95) for n in (16, 24, 32, 40)] + [("lower and digits", n, 0.9) for n in (16, 24, 32, 40)]
+                         + [("letters", n, 0.9) for n in (16, 24, 32, 64)] + [("lower", n, 0.9) for n in (16, 24, 32)])
+def test_planted_keys(name, length, least):
+    assert planted(name, length) >= least
+
+
+def test_workers_need_no_installed_copy(tmp_path):
+    """Driver with the package, executors' Python without it: operators that ran by-name objects would fail."""
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = f"""
+import sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+def there(_):
+    try:
+        import sidweave
+        yield True
+    except ImportError:
+        yield False
+assert spark.sparkContext.parallelize([1], 1).mapPartitions(there).collect() == [False]
+sys.path.insert(0, {repo!r})
+import public_tokenizers as P
+from sidweave.llm import edit_decontam, hat_collocations, rank_array_bpe, secret_novelty, simhash_trie, strata_search, token_counts
+docs = spark.createDataFrame([(1, "the token is aB3xY9zQ1wE7rT5u here", "en")], "doc_id bigint, text string, lang string")
+items = docs.selectExpr("doc_id AS item_id", "text")
+for df in (secret_novelty.secret_scan(docs), secret_novelty.redact(docs), simhash_trie.keep_one(docs), edit_decontam.leaks(docs, items),
+           token_counts.token_counts(docs, P.path("piece_bpe_32k.model")), rank_array_bpe.round_trip(docs, P.path("byte_bpe_50k.json")),
+           strata_search.ranked_search(docs, items), hat_collocations.collocations(docs, least=1)):
+    assert df.count() >= 1
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-3000:]
+
+
 def test_secret_scan_rows(spark, edge, nothing):
     docs = spark.createDataFrame(list(enumerate(SECRETS)), "doc_id bigint, text string").unionByName(edge.select("doc_id", "text"))
     for r in S.secret_scan(docs).where("doc_id < 0 OR n_hex + n_assign + n_access > 0").collect():

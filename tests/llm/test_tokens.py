@@ -1,5 +1,6 @@
 """Token counts, id shards and packing against the libraries' own results on whole texts."""
 
+import os
 import random
 import zlib
 
@@ -90,6 +91,24 @@ def test_grammar_leaves_no_frequent_pair():
     assert max(repair_ids.compress(copies.astype(np.uint32))[2]) >= 512  # a whole copy is in one rule
 
 
+def test_a_workers_second_task_starts_warm(spark, path):
+    """Functions are shipped by value; the memo outlives the task that made it."""
+    vocab = path(FILES["word"])
+
+    def run(batches):
+        m = memo("word", vocab)
+        for batch in batches:
+            before = len(m.sizes)
+            m.ids(batch.column(0))
+            yield pa.RecordBatch.from_arrays([pa.array([os.getpid()], pa.int64()), pa.array([before], pa.int64()), pa.array([len(m.sizes)], pa.int64())],
+                                             ["pid", "before", "after"])
+
+    texts = spark.createDataFrame([("warm worker words " * 3,)], "text string").coalesce(1)
+    seen = [texts.mapInArrow(run, "pid bigint, before bigint, after bigint").collect()[0] for _ in range(6)]
+    later = [(a, b) for k, b in enumerate(seen) for a in seen[:k] if a.pid == b.pid]
+    assert later and all(b.before >= a.after >= 3 for a, b in later)
+
+
 def test_check_sums_join():
     a, b, c = b"abcd" * 7, b"", b"xyz!" * 1001
     assert _crc.combine([(zlib.crc32(x), len(x)) for x in (a, b, c)]) == zlib.crc32(a + b + c)
