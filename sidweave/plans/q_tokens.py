@@ -373,6 +373,34 @@ def _coded(spark, sf):
     return Q.encode(v, "x", book), book
 
 
+def _lloyd_sql(steps=2, layers=2):
+    """Lloyd steps from the label means, layer by layer, on what the layer before left over."""
+    extra = dict(_CB)
+    for la in range(layers):
+        extra[f"c{la}_0"] = f"SELECT code, c FROM cb WHERE layer={la}"
+        for st in range(steps + 1):
+            extra[f"a{la}_{st}"] = (f"SELECT vec_id, any_value(x) x, arg_min(code, (round(list_sum(list_transform(range(1,65), lambda k: (x[k]-c[k])**2)),12), code)) code "
+                                    f"FROM v{la} CROSS JOIN c{la}_{st} GROUP BY vec_id")
+            extra[f"c{la}_{st + 1}"] = (f"SELECT code, list(m ORDER BY k) c, max(n) n FROM (SELECT code, k, count(*) n, floor(sum(floor(x[k]*1048576+0.5::DOUBLE)::HUGEINT)/1048576::DOUBLE/count(*)*1000000+0.5::DOUBLE)/1000000 m "
+                                        f"FROM (SELECT code, x, unnest(range(1,65)) k FROM a{la}_{st}) GROUP BY 1,2) GROUP BY 1")
+        extra[f"v{la + 1}"] = f"SELECT vec_id, list_transform(range(1,65), lambda k: x[k]-c[k]) x FROM a{la}_{steps} JOIN c{la}_{steps} USING (code)"
+    return extra
+
+
+@query("G2_lloyd_steps", O.sql(" UNION ALL ".join(
+    f"SELECT {la}::INT AS layer, a.code::INT AS code, count(*) AS n, {O.r6('max(list_sum(c.c))')} AS centre_sum, {O.r6('max(c.c[1])')} AS first_value "
+    f"FROM a{la}_2 a JOIN c{la}_2 c USING (code) GROUP BY a.code" for la in range(2)), **_lloyd_sql()))
+def g2b(spark, sf):
+    """Two Lloyd steps a layer from given centres."""
+    v = cut(_vectors(spark, sf).withColumn("x", F.col("embedding").cast("array<double>")))
+    book = Q.train(v, "vec_id", "x", n_layers=2, k=0, max_iter=2, start=_label_codebook(spark, sf))
+    coded = Q.encode(v, "x", book).select(F.posexplode("codes").alias("layer", "code")).groupBy("layer", "code").agg(F.count(F.lit(1)).alias("n"))
+    rows = [(la, c, float(x.sum()), float(x[0])) for la, layer in enumerate(book) for c, x in enumerate(layer)]
+    sums = spark.createDataFrame(rows, "layer int, code int, centre_sum double, first_value double")
+    return coded.join(F.broadcast(sums), ["layer", "code"]).select(
+        "layer", "code", "n", r6(F.col("centre_sum")).alias("centre_sum"), r6(F.col("first_value")).alias("first_value"))
+
+
 @query("G3_encode", O.sql("SELECT vec_id, n0.code||','||n1.code||','||n2.code AS codes FROM n0 JOIN n1 USING (vec_id) JOIN n2 USING (vec_id)", **_LAY))
 def g3(spark, sf):
     return _coded(spark, sf)[0].select("vec_id", F.array_join("codes", ",").alias("codes"))
