@@ -441,7 +441,7 @@ def g6(spark, sf):
 def g7(spark, sf):
     e = read(spark, sf, "embeddings")
     out = R.dense_search(e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")),
-                         e.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector")), 5, 256, 256)
+                         e.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector")), 5, list_rows=256)
     return out.withColumn("score", r6(F.col("score")))
 
 

@@ -1,5 +1,6 @@
 """Distributed numbering, sampling, joins, packing, balancing and retrieval against brute force."""
 
+import math
 import random
 
 import numpy as np
@@ -224,6 +225,70 @@ def test_dense_search(spark):
         assert [r.doc_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == want
 
 
+def test_dense_search_skips_lists_that_cannot_reach(spark):
+    """Clusters, one of which holds a third of all rows as copies: the same rows as a full product, most pairs skipped."""
+    rng = np.random.default_rng(3)
+    hubs = rng.normal(size=(12, 16)) * 4
+    v = np.concatenate([np.repeat(hubs[:1], 400, 0), hubs[rng.integers(1, 12, 800)] + rng.normal(size=(800, 16)) * 0.05])
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id bigint, vector array<double>")
+    queries, corpus = df.where("id % 20 = 0").withColumnRenamed("id", "query_id"), df.withColumnRenamed("id", "doc_id")
+    got = sorted((r.query_id, r["rank"], r.doc_id) for r in R.dense_search(queries, corpus, 5, 100, 64).collect())
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    s = np.round(u[::20] @ u.T, 6)
+    assert got == [(20 * q, rank + 1, d) for q in range(60) for rank, d in enumerate(sorted(range(1200), key=lambda d: (-s[q, d], d))[:5])]
+    assert R.skipped_share(queries, corpus, 5, 100, 64) > 0.5
+    assert R.dense_search(queries, corpus.where("false"), 5).count() == 0 == R.dense_search(queries.where("false"), corpus, 5).count()
+
+
+def test_lexical_search_in_small_blocks(spark):
+    """Blocks, query parts and the bound on them change no row."""
+    rng = random.Random(5)
+    names = [f"w{k}" for k in range(80)]
+    texts = [" ".join(rng.choices(names, [1 / (k + 1) for k in range(80)], k=rng.randint(0, 60))) for _ in range(300)] + [None, "  ", "W1\tw1\nw2"]
+    corpus = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    asked = [(k, " ".join(rng.choices(names, k=rng.randint(1, 9)))) for k in range(25)] + [(98, ""), (99, "never seen")]
+    queries = spark.createDataFrame(asked, "query_id bigint, text string")
+    words = [(t or "").lower().split() for t in texts]
+    df = {w: sum(w in x for x in words) for w in names}
+    average, want = sum(map(len, words)) / len(words), []
+    for q, text in asked:
+        scored = []
+        for i, x in enumerate(words):
+            s = sum(math.log(1 + (len(words) - df[w] + 0.5) / (df[w] + 0.5)) * x.count(w) * 1.9 / (x.count(w) + 0.9 * (0.6 + 0.4 * len(x) / average))
+                    for w in text.split() if w in x)
+            scored += [(-round(s, 6), i)] * (s > 0)
+        want += [(q, rank, i) for rank, (_, i) in enumerate(sorted(scored)[:4], 1)]
+    for args in ({}, {"query_terms": 20, "block_bytes": 300}):
+        got = sorted((r.query_id, r["rank"], r.doc_id) for r in R.lexical_search(queries, corpus, 4, **args).collect())
+        assert got == want
+    assert R.lexical_search(queries, corpus.where("false"), 4).count() == 0 == R.lexical_search(queries.where("false"), corpus, 4).count()
+
+
+def test_quantizer_start_and_empty_centres(spark):
+    """Spread-out start: one centre a cluster; a centre without rows takes half of the fullest one; layers in groups."""
+    rng = np.random.default_rng(7)
+    hubs = rng.normal(size=(6, 8)) * 10
+    x = np.round(hubs[rng.integers(0, 6, 600)] + rng.normal(size=(600, 8)) * 0.1, 4)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "key bigint, x array<double>")
+    start = Q.start_centres(df, 0, 6, 5)
+    assert len({int(((hubs - c) ** 2).sum(1).argmin()) for c in start}) == 6
+    assert (start == Q.start_centres(df.repartition(7), 0, 6, 5)).all()
+    far = np.concatenate([start[:4], np.full((2, 8), 999.0)])
+    new, n = Q.lloyd_step(df, far)
+    assert (n[4:] == 0).all() and np.abs(new).max() < 100
+    assert (Q.lloyd_step(df, new)[1] > 0).all()
+    few = Q.start_centres(df.limit(3), 0, 6, 5)
+    assert few.shape == (6, 8)
+    book = Q.train(df, "key", "x", n_layers=3, k=6, max_iter=3)
+    whole = df.select("x").join(Q.decode(Q.encode(df, "x", book), "codes", book).select("x", "codes", "decoded"), "x").collect()
+    one = 6 * 8 * 4  # a layer at a time
+    apart = Q.decode(Q.encode(df, "x", book, limit=one), "codes", book, limit=one).collect()
+    assert sorted((r.x, r.codes) for r in whole) == sorted((r.x, r.codes) for r in apart)
+    assert np.allclose([r.decoded for r in sorted(whole, key=lambda r: r.x)], [r.decoded for r in sorted(apart, key=lambda r: r.x)])
+    with pytest.raises(ValueError, match="limit"):
+        Q.encode(df, "x", book, limit=one - 1)
+
+
 def test_quantizer_learns(spark):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(4, 6)) * 5
