@@ -7,17 +7,22 @@ single task. Whitening statistics are one global aggregate.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import array_sum
+from ..session import cut
 from .keyed import lookup_join, with_group_stats, with_totals
-from .numbering import group_row_numbers, group_running_sums, row_numbers
+from .numbering import group_row_numbers, group_running_sums, ordered_parts, row_numbers
 
 EPS = 1e-6
 BOUND = 20.0
+NO_GAP = 1e-12  # a weight of label gaps under this is rounding
 
 
 def outcome(rows: DataFrame) -> DataFrame:
@@ -383,28 +388,113 @@ def token_differences(a: Column, b: Column, mask: Column) -> Column:
 
 # ---- ranking accuracy -------------------------------------------------------------------
 
+def rising_weight(group: np.ndarray, time: np.ndarray, a: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For each point j the sum of n_i (a_j - a_i) over points i of its group with an earlier time and a smaller a.
+
+    Two times differ first at one binary digit, so each pair is met at one level: there the later point needs the
+    count and sum of the smaller values among the earlier half, which are running sums in order of a.
+    """
+    out = np.zeros(len(a))
+    for level in range(int(time.max()).bit_length() if len(time) else 0):
+        left = 1 - (time >> level & 1)
+        order = np.lexsort((left, a, time >> level + 1, group))
+        block = np.flatnonzero(np.concatenate([[True], (np.diff(group[order]) != 0) | (np.diff(time[order] >> level + 1) != 0)]))
+        size = np.diff(np.append(block, len(a)))
+        sums = []
+        for value in (left * n, left * n * a):
+            run = np.cumsum(value[order])
+            sums.append(run - np.repeat(run[block] - value[order][block], size))
+        out[order] += (1 - left[order]) * (a[order] * sums[0] - sums[1])
+    return out
+
+
+def _table(batches: Iterator[pa.RecordBatch], schema: list[str]) -> pa.Table | None:
+    batches = [b for b in batches if b.num_rows]
+    return pa.Table.from_batches(batches).select(schema) if batches else None
+
+
+def _runs_of(values: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the run of equal values each row is in, first row of each run)."""
+    code = values.combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy()
+    first = np.flatnonzero(np.concatenate([[True], np.diff(code) != 0]))
+    return np.repeat(np.arange(len(first)), np.diff(np.append(first, len(code)))), first
+
+
+def _bucket_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Weights of the pairs inside one range bucket, per group; rows come by group and then score."""
+    rows = _table(batches, ["uid", "a", "_part"])
+    if rows is None:
+        return
+    group, first = _runs_of(rows["uid"])
+    a, time = rows["a"].to_numpy(), np.arange(len(group)) - first[group]
+    one = np.ones(len(a))
+    right = np.add.reduceat(rising_weight(group, time, a, one), first)
+    order = np.lexsort((a, group))
+    members = np.diff(np.append(first, len(a)))
+    total = np.add.reduceat(a[order] * (2 * time + 1 - members[group]), first)  # groups are runs, so places in them stay
+    yield pa.RecordBatch.from_arrays([rows["uid"].combine_chunks().take(pa.array(first)), rows["_part"].combine_chunks().take(pa.array(first)),
+                                      pa.array(right), pa.array(total)], ["uid", "_part", "_right", "_total"])
+
+
+def _label_weights(shared):
+    """Weights of pairs across buckets, and of all pairs, of groups that fill several; rows come by group and label.
+
+    shared: for a partition the counts and sums per bucket that the partitions before it hold of its first group.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _table(batches, ["uid", "a", "bucket", "n", "_part"])
+        if rows is None:
+            return
+        group, first = _runs_of(rows["uid"])
+        a, bucket, n = (rows[c].to_numpy() for c in ("a", "bucket", "n"))
+        right, run_n, run_s = n * rising_weight(group, bucket, a, n), np.cumsum(n), np.cumsum(n * a)
+        below_n, below_s = (r - v - (r - v)[first][group] for r, v in ((run_n, n), (run_s, n * a)))
+        total = n * (a * below_n - below_s)
+        if (carry := shared.value.get(rows["_part"][0].as_py())) is not None:
+            buckets, counts, sums = carry
+            head = group == 0
+            at = np.searchsorted(buckets, bucket[head], "left")
+            before_n, before_s = (np.concatenate([[0], np.cumsum(x)]) for x in (counts, sums))
+            right[head] += n[head] * (a[head] * before_n[at] - before_s[at])
+            total[head] += n[head] * (a[head] * before_n[-1] - before_s[-1])
+        yield pa.RecordBatch.from_arrays([rows["uid"].combine_chunks().take(pa.array(first)), pa.array(np.add.reduceat(right, first)),
+                                          pa.array(np.add.reduceat(total, first))], ["uid", "_right", "_total"])
+    return run
+
+
+def _carried(parts: DataFrame) -> dict:
+    """Of each partition's first group: counts and sums per bucket in the partitions before. Only groups that run over a
+    border have any, so this holds numbers per (partition, bucket) and no labels."""
+    held = parts.groupBy("uid", "_part", "bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("a")).alias("s"))
+    firsts = parts.groupBy("_part").agg(F.min_by("uid", "_seq").alias("uid"))
+    over = held.alias("h").join(F.broadcast(firsts).alias("f"), (F.col("h.uid").eqNullSafe(F.col("f.uid"))) & (F.col("h._part") < F.col("f._part")))
+    pdf = over.groupBy("f._part", "h.bucket").agg(F.sum("h.n").alias("n"), F.sum("h.s").alias("s")).toPandas().sort_values("bucket")
+    return {int(p): tuple(x[c].to_numpy() for c in ("bucket", "n", "s")) for p, x in pdf.groupby("_part")}
+
+
 def ranking_accuracy(rows: DataFrame, acc: str = "acc", score: str = "score") -> DataFrame:
     """Pairwise ranking accuracy per group, weighted by the label gap, without forming pairs.
 
-    In (score, row) order the right weight is the sum of acc_j - acc_i over i before j with acc_i below
-    acc_j. It is summed over the levels of a binary tree of places: at each level a row of a right half
-    needs the count and sum of the smaller labels in the left half, which are running sums in label
-    order. The total weight comes from each row's rank among the labels. Work is n log n per group.
+    In (score, row) order the right weight is the sum of acc_j - acc_i over i before j with acc_i below acc_j. Rows
+    are cut into range buckets by group and score; pairs inside a bucket are counted by merging in its task. A group
+    that runs over a border (at most one for each border) also has pairs between buckets: its labels become a
+    histogram by bucket, which is read in label order with the counts per bucket carried along. Rows without a label
+    or score count in no pair.
     """
-    base = rows.select("uid", "row_id", F.col(acc).cast("double").alias("a"), F.col(score).alias("s"))
-    sizes = base.groupBy("uid").agg(F.count(F.lit(1)).alias("_members"))
-    placed = group_row_numbers(base, ["uid"], [F.col("s"), F.col("row_id")], "row_id", "at").withColumn("at", F.col("at") - 1)
-    deep = F.ceil(F.log2("_members")).cast("int")
-    levels = lookup_join(placed, sizes, ["uid"]).where("_members > 1").withColumn("level", F.explode(F.sequence(F.lit(0), deep - 1)))
-    tree = levels.select("uid", "row_id", "a", "level", F.expr("shiftright(at, level + 1)").alias("block"),
-                         F.expr("1 - (shiftright(at, level) & 1)").alias("left"))
-    run = group_running_sums(tree, ["uid", "level", "block"], [F.col("a"), F.col("left"), F.col("row_id")], "row_id",
-                             {"_n": F.col("left"), "_s": F.col("left") * F.col("a")})
-    right = run.where("left = 0").groupBy("uid").agg(F.sum(F.col("a") * F.col("_n") - F.col("_s")).alias("_right"))
-    ranked = lookup_join(group_row_numbers(base, ["uid"], [F.col("a"), F.col("row_id")], "row_id", "rank"), sizes, ["uid"])
-    total = ranked.groupBy("uid").agg(F.sum(F.col("a") * (2 * F.col("rank") - F.col("_members") - 1)).alias("_total"))
-    return total.join(right, "uid", "left").select(
-        "uid", F.when(F.col("_total") > 0, F.coalesce("_right", F.lit(0.0)) / F.col("_total")).otherwise(0.5).alias("accuracy"))
+    base = rows.select("uid", "row_id", F.col(acc).cast("double").alias("a"), F.col(score).alias("s")).where("a IS NOT NULL AND s IS NOT NULL")
+    parts = ordered_parts(base, [F.col("uid"), F.col("s"), F.col("row_id")])
+    uid = dict(base.dtypes)["uid"]
+    inside = cut(parts.select("uid", "a", "_part").mapInArrow(_bucket_weights, f"uid {uid}, _part int, _right double, _total double"))
+    sums = inside.groupBy("uid").agg(F.sum("_right").alias("_right"), F.sum("_total").alias("_total"), F.count(F.lit(1)).alias("_buckets"))
+    whole, wide = sums.where("_buckets = 1"), sums.where("_buckets > 1")  # of the latter, one for each border at most
+    spread_out = parts.join(F.broadcast(wide.select(F.col("uid").alias("w"))), F.col("uid").eqNullSafe(F.col("w")), "left_semi")
+    labels = spread_out.groupBy("uid", "a", F.col("_part").cast("bigint").alias("bucket")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    by_label = ordered_parts(labels, [F.col("uid"), F.col("a"), F.col("bucket")])
+    shared = rows.sparkSession.sparkContext.broadcast(_carried(by_label))
+    across = by_label.select("uid", "a", "bucket", "n", "_part").mapInArrow(_label_weights(shared), f"uid {uid}, _right double, _total double")
+    both = wide.select("uid", "_right", F.lit(0.0).alias("_total")).unionByName(across)
+    weights = whole.select("uid", "_right", "_total").unionByName(both.groupBy("uid").agg(F.sum("_right").alias("_right"), F.sum("_total").alias("_total")))
+    return weights.select("uid", F.when(F.col("_total") > NO_GAP, F.col("_right") / F.col("_total")).otherwise(0.5).alias("accuracy"))
 
 
 def mean_ranking_accuracy(rows: DataFrame, acc: str = "acc", score: str = "score") -> DataFrame:

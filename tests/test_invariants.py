@@ -151,6 +151,29 @@ def test_ranking_accuracy(spark, shuffled_joins):
         assert got[g] == pytest.approx(right / total if total else 0.5)
 
 
+def _plain_accuracy(rows):
+    out = {}
+    for uid in {r[1] for r in rows}:
+        own = [(s, i, a) for i, u, s, a in rows if u == uid]
+        pairs = [(x, y) for k, x in enumerate(own) for y in own[k + 1:]]
+        total = sum(abs(x[2] - y[2]) for x, y in pairs)
+        right = sum(abs(x[2] - y[2]) for x, y in pairs if (x[:2] > y[:2]) == (x[2] > y[2]))
+        out[uid] = 0.5 if total == 0 else right / total
+    return out
+
+
+@pytest.mark.parametrize("labels", [2, 3000])
+def test_ranking_accuracy_over_many_buckets(spark, labels):
+    """One group fills most range buckets; few labels and 3000 distinct ones; ties in score and label."""
+    rng = random.Random(labels)
+    rows = [(i, "hot" if i % 3 else f"g{i % 11}", float(rng.randrange(400)), rng.randrange(labels) / 7) for i in range(1500)]
+    rows += [(5000, "one", 1.0, 1.0), (5001, "same", 1.0, 0.1), (5002, "same", 2.0, 0.1), (5003, "same", 0.0, 0.1), (5004, "same", 3.0, 0.1)]
+    df = spark.createDataFrame(rows, "row_id bigint, uid string, score double, acc double").repartition(6)
+    got = {r.uid: r.accuracy for r in G.ranking_accuracy(df).collect()}
+    want = _plain_accuracy(rows)
+    assert got.keys() == want.keys() and all(abs(got[u] - want[u]) < 1e-9 for u in want)
+
+
 def rollout_rows(spark, rows):
     return spark.createDataFrame(rows, "row_id bigint, uid string, token_rewards array<double>, mask array<int>")
 
