@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.common import hash_unit
+from ..functions.common import hash_int
 from ..session import cut
 from .keyed import with_totals
 from .numbering import hash_first, hash_rank, ordered_parts, row_numbers, running_sums
@@ -45,8 +45,9 @@ def corpus_split(tables: list[DataFrame], test_size: int, seed: int, ids: list[s
     merged = tables[0]
     for t in tables[1:]:
         merged = merged.unionByName(t)
-    # The split and the two shuffles read their input several times: build the union once.
-    parts = cut(split_exact(cut(merged), test_size, seed, ids))
+    # The split and the two shuffles read their input several times: build the union once. The split adds a flag to it
+    # from its own ids, so that is cheap to do again.
+    parts = split_exact(cut(merged), test_size, seed, ids)
     train = hash_rank(parts.where("part = 'train'"), seed + 1000, ids)
     test = hash_rank(parts.where("part = 'test'"), seed + 2000, ids)
     return train.unionByName(test)
@@ -124,19 +125,31 @@ def resample_weights(rows: DataFrame, method: str = "pow", power: float = 2.0) -
     return out.drop("_hi", "_lo").withColumn("weight", F.col("weight") + 1e-8)
 
 
+def whole_weights(weighted: DataFrame, total_digits: int = 18) -> DataFrame:
+    """Adds `units`: weights as whole numbers, in units of the power of ten that gives their sum `total_digits` digits;
+    a weight under one unit counts as one."""
+    total = weighted.agg(F.ceil(F.log10(F.sum("weight"))).alias("_digits"))
+    scale = F.pow(F.lit(10.0), (F.lit(total_digits) - F.col("_digits")).cast("double"))
+    scaled = weighted.crossJoin(F.broadcast(total))  # one row
+    return scaled.withColumn("units", F.greatest(F.floor(F.col("weight") * scale), F.lit(1)).cast("decimal(20,0)")).drop("_digits")
+
+
 def resample(rows: DataFrame, row_id: str, seed, **kw) -> DataFrame:
     """As many weighted draws with replacement as rows: (draw, row_id).
 
-    Rows lie end to end on a line of length sum(weight); draw points are placed on it by hash.
-    Rows and points are sorted together in range partitions and each point takes the last row
-    start before it, carried over partition borders, so neither heavy nor tiny weights pile up.
+    Weights are whole numbers, so sums are exact in any order and any engine draws the same rows. Rows lie end to end
+    on a line of their units; draw points are placed on it by 62 bits of hash. Rows and points are sorted together in
+    range partitions and each point takes the last row start before it, carried over partition borders, so neither
+    heavy nor tiny weights pile up.
     """
-    weighted = resample_weights(rows.select(row_id, "score"), **kw)
-    line = running_sums(weighted, [F.col(row_id)], {"start": F.col("weight")})
-    total = weighted.agg(F.sum("weight").alias("_w"))
-    points = weighted.select(F.col(row_id).alias("draw")).crossJoin(F.broadcast(total)).select(
-        "draw", (hash_unit(seed, "draw", F.col("draw")) * F.col("_w")).alias("x"))
-    both = line.select(F.col("start").alias("x"), F.lit(0).alias("kind"), F.col(row_id).alias("item")).unionByName(
+    weighted = cut(whole_weights(resample_weights(rows.select(row_id, "score"), **kw)).select(row_id, "units"))
+    line = running_sums(weighted, [F.col(row_id)], {"start": F.col("units")})
+    total = weighted.agg(F.sum("units").cast("decimal(20,0)").alias("_w"))
+    high, low = (hash_int(seed, name, F.col(row_id)) for name in ("draw", "draw low"))
+    bits = (F.shiftleft(F.shiftright(high, 1), 31) + F.shiftright(low, 1)).cast("decimal(19,0)")
+    points = weighted.crossJoin(F.broadcast(total)).select(
+        F.col(row_id).alias("draw"), bits.alias("_bits"), "_w").selectExpr("draw", f"CAST((_bits * _w) DIV CAST({1 << 62} AS DECIMAL(19, 0)) AS DECIMAL(38, 0)) AS x")
+    both = line.select(F.col("start").cast("decimal(38,0)").alias("x"), F.lit(0).alias("kind"), F.col(row_id).alias("item")).unionByName(
         points.select("x", F.lit(1).alias("kind"), F.col("draw").alias("item")))
     parts = ordered_parts(both, [F.col("x"), F.col("kind"), F.col("item")])
     owner = F.when(F.col("kind") == 0, F.col("item"))

@@ -93,7 +93,7 @@ CTES: dict[str, str] = {
         _arr("h", "pid", "longview=1") + " hist_longview_video_list",
         _arr("h", "ad_pid", "forward=1") + " hist_ad_pid", _arr("t", "ad_pid", "forward=1") + " target_ad_pid",
         _arr("h", "pid", "keyword='N'") + " hist_goods_pid", _arr("t", "pid", "keyword='N'") + " target_goods_pid",
-        *[f"{_arr('t', 'pid', f'keyword={k!r}')} kw_{k}" for k in "ANR"],
+        *[f"coalesce(list(pid ORDER BY rk DESC) FILTER (WHERE keyword={k!r}), []) kw_{k}" for k in "ANR"],
         _arr("t", "pid") + "[1] target_pid",
     ]) + " FROM inter GROUP BY uid",
     "user_meta": """SELECT c_custkey uid, CASE WHEN c_acctbal<0 THEN 1 ELSE 0 END split,

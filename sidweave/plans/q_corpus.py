@@ -401,7 +401,13 @@ def e13(spark, sf):
     return rows.drop("score")
 
 
-@query("E13_resample_draws")
+@query("E13_resample_draws", O.sql(
+    "SELECT draw, arg_max(event_id, start) AS event_id FROM (SELECT draw, l.event_id, start FROM pt ASOF JOIN ln l ON pt.x >= l.start) GROUP BY draw",
+    wt="SELECT event_id, greatest(floor((pow(abs(value),2.0::DOUBLE)+1e-8)*pow(10.0::DOUBLE,(18-d)::DOUBLE))::HUGEINT,1) units FROM events CROSS JOIN "
+       "(SELECT ceil(log10(sum(pow(abs(value),2.0::DOUBLE)+1e-8))) d FROM events)",
+    ln="SELECT event_id, coalesce(sum(units) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0)::HUGEINT start FROM wt",
+    pt=f"SELECT event_id draw, (((({O.h('9', chr(39) + 'draw' + chr(39), 'event_id')}>>1)::HUGEINT*2147483648+({O.h('9', chr(39) + 'draw low' + chr(39), 'event_id')}>>1))"
+       f"*(SELECT sum(units) FROM wt)::HUGEINT)//4611686018427387904)::HUGEINT x FROM events"))
 def e13b(spark, sf):
     rows = read(spark, sf, "events").select("event_id", F.col("value").alias("score"))
     return sampling.resample(rows, "event_id", 9)

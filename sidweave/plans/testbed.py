@@ -47,14 +47,14 @@ def interactions(spark: SparkSession, sf: str) -> DataFrame:
 def user_meta(spark: SparkSession, sf: str) -> DataFrame:
     per_user = interactions(spark, sf).groupBy("uid").agg(F.array_sort(F.collect_list(F.struct(
         (-F.col("rk")).alias("o"), "pid", "ad_pid", *EVENTS, "keyword"))).alias("seq"))
-    halves = per_user.selectExpr("uid", f"filter(seq, x -> x.o < -{TARGET}) AS h", f"filter(seq, x -> x.o >= -{TARGET}) AS t")
+    halves = per_user.selectExpr("uid", "seq", f"filter(seq, x -> x.o < -{TARGET}) AS h", f"filter(seq, x -> x.o >= -{TARGET}) AS t")
     arrays = halves.selectExpr(
         "uid", "h.pid AS hist_video_pid", "t.pid AS target_video_pid",
         *[f"h.`{e}` AS hist_video_{e}" for e in EVENTS], *[f"t.`{e}` AS target_video_{e}" for e in EVENTS],
         "filter(h, x -> x.longview = 1).pid AS hist_longview_video_list",
         "filter(h, x -> x.forward = 1).ad_pid AS hist_ad_pid", "filter(t, x -> x.forward = 1).ad_pid AS target_ad_pid",
         "filter(h, x -> x.keyword = 'N').pid AS hist_goods_pid", "filter(t, x -> x.keyword = 'N').pid AS target_goods_pid",
-        *[f"array_join(filter(t, x -> x.keyword = '{k}').pid, ',') AS kw_{k}" for k in "ANR"],
+        *[f"array_join(filter(seq, x -> x.keyword = '{k}').pid, ',') AS kw_{k}" for k in "ANR"],
         "get(t.pid, 0) AS target_pid",
     )
     cust = read(spark, sf, "customer")

@@ -26,4 +26,4 @@ def test_entry_has_rows(spark):
 def test_oracles_belong_to_queries():
     assert set(ALL) <= set(entry.queries())
     alone = {n for n in entry.queries() if n not in ALL and not n.startswith(LLM)}
-    assert alone == {"E13_resample_draws", "G2_quantizer_training"}
+    assert alone == {"G2_quantizer_training"}

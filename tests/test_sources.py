@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,6 +45,16 @@ def test_exact_shards(spark, tmp_path):
         sinks.merge_and_shard(None, None, out, 5, [])
 
 
+def test_shards_by_two_keys(spark, tmp_path):
+    """Text keys beyond ASCII, ties in the first key, rows that come in any order; every row is in its shard, in order."""
+    rows = [(t, n) for t in ("b", "é", "a", "日本", "", "Z") for n in range(-20, 17)]
+    random.Random(3).shuffle(rows)
+    df = spark.createDataFrame(rows, "t string, n bigint").repartition(5)
+    names = sinks.write_shards(df, str(tmp_path / "two"), 50, [F.col("t"), F.col("n")])
+    want = sorted(rows, key=lambda r: (r[0].encode(), r[1]))
+    assert [[tuple(r) for r in spark.read.parquet(n).collect()] for n in names] == [want[k:k + 50] for k in range(0, len(want), 50)]
+
+
 def test_single_document_results(spark, tmp_path):
     doc = {"model_name": "m", "task_name": "t", "split": "s", "samples": {"1": {"generations": ["a"], "ground_truth": "b"},
                                                                          "2": {"generations": []}}}
