@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _labels, _text
+from ._memo import release
 
 BITS, SAMPLE, EPOCHS = 20, 20_000, 6
 ALPHA, BETA, L1, L2 = 1.5, 1.0, 5.0, 1.0
@@ -63,6 +64,7 @@ class Ftrl:
 
 def _rows(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for at, texts in _text.slices(batch):
                 owner, bucket = features(texts, bits)
@@ -102,6 +104,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
 
 def _score(bits: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         weights = np.zeros((1 << bits) + 1)
         buckets, values = shared.value
         weights[buckets] = values

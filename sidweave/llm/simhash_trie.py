@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..session import cut
 from . import _text
 from ._components import components
+from ._memo import release
 
 TOP, LEAST, LEAF, DIRECT, LEVEL = 16, 5, 1 << 20, 128, 200_000
 HASHED = "doc_id bigint, text_hash bigint, fp bigint"
@@ -43,6 +44,7 @@ def fingerprint(text: str, words: int = 4, seed: int = 42) -> bytes:
 
 def _hash(words: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for at, texts in _text.slices(batch):
                 got = np.frombuffer(b"".join(fingerprint(t, words, seed) for t in texts), ">i8").astype(np.int64)
