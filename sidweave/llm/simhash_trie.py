@@ -1,22 +1,27 @@
-"""SimHash near copies by a self-join of a binary trie.
-
-Distinct fingerprints, sorted, are the leaves of a binary trie. A pair of nodes carries the number of
-bits in which the two prefixes differ; its children are the pairs of their children, and a pair is
-pruned when that number exceeds the error budget. The top of the trie (counts of at most 2**TOP
-prefixes) is expanded first, LEAST levels for parallel work and then until a pair holds at most `leaf`
-fingerprints; the remaining pairs become tasks, in which the traversal goes on over whole levels at a time. A task reports a spanning forest of
-its links, and components join the forests.
+"""SimHash near copies by a self-join of binary tries.
+
+Distinct fingerprints, sorted, are the leaves of a binary trie. A pair of nodes carries the number of bits in which
+the two prefixes differ; its children are the pairs of their children, and a pair is pruned when that number exceeds
+the error budget. The traversal goes over whole levels at a time.
+
+To spread the work, the 64 bits are cut into budget + 2 blocks. Two fingerprints within the budget agree in two
+blocks at least, so there is one trie for each two blocks, in which these come first: linked fingerprints share the
+node below them, and its self-join is all that a task has to traverse. That makes 15 copies of a fingerprint for a
+budget of 4, at any size. Nodes that hold more than `leaf` fingerprints are opened by STEP more levels into the node
+pairs within the budget, until none is over it. A task reports a spanning forest of its links, and components join
+the forests.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -24,7 +29,7 @@ from . import _text
 from ._components import components
 from ._memo import release
 
-TOP, LEAST, LEAF, DIRECT, LEVEL = 16, 5, 1 << 20, 128, 200_000
+COARSE, STEP, LEAF, DIRECT, LEVEL = 12, 8, 1 << 20, 128, 200_000
 HASHED = "doc_id bigint, text_hash bigint, fp bigint"
 
 
@@ -58,40 +63,42 @@ def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42, id_col: str =
     return rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_hash(words, seed), HASHED)
 
 
-def top_pairs(counts: dict[int, int], budget: int, leaf: int, top: int = TOP, least: int = LEAST) -> list[tuple[int, int, int]]:
-    """(depth, prefix, prefix) pairs that tasks traverse, from the counts of `top`-bit prefixes."""
-    sizes = [np.zeros(1 << d, np.int64) for d in range(top + 1)]
-    for prefix, n in counts.items():
-        sizes[top][prefix] = n
-    for d in range(top, 0, -1):
-        sizes[d - 1] = sizes[d].reshape(-1, 2).sum(1)
-    out, a, b, diff = [], np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64)
-    for d in range(top + 1):
-        size = sizes[d]
-        held = np.where(a == b, size[a], size[a] + size[b])
-        live = (diff <= budget) & (size[a] > 0) & (size[b] > 0) & ((a != b) | (size[a] > 1))
-        stop = live & (((held <= leaf) & (d >= least)) | (d == top))
-        out += [(d, int(x), int(y)) for x, y in zip(a[stop], b[stop])]
-        go = live & ~stop
-        a, b, diff = a[go], b[go], diff[go]
-        if not len(a):
-            break
-        kids = [(2 * a, 2 * b, diff), (2 * a + 1, 2 * b + 1, diff), (2 * a, 2 * b + 1, diff + 1)]
-        other = a != b
-        kids.append((2 * a[other] + 1, 2 * b[other], diff[other] + 1))
-        a, b, diff = (np.concatenate(x) for x in zip(*kids))
+def turns(budget: int) -> list[list[tuple[int, int]]]:
+    """For each two of the budget + 2 blocks: all blocks as (first bit from the left, width), these two first."""
+    n = budget + 2
+    widths = [64 // n + (k < 64 % n) for k in range(n)]
+    blocks = [(sum(widths[:k]), w) for k, w in enumerate(widths)]
+    return [[blocks[i], blocks[j], *(x for k, x in enumerate(blocks) if k not in (i, j))] for i, j in combinations(range(n), 2)]
+
+
+def turned(fp: Column, order: list[tuple[int, int]]) -> Column:
+    """The bits of a fingerprint with its blocks in another order."""
+    out, left = F.lit(0).cast("bigint"), 64
+    for first, width in order:
+        left -= width
+        out = out.bitwiseOR(F.shiftleft(F.shiftrightunsigned(fp, 64 - first - width).bitwiseAND(F.lit((1 << width) - 1)), left))
+    return out
+
+
+def turned_back(fps: np.ndarray, order: list[tuple[int, int]]) -> np.ndarray:
+    out, left = np.zeros(len(fps), np.uint64), 64
+    for first, width in order:
+        left -= width
+        out |= (fps >> np.uint64(left) & np.uint64((1 << width) - 1)) << np.uint64(64 - first - width)
     return out
 
 
-def traverse(fps: np.ndarray, depth: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Linked index pairs of the sorted distinct fingerprints of one or two nodes of that depth."""
-    first = fps >> np.uint64(64 - depth) if depth else np.zeros(len(fps), np.uint64)
-    split = int(np.searchsorted(first, first[-1], "left"))
-    if split == 0:
-        start = (0, len(fps), 0, len(fps), 0)
+def traverse(fps: np.ndarray, depth: int, budget: int, nodes: tuple[np.ndarray, np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked index pairs of sorted distinct fingerprints: of those of one or two nodes of that depth, or within each of
+    the nodes fps[begin:end]."""
+    if nodes is not None:
+        start = (*nodes, *nodes, np.zeros(len(nodes[0]), np.int64))
     else:
-        start = (0, split, split, len(fps), int(np.bitwise_count(first[0] ^ first[-1])))
-    stack = [(depth, *(np.array([x], np.int64) for x in start))]
+        first = fps >> np.uint64(64 - depth) if depth else np.zeros(len(fps), np.uint64)
+        split = int(np.searchsorted(first, first[-1], "left"))
+        one = (0, len(fps), 0, len(fps), 0) if split == 0 else (0, split, split, len(fps), int(np.bitwise_count(first[0] ^ first[-1])))
+        start = [np.array([x], np.int64) for x in one]
+    stack = [(depth, *start)]
     while stack:
         t, al, ah, bl, bh, diff = stack.pop()
         if len(al) > LEVEL:
@@ -142,10 +149,10 @@ def _roots(parent: np.ndarray) -> np.ndarray:
         parent = up
 
 
-def forest(fps: np.ndarray, depth: int, budget: int) -> np.ndarray:
+def forest(fps: np.ndarray, depth: int, budget: int, nodes: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """For each fingerprint the index of the smallest one that this task's links join it to."""
     parent = np.arange(len(fps))
-    for i, j in traverse(fps, depth, budget):
+    for i, j in traverse(fps, depth, budget, nodes):
         while True:
             u, v = parent[i], parent[j]
             apart = u != v
@@ -157,47 +164,100 @@ def forest(fps: np.ndarray, depth: int, budget: int) -> np.ndarray:
     return parent
 
 
-def _tasks(budget: int):
-    def solve(depth: int, values: list[np.ndarray]) -> pa.RecordBatch | None:
-        fps = np.sort(np.concatenate(values).view(np.uint64))
-        parent = forest(fps, depth, budget)
-        moved = np.flatnonzero(parent != np.arange(len(fps)))
-        if len(moved):
-            return pa.RecordBatch.from_arrays([pa.array(fps[moved].view(np.int64)), pa.array(fps[parent[moved]].view(np.int64))], ["u", "v"])
+def _moved(fps: np.ndarray, parent: np.ndarray, order: list[tuple[int, int]]) -> pa.RecordBatch | None:
+    moved = np.flatnonzero(parent != np.arange(len(fps)))
+    if len(moved):
+        ends = [pa.array(turned_back(x, order).view(np.int64)) for x in (fps[moved], fps[parent[moved]])]
+        return pa.RecordBatch.from_arrays(ends, ["u", "v"])
+
+
+def _groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[tuple, np.ndarray]]:
+    """(key, fingerprints) of the runs of rows with equal keys; rows come by key."""
+    now, held = None, []
+    for batch in batches:
+        keys, values = [batch.column(c).to_numpy() for c in names], batch.column("p").to_numpy()
+        cuts = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([np.diff(k) != 0 for k in keys]), [True]])) if len(values) else []
+        for a, b in zip(cuts, cuts[1:]):
+            key = tuple(int(k[a]) for k in keys)
+            if key != now:
+                if held:
+                    yield now, np.concatenate(held)
+                now, held = key, []
+            held.append(values[a:b].copy())
+    if held:
+        yield now, np.concatenate(held)
+
+
+def _below_two_blocks(budget: int):
+    """All nodes of a partition, one trie after the other."""
+    orders = turns(budget)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (turn,), fps in _groups(batches, ("turn",)):
+            fps, depth = np.sort(fps.view(np.uint64)), orders[turn][0][1] + orders[turn][1][1]
+            edges = np.flatnonzero(np.concatenate([[True], np.diff(fps >> np.uint64(64 - depth)) != 0, [True]]))
+            full = np.flatnonzero(np.diff(edges) > 1)
+            if len(full) and (out := _moved(fps, forest(fps, depth, budget, (edges[full], edges[full + 1])), orders[turn])):
+                yield out
+    return run
+
+
+def _opened_pairs(budget: int):
+    """One node pair after the other."""
+    orders = turns(budget)
 
     def run(batches):
-        task, depth, held = None, 0, []
-        for batch in batches:
-            tasks, depths, fps = (batch.column(c).to_numpy() for c in ("task", "depth", "fp"))
-            if not len(tasks):
-                continue
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(tasks)) + 1, [len(tasks)]])
-            for a, b in zip(cuts, cuts[1:]):
-                if tasks[a] != task:
-                    if held and (out := solve(depth, held)) is not None:
-                        yield out
-                    task, depth, held = tasks[a], int(depths[a]), []
-                held.append(fps[a:b].copy())
-        if held and (out := solve(depth, held)) is not None:
-            yield out
+        for (turn, depth, _, _), fps in _groups(batches, ("turn", "depth", "a", "b")):
+            fps = np.sort(fps.view(np.uint64))
+            if out := _moved(fps, forest(fps, depth, budget), orders[turn]):
+                yield out
     return run
 
 
+def _open(rows: DataFrame, budget: int) -> DataFrame:
+    """Node pairs (turn, depth, a, b) of fingerprints p, STEP levels further down: each fingerprint goes to the pairs of
+    its own child node with those of the other prefix that are within the budget."""
+    size = 1 << STEP
+    masks = F.explode(F.array(*[F.lit(m) for m in range(size) if m.bit_count() <= budget]).cast("array<bigint>"))
+    own = F.expr(f"shiftrightunsigned(p, 64 - depth - {STEP}) & {size - 1}")
+    wide = rows.select("turn", "depth", "a", "b", "p", own.alias("s"), masks.alias("m")).where(
+        F.bit_count(F.expr("a ^ b")) + F.bit_count("m") <= budget)
+    mine, other = "s", "(s ^ m)"
+    left = F.expr(f"shiftleft(a, {STEP}) | CASE WHEN a = b THEN least({mine}, {other}) WHEN shiftrightunsigned(p, 64 - depth) = a THEN {mine} ELSE {other} END")
+    right = F.expr(f"shiftleft(b, {STEP}) | CASE WHEN a = b THEN greatest({mine}, {other}) WHEN shiftrightunsigned(p, 64 - depth) = a THEN {other} ELSE {mine} END")
+    return wide.select("turn", (F.col("depth") + STEP).alias("depth"), left.alias("a"), right.alias("b"), "p")
+
+
 def links(fps: DataFrame, budget: int = 4, leaf: int = LEAF) -> DataFrame:
     """(u, v) forests of links between the distinct values of column fp."""
-    spark = fps.sparkSession
-    prefix = F.shiftrightunsigned("fp", 64 - TOP)
-    counts = {int(r[0]): r[1] for r in fps.groupBy(prefix.alias("p")).count().collect()}  # at most 2**TOP rows
-    pairs = top_pairs(counts, budget, leaf)
-    sides = sorted({(k, d, p) for k, (d, a, b) in enumerate(pairs) for p in (a, b)})
-    if not sides:
-        return spark.createDataFrame([], "u bigint, v bigint")
-    nodes = spark.createDataFrame(sides, "task bigint, depth int, prefix bigint")
-    depths = sorted({d for _, d, _ in sides})
-    at = F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), (F.shiftrightunsigned("fp", 64 - d) if d else F.lit(0).cast("bigint")).alias("prefix")) for d in depths]))
-    dealt = fps.select("fp", at.alias("n")).select("fp", "n.*").join(nodes, ["depth", "prefix"]).select("task", "depth", "fp")
-    ready = dealt.repartition(_text.partitions(fps), "task").sortWithinPartitions("task")
-    return ready.mapInArrow(_tasks(budget), "u bigint, v bigint")
+    orders, parts = turns(budget), _text.partitions(fps)
+    copies = [F.struct(F.lit(k).alias("turn"), F.lit(o[0][1] + o[1][1]).alias("depth"), turned(F.col("fp"), o).alias("p")) for k, o in enumerate(orders)]
+    prefix = F.expr("shiftrightunsigned(p, 64 - depth)")
+    dealt = fps.select(F.explode(F.array(*copies)).alias("c")).select("c.*").withColumn("a", prefix)
+    # Only where the top COARSE bits hold more than a leaf can a node be too full.
+    coarse = F.shiftrightunsigned("p", 64 - COARSE).alias("top")
+    crowded = dealt.groupBy("turn", coarse).count().where(F.col("count") > leaf).drop("count")
+    whole, out = dealt, None
+    if not crowded.isEmpty():
+        inside = dealt.withColumn("top", coarse).join(F.broadcast(crowded), ["turn", "top"], "left_semi")  # at most 2**COARSE rows a trie
+        full = cut(inside.groupBy("turn", "a").count().where(F.col("count") > leaf).drop("count"))
+        whole, pairs = dealt.join(full, ["turn", "a"], "left_anti"), dealt.join(full, ["turn", "a"], "left_semi").withColumn("b", F.col("a"))
+        node = ["turn", "depth", "a", "b"]
+        while True:
+            pairs = cut(_open(pairs.select(*node, "p"), budget))
+            left = F.expr("shiftrightunsigned(p, 64 - depth) = a")
+            sizes = pairs.groupBy(*node).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(left, 1)).alias("n_left"))
+            live = (F.col("n") > 1) & ((F.col("a") == F.col("b")) | (F.col("n_left").between(1, F.col("n") - 1)))  # else one side is empty
+            sizes = cut(sizes.where(live).withColumn("open", (F.col("n") > leaf) & (F.col("depth") <= 64 - STEP)).drop("n", "n_left"))
+            known = pairs.join(sizes, node)
+            ready = known.where("NOT open").drop("open").repartition(parts, *node).sortWithinPartitions(*node)
+            found = ready.mapInArrow(_opened_pairs(budget), "u bigint, v bigint")
+            out = found if out is None else out.unionByName(found)
+            if sizes.where("open").isEmpty():
+                break
+            pairs = known.where("open")
+    below = whole.repartition(parts, "turn", "a").select("turn", "p").sortWithinPartitions("turn", "p").mapInArrow(_below_two_blocks(budget), "u bigint, v bigint")
+    return below if out is None else below.unionByName(out)
 
 
 def simhash_classes(docs: DataFrame, words: int = 4, budget: int = 4, seed: int = 42, leaf: int = LEAF,

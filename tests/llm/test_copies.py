@@ -38,7 +38,7 @@ def brute_classes(docs):
 def test_simhash_classes(spark, sf, edge):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").unionByName(edge.select(F.col("doc_id") - 1000, "text").toDF("doc_id", "text"))
     want = brute_classes([(r.doc_id, r.text) for r in docs.collect()])
-    for leaf in (S.LEAF, 8):  # in one task; over many node pairs
+    for leaf in (S.LEAF, 30):  # below two blocks; full nodes opened
         got = S.simhash_classes(docs, leaf=leaf).collect()
         assert sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in got) == want
 
@@ -53,6 +53,46 @@ def test_trie_join_loses_no_link():
     assert got == set(zip(i.tolist(), j.tolist()))
 
 
+def test_two_blocks_stay_whole():
+    """Any two fingerprints within the budget share the node of some trie; turning is undone."""
+    rng = random.Random(2)
+    for budget in (1, 3, 4):
+        orders = S.turns(budget)
+        assert len(orders) == (budget + 2) * (budget + 1) // 2
+        for _ in range(300):
+            a = rng.getrandbits(64)
+            b = a ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, budget)))
+            same = [o for o in orders if all((a ^ b) >> 64 - f - w & (1 << w) - 1 == 0 for f, w in o[:2])]
+            assert same
+            for o in orders:
+                assert sorted(o) == sorted(orders[0]) and sum(w for _, w in o) == 64
+    x = np.array([rng.getrandbits(64) for _ in range(50)], np.uint64)
+    for o in S.turns(4):
+        assert sorted(np.bitwise_count(S.turned_back(x, o)).tolist()) == sorted(np.bitwise_count(x).tolist())
+
+
+def test_full_nodes_are_opened(spark):
+    """Fingerprints that share many leading bits in every trie, far more than a leaf holds: no link is lost."""
+    rng = np.random.default_rng(8)
+    base = int(rng.integers(0, 2 ** 63, dtype=np.uint64))
+    near = {base ^ sum(1 << int(k) for k in rng.choice(64, n, False)) for n in rng.integers(0, 5, 500)}
+    near |= {int(x) for x in rng.integers(0, 2 ** 63, 100, dtype=np.uint64)}
+    fps = np.array(sorted(near), np.uint64)
+    df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp bigint")
+    got = {r.node: r.root for r in _components.components(S.links(df, 4, leaf=150)).collect()}
+    close = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4
+    label = np.arange(len(fps))
+    while (new := np.array([label[c].min() for c in close])).tolist() != label.tolist():
+        label = new
+    signed = fps.view(np.int64)
+    want = {}
+    for k in range(len(fps)):
+        members = np.flatnonzero(label == label[k])
+        if int(signed[members].min()) != int(signed[k]):
+            want[int(signed[k])] = int(signed[members].min())
+    assert got == want
+
+
 def test_keep_one(spark, edge, nothing):
     kept = S.keep_one(edge)
     assert kept.columns == edge.columns
