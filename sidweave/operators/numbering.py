@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from bisect import bisect_right
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import key_text
@@ -41,6 +44,25 @@ def row_numbers(df: DataFrame, order: list[Column], name: str = "rn") -> DataFra
     return out.withColumn(name, F.col("_off_n") + F.col("_seq") + 1).drop("_part", "_seq", "_off_n")
 
 
+def first_keys(df: DataFrame, size: int, order: list[Column]) -> list[tuple]:
+    """The order key of every size-th row. Only keys are numbered and kept; one key per `size` rows comes to the driver."""
+    names = [f"_k{i}" for i in range(len(order))]
+    keys = row_numbers(df.select(*[c.alias(n) for c, n in zip(order, names)]), [F.col(n) for n in names])
+    return [tuple(r) for r in keys.where((F.col("rn") - 1) % size == 0).orderBy("rn").select(*names).collect()]
+
+
+def shard_of(bounds: list[tuple], spark: SparkSession, order: list[Column]) -> Column:
+    """Number of the last of `first_keys` at or before a row's key."""
+    shared = spark.sparkContext.broadcast(bounds)
+
+    @F.pandas_udf("int")
+    def run(keys: pd.DataFrame) -> pd.Series:
+        rows = zip(*[keys[c].astype(object) for c in keys.columns])
+        return pd.Series([bisect_right(shared.value, k) - 1 for k in rows], dtype="int32")
+
+    return run(F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(order)]))
+
+
 def running_sums(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
     """Exclusive running sums under a unique order, one output column per entry."""
     parts = ordered_parts(df, order)

@@ -4,16 +4,14 @@ from __future__ import annotations
 
 import json
 import uuid
-from bisect import bisect_right
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keyed import lookup_join
-from ..operators.numbering import row_numbers
+from ..operators.numbering import first_keys, shard_of
 from .files import _fs, find_parquet_files
 
 
@@ -29,28 +27,6 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def _bounds(df: DataFrame, max_rows: int, order: list[Column]) -> list[tuple]:
-    """The order key of each shard's first row. Only keys are numbered and kept; one key a shard comes to the driver."""
-    names = [f"_k{i}" for i in range(len(order))]
-    keys = row_numbers(df.select(*[c.alias(n) for c, n in zip(order, names)]), [F.col(n) for n in names])
-    return [tuple(r) for r in keys.where((F.col("rn") - 1) % max_rows == 0).orderBy("rn").select(*names).collect()]
-
-
-def _shard_of(bounds: list[tuple], spark: SparkSession):
-    """Number of the shard that a key belongs to: the last one that begins at or before it."""
-    def known(key: tuple) -> tuple:
-        return tuple((x is not None, x) for x in key)  # no value first, as in Spark's order
-
-    shared = spark.sparkContext.broadcast([known(b) for b in bounds])
-
-    @F.pandas_udf("int")
-    def run(keys: pd.DataFrame) -> pd.Series:
-        columns = [[None if x is None or x != x else x for x in keys[c].astype(object)] for c in keys.columns]
-        return pd.Series([bisect_right(shared.value, known(k)) - 1 for k in zip(*columns)], dtype="int32")
-
-    return run
-
-
 def write_shards(df: DataFrame, out: str, max_rows: int, order: list[Column], prefix: str = "part") -> list[str]:
     """Write contiguous shards of exactly max_rows rows (the last one may be shorter) as
     `prefix-iiiii-of-nnnnn.parquet`, one file each, in a folder of this run under `out`; returns their
@@ -63,14 +39,13 @@ def write_shards(df: DataFrame, out: str, max_rows: int, order: list[Column], pr
     if max_rows <= 0:
         raise ValueError("max_rows must be positive")
     spark = df.sparkSession
-    bounds = _bounds(df, max_rows, order)
+    bounds = first_keys(df, max_rows, order)
     if not bounds:
         return []
     total = len(bounds)
     run = f"{out}/run-{uuid.uuid4().hex}"
     staged = f"{run}/_staged"
-    key = F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(order)])
-    rows = df.withColumn("_shard", _shard_of(bounds, spark)(key))
+    rows = df.withColumn("_shard", shard_of(bounds, spark, order))
     rows.repartition(total, "_shard").sortWithinPartitions("_shard", *order).write.option("compression", "snappy").partitionBy("_shard").parquet(staged)
     fs, _ = _fs(spark, out)
     path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
