@@ -125,31 +125,48 @@ def chat_tokens(rows: DataFrame, messages: Column, max_length: int, tokenize: To
     return s.withColumn("loss_mask", span_mask(F.col("input_ids"), start, tokenize(F.lit(TURN_END))))
 
 
-def _find(ids: np.ndarray, pattern: np.ndarray) -> np.ndarray:
-    """Start positions of a pattern in an id array."""
+def _find(flat: np.ndarray, row: np.ndarray, pattern: np.ndarray) -> np.ndarray:
+    """Places of a pattern in rows that lie end to end; `row` is the row of each place."""
     n = len(pattern)
-    if n == 0 or len(ids) < n:
+    if n == 0 or len(flat) < n:
         return np.empty(0, dtype=np.int64)
-    windows = np.lib.stride_tricks.sliding_window_view(ids, n)
-    return np.flatnonzero((windows == pattern).all(axis=1))
+    hit = row[:len(flat) - n + 1] == row[n - 1:]
+    for k, x in enumerate(pattern):
+        hit &= flat[k:len(flat) - n + 1 + k] == x
+    return np.flatnonzero(hit)
+
+
+def _flat_mask(flat: np.ndarray, edges: np.ndarray, opening: np.ndarray, closing: np.ndarray) -> np.ndarray:
+    """The mask of rows flat[edges[k]:edges[k + 1]], all at once."""
+    row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    starts, ends = _find(flat, row, opening), _find(flat, row, closing)
+    limit = edges[row[starts] + 1]
+    ends = np.append(ends, len(flat) + len(closing))
+    close = ends[np.searchsorted(ends, starts + len(opening))]
+    stop = np.minimum(close, limit)
+    free = np.where(close < limit, close + len(closing), limit)  # a span that nothing closes runs to the row's end
+    while len(starts):
+        inside = np.concatenate([[False], starts[1:] < free[:-1]])
+        inside[1:] &= ~inside[:-1]  # what only such a start hides is looked at again
+        if not inside.any():
+            break
+        starts, stop, free = starts[~inside], stop[~inside], free[~inside]
+    step = np.zeros(len(flat) + 1, np.int32)
+    np.add.at(step, np.minimum(starts + len(opening), stop), 1)
+    np.add.at(step, stop, -1)
+    return np.cumsum(step[:-1], dtype=np.int32)
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _span_mask(ids: pd.Series, start: pd.Series, end: pd.Series) -> pd.Series:
-    def one(row, opening, closing):
-        row = np.asarray(row)
-        mask = np.zeros(len(row), dtype=np.int32)
-        ends, free = _find(row, np.asarray(closing)), 0
-        for at in _find(row, np.asarray(opening)):
-            if at < free:
-                continue  # a start pattern inside a span
-            first = at + len(opening)
-            later = ends[ends >= first]
-            last = later[0] if len(later) else len(row)
-            mask[first:last] = 1
-            free = last + len(closing) if len(later) else len(row)
-        return mask.tolist()
-    return pd.Series([one(r, a, b) for r, a, b in zip(ids, start, end)])
+    pairs = pd.Series([(tuple(a), tuple(b)) for a, b in zip(start, end)], index=ids.index)
+    out = pd.Series([None] * len(ids), index=ids.index, dtype=object)
+    for (opening, closing), own in ids.groupby(pairs):  # patterns are constants, so one group
+        edges = np.concatenate([[0], np.cumsum(own.map(len).to_numpy())])
+        flat = np.concatenate([np.asarray(x, np.int64) for x in own])
+        mask = _flat_mask(flat, edges, np.array(opening), np.array(closing))
+        out[own.index] = pd.Series([mask[a:b] for a, b in zip(edges, edges[1:])], index=own.index, dtype=object)
+    return out
 
 
 def span_mask(ids: Column, start: Column, end: Column) -> Column:

@@ -222,6 +222,31 @@ def test_packing_keeps_tokens(spark, cut_to_pad):
         assert sum(p.loss_mask) == p.tokens and p.sample_idx.count(-1) == 128 - p.tokens
 
 
+def test_span_mask_of_flat_rows():
+    """Against a walk along each row: patterns that overlap, starts inside spans, spans that nothing closes, empty rows."""
+    from sidweave.operators import tokens as K
+
+    def plain(row, opening, closing):
+        mask, at = [0] * len(row), 0
+        while at < len(row):
+            if opening and row[at:at + len(opening)] == opening:
+                first = at + len(opening)
+                last = next((e for e in range(first, len(row)) if closing and row[e:e + len(closing)] == closing and e + len(closing) <= len(row)), None)
+                stop = len(row) if last is None else last
+                mask[first:stop] = [1] * (stop - first)
+                at = len(row) if last is None else last + len(closing)
+            else:
+                at += 1
+        return mask
+
+    rng = random.Random(4)
+    for opening, closing in (([1], [2]), ([1, 1], [1]), ([1, 2], [2, 1]), ([1, 2, 1], [1, 2]), ([1], [1, 1]), ([], [1]), ([1], [])):
+        rows = [[rng.choice([1, 2, 3]) for _ in range(rng.randint(0, 14))] for _ in range(300)]
+        edges = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+        mask = K._flat_mask(np.array(sum(rows, []), np.int64), edges, np.array(opening, np.int64), np.array(closing, np.int64))
+        assert [mask[a:b].tolist() for a, b in zip(edges, edges[1:])] == [plain(r, opening, closing) for r in rows]
+
+
 def test_differencing():
     rng = random.Random(5)
     for _ in range(20):
