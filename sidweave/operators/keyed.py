@@ -8,15 +8,32 @@ there are, into pieces that join the same entries of the other side in tasks of
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch
+
 
 def lookup_join(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join rows against a table with unique keys."""
     return rows.join(table, keys, how)
 
 
+def bucketed(table: DataFrame, keys: list[str], buckets: int | None = None) -> DataFrame:
+    """The table, written once in buckets of its keys (a table of the session's catalog, next to the checkpoints).
+
+    Joins on all of these keys then read its buckets as they lie: only the other side moves, however often the table is
+    used. `buckets` defaults to the shuffle partitions, so that the other side arrives in the same number.
+    """
+    spark = table.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    writer = table.write.format("parquet").bucketBy(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).sortBy(*keys)
+    writer.option("path", scratch(spark, name)).saveAsTable(name)
+    return spark.table(name)
+
+
 def with_group_stats(rows: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
     """rows + aggregates of their group + `group_rows`.
 

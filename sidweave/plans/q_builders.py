@@ -9,7 +9,7 @@ from ..functions.common import head, mask_select, pick, stable_uuid, tail
 from ..functions import sid as S
 from ..operators import builders as B
 from ..operators import templates as T
-from ..operators.keyed import lookup_join
+from ..operators.keyed import bucketed, lookup_join
 from . import oracle as O
 from . import testbed as TB
 from .catalog import query
@@ -40,6 +40,14 @@ def c1(spark, sf):
     return B.sequences_to_sids(TB.user_meta(spark, sf), ["uid"], slots, TB.pid2sid(spark, sf))
 
 
+@query("C1_bucketed_ids", O.sql("SELECT * FROM seqsid", seqsid=O.sequences(
+    {"hist": ("hist_video_pid", "video"), "goods": ("hist_goods_pid", "product")}, "user_meta")))
+def c1b(spark, sf):
+    """C1 with the id table in buckets of (domain, pid): only the interactions move."""
+    slots = {"hist": (F.col("hist_video_pid"), "video"), "goods": (F.col("hist_goods_pid"), "product")}
+    return B.sequences_to_sids(TB.user_meta(spark, sf), ["uid"], slots, bucketed(TB.pid2sid(spark, sf), ["domain", "pid"]))
+
+
 @query("C2_single_sid", O.sql(
     "SELECT l_partkey AS pid, count(*) AS n, coalesce(max(s),'') AS sid FROM lineitem "
     "LEFT JOIN sidmap ON pid=l_partkey AND dom='video' GROUP BY 1"))

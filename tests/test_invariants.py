@@ -247,6 +247,18 @@ def test_span_mask_of_flat_rows():
         assert [mask[a:b].tolist() for a, b in zip(edges, edges[1:])] == [plain(r, opening, closing) for r in rows]
 
 
+def test_bucketed_tables_do_not_move(spark, shuffled_joins):
+    """The table side of a lookup has no exchange; the rows are those of the plain join."""
+    table = spark.range(500).selectExpr("CASE WHEN id % 2 = 0 THEN 'a' ELSE 'b' END AS domain", "id AS pid", "id * 7 AS sid")
+    rows = spark.range(3000).selectExpr("id AS row_id", "CASE WHEN id % 5 = 0 THEN 'b' ELSE 'a' END AS domain", "CASE WHEN id % 3 = 0 THEN 4 ELSE id % 600 END AS pid")
+    plain = keyed.lookup_join(rows, table, ["domain", "pid"])
+    held = keyed.bucketed(table, ["domain", "pid"], 8)
+    plan = keyed.lookup_join(rows, held, ["domain", "pid"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan, plan
+    got = keyed.lookup_join(rows, held, ["domain", "pid"])
+    assert sorted(got.collect()) == sorted(plain.select(*got.columns).collect())
+
+
 def test_differencing():
     rng = random.Random(5)
     for _ in range(20):
