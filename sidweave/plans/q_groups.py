@@ -47,9 +47,10 @@ def _white(x):
 
 
 @query("K3_mean_baseline_whitened", O.sql(
-    "SELECT row_id, pos, " + O.r6("(x-mu)/sqrt(va+1e-8)*m") + " AS advantage FROM w CROSS JOIN st", **_SC,
-    w="SELECT row_id, pos, m, (sc.score-CASE WHEN n=1 THEN 0 ELSE mean END)*m x FROM tok JOIN sc USING (row_id) JOIN gs ON gs.uid=sc.uid",
-    **_white("x")[0]))
+    "SELECT row_id, pos, " + O.r6("(x-avg(x) FILTER (WHERE m=1) OVER ())/sqrt(var_samp(x) FILTER (WHERE m=1) OVER ()+1e-8)*m") + " AS advantage FROM w3",
+    s3="SELECT row_id, uid, len, mask, list_sum(token_rewards) score FROM rollouts",
+    b3="SELECT *, CASE WHEN count(*) OVER (PARTITION BY uid)=1 THEN 0 ELSE avg(score) OVER (PARTITION BY uid) END base FROM s3",
+    w3="SELECT row_id, pos, m, (score-base)*m x FROM (SELECT row_id, score, base, unnest(range(len)) pos, unnest(mask) m FROM b3)"))
 def k3(spark, sf):
     return _tokens(G.mean_baseline_whitened(TB.rollouts(spark, sf)), advantage="advantages")
 
