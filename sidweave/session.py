@@ -54,6 +54,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/work-{uuid.uuid4().hex}/{name}"
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this job that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 SPREAD_MIN, SPREAD_PER_CORE = 256 * 1024, 64 * 1024 * 1024
 
 
