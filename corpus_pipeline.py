@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sidweave.llm import certified_packing, edit_decontam, ftrl_toxicity, secret_novelty, simhash_trie
-from sidweave.session import read, scratch
+from sidweave.session import drop, read, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -45,10 +45,12 @@ ORACLE_SQL: str | None = None  # the stages train, fingerprint and tokenise
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table; each result is written as Parquet and read back."""
-    docs = read(spark, sf_dir, "documents")
+    """All stages over the documents table; each result is written as Parquet and read back, and goes when the next one is written."""
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before is not None:
+            drop(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

@@ -395,11 +395,12 @@ def memo(kind: str, path: str, make=None) -> Memo:
     """The worker's memo for a tokenizer file; kept between tasks until another one is asked for."""
     held = kept("memo")
     if (kind, path) not in held:
-        held.clear()
+        release()
         held[kind, path] = (make or KINDS[kind])(path)
     return held[kind, path]
 
 
 def release() -> None:
-    """Give the memo's memory back before work that needs it."""
-    kept("memo").clear()
+    """Give the memory of the worker's memo or automaton back before work that needs it."""
+    for name in ("memo", "matcher"):
+        kept(name).clear()

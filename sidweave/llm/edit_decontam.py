@@ -12,6 +12,7 @@ Myers' bit-parallel algorithm gives the smallest edit distance of the window wit
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text
+from ._memo import kept, release
 
 WINDOW, RATE, LEAST, BLOCK_CHARS = 120, 20, 24, 2_000_000
 #: Two characters within a word: neither is of a script that is written without spaces.
@@ -135,9 +137,23 @@ class Matcher:
         return best
 
 
+def _matcher(shared, window: int, rate: int, least: int) -> Matcher:
+    """The worker's automaton for a block of items, kept between tasks until another block comes."""
+    name, items = shared.value
+    held = kept("matcher")
+    if (name, window, rate, least) not in held:
+        release()
+        held[name, window, rate, least] = Matcher(items, window, rate, least)
+    return held[name, window, rate, least]
+
+
+def _shared(spark, block: DataFrame):
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, [(r.item_id, r.text) for r in block.collect()]))
+
+
 def _search(shared, window: int, rate: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(shared.value, window, rate, least)
+        matcher = _matcher(shared, window, rate, least)
         for batch in batches:
             for at, texts in _text.slices(batch):
                 ids, rows = batch.column(0), ([], [], [], [])
@@ -169,7 +185,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rate: int
     """
     spark, out = docs.sparkSession, None
     for block in blocks(benchmark, block_chars):
-        shared = spark.sparkContext.broadcast([(r.item_id, r.text) for r in block.collect()])
+        shared = _shared(spark, block)
         found = _text.rows(docs).mapInArrow(_search(shared, window, rate, least), FOUND)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else spark.createDataFrame([], FOUND)
@@ -181,10 +197,10 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     `least` code points drop no document: an answer like "yes" stands in most of them; leaks() reports them."""
     spark, names = docs.sparkSession, docs.columns
     for block in blocks(benchmark, block_chars):
-        shared = spark.sparkContext.broadcast([(r.item_id, r.text) for r in block.collect()])
+        shared = _shared(spark, block)
 
         def run(batches, shared=shared):
-            matcher = Matcher(shared.value, window, rate, least)
+            matcher = _matcher(shared, window, rate, least)
             for batch in batches:
                 texts = batch.column(names.index("text"))
                 yield batch.filter(pa.array([not matcher.search(t.as_py() or "") for t in texts], pa.bool_()))
