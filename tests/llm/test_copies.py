@@ -233,6 +233,40 @@ def test_edited_likeness(spark, sf, edge, nothing):
     assert alone.near_next == 1.0
 
 
+def test_likeness_against_plain_sets(spark, sf):
+    """Every fingerprint and likeness from sets of hashes made one by one."""
+    def sketch(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        grams = [words[i:i + 5] for i in range(max(1, len(words) - 4))] if words else []
+        out = set()
+        for g in grams:
+            h = 42
+            for w in g:  # the hash of each word seeds the next one
+                h = xxhash.xxh64_intdigest(w.encode(), seed=h)
+            if h < int(K.FRACTION * 2 ** 64):
+                out.add(h)
+        return out
+
+    def like(a, b, same):
+        return len(a & b) / min(len(a), len(b)) if a and b else float(same)
+
+    def printed(held):
+        return ".".join(format(h, "x") for h in sorted(held, key=lambda h: h - (1 << 64) if h >> 63 else h))
+
+    docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
+    got = {r.doc_id: r for r in K.edited_likeness(spark.read.parquet(f"{sf}/documents.parquet")).collect()}
+    assert len(got) == len(docs)
+    for k, (i, text) in enumerate(docs):
+        other = docs[(k + 1) % len(docs)][1]
+        half = len(text) // 2
+        edited = text[:len(text) - half] + other[:half]
+        a, b, c = sketch(text), sketch(edited), sketch(other)
+        r = got[i]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (printed(a), printed(b))
+        assert abs(r.near_edited - like(a, b, text == edited)) < 1e-12 and abs(r.near_next - like(a, c, text == other)) < 1e-12
+
+
 def test_containment_of_unequal_documents(spark):
     words = [f"w{k}" for k in range(4000)]
     frame = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:400]))], "doc_id bigint, text string")

@@ -52,6 +52,20 @@ def test_classifier_edges(spark, edge, nothing, fn):
     assert fn(nothing, some).count() == 0
 
 
+def test_quality_scores_against_plain_rules(spark, sf):
+    """Every document's score from its own statistics and the learnt rules, one condition after the other."""
+    import math
+
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    intercept, rules = R.train(docs, labels)
+    assert rules
+    scores = {r.doc_id: r.score for r in R.quality(docs, labels).collect()}
+    for r in docs.select("doc_id", "text").collect():
+        x = R.statistics(r.text or "")
+        total = intercept + sum(w for rule, w in rules if all((x[k] > cut) == above for k, above, cut in rule))
+        assert abs(scores[r.doc_id] - 1 / (1 + math.exp(-total))) < 1e-9
+
+
 def test_rules_compile_to_the_same_scores(spark):
     rng = np.random.default_rng(0)
     x = rng.random((800, len(R.STATS)))
@@ -65,6 +79,52 @@ def test_rules_compile_to_the_same_scores(spark):
     assert ((total > 0) == (y > 0)).mean() > 0.97
 
 
+def plain_buckets(text, bits):
+    """Hashed words, pairs and skip pairs of one text, one by one."""
+    import re
+
+    mix, all_bits = 0x9E3779B97F4A7C15, (1 << 64) - 1
+    h = [zlib.crc32(w.encode()) for w in re.findall(r"\w+", text.lower())]
+    out = {((x + 1) * mix & all_bits) >> 64 - bits for x in h}
+    for gap in (1, 2):
+        out |= {((((x + gap) * mix + y) & all_bits) * mix & all_bits) >> 64 - bits for x, y in zip(h, h[gap:])}
+    return sorted(out)
+
+
+def test_toxicity_against_plain_loops(spark, sf):
+    """Weights and scores of the query's functions against FTRL-proximal written out coordinate by coordinate."""
+    import math
+
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    bits, epochs = 12, 2
+    known = {r.doc_id: r.toxic for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5}
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("turn")).collect()
+    made = {r.turn: plain_buckets(r.text, bits) for r in rows}
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= X.L1:
+            return 0.0
+        return (math.copysign(X.L1, z[i]) - z[i]) / ((X.BETA + math.sqrt(n[i])) / X.ALPHA + X.L2)
+
+    learnt = sorted((r for r in rows if r.doc_id in known), key=lambda r: r.turn)
+    for _ in range(epochs):
+        for r in learnt:
+            at = [*made[r.turn], 1 << bits]
+            w = {i: weight(i) for i in at}
+            g = 1 / (1 + math.exp(-max(-30, min(30, sum(w.values()))))) - known[r.doc_id]
+            for i in at:
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / X.ALPHA
+                n[i], z[i] = n.get(i, 0.0) + g * g, z.get(i, 0.0) + g - sigma * w[i]
+    want = {i: weight(i) for i in z if weight(i)}
+    model = X.train(docs, labels, bits=bits, epochs=epochs)
+    assert model.keys() == want.keys() and all(abs(model[i] - want[i]) < 1e-9 for i in want)
+    scores = {r.doc_id: r.score for r in X.toxicity(docs, labels, bits=bits, epochs=epochs).collect()}
+    for r in rows:
+        total = sum(want.get(i, 0.0) for i in [*made[r.turn], 1 << bits])
+        assert abs(scores[r.doc_id] - 1 / (1 + math.exp(-max(-30, min(30, total))))) < 1e-9
+
+
 def test_ftrl_is_sparse_and_learns():
     rng = np.random.default_rng(0)
     model = X.Ftrl(2000)
