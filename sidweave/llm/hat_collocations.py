@@ -2,7 +2,8 @@
 
 Each task counts the phrases of its texts in tries over word ids, one for each language. The root's children are the
 prefix partitions (a hash of a phrase's first two words); below each hangs a shallow trie whose leaves are hash
-containers for ranges of phrases. A container that holds over BURST phrases bursts at the next word: words that fill
+containers for ranges of phrases. Only the longest phrase from each place goes in, up to four words or the piece's
+end; a shorter one's count is that of all phrases that begin with it, which share its prefix partition. A container that holds over BURST phrases bursts at the next word: words that fill
 half a container get a child of their own, the others share children. When a task holds more than HELD phrases, it
 spills the largest subtrees, whole, as runs sorted by their words; a run carries its own words, so no id leaves a
 task. Runs travel to their prefix partition, where they are merged and phrases under the least count go.
@@ -188,7 +189,7 @@ def unpacked(run: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
 
 
 class HatTrie:
-    """One language's phrases of two to LONGEST words; `marks` is the bitmap of frequent words."""
+    """One language's phrases, each from its place on up to LONGEST words; `marks` is the bitmap of frequent words."""
 
     def __init__(self, lang: str, marks: np.ndarray, parts: int) -> None:
         self.lang, self.marks, self.parts = lang, marks, parts
@@ -229,14 +230,13 @@ class HatTrie:
         id_of = np.zeros(len(texts), np.uint64)
         id_of[here] = [self.ids[texts[k]] for k in here.tolist()]
         w, p, n = id_of[place[begin:reach]], piece[begin:reach], end - begin
-        keys, live = [], (w > 0)[:n]
-        key = w[:n] << SHIFTS[0]
-        for k in range(1, LONGEST):
-            n = min(n, len(w) - k)
-            live = live[:n] & (w[k:k + n] > 0) & (p[k:k + n] == p[:n])
-            key = key[:n] | w[k:k + n] << SHIFTS[k]
-            keys.append(key[live])
-        keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+        key, live, two = w[:n] << SHIFTS[0], w[:n] > 0, None
+        for k in range(1, LONGEST):  # the longest phrase from each place; the trie holds its beginnings too
+            m = min(n, len(w) - k)
+            live = live[:m] & (w[k:k + m] > 0) & (p[k:k + m] == p[:m])
+            key[:m][live] |= w[k:k + m][live] << SHIFTS[k]
+            two = np.flatnonzero(live) if two is None else two
+        keys = key[two]
         part = self.hash_of[(keys >> SHIFTS[0]).astype(np.int64)] * np.uint64(0x9E3779B97F4A7C15) + self.hash_of[(keys >> SHIFTS[1]).astype(np.int64) & WORDS]
         part = ((part ^ part >> np.uint64(32)) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(33)) % np.uint64(self.parts)
         order = np.argsort(part.astype(np.uint16 if self.parts <= 1 << 16 else np.int64), kind="stable")
@@ -315,12 +315,17 @@ class Merge:
     def frequent(self, lang: str, least: int) -> pa.RecordBatch:
         self.merge()
         words, ids, counts = self.runs[0]
-        good = np.flatnonzero(counts >= least)
-        ids = ids[good]
-        names = pa.array([w.decode() for w in words], pa.string())
-        sizes = (ids > 0).sum(1)
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), names.take(pa.array(ids[ids > 0] - 1)))
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(good), pa.string()), lists, pa.array(counts[good], pa.int64())], ["lang", "words", "f"])
+        names, found, sums = pa.array([w.decode() for w in words], pa.string()), [np.zeros((0, LONGEST), np.int64)], []
+        for n in range(2, LONGEST + 1):  # phrases of n words are the runs of equal beginnings
+            first = np.flatnonzero(np.concatenate([[True], (np.diff(ids[:, :n], axis=0) != 0).any(1)]))
+            f = np.add.reduceat(counts, first)
+            good = (f >= least) & (ids[first, n - 1] > 0)
+            found.append(np.where(np.arange(LONGEST) < n, ids[first[good]], 0))
+            sums.append(f[good])
+        ids, f = np.concatenate(found), np.concatenate(sums)
+        edges = np.concatenate([[0], np.cumsum((ids > 0).sum(1))])
+        lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), names.take(pa.array(ids[ids > 0] - 1)))
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(f), pa.string()), lists, pa.array(f, pa.int64())], ["lang", "words", "f"])
 
 
 def _merged(least: int):
