@@ -1,6 +1,6 @@
 """Byte-pair encoding by contiguous rank arrays, and decoding.
 
-A text is cut into words by the vocabulary's pattern. A word holds its part boundaries side by side and, between
+A text is cut into words by the library's pre-tokenizer (its Unicode tables decide what a letter is). A word holds its part boundaries side by side and, between
 each two neighbouring parts, the rank of their merge. The smallest rank is found by a scan of the array; its merge
 deletes one boundary, and only the ranks to the left and right of it are looked up anew; this is repeated until no
 rank is left. The arrays of many words of one length are the rows of a matrix, so that a step scans, deletes and
@@ -16,19 +16,18 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
+from tokenizers import pre_tokenizers
 
 from . import _text
 from ._memo import DIGIT, LETTER, PUNCT, Memo, byte_characters, memo, only
 
 SHORT, NONE = 32, np.int32(1 << 30)
-#: Fixed value: the pattern that cuts text into words for the published byte-level vocabularies.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 ENCODED, DECODED = "doc_id bigint, ids array<bigint>", "doc_id bigint, text string"
 DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
@@ -53,8 +52,11 @@ class Vocabulary:
         for v, i in [*ids.items(), *self.special.items()]:
             table[i] = bytes(byte_of[c] for c in v) if all(c in byte_of for c in v) else v.encode()
         self.bytes = pa.array(table, pa.binary())
-        self.splitter = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
-        self.words = regex.compile(PATTERN)
+        self.splitter = re.compile("|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
+        self.cutter = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
+
+    def words(self, text: str) -> list[str]:
+        return [text[a:b] for _, (a, b) in self.cutter.pre_tokenize_str(text)] if text else []
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair's merge, NONE without one. Negative ids stand for no part."""
@@ -135,10 +137,10 @@ class Vocabulary:
         for text in texts:
             parts, at = [], 0
             for m in self.splitter.finditer(text) if self.splitter else ():
-                parts += self.words.findall(text, at, m.start()) if m.start() > at else []
+                parts += self.words(text[at:m.start()])
                 parts.append(self.special[m[0]])
                 at = m.end()
-            parts += self.words.findall(text[at:] if at else text)
+            parts += self.words(text[at:] if at else text)
             for p in parts:
                 if isinstance(p, str):
                     distinct.setdefault(p, len(distinct))
