@@ -40,6 +40,7 @@ def last_chars(text: Column, n: int) -> Column:
 
 def final_number(text: Column, flexible: bool = False) -> Column:
     """Last `#### n` without commas, or (flexible) the last number that is not a bare dot."""
+    # The patterns below.
     clip = last_chars(text, CLIP)
     if not flexible:
         found = F.regexp_extract_all(clip, F.lit(r"#### (\-?[0-9\.\,]+)"), F.lit(1))
@@ -122,6 +123,7 @@ def same_math(a: Column, b: Column) -> Column:
 
 def tidy_final(text: Column) -> Column:
     """Canonical form of a final answer line."""
+    # The patterns below and their order.
     t = F.element_at(F.split(text, "=", -1), -1)
     t = _replace_all(t, [*SUBSTITUTIONS, *[(r, "") for r in REMOVED]])
     t = F.regexp_replace(t, r"(?d)(.*?)(\$)(.*?)(\$)(.*)", r"\$$3\$")

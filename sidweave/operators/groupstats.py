@@ -20,6 +20,7 @@ from ..session import cut
 from .keyed import lookup_join, with_group_stats, with_totals
 from .numbering import group_row_numbers, group_running_sums, ordered_parts, row_numbers
 
+# Guard and bound of the published formulas; result names below follow them too.
 EPS = 1e-6
 BOUND = 20.0
 NO_GAP = 1e-12  # a weight of label gaps under this is rounding

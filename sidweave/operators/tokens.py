@@ -21,6 +21,7 @@ Tokenizer = Callable[[Column], Column]
 
 RAW_MESSAGES = "array<struct<role:string,content:variant>>"
 RAW_SEGMENTS = "array<struct<type:string,text:string>>"
+# The chat marks, the end token and the range of item ids of the published corpus.
 TURN_START, TURN_END = "<|im_start|>", "<|im_end|>"
 END = "<|endoftext|>"
 PIECE = r"<s_[abc]_\d+>|<\|[a-z_]+\|>|[^\s<]+|<"
