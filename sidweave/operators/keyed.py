@@ -3,7 +3,9 @@
 There is one path for all sizes and no copying of tables beforehand. Catalyst broadcasts a side only if
 its size, measured at run time, is under the session's threshold. Beyond it both sides shuffle on the key,
 and adaptive execution (spark.sql.adaptive.skewJoin) cuts the partition of each hot key, however many
-there are, into pieces that join the same entries of the other side in tasks of their own.
+there are, into pieces that join the same entries of the other side in tasks of their own. By itself Spark leaves a hot
+partition whole where splitting it would cost one more exchange (an aggregate on the join's keys follows); `session.prepare`
+tells it to split there too.
 """
 
 from __future__ import annotations

@@ -33,6 +33,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Settings that the joins here count on when one key holds a large share of all rows.
+SKEW_SETTINGS = {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true",
+                 # a hot partition is split even where an aggregate on the same key behind the join then needs an exchange
+                 "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set SKEW_SETTINGS; call it once where a job's session is made."""
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Optimizer's size estimate of a plan, used to gate explicit broadcasts."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()

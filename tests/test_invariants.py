@@ -79,6 +79,33 @@ def test_hot_keys_are_split(spark, shuffled_joins):
             spark.conf.set(k, v)
 
 
+def test_hot_keys_are_split_before_an_aggregate(spark, shuffled_joins):
+    """The same with a group-by on the join's key behind it, which Spark alone would leave in one task."""
+    from sidweave.session import SKEW_SETTINGS, prepare
+
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in [*small, *SKEW_SETTINGS]}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        plans = {}
+        for forced in (False, True):
+            if forced:
+                prepare(spark)
+            key = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 1500)
+            rows = spark.range(200_000).repartition(16).select(key.alias("k"), "id")
+            joined = keyed.lookup_join(rows, spark.range(-1, 1500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")), ["k"])
+            sums = joined.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("v"))
+            got = {r.k: (r.n, r.v) for r in sums.collect()}
+            assert got[-1] == (66_667, -133_334) and sum(n for n, _ in got.values()) == 200_000
+            plans[forced] = sums._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plans[True]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("n", [1, 450, 899, 900, 5000])
 def test_exact_sample(skewed, n):
     _, df = skewed
