@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-LIMIT, SLOT_BITS, SEEN_BITS, KEY_WORDS, BLOCK = 600_000, 21, 23, 3, 1 << 14
+LIMIT, SLOT_BITS, SEEN_BITS, KEY_WORDS, BLOCK, STRETCH = 600_000, 20, 23, 3, 1 << 14, 2_000_000
 OTHER, LETTER, BLANK, SPACE, PUNCT, DIGIT, QUOTE, EDGE = range(8)
 KNOWN = np.isin(np.arange(8), (LETTER, PUNCT, DIGIT, QUOTE))
 
@@ -145,6 +145,18 @@ class Memo:
         return np.frombuffer(b"".join(made), np.uint32), np.fromiter(map(len, made), np.int64, len(made)) // 4
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """In stretches of about STRETCH bytes, which bound the arrays at work."""
+        size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, at, parts, edges = np.cumsum(size), 0, [], [np.zeros(1, np.int64)]
+        while at < len(texts) or not parts:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + STRETCH, "right")))
+            flat, own = self._ids(texts.slice(at, to - at))
+            parts.append(flat)
+            edges.append(own[1:] + edges[-1][-1])
+            at = to
+        return np.concatenate(parts), np.concatenate(edges)
+
+    def _ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts, "")
         whole = self.odd(texts).to_numpy(zero_copy_only=False)
         data, bounds = text_bytes(texts)
@@ -404,3 +416,4 @@ def release() -> None:
     """Give the memory of the worker's memo or automaton back before work that needs it."""
     for name in ("memo", "matcher"):
         kept(name).clear()
+    pa.default_memory_pool().release_unused()

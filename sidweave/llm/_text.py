@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICE_CHARS, RUN_BYTES = 4_000_000, 8_000_000
+SLICE_CHARS, RUN_BYTES = 2_000_000, 8_000_000
 
 
 def rows(docs: DataFrame, *extra: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
