@@ -56,11 +56,16 @@ def shard_of(bounds: list[tuple], spark: SparkSession, order: list[Column]) -> C
     shared = spark.sparkContext.broadcast(bounds)
 
     @F.pandas_udf("int")
-    def run(keys: pd.DataFrame) -> pd.Series:
+    def one_key(keys: pd.Series) -> pd.Series:
+        firsts = pd.Series([b[0] for b in shared.value]).to_numpy()
+        return pd.Series(firsts.searchsorted(keys.to_numpy(), "right") - 1, dtype="int32")
+
+    @F.pandas_udf("int")
+    def many_keys(keys: pd.DataFrame) -> pd.Series:
         rows = zip(*[keys[c].astype(object) for c in keys.columns])
         return pd.Series([bisect_right(shared.value, k) - 1 for k in rows], dtype="int32")
 
-    return run(F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(order)]))
+    return one_key(order[0]) if len(order) == 1 else many_keys(F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(order)]))
 
 
 def running_sums(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
