@@ -35,6 +35,13 @@ def unpack(code: Column) -> Column:
     return F.array(a, b, (code % CODE_RANGE).cast("int"))
 
 
+def sid_text_of(code: Column) -> Column:
+    """Text of a packed id; NULL stays NULL."""
+    parts = [F.shiftright(code, 26), F.shiftright(code, 13).bitwiseAND(CODE_RANGE - 1), code.bitwiseAND(CODE_RANGE - 1)]
+    a, b, c = (p.cast("string") for p in parts)
+    return F.concat(F.lit("<|sid_begin|><s_a_"), a, F.lit("><s_b_"), b, F.lit("><s_c_"), c, F.lit("><|sid_end|>"))
+
+
 def parse_codes(text: Column) -> Column:
     """First code triple of a text as three ints, NULL when there is none."""
     found = [F.regexp_extract(text, TRIPLE, i) for i in (1, 2, 3)]
@@ -49,9 +56,12 @@ def packed_from_text(text: Column) -> Column:
 def code_triples(text: Column) -> Column:
     """All code triples of a text as 'a,b,c' strings, in order, duplicates kept."""
     whole = F.regexp_extract_all(text, F.lit(TRIPLE), F.lit(0))
-    return F.transform(
-        whole, lambda t: F.concat_ws(",", *[F.regexp_extract(t, TRIPLE, i) for i in (1, 2, 3)])
-    )
+
+    def codes(t: Column) -> Column:
+        inner = F.substring(t, F.lit(6), F.length(t) - 6)  # behind '<s_a_', before the last '>'
+        return F.replace(F.replace(inner, F.lit("><s_b_"), F.lit(",")), F.lit("><s_c_"), F.lit(","))
+
+    return F.transform(whole, codes)
 
 
 def token_id(layer: Column, code: Column) -> Column:
@@ -59,14 +69,14 @@ def token_id(layer: Column, code: Column) -> Column:
 
 
 def after_last_think(text: Column) -> Column:
-    return F.element_at(F.split(text, THINK_END, -1), -1)
+    return F.substring_index(text, THINK_END, -1)
 
 
 def answer_sids(answer: Column) -> Column:
     """Distinct trimmed contents between begin and end marks, first occurrence order."""
     parts = F.split(answer, r"<\|sid_begin\|>", -1)
     closed = F.filter(parts, lambda p: F.contains(p, F.lit(SID_END)))
-    inner = F.transform(closed, lambda p: strip(F.split(p, r"<\|sid_end\|>", -1)[0]))
+    inner = F.transform(closed, lambda p: strip(F.substring_index(p, SID_END, 1)))
     return F.array_distinct(F.filter(inner, lambda x: x != ""))
 
 
@@ -93,6 +103,6 @@ def _sid_of_part(tail_text: Column) -> Column:
     """
     has_mark = F.contains(tail_text, F.lit(SID_BEGIN))
     parts = F.split(tail_text, r"<\|sid_begin\|>", -1)
-    ids = F.transform(parts, lambda p: strip(F.split(p, r"<\|sid_end\|>", -1)[0]))
+    ids = F.transform(parts, lambda p: strip(F.substring_index(p, SID_END, 1)))
     first = F.get(F.filter(ids, lambda x: x != ""), 0)
     return F.when(has_mark, F.coalesce(first, tail_text)).otherwise(tail_text)

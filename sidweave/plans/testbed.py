@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.sid import sid_text
+from ..functions.sid import pack, sid_text_of
 from ..session import read, spread
 
 TARGET = 12
@@ -116,21 +116,25 @@ def generations(spark: SparkSession, sf: str) -> DataFrame:
 
     uid is the sample's number: the customer, and which 12 of the customer's interactions. Output i names the i-th newest item (0, 3, 6 ...) or a part with a nearby key, in one of
     five spellings; customers in debt have no outputs at all.
+
+    Codes travel as one number and become text when a sample is complete. Rows are dealt out by customer before they are
+    collected, so a sample's list is made where its rows arrive and the join with the customers moves it no more.
     """
-    mapping = pid2sid(spark, sf).where("domain = 'video'").select("pid", sid_text(F.col("sid")).alias("s"))
+    mapping = pid2sid(spark, sf).where("domain = 'video'").select("pid", pack(*[F.col("sid")[i] for i in range(3)]).alias("code"))
     number = F.col("uid") * SAMPLES_PER_USER + F.floor((F.col("rk") - 1) / SAMPLE)
-    inter = interactions(spark, sf).select(number.alias("uid"), ((F.col("rk") - 1) % SAMPLE + 1).alias("rk"), "pid")
-    guess = F.when(F.col("rk") % 3 == 1, F.col("pid")).otherwise(F.col("pid") + F.col("rk"))
-    both = inter.select("uid", "rk", F.explode(F.array(
-        F.struct(F.lit("t").alias("kind"), F.col("pid").alias("pid")),
-        F.struct(F.lit("g").alias("kind"), guess.alias("pid")))).alias("x")).select("uid", "rk", "x.*")
-    hit = both.join(mapping, "pid", "left").groupBy("uid").agg(
-        F.array_sort(F.collect_list(F.when(F.col("kind") == "t", F.struct("rk", "pid", "s")))).alias("t"),
-        F.array_sort(F.collect_list(F.when(F.col("kind") == "g", F.struct("rk", "pid", "s")))).alias("g"),
+    inter = interactions(spark, sf).select(F.col("uid").alias("cust"), number.alias("uid"), ((F.col("rk") - 1) % SAMPLE + 1).alias("rk"), "pid")
+    truth, guess, same = (F.lit(k).cast("tinyint").alias("kind") for k in (0, 1, 2))  # same: both name this item
+    named = F.when(F.col("rk") % 3 == 1, F.array(F.struct(same, F.col("pid").alias("pid")))).otherwise(F.array(
+        F.struct(truth, F.col("pid").alias("pid")), F.struct(guess, (F.col("pid") + F.col("rk")).alias("pid"))))
+    both = inter.select("cust", "uid", "rk", F.explode(named).alias("x")).select("cust", "uid", "rk", "x.*")
+    entry = F.struct("rk", "pid", "code")
+    hit = both.join(mapping, "pid", "left").repartition("cust").groupBy("cust", "uid").agg(
+        F.array_sort(F.collect_list(F.when(F.col("kind") != 1, entry))).alias("t"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") != 0, entry))).alias("g"),
     )
 
     def spell(x):
-        s = F.coalesce(x["s"], F.lit("nothing"))
+        s = F.coalesce(sid_text_of(x["code"]), F.lit("nothing"))
         v = (F.col("uid") + x["rk"] * 3) % 5
         return (
             F.when(v == 0, F.concat(F.lit("<think>likes item "), x["pid"].cast("string"),
@@ -142,7 +146,7 @@ def generations(spark: SparkSession, sf: str) -> DataFrame:
         )
 
     rows = read(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment").join(
-        hit, F.col("c_custkey") == F.floor(F.col("uid") / SAMPLES_PER_USER), "left")
+        hit, F.col("c_custkey") == F.col("cust"), "left")
     real = F.coalesce(F.col("c_acctbal") >= 0, F.lit(False)) & F.col("g").isNotNull()
     none = lambda t: F.array().cast(f"array<{t}>")
     return rows.withColumn("uid", F.coalesce("uid", F.col("c_custkey") * SAMPLES_PER_USER)).select(
@@ -154,8 +158,8 @@ def generations(spark: SparkSession, sf: str) -> DataFrame:
         F.when(real, F.transform("g", spell)).otherwise(none("string")).alias("generations"),
         F.when(real, F.transform("g", lambda x: -((F.col("uid") * 7 + x["rk"] * 5) % 11).cast("double") / 4))
         .otherwise(none("double")).alias("logprobs"),
-        F.coalesce(F.array_join(F.transform("t", lambda x: x["s"]), ""), F.lit("")).alias("answer"),
-        F.coalesce(F.transform("t", lambda x: F.when(x["s"].isNull(), F.lit(0)).otherwise(x["pid"])),
+        F.coalesce(F.array_join(F.transform("t", lambda x: sid_text_of(x["code"])), ""), F.lit("")).alias("answer"),
+        F.coalesce(F.transform("t", lambda x: F.when(x["code"].isNull(), F.lit(0)).otherwise(x["pid"])),
                    none("bigint")).alias("answer_pid"),
         F.when(real, F.transform("g", lambda x: F.length(spell(x)).cast("bigint"))).otherwise(none("bigint"))
         .alias("output_tokens"),

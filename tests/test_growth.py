@@ -1,0 +1,22 @@
+"""Steps that are done once a row or a sample, and what their plans move."""
+
+from pyspark.sql import functions as F
+
+from sidweave.functions.sid import code_triples
+from sidweave.operators import recmetrics as R
+from sidweave.operators import rewards as W
+from sidweave.plans import testbed as TB
+from sidweave.plans.all_queries import QUERIES
+
+SID = "<|sid_begin|><s_a_{}><s_b_{}><s_c_{}><|sid_end|>"
+
+
+def optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_samples_move_codes_not_texts(spark, sf):
+    """Ids become text behind the last shuffle of the sample's rows."""
+    plan = optimized(TB.generations(spark, sf).select("sample_id", "generations"))
+    assert "format_string" not in plan
+    assert "RepartitionByExpression [cust" in plan
