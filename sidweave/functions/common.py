@@ -71,6 +71,11 @@ def once(df: DataFrame, **cols: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(fields)).alias("_once")).select(*kept, "_once.*")
 
 
+def bound(value: Column, use) -> Column:
+    """use(value) with the value computed once, however often `use` names it, also inside its lambdas."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def r6(col) -> Column:
     """Six decimals; adding zero folds -0.0 into 0.0."""
     return F.round(_c(col).cast("double"), 6) + F.lit(0.0)

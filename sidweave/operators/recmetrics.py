@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import hash_int, head, non_blank
+from ..functions.common import bound, hash_int, head, non_blank
 from ..functions.sid import after_last_think, answer_sids, generation_sids, packed_from_text
 from .keyed import lookup_join
 
@@ -46,17 +46,20 @@ def unique_ids(generations: Column, limit: int, logprobs: Column | None = None,
         F.arrays_zip(generations.alias("g"), lp.alias("l"), src.alias("s")),
         lambda x, i: F.struct((-x["l"]).alias("o"), i.alias("i"), x["g"].alias("g"), x["s"].alias("s"))))
     full = F.filter(order, lambda x: non_blank(x["g"]))
-    pairs = F.arrays_zip(
-        generation_sids(F.transform(full, lambda x: x["g"])).alias("id"),
-        F.transform(full, lambda x: x["s"]).alias("source"))
+    pairs = bound(full, lambda f: F.arrays_zip(
+        generation_sids(F.transform(f, lambda x: x["g"])).alias("id"),
+        F.transform(f, lambda x: x["s"]).alias("source")))
     banned = exclude if exclude is not None else F.array().cast("array<string>")
 
-    def add(acc: Column, x: Column) -> Column:
-        skip = (F.size(acc) >= limit) | (x["id"] == "") | F.array_contains(banned, x["id"]) | F.exists(
-            acc, lambda a: a["id"] == x["id"])
-        return F.when(skip, acc).otherwise(F.concat(acc, F.array(x)))
+    def chosen(both: Column) -> Column:
+        def add(acc: Column, x: Column) -> Column:
+            skip = (F.size(acc) >= limit) | (x["id"] == "") | F.array_contains(both["banned"], x["id"]) | F.exists(
+                acc, lambda a: a["id"] == x["id"])
+            return F.when(skip, acc).otherwise(F.concat(acc, F.array(x)))
 
-    return F.aggregate(pairs, F.array().cast("array<struct<id:string,source:string>>"), add)
+        return F.aggregate(both["pairs"], F.array().cast("array<struct<id:string,source:string>>"), add)
+
+    return bound(F.struct(pairs.alias("pairs"), banned.alias("banned")), chosen)
 
 
 def best_items(mapping: DataFrame, strategy: str = STRATEGIES[0], seed: int = 42) -> DataFrame:

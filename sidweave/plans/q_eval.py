@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.common import r6
+from ..functions.common import once, r6
 from ..functions.sid import answer_sids, generation_sid
 from ..operators import judge as J
 from ..operators import labelmetrics as LM
@@ -151,7 +151,7 @@ def h8(spark, sf):
     truth = answer_sids(F.col("answer"))
     src = F.transform("generations", lambda x, i: F.when(i % 2 == 1, "even").otherwise("odd"))
     ids = R.unique_ids(F.col("generations"), 4, F.col("logprobs"), F.slice(truth, 1, 1), src)
-    out = g.select("sample_id", ids.alias("u")).where(F.size("u") > 0)
+    out = once(g, u=ids).where(F.size("u") > 0)
     return out.select("sample_id", F.array_join(F.col("u.id"), "~").alias("ids"),
                       F.array_join(F.col("u.source"), "~").alias("sources"))
 

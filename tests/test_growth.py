@@ -20,3 +20,12 @@ def test_samples_move_codes_not_texts(spark, sf):
     plan = optimized(TB.generations(spark, sf).select("sample_id", "generations"))
     assert "format_string" not in plan
     assert "RepartitionByExpression [cust" in plan
+
+
+def test_unique_ids_parses_a_sample_once(spark, sf):
+    plan = optimized(QUERIES["H8_unique_ids"](spark, sf))
+    assert plan.count("array_distinct") == 1
+    rows = spark.createDataFrame([([SID.format(1, 2, 3), " ", SID.format(1, 2, 3), "x", SID.format(4, 5, 6)], [0.0, 9.0, 1.0, -1.0, -2.0], SID.format(4, 5, 6))],
+                                 "g array<string>, l array<double>, answer string")
+    got = rows.select(R.unique_ids(F.col("g"), 3, F.col("l"), F.array(F.lit("<s_a_4><s_b_5><s_c_6>"))).alias("u")).first().u
+    assert [(x.id, x.source) for x in got] == [("<s_a_1><s_b_2><s_c_3>", None), ("x", None)]
