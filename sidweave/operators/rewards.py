@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import answers as A
-from ..functions.common import once
+from ..functions.common import bound, once
 from ..functions.sid import THINK_BEGIN, THINK_END, code_triples
 from .keyed import lookup_join
 
@@ -38,18 +38,27 @@ def after_first_think(pred: Column) -> Column:
 
 
 def _partial(named: Column, goals: Column) -> Column:
-    heads2 = F.transform(goals, lambda g: F.substring_index(g, ",", 2))
-    heads1 = F.transform(goals, lambda g: F.substring_index(g, ",", 1))
-    each = F.transform(named, lambda p: F.when(F.array_contains(goals, p), 100.0)
-                       .when(F.array_contains(heads2, F.substring_index(p, ",", 2)), 10.0)
-                       .when(F.array_contains(heads1, F.substring_index(p, ",", 1)), 1.0).otherwise(0.0))
-    total = F.aggregate(each, F.lit(0.0), lambda s, x: s + x)
-    return F.when((F.size(named) > 0) & (F.size(goals) > 0), total / F.size(named)).otherwise(_zero())
+    def mean(both: Column) -> Column:
+        p_all, g_all = both["p"], both["g"]
+        heads = F.struct(F.transform(g_all, lambda g: F.substring_index(g, ",", 2)).alias("two"),
+                         F.transform(g_all, lambda g: F.substring_index(g, ",", 1)).alias("one"))
+        each = bound(heads, lambda h: F.transform(p_all, lambda p: F.when(F.array_contains(g_all, p), 100.0)
+                     .when(F.array_contains(h["two"], F.substring_index(p, ",", 2)), 10.0)
+                     .when(F.array_contains(h["one"], F.substring_index(p, ",", 1)), 1.0).otherwise(0.0)))
+        total = F.aggregate(each, F.lit(0.0), lambda s, x: s + x)
+        return F.when((F.size(p_all) > 0) & (F.size(g_all) > 0), total / F.size(p_all)).otherwise(_zero())
+
+    return bound(F.struct(named.alias("p"), goals.alias("g")), mean)
 
 
 def _ratio(named: Column, goals: Column) -> Column:
-    return F.when((F.size(named) > 0) & (F.size(goals) > 0),
-                  F.size(F.array_intersect(named, goals)) / F.size(named)).otherwise(_zero())
+    return bound(F.struct(named.alias("p"), goals.alias("g")), lambda x: F.when(
+        (F.size(x["p"]) > 0) & (F.size(x["g"]) > 0), F.size(F.array_intersect(x["p"], x["g"])) / F.size(x["p"])).otherwise(_zero()))
+
+
+def _goals(truth: Column, parsed: bool) -> Column:
+    """Triples of a truth text; `parsed`: the column holds them already, as one truth of many predictions should."""
+    return truth if parsed else code_triples(truth)
 
 
 def _first(named: Column, goals: Column) -> Column:
@@ -60,29 +69,29 @@ def _any(named: Column, goals: Column) -> Column:
     return _flag(F.coalesce(F.arrays_overlap(named, goals), F.lit(False)))
 
 
-def partial_hit(pred: Column, truth: Column) -> Column:
+def partial_hit(pred: Column, truth: Column, parsed: bool = False) -> Column:
     """Mean over predicted triples of 100 / 10 / 1 for a match on three, two or one level."""
-    return _partial(code_triples(pred), code_triples(truth))
+    return _partial(code_triples(pred), _goals(truth, parsed))
 
 
-def hit_ratio(pred: Column, truth: Column) -> Column:
+def hit_ratio(pred: Column, truth: Column, parsed: bool = False) -> Column:
     """Distinct hits behind the think block over the number of predictions, repeats counted."""
-    return _ratio(code_triples(after_first_think(pred)), code_triples(truth))
+    return _ratio(code_triples(after_first_think(pred)), _goals(truth, parsed))
 
 
-def first_hit(pred: Column, truth: Column) -> Column:
-    return _first(code_triples(after_first_think(pred)), code_triples(truth))
+def first_hit(pred: Column, truth: Column, parsed: bool = False) -> Column:
+    return _first(code_triples(after_first_think(pred)), _goals(truth, parsed))
 
 
-def pass_rate(pred: Column, truth: Column) -> Column:
+def pass_rate(pred: Column, truth: Column, parsed: bool = False) -> Column:
     """1 when any triple of the whole text, thinking included, is in the truth."""
-    return _any(code_triples(pred), code_triples(truth))
+    return _any(code_triples(pred), _goals(truth, parsed))
 
 
-def recommendation_scores(rows: DataFrame, pred: str, truth: str) -> DataFrame:
+def recommendation_scores(rows: DataFrame, pred: str, truth: str, parsed: bool = False) -> DataFrame:
     """All recommendation rewards of a table; every text is searched for triples once."""
     p = F.col(pred)
-    s = once(rows, _all=code_triples(p), _end=code_triples(after_first_think(p)), _goal=code_triples(F.col(truth)))
+    s = once(rows, _all=code_triples(p), _end=code_triples(after_first_think(p)), _goal=_goals(F.col(truth), parsed))
     first = _first(F.col("_end"), F.col("_goal"))
     return s.withColumns({
         "score": first, "format_reward": think_format(p), "partial_hit_reward": _partial(F.col("_all"), F.col("_goal")),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import answers as A
-from ..functions.common import r6
+from ..functions.common import once, r6
 from ..functions.sid import code_triples
 from ..operators import rewards as W
 from ..session import read
@@ -28,14 +28,15 @@ _RW = dict(
 
 
 def _pairs(spark, sf):
-    g = TB.generations(spark, sf)
-    return g.select("sample_id", "answer", F.posexplode("generations").alias("at", "text")).select(
-        "sample_id", (F.col("at") + 1).alias("rk"), "text", "answer")
+    """One row per output; the triples of a sample's answer are found once, before its outputs become rows."""
+    g = once(TB.generations(spark, sf).select("sample_id", "answer", "generations"), goals=code_triples(F.col("answer")))
+    return g.select("sample_id", "goals", F.posexplode("generations").alias("at", "text")).select(
+        "sample_id", (F.col("at") + 1).alias("rk"), "text", "goals")
 
 
 def _pair_query(name, sql_expr, make):
     def run(spark, sf):
-        return _pairs(spark, sf).select("sample_id", "rk", make(F.col("text"), F.col("answer")).alias("value"))
+        return _pairs(spark, sf).select("sample_id", "rk", make(F.col("text"), F.col("goals")).alias("value"))
     query(name, O.sql(f"SELECT sample_id, rk::INT AS rk, {sql_expr} AS value FROM rw", **_RW))(run)
 
 
@@ -52,17 +53,17 @@ _PASS = "CASE WHEN list_has_any(p,g) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
 
 _pair_query("J1_code_triples", "coalesce(array_to_string(p,';'),'')", lambda p, t: F.array_join(code_triples(p), ";"))
 _pair_query("J2_think_format", _FMT, lambda p, t: W.think_format(p))
-_pair_query("J3_partial_hit", _PART, lambda p, t: r6(W.partial_hit(p, t)))
-_pair_query("J4_hit_ratio", _HITR, lambda p, t: r6(W.hit_ratio(p, t)))
-_pair_query("J5_first_hit", _FIRST, lambda p, t: W.first_hit(p, t))
-_pair_query("J6_pass_rate", _PASS, lambda p, t: W.pass_rate(p, t))
+_pair_query("J3_partial_hit", _PART, lambda p, t: r6(W.partial_hit(p, t, parsed=True)))
+_pair_query("J4_hit_ratio", _HITR, lambda p, t: r6(W.hit_ratio(p, t, parsed=True)))
+_pair_query("J5_first_hit", _FIRST, lambda p, t: W.first_hit(p, t, parsed=True))
+_pair_query("J6_pass_rate", _PASS, lambda p, t: W.pass_rate(p, t, parsed=True))
 
 
 @query("J7_score_bundle", O.sql(
     f"SELECT sample_id, rk::INT AS rk, {_FIRST} AS score, {_FMT} AS format_reward, {_PART} AS partial_hit_reward, "
     f"{_HITR} AS hit_reward, {_PASS} AS pass_rate, {_FIRST} AS pass_at_1 FROM rw", **_RW))
 def j7(spark, sf):
-    scored = W.recommendation_scores(_pairs(spark, sf), "text", "answer").drop("text", "answer")
+    scored = W.recommendation_scores(_pairs(spark, sf), "text", "goals", parsed=True).drop("text", "goals")
     return scored.select("sample_id", "rk", *[r6(F.col(c)).alias(c) for c in scored.columns[2:]])
 
 

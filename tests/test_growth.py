@@ -29,3 +29,11 @@ def test_unique_ids_parses_a_sample_once(spark, sf):
                                  "g array<string>, l array<double>, answer string")
     got = rows.select(R.unique_ids(F.col("g"), 3, F.col("l"), F.array(F.lit("<s_a_4><s_b_5><s_c_6>"))).alias("u")).first().u
     assert [(x.id, x.source) for x in got] == [("<s_a_1><s_b_2><s_c_3>", None), ("x", None)]
+
+
+def test_partial_hit_searches_each_text_once(spark):
+    rows = spark.createDataFrame([("<s_a_1><s_b_2><s_c_3> <s_a_1><s_b_2><s_c_9><s_a_1><s_b_8><s_c_9><s_a_7><s_b_8><s_c_9>", SID.format(1, 2, 3)), ("no", SID.format(1, 2, 3)),
+                                  (None, SID.format(1, 2, 3)), (SID.format(1, 2, 3), "")], "p string, t string")
+    out = rows.select(W.partial_hit(F.col("p"), F.col("t")).alias("v"))
+    assert optimized(out).count("regexp_extract_all") == 2
+    assert [r.v for r in out.collect()] == [111 / 4, 0.0, 0.0, 0.0]
