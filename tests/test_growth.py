@@ -37,3 +37,18 @@ def test_partial_hit_searches_each_text_once(spark):
     out = rows.select(W.partial_hit(F.col("p"), F.col("t")).alias("v"))
     assert optimized(out).count("regexp_extract_all") == 2
     assert [r.v for r in out.collect()] == [111 / 4, 0.0, 0.0, 0.0]
+
+
+def test_hit_ratio_searches_each_text_once(spark):
+    rows = spark.createDataFrame([("<think>a</think>" + SID.format(1, 2, 3) * 2 + SID.format(4, 5, 6), SID.format(1, 2, 3)), ("x", SID.format(1, 2, 3))], "p string, t string")
+    out = rows.select(W.hit_ratio(F.col("p"), F.col("t")).alias("v"))
+    assert optimized(out).count("regexp_extract_all") == 2
+    assert [r.v for r in out.collect()] == [1 / 3, 0.0]
+
+
+def test_score_bundle_takes_triples_of_an_answer(spark, sf):
+    rows = spark.createDataFrame([("<think>a</think>" + SID.format(1, 2, 3), SID.format(1, 2, 3))], "p string, t string")
+    plain = W.recommendation_scores(rows, "p", "t").drop("p", "t").first()
+    once = W.recommendation_scores(rows.withColumn("t", code_triples(F.col("t"))), "p", "t", parsed=True).drop("p", "t").first()
+    assert plain == once and plain.score == 1.0 and plain.hit_reward == 1.0
+    assert optimized(QUERIES["J7_score_bundle"](spark, sf)).count("explode") == 4  # interactions; per sample the answer, then its outputs; each output
