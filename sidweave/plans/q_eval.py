@@ -223,12 +223,13 @@ _OUT = "replace(text,'<|sid_end|>','')"
 def h16(spark, sf):
     g = TB.generations(spark, sf).withColumn("thinkings", F.col("generations"))
     fan = R.fan_out(g.select("sample_id", "prompt", "thinkings", "times"), ["sample_id"], ">")
+    # the composed prompts are counted where they are made: the join moves their length
+    fan = fan.withColumn("input_tokens", F.length("stage2_prompt").cast("bigint")).drop("prompt", "stage2_prompt")
     times = g.select("sample_id", F.posexplode("times").alias("idx", "time"))
     rank = (F.col("idx") + 1).cast("string")
     stage2 = fan.join(times, ["sample_id", "idx"]).select(
         "sample_id", "idx", "thinking", F.array(F.concat(F.lit("a"), rank), F.concat(F.lit("b"), rank)).alias("outputs"),
-        F.length("stage2_prompt").cast("bigint").alias("input_tokens"),
-        (F.col("idx") + 1).cast("bigint").alias("output_tokens"), "time")
+        "input_tokens", (F.col("idx") + 1).cast("bigint").alias("output_tokens"), "time")
     out = R.regroup(stage2, ["sample_id"], ">")
     return out.select("sample_id", F.size("generations").cast("bigint").alias("n"),
                       F.md5(F.array_join("generations", "~")).alias("generations_md5"),

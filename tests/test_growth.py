@@ -52,3 +52,9 @@ def test_score_bundle_takes_triples_of_an_answer(spark, sf):
     once = W.recommendation_scores(rows.withColumn("t", code_triples(F.col("t"))), "p", "t", parsed=True).drop("p", "t").first()
     assert plain == once and plain.score == 1.0 and plain.hit_reward == 1.0
     assert optimized(QUERIES["J7_score_bundle"](spark, sf)).count("explode") == 4  # interactions; per sample the answer, then its outputs; each output
+
+
+def test_regroup_joins_lengths_not_prompts(spark, sf):
+    plan = optimized(QUERIES["H16_two_stage_regroup"](spark, sf))
+    join = plan[plan.index("Join Inner"):]
+    assert "length(concat(" in join
