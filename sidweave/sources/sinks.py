@@ -10,7 +10,6 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.keyed import lookup_join
 from ..operators.numbering import first_keys, shard_of
 from .files import _fs, find_parquet_files
 
@@ -104,7 +103,8 @@ def write_generations(samples: DataFrame, out: str, chunk: int = 200) -> None:
     """
     keys = ["model", "task", "split"]
     sizes = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    spread = lookup_join(samples, sizes, keys).withColumn(
+    # One row for each split goes to the samples: dealt out by these few keys, a whole split would meet in one task.
+    spread = samples.join(F.broadcast(sizes), keys).withColumn(
         "_chunk", F.pmod(F.xxhash64("sample_id"), F.ceil(F.col("_n") / chunk).cast("bigint")))
     docs = spread.groupBy(*keys, "_chunk").agg(
         F.map_from_entries(F.collect_list(F.struct("sample_id", "payload"))).alias("samples"))

@@ -58,3 +58,19 @@ def test_regroup_joins_lengths_not_prompts(spark, sf):
     plan = optimized(QUERIES["H16_two_stage_regroup"](spark, sf))
     join = plan[plan.index("Join Inner"):]
     assert "length(concat(" in join
+
+
+def test_chunk_sizes_reach_samples_without_dealing_them_by_split(spark, tmp_path, shuffled_joins):
+    from sidweave.sources import files, sinks
+    rows = [("m", "t", f"s{i % 2}", str(i), (f"p{i}",)) for i in range(9)] + [("m", None, "s0", "x", ("p",))]
+    samples = spark.createDataFrame(rows, "model string, task string, split string, sample_id string, payload struct<prompt:string>")
+    seen = []
+    kind, join = type(samples), type(samples).join
+    kind.join = lambda self, other, *a, **k: (seen.append(other._jdf.queryExecution().analyzed().toString()), join(self, other, *a, **k))[1]
+    try:
+        sinks.write_generations(samples, str(tmp_path / "out"), chunk=2)
+    finally:
+        kind.join = join
+    assert len(seen) == 1 and "broadcast" in seen[0].lower()
+    back = files.load_generations(spark, str(tmp_path / "out"), multiline=False)
+    assert sorted((r.sample_id, r.prompt) for r in back.collect()) == [(str(i), f"p{i}") for i in range(9)]
