@@ -28,11 +28,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch
+from ..session import cut, one_row_batches, scratch
 from . import _text
 from ._memo import LOWER, text_bytes
 
-BLOCK_CHARS, FIRST_VISIT, PLACES = 2_000_000, 8, 64
+BLOCK_CHARS, FIRST_VISIT, PLACES, SEGMENT_GROUP = 2_000_000, 8, 64, 8 << 20
 INDEX = ("ids array<bigint>, strata array<bigint>, begins array<int>, terms array<string>, firsts array<int>, docs array<int>, tfs array<int>")
 FOUND = "block int, item int, doc_id bigint, score bigint"
 #: The characters of terms are ASCII letters and digits and all beyond ASCII.
@@ -133,7 +133,9 @@ def build_index(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     """
     size, total = corpus_size(docs, id_col, text_col)
     made = _text.rows(docs, id_col=id_col, text_col=text_col).mapInArrow(_indexer(size, total), INDEX)
-    made.write.option("parquet.block.size", 32 << 20).parquet(path, compression="zstd")
+    # A row is a segment of some MB: by itself Parquet looks at the size of a row group only after a hundred rows.
+    sizes = {"parquet.block.size": SEGMENT_GROUP, **{f"parquet.{part}.size.row.check.{end}": 1 for part in ("block", "page") for end in ("min", "max")}}
+    made.write.options(**sizes).parquet(path, compression="zstd")
     return size, total
 
 
@@ -286,11 +288,14 @@ def search(spark: SparkSession, path: str, size: int, items: DataFrame, k: int =
         terms = sorted({t for _, asked in rows for t in asked})
         shared = spark.sparkContext.broadcast(terms)
         each = index.select("terms", "firsts").mapInArrow(_frequencies(shared), "term string, df bigint")
-        df = dict(each.groupBy("term").agg(F.sum("df")).collect())  # the block's terms
+        with one_row_batches(spark):
+            df = dict(each.groupBy("term").agg(F.sum("df")).collect())  # the block's terms
         at = {t: j for j, t in enumerate(terms)}
         asked = [([at[t] for t in sorted(c)], [c[t] for t in sorted(c)]) for _, c in rows]
         block_state = spark.sparkContext.broadcast((terms, [weight(df.get(t, 0), size) for t in terms], asked))
-        found = _ranked(index.mapInArrow(_searcher(block_state, number, k), FOUND), k)
+        with one_row_batches(spark):  # a task holds one segment at a time; it reports k documents an item, which are kept
+            reported = cut(index.mapInArrow(_searcher(block_state, number, k), FOUND))
+        found = _ranked(reported, k)
         names = spark.createDataFrame([(j, item) for j, (item, _) in enumerate(rows)], f"item int, item_id {dict(items.dtypes)['item_id']}")
         named = found.join(F.broadcast(names), "item").select("item_id", "rank", "doc_id", "score")
         out = named if out is None else out.unionByName(named)

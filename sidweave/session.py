@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,6 +75,18 @@ def drop(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+@contextmanager
+def one_row_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside give Python one row at a time: for tables whose single rows fill some MB."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 SPREAD_MIN, SPREAD_PER_CORE = 256 * 1024, 64 * 1024 * 1024
 
 

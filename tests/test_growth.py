@@ -1,12 +1,25 @@
 """Steps that are done once a row or a sample, and what their plans move."""
 
+import tracemalloc
+from types import SimpleNamespace
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from sidweave.functions.sid import code_triples
+from sidweave.llm import strata_search
+from sidweave.operators import judge as J
+from sidweave.operators import quantizer as Q
 from sidweave.operators import recmetrics as R
+from sidweave.operators import retrieval as R2
 from sidweave.operators import rewards as W
+from sidweave.operators import rollups as L
 from sidweave.plans import testbed as TB
 from sidweave.plans.all_queries import QUERIES
+from sidweave.session import one_row_batches
 
 SID = "<|sid_begin|><s_a_{}><s_b_{}><s_c_{}><|sid_end|>"
 
@@ -74,3 +87,22 @@ def test_chunk_sizes_reach_samples_without_dealing_them_by_split(spark, tmp_path
     assert len(seen) == 1 and "broadcast" in seen[0].lower()
     back = files.load_generations(spark, str(tmp_path / "out"), multiline=False)
     assert sorted((r.sample_id, r.prompt) for r in back.collect()) == [(str(i), f"p{i}") for i in range(9)]
+
+
+def test_segments_are_written_and_read_a_few_at_a_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(strata_search, "SEGMENT_GROUP", 1)
+    docs = spark.createDataFrame([(i, f"word{i} both") for i in range(20)], "doc_id bigint, text string").coalesce(1)
+    with one_row_batches(spark):
+        strata_search.build_index(docs, str(tmp_path / "index"))
+    groups = [pq.ParquetFile(f).metadata for f in (tmp_path / "index").glob("*.parquet")]
+    assert sum(m.num_rows for m in groups) == 20 and sum(m.num_row_groups for m in groups) >= 5
+
+    def rows(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int32())], ["n"])
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    with one_row_batches(spark):
+        assert {r.n for r in docs.mapInArrow(rows, "n int").collect()} == {1}
+    assert spark.conf.get(key) == before
