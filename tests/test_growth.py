@@ -106,3 +106,17 @@ def test_segments_are_written_and_read_a_few_at_a_time(spark, tmp_path, monkeypa
     with one_row_batches(spark):
         assert {r.n for r in docs.mapInArrow(rows, "n int").collect()} == {1}
     assert spark.conf.get(key) == before
+
+
+def test_groups_are_resampled_where_they_lie(spark):
+    """The same estimate as by a join of draws, which only groups over `group_votes` take."""
+    rows = [(i, "hot" if i % 3 else f"g{i % 5}", float(i * 7 % 11) if i % 13 else None, [None, "a", "b", "c"][i * i % 4]) for i in range(90)] + [(90, None, 1.0, "a"), (91, "one", 1.0, "a")]
+    votes = spark.createDataFrame(rows, "row_id bigint, uid string, score double, pred string").repartition(3)
+
+    def found(limit):
+        out = L.majority_bootstrap(votes, ["uid"], "pred", "score", "row_id", 17, trials=40, group_votes=limit)
+        return {(r.uid, r.k): (round(r.maj_mean, 9), round(r.maj_std, 9)) for r in out.collect()}
+
+    lies = found(1000)
+    assert lies == found(0) == found(20) and ("hot", 32) in lies and not any(uid in (None, "one") for uid, _ in lies)
+    assert "Join Inner" not in optimized(L.majority_bootstrap(votes, ["uid"], "pred", "score", "row_id", 17, trials=2))
