@@ -124,3 +124,10 @@ def test_groups_are_resampled_where_they_lie(spark):
 
 def test_points_and_matches_are_parsed_once(spark, sf):
     assert optimized(QUERIES["I6_point_matching"](spark, sf)).count("from_json") == 3  # truth, model, matches
+
+
+def test_judge_is_called_for_bounded_runs(spark):
+    rows = spark.createDataFrame([(i,) for i in range(30)], "id bigint").coalesce(1).withColumn("text", F.repeat(F.lit("x"), F.when(F.col("id") == 7, 9_000_000).otherwise(1_000_000).cast("int")))
+    got = J.batch_call(rows, "id", "text", lambda texts: [str(texts.str.len().sum())] * len(texts)).collect()
+    assert sorted(r.id for r in got) == list(range(30)) and all(r.success for r in got)
+    assert {r.id: int(r.result) for r in got}[7] == 9_000_000 and max(int(r.result) for r in got if r.id != 7) <= J.CALL_BYTES
