@@ -64,7 +64,8 @@ def _groups(codebook: list[np.ndarray], limit: int = GROUP_BYTES) -> Iterator[li
         yield group
 
 
-def _encoder(shared):
+def _encoder(shared, last: bool):
+    """Codes of the shared layers and what they leave over; nothing asks for that behind the last layer."""
     @F.pandas_udf("codes array<int>, rest array<double>")
     def run(vectors: pd.Series) -> pd.DataFrame:
         if not len(vectors):
@@ -73,7 +74,7 @@ def _encoder(shared):
         for centres in shared.value:
             codes.append(_nearest(rest, centres))
             rest -= centres[codes[-1]]
-        return pd.DataFrame({"codes": np.stack(codes, 1).astype(np.int32).tolist(), "rest": rest.tolist()})
+        return pd.DataFrame({"codes": list(np.stack(codes, 1).astype(np.int32)), "rest": [None] * len(rest) if last else list(rest)})
 
     return run
 
@@ -84,8 +85,10 @@ def _decoder(shared, at: int):
         if not len(rows):
             return pd.Series([], dtype=object)
         picked = np.stack(rows.to_numpy())[:, at:]
-        parts = [layer[picked[:, k]].astype(np.float64) for k, layer in enumerate(shared.value[:picked.shape[1]])]
-        return pd.Series(sum(parts, np.zeros((len(rows), shared.value[0].shape[1]))).tolist())
+        total = np.zeros((len(rows), shared.value[0].shape[1]))
+        for k, layer in enumerate(shared.value[:picked.shape[1]]):
+            total += layer[picked[:, k]]
+        return pd.Series(list(total))  # rows of the matrix: lists would hold an object for each value
 
     return run
 
@@ -94,8 +97,9 @@ def encode(df: DataFrame, column: str, codebook: list[np.ndarray], n_layers: int
     """Adds `codes`. The codebook (layers x codes x dim) is sent in groups of layers of at most `limit` bytes; each
     group passes its codes and what is left of the vector on to the next."""
     out = df.withColumns({"codes": F.array().cast("array<int>"), "_rest": F.col(column).cast("array<double>")})
-    for layers in _groups(codebook if n_layers is None else codebook[:n_layers], limit):
-        step = _encoder(df.sparkSession.sparkContext.broadcast(layers))
+    groups = list(_groups(codebook if n_layers is None else codebook[:n_layers], limit))
+    for number, layers in enumerate(groups):
+        step = _encoder(df.sparkSession.sparkContext.broadcast(layers), number + 1 == len(groups))
         out = out.withColumn("_step", step("_rest")).withColumns({"codes": F.concat("codes", "_step.codes"), "_rest": F.col("_step.rest")}).drop("_step")
     return out.drop("_rest")
 

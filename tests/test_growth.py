@@ -131,3 +131,11 @@ def test_judge_is_called_for_bounded_runs(spark):
     got = J.batch_call(rows, "id", "text", lambda texts: [str(texts.str.len().sum())] * len(texts)).collect()
     assert sorted(r.id for r in got) == list(range(30)) and all(r.success for r in got)
     assert {r.id: int(r.result) for r in got}[7] == 9_000_000 and max(int(r.result) for r in got if r.id != 7) <= J.CALL_BYTES
+
+
+def test_decoded_rows_are_rows_of_a_matrix():
+    book = [np.arange(12, dtype=np.float32).reshape(3, 4), np.ones((2, 4), np.float32)]
+    out = Q._decoder(SimpleNamespace(value=book), 0).func(pd.Series([np.array([2, 1]), np.array([0, 0])]))
+    assert all(isinstance(v, np.ndarray) for v in out) and [v.tolist() for v in out] == [[9, 10, 11, 12], [1, 2, 3, 4]]
+    coded = Q._encoder(SimpleNamespace(value=book), True).func(pd.Series([np.array([8.0, 9, 10, 11])]))
+    assert coded["codes"][0].tolist() == [2, 0] and coded["rest"][0] is None
