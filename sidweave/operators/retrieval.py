@@ -30,6 +30,7 @@ from ..session import DEFAULT_BROADCAST_BYTES, cut
 K1, B = 0.9, 0.4
 SCORED = "query_id bigint, doc_id bigint, score double"
 PIVOT_BYTES, MARGIN = 16_000_000, 2e-6  # scores are compared at six digits
+CELLS = 2_000_000  # entries of a matrix of rows and pivots, or rows and lists, that a worker holds
 BLOCK_BYTES, QUERY_TERMS = 4_000_000, 500_000
 
 
@@ -67,27 +68,38 @@ def _nearest_pivot(pivots):
     def run(vectors: pd.Series) -> pd.DataFrame:
         if not len(vectors):
             return pd.DataFrame({"pivot": [], "angle": []})
-        angles = _angles(np.stack(vectors.to_numpy()), pivots.value)
-        near = angles.argmin(axis=1)
-        return pd.DataFrame({"pivot": near.astype(np.int32), "angle": angles[np.arange(len(near)), near]})
+        x, near, angle = np.stack(vectors.to_numpy()), [], []
+        for at in _turns(len(x), len(pivots.value)):
+            angles = _angles(x[at], pivots.value)
+            near.append(angles.argmin(axis=1))
+            angle.append(angles[np.arange(len(angles)), near[-1]])
+        return pd.DataFrame({"pivot": np.concatenate(near).astype(np.int32), "angle": np.concatenate(angle)})
 
     return run
 
 
+def _turns(rows: int, width: int) -> list[slice]:
+    """Runs of rows whose matrix of `width` columns has at most about CELLS entries."""
+    step = max(1, CELLS // max(1, width))
+    return [slice(at, at + step) for at in range(0, rows, step)]
+
+
 def _reachable(pivots, lists, k: int):
     """Numbers of the lists that can hold one of a query's k best; lists: (pivot, least angle, largest angle) of each."""
     @F.pandas_udf("array<int>")
     def run(vectors: pd.Series) -> pd.Series:
         if not len(vectors):
             return pd.Series([], dtype=object)
-        pivot, low, high = lists.value
-        cosine = np.clip(np.stack(vectors.to_numpy()) @ pivots.value.T, -1, 1)
-        n = cosine.shape[1]
-        least = np.partition(cosine, n - k, axis=1)[:, n - k] if n >= k else np.full(len(cosine), -2.0)
-        angle = np.arccos(cosine)[:, pivot]
-        gap = np.maximum(0, np.maximum(low - angle, angle - high))
-        go = np.cos(np.minimum(gap, np.pi)) + MARGIN >= least[:, None]
-        return pd.Series([np.flatnonzero(r).astype(np.int32) for r in go])
+        (pivot, low, high), x, out = lists.value, np.stack(vectors.to_numpy()), []
+        n = len(pivots.value)
+        for at in _turns(len(x), max(n, len(pivot))):
+            cosine = np.clip(x[at] @ pivots.value.T, -1, 1)
+            least = np.partition(cosine, n - k, axis=1)[:, n - k] if n >= k else np.full(len(cosine), -2.0)
+            angle = np.arccos(cosine)[:, pivot]
+            gap = np.maximum(0, np.maximum(low - angle, angle - high))
+            go = np.cos(np.minimum(gap, np.pi)) + MARGIN >= least[:, None]
+            out += [np.flatnonzero(r).astype(np.int32) for r in go]
+        return pd.Series(out)
 
     return run
 

@@ -139,3 +139,18 @@ def test_decoded_rows_are_rows_of_a_matrix():
     assert all(isinstance(v, np.ndarray) for v in out) and [v.tolist() for v in out] == [[9, 10, 11, 12], [1, 2, 3, 4]]
     coded = Q._encoder(SimpleNamespace(value=book), True).func(pd.Series([np.array([8.0, 9, 10, 11])]))
     assert coded["codes"][0].tolist() == [2, 0] and coded["rest"][0] is None
+
+
+def test_reachable_lists_hold_a_bounded_matrix():
+    rng = np.random.default_rng(1)
+    x, pivots, n = rng.normal(size=(20_000, 8)), rng.normal(size=(50, 8)), 1000
+    x, pivots = x / np.linalg.norm(x, axis=1)[:, None], pivots / np.linalg.norm(pivots, axis=1)[:, None]
+    lists = rng.integers(0, 50, n), np.full(n, 0.1), np.full(n, 0.2)
+    run = R2._reachable(SimpleNamespace(value=pivots), SimpleNamespace(value=lists), 3).func
+    tracemalloc.start()
+    got = run(pd.Series(list(x)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20_000 * n * 8  # one full matrix of rows and lists
+    some = [0, 1, 1999, 2000, 19_999]
+    assert all((a == b).all() for a, b in zip(got[some], run(pd.Series(list(x[some])))))
