@@ -133,6 +133,7 @@ def majority_bootstrap(votes: DataFrame, keys: list[str], pred: str, value: str,
 
 
 def _joined_bootstrap(votes: DataFrame, keys: list[str], pred: str, value: str, row_id: str, seed, trials: int) -> DataFrame:
+    """Draws as rows of a join, for groups too large for one task."""
     numbered = group_row_numbers(votes.select(*keys, row_id, pred, value), keys, [F.col(row_id)], row_id, "at")
     sizes = votes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     names = [F.col(x) for x in keys]
@@ -141,7 +142,8 @@ def _joined_bootstrap(votes: DataFrame, keys: list[str], pred: str, value: str,
         "h", hash_int(seed, *names, F.col("k"), F.col("trial"))).repartition(*keys, "k", "trial").withColumn(
         "j", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("k"))))
     picked = draws.withColumn("at", (F.col("h") * (2 * F.col("j") + 1) + F.col("j") * F.col("j") * 40503) % PRIME % F.col("n") + 1).drop("h")
-    voted = picked.join(numbered, [*keys, "at"])
+    # by their estimate the draws look small enough to broadcast; they are rows in proportion to votes and trials
+    voted = picked.hint("merge").join(numbered, [*keys, "at"])
     per_trial = majority_value(voted, [*keys, "k", "trial"], pred, value, "j")
     return per_trial.groupBy(*keys, "k").agg(F.avg("majority").alias("maj_mean"), F.stddev_pop("majority").alias("maj_std"))
 

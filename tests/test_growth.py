@@ -120,6 +120,8 @@ def test_groups_are_resampled_where_they_lie(spark):
     lies = found(1000)
     assert lies == found(0) == found(20) and ("hot", 32) in lies and not any(uid in (None, "one") for uid, _ in lies)
     assert "Join Inner" not in optimized(L.majority_bootstrap(votes, ["uid"], "pred", "score", "row_id", 17, trials=2))
+    joined = L.majority_bootstrap(votes, ["uid"], "pred", "score", "row_id", 17, trials=2, group_votes=0)
+    assert "strategy=merge" in optimized(joined)
 
 
 def test_points_and_matches_are_parsed_once(spark, sf):
