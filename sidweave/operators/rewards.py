@@ -40,11 +40,11 @@ def after_first_think(pred: Column) -> Column:
 def _partial(named: Column, goals: Column) -> Column:
     def mean(both: Column) -> Column:
         p_all, g_all = both["p"], both["g"]
-        heads = F.struct(F.transform(g_all, lambda g: F.substring_index(g, ",", 2)).alias("two"),
-                         F.transform(g_all, lambda g: F.substring_index(g, ",", 1)).alias("one"))
-        each = bound(heads, lambda h: F.transform(p_all, lambda p: F.when(F.array_contains(g_all, p), 100.0)
-                     .when(F.array_contains(h["two"], F.substring_index(p, ",", 2)), 10.0)
-                     .when(F.array_contains(h["one"], F.substring_index(p, ",", 1)), 1.0).otherwise(0.0)))
+        # The goals as one text, so that a prefix of a triple is found there and no goal is cut for it.
+        listed = F.concat(F.lit(";"), F.array_join(g_all, ";"), F.lit(";"))
+        each = bound(listed, lambda text: F.transform(p_all, lambda p: F.when(F.contains(text, F.concat(F.lit(";"), p, F.lit(";"))), 100.0)
+                     .when(F.contains(text, F.concat(F.lit(";"), F.substring_index(p, ",", 2), F.lit(","))), 10.0)
+                     .when(F.contains(text, F.concat(F.lit(";"), F.substring_index(p, ",", 1), F.lit(","))), 1.0).otherwise(0.0)))
         total = F.aggregate(each, F.lit(0.0), lambda s, x: s + x)
         return F.when((F.size(p_all) > 0) & (F.size(g_all) > 0), total / F.size(p_all)).otherwise(_zero())
 
@@ -91,11 +91,13 @@ def pass_rate(pred: Column, truth: Column, parsed: bool = False) -> Column:
 def recommendation_scores(rows: DataFrame, pred: str, truth: str, parsed: bool = False) -> DataFrame:
     """All recommendation rewards of a table; every text is searched for triples once."""
     p = F.col(pred)
-    s = once(rows, _all=code_triples(p), _end=code_triples(after_first_think(p)), _goal=_goals(F.col(truth), parsed))
-    first = _first(F.col("_end"), F.col("_goal"))
+    parts = dict(_all=code_triples(p), _end=code_triples(after_first_think(p)))
+    s = once(rows, **parts) if parsed else once(rows, **parts, _goal=code_triples(F.col(truth)))
+    goal = F.col(truth if parsed else "_goal")  # goals that a column holds stay there
+    first = _first(F.col("_end"), goal)
     return s.withColumns({
-        "score": first, "format_reward": think_format(p), "partial_hit_reward": _partial(F.col("_all"), F.col("_goal")),
-        "hit_reward": _ratio(F.col("_end"), F.col("_goal")), "pass_rate": _any(F.col("_all"), F.col("_goal")),
+        "score": first, "format_reward": think_format(p), "partial_hit_reward": _partial(F.col("_all"), goal),
+        "hit_reward": _ratio(F.col("_end"), goal), "pass_rate": _any(F.col("_all"), goal),
         "pass_at_1": first}).drop("_all", "_end", "_goal")
 
 

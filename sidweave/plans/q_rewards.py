@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import answers as A
-from ..functions.common import once, r6
+from ..functions.common import r6
 from ..functions.sid import code_triples
 from ..operators import rewards as W
 from ..session import read
@@ -29,9 +29,8 @@ _RW = dict(
 
 def _pairs(spark, sf):
     """One row per output; the triples of a sample's answer are found once, before its outputs become rows."""
-    g = once(TB.generations(spark, sf).select("sample_id", "answer", "generations"), goals=code_triples(F.col("answer")))
-    return g.select("sample_id", "goals", F.posexplode("generations").alias("at", "text")).select(
-        "sample_id", (F.col("at") + 1).alias("rk"), "text", "goals")
+    rows = TB.outputs(spark, sf, goals=code_triples(F.col("answer")))
+    return rows.select("sample_id", (F.col("at") + 1).alias("rk"), "text", "goals")
 
 
 def _pair_query(name, sql_expr, make):

@@ -7,9 +7,10 @@ some of them after a filter, so no shorter history gives the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.common import once
 from ..functions.sid import pack, sid_text_of
 from ..session import read, spread
 
@@ -111,14 +112,11 @@ def sid2pid(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("pid", code.alias("code")).join(sold, "pid").select("code", "pid", "count", "count_ds")
 
 
-def generations(spark: SparkSession, sf: str) -> DataFrame:
-    """Model outputs and the truth they are scored against, one row for each 12 interactions of a customer.
-
-    uid is the sample's number: the customer, and which 12 of the customer's interactions. Output i names the i-th newest item (0, 3, 6 ...) or a part with a nearby key, in one of
-    five spellings; customers in debt have no outputs at all.
+def _samples(spark: SparkSession, sf: str) -> DataFrame:
+    """cust, uid and the sorted entries (rk, pid, code) that a sample's answer (t) and outputs (g) name.
 
     Codes travel as one number and become text when a sample is complete. Rows are dealt out by customer before they are
-    collected, so a sample's list is made where its rows arrive and the join with the customers moves it no more.
+    collected, so a sample's lists are made where its rows arrive and the join with the customers moves them no more.
     """
     mapping = pid2sid(spark, sf).where("domain = 'video'").select("pid", pack(*[F.col("sid")[i] for i in range(3)]).alias("code"))
     number = F.col("uid") * SAMPLES_PER_USER + F.floor((F.col("rk") - 1) / SAMPLE)
@@ -128,23 +126,50 @@ def generations(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(truth, F.col("pid").alias("pid")), F.struct(guess, (F.col("pid") + F.col("rk")).alias("pid"))))
     both = inter.select("cust", "uid", "rk", F.explode(named).alias("x")).select("cust", "uid", "rk", "x.*")
     entry = F.struct("rk", "pid", "code")
-    hit = both.join(mapping, "pid", "left").repartition("cust").groupBy("cust", "uid").agg(
+    return both.join(mapping, "pid", "left").repartition("cust").groupBy("cust", "uid").agg(
         F.array_sort(F.collect_list(F.when(F.col("kind") != 1, entry))).alias("t"),
         F.array_sort(F.collect_list(F.when(F.col("kind") != 0, entry))).alias("g"),
     )
 
-    def spell(x):
-        s = F.coalesce(sid_text_of(x["code"]), F.lit("nothing"))
-        v = (F.col("uid") + x["rk"] * 3) % 5
-        return (
-            F.when(v == 0, F.concat(F.lit("<think>likes item "), x["pid"].cast("string"),
-                                    F.lit(" a lot</think>\n"), s))
-            .when(v == 1, s)
-            .when(v == 2, F.concat(F.lit("try "), s))
-            .when(v == 3, F.replace(s, F.lit("<|sid_end|>"), F.lit("")))
-            .otherwise(F.when(x["rk"] == 9, F.lit("  ")).otherwise(F.concat(s, F.lit(" "), s)))
-        )
 
+def _spell(x: Column) -> Column:
+    """Text of the output that names entry x."""
+    s = F.coalesce(sid_text_of(x["code"]), F.lit("nothing"))
+    v = (F.col("uid") + x["rk"] * 3) % 5
+    return (
+        F.when(v == 0, F.concat(F.lit("<think>likes item "), x["pid"].cast("string"),
+                                F.lit(" a lot</think>\n"), s))
+        .when(v == 1, s)
+        .when(v == 2, F.concat(F.lit("try "), s))
+        .when(v == 3, F.replace(s, F.lit("<|sid_end|>"), F.lit("")))
+        .otherwise(F.when(x["rk"] == 9, F.lit("  ")).otherwise(F.concat(s, F.lit(" "), s)))
+    )
+
+
+def _answer() -> Column:
+    return F.coalesce(F.array_join(F.transform("t", lambda x: sid_text_of(x["code"])), ""), F.lit(""))
+
+
+def outputs(spark: SparkSession, sf: str, **per_sample: Column) -> DataFrame:
+    """The outputs of `generations` as rows: sample_id, answer, at (from 0), text.
+
+    `per_sample` columns may use the answer; each is computed once per sample. An output becomes a row before it becomes
+    text, and customers in debt, who have no outputs, leave before that.
+    """
+    solvent = read(spark, sf, "customer").where("c_acctbal >= 0").select("c_custkey")
+    rows = solvent.join(_samples(spark, sf), F.col("c_custkey") == F.col("cust")).select("uid", "g", _answer().alias("answer"))
+    rows = once(rows, **per_sample) if per_sample else rows
+    named = rows.select("uid", "answer", *per_sample, F.posexplode("g").alias("at", "x"))
+    return named.select(F.col("uid").cast("string").alias("sample_id"), "answer", *per_sample, "at", _spell(F.col("x")).alias("text"))
+
+
+def generations(spark: SparkSession, sf: str) -> DataFrame:
+    """Model outputs and the truth they are scored against, one row for each 12 interactions of a customer.
+
+    uid is the sample's number: the customer, and which 12 of the customer's interactions. Output i names the i-th newest item (0, 3, 6 ...) or a part with a nearby key, in one of
+    five spellings; customers in debt have no outputs at all.
+    """
+    hit = _samples(spark, sf)
     rows = read(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment").join(
         hit, F.col("c_custkey") == F.col("cust"), "left")
     real = F.coalesce(F.col("c_acctbal") >= 0, F.lit(False)) & F.col("g").isNotNull()
@@ -155,13 +180,13 @@ def generations(spark: SparkSession, sf: str) -> DataFrame:
         F.col("uid").cast("string").alias("sample_id"),
         F.concat(F.lit("Watched by "), F.col("uid").cast("string"), F.lit(": "),
                  F.repeat(F.lit("clip "), F.lit(45))).alias("prompt"),
-        F.when(real, F.transform("g", spell)).otherwise(none("string")).alias("generations"),
+        F.when(real, F.transform("g", _spell)).otherwise(none("string")).alias("generations"),
         F.when(real, F.transform("g", lambda x: -((F.col("uid") * 7 + x["rk"] * 5) % 11).cast("double") / 4))
         .otherwise(none("double")).alias("logprobs"),
-        F.coalesce(F.array_join(F.transform("t", lambda x: sid_text_of(x["code"])), ""), F.lit("")).alias("answer"),
+        _answer().alias("answer"),
         F.coalesce(F.transform("t", lambda x: F.when(x["code"].isNull(), F.lit(0)).otherwise(x["pid"])),
                    none("bigint")).alias("answer_pid"),
-        F.when(real, F.transform("g", lambda x: F.length(spell(x)).cast("bigint"))).otherwise(none("bigint"))
+        F.when(real, F.transform("g", lambda x: F.length(_spell(x)).cast("bigint"))).otherwise(none("bigint"))
         .alias("output_tokens"),
         F.when(real, F.transform("g", lambda x: (x["rk"] * 3 + F.col("uid") % 7).cast("double") / 8))
         .otherwise(none("double")).alias("times"),

@@ -5,12 +5,13 @@ from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import public_tokenizers
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from sidweave.functions.sid import code_triples
-from sidweave.llm import strata_search
+from sidweave.llm import repair_ids, strata_search
 from sidweave.operators import judge as J
 from sidweave.operators import quantizer as Q
 from sidweave.operators import recmetrics as R
@@ -67,6 +68,45 @@ def test_score_bundle_takes_triples_of_an_answer(spark, sf):
     assert optimized(QUERIES["J7_score_bundle"](spark, sf)).count("explode") == 4  # interactions; per sample the answer, then its outputs; each output
 
 
+def test_partial_hit_cuts_predictions_only(spark):
+    rows = spark.createDataFrame([(SID.format(1, 2, 3) + SID.format(11, 2, 3) + SID.format(1, 22, 3) + SID.format(1, 2, 33), ["1,2,3", "21,2,3"])], "p string, g array<string>")
+    out = rows.select(W.partial_hit(F.col("p"), F.col("g"), parsed=True).alias("v"))
+    assert optimized(out).count("substring_index") == 2
+    assert out.first().v == (100 + 0 + 1 + 10) / 4
+
+
+def test_score_bundle_leaves_given_goals_where_they_are(spark):
+    rows = spark.createDataFrame([("x", ["1,2,3"])], "p string, t array<string>")
+    assert "_goal" not in optimized(W.recommendation_scores(rows, "p", "t", parsed=True))
+
+
+def test_outputs_become_rows_before_texts(spark, tmp_path):
+    def put(name, rows, ddl):
+        spark.createDataFrame(rows, ddl).write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    put("customer", [(1, 5.0, "A"), (2, -1.0, "B"), (3, 0.0, "C"), (3, 0.0, "C"), (4, None, "D"), (5, 1.0, "E"), (None, 1.0, "F")],
+        "c_custkey bigint, c_acctbal double, c_mktsegment string")
+    put("orders", [(k, k % 4 + 1 if k else None, "1995-01-02") for k in range(24)], "o_orderkey bigint, o_custkey bigint, o_orderdate string")
+    put("lineitem", [(k, n, (k * 5 + n) % 9 if k % 7 else None, n, 1.0 * n, 30.0, 0.1, "AN"[n % 2], "F") for k in range(24) for n in range(4)],
+        "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_extendedprice double, l_quantity double, l_discount double, l_returnflag string, l_linestatus string")
+    put("part", [(k, 10) for k in range(12)] + [(4, 10), (5, 2), (None, 10)], "p_partkey bigint, p_size int")
+    whole = TB.generations(spark, str(tmp_path)).select("sample_id", "answer", F.posexplode("generations").alias("at", "text"))
+    rows = TB.outputs(spark, str(tmp_path), goals=code_triples(F.col("answer")))
+    want = sorted((r.sample_id, r.answer, r.at, r.text) for r in whole.collect())
+    got = sorted((r.sample_id, r.answer, r.at, r.text) for r in rows.drop("goals").collect())
+    assert want == got and len(got) > 50
+    assert all(len(r.goals) == r.answer.count("<s_a_") for r in rows.collect())
+    plan = optimized(rows)
+    assert "isnotnull(c_acctbal" in plan and plan.count("likes item") == 1 and "posexplode(g" in plan
+
+
+def test_shards_are_expanded_once(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"some words {i} " * 5) for i in range(40)], "doc_id bigint, text string")
+    repair_ids.write_shards(docs, public_tokenizers.path("byte_bpe_50k.json"), str(tmp_path / "shards"), block=64)
+    found = repair_ids.read_shards(spark, str(tmp_path / "shards"))
+    assert "MapInArrow" not in optimized(found) and found.count() == 40
+
+
 def test_regroup_joins_lengths_not_prompts(spark, sf):
     plan = optimized(QUERIES["H16_two_stage_regroup"](spark, sf))
     join = plan[plan.index("Join Inner"):]
