@@ -181,7 +181,8 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 decoded from the shards' grammars, one row per document.
 
     Partition totals (one number per range partition) become start offsets; ids stay in the tasks.
-    A document that runs over shards is joined from its parts' check sums.
+    A document that runs over shards is joined from its parts' check sums. The parts, a few numbers each, are
+    written before they are told apart, so that every shard is expanded once.
     """
     shards = spark.read.parquet(path)
     totals = dict(shards.groupBy("part").agg(F.sum("n_ids")).collect())
@@ -189,6 +190,9 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     for part in sorted(totals):
         offsets[part], before = before, before + totals[part]
     parts = shards.mapInArrow(_reader(offsets), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ends boolean, opens boolean")
+    found = scratch(spark, "repair_parts")
+    parts.write.parquet(found)
+    parts = spark.read.parquet(found)
     whole = parts.where("ends AND NOT opens")
     # of the first entry of a shard only the previous shard knows whether it begins a document
     rest = parts.where("NOT (ends AND NOT opens)")
