@@ -48,11 +48,13 @@ def sequences_to_sids(rows: DataFrame, keys: list[str], slots: dict[str, tuple[C
     """
     tagged = F.flatten(F.array(*[_tag(name, arr, domain) for name, (arr, domain) in slots.items()]))
     ids = rows.select(*keys, F.explode(tagged).alias("x")).select(*keys, "x.*").where("pid IS NOT NULL")
-    mapping = sid_map.select("domain", "pid", sid_text(F.col("sid")).alias("sid_text"))
+    mapping = sid_map.select("domain", "pid", F.struct(*[F.col("sid")[i].alias(x) for i, x in enumerate(LAYER_LETTERS)]).alias("codes"))
     hits = lookup_join(ids, mapping, ["domain", "pid"])
 
     def ordered(name: str) -> Column:
-        return F.array_sort(F.collect_list(F.when(F.col("slot") == name, F.struct("pos", "sid_text"))))
+        # Codes are regrouped and become text behind it: a row's partial lists are shuffled.
+        found = F.collect_list(F.when(F.col("slot") == name, F.struct("pos", "codes")))
+        return F.array_sort(F.transform(found, lambda x: F.struct(x["pos"].alias("pos"), sid_text([x["codes"][c] for c in LAYER_LETTERS]).alias("sid_text"))))
 
     return hits.groupBy(*keys).agg(*[
         (ordered(n) if n in lists else F.array_join(F.transform(ordered(n), lambda s: s["sid_text"]), "")).alias(n)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sidweave.functions.sid import code_triples
 from sidweave.llm import repair_ids, strata_search
+from sidweave.operators import builders as B
 from sidweave.operators import judge as J
 from sidweave.operators import quantizer as Q
 from sidweave.operators import recmetrics as R
@@ -107,6 +108,15 @@ def test_shards_are_expanded_once(spark, tmp_path):
     assert "MapInArrow" not in optimized(found) and found.count() == 40
 
 
+def test_ids_of_a_row_become_text_behind_the_regrouping(spark, shuffled_joins):
+    rows = spark.createDataFrame([(1, [5, 6, 5, 9]), (2, [9])], "uid bigint, h array<bigint>")
+    ids = spark.createDataFrame([("video", 5, [1, 2, 3]), ("video", 6, [9, 0, 0]), ("video", 6, [10, 0, 0])], "domain string, pid bigint, sid array<int>")
+    out = B.sequences_to_sids(rows, ["uid"], {"hist": (F.col("h"), "video")}, ids)
+    plan = optimized(out)
+    assert "format_string" not in plan[plan.index("Join"):]
+    assert [tuple(r) for r in out.collect()] == [(1, "".join(SID.format(*c) for c in ((1, 2, 3), (10, 0, 0), (9, 0, 0), (1, 2, 3))))]
+
+
 def test_regroup_joins_lengths_not_prompts(spark, sf):
     plan = optimized(QUERIES["H16_two_stage_regroup"](spark, sf))
     join = plan[plan.index("Join Inner"):]
