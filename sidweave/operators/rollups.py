@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-import hashlib
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import hash_int, key_text
 from ..session import cut
 from .keyed import lookup_join
 from .numbering import group_row_numbers, group_running_sums
+from .resampling import PRIME, resampled
 
 
-PRIME = 2_147_483_647
-GROUP_VOTES, STEP_CELLS = 100_000, 1_000_000
+GROUP_VOTES, PART_VOTES, TASKS_PER_CORE = 4_000_000, 500_000, 4
 
 
 def long_form(rows: DataFrame, keys: list[str], variables: list[str]) -> DataFrame:
@@ -74,62 +70,53 @@ def majority_value(votes: DataFrame, keys: list[str], pred: str, value: str, ord
     return per_pred.groupBy(*keys).agg(best.alias("majority"))
 
 
-def _majorities(pred: np.ndarray, kinds: int, hashes: np.ndarray, k: int) -> np.ndarray:
-    """The vote (its place) that gives each trial's majority its value: the first one for the most frequent prediction."""
-    n, j = len(pred), np.arange(1, k + 1, dtype=np.int64)
-    turn, out = max(1, STEP_CELLS // max(k, kinds)), []
-    for at in range(0, len(hashes), turn):
-        h = hashes[at:at + turn]
-        drawn = (h[:, None] * (2 * j + 1) + j * j * 40503) % PRIME % n
-        cell = np.arange(len(h))[:, None] * kinds + pred[drawn]
-        count = np.bincount(cell.ravel(), minlength=len(h) * kinds)
-        first = np.zeros(len(h) * kinds, np.int64)
-        first[cell[:, ::-1].ravel()] = np.tile(np.arange(k - 1, -1, -1), len(h))  # the last one written, the first draw, stays
-        best = (count * (k + 1) - first).reshape(len(h), kinds).argmax(axis=1)
-        out.append(drawn[np.arange(len(h)), first.reshape(len(h), kinds)[np.arange(len(h)), best]])
-    return np.concatenate(out)
-
-
-def _resampled(keys: list[str], trials: int):
-    """A group's votes (keys, _key, _o, _p, _v) -> keys, k, maj_mean, maj_std."""
-    def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by("_o").combine_chunks()
-        n, text = len(group), group["_key"][0].as_py()
-        pred = group["_p"].combine_chunks().dictionary_encode(null_encoding="encode")
-        codes = pred.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        known = group["_v"].is_valid().to_numpy()
-        values = group["_v"].fill_null(0.0).to_numpy()
-        sizes, mean, std = [2 ** i for i in range(1, 62) if 2 ** i < n] + [n] * (n > 1), [], []
-        for k in sizes:
-            hashes = np.array([int.from_bytes(hashlib.md5(f"{text}|{k}|{t}".encode()).digest()[:4], "big") for t in range(trials)], np.int64)
-            won = _majorities(codes, len(pred.dictionary), hashes, k)
-            v = values[won[known[won]]]
-            mean.append(float(v.mean()) if len(v) else None)
-            std.append(float(v.std()) if len(v) else None)
-        same = group.select(keys).take(pa.array([0] * len(sizes), pa.int64()))
-        return same.append_column("k", pa.array(sizes, pa.int64())).append_column("maj_mean", pa.array(mean, pa.float64())).append_column(
-            "maj_std", pa.array(std, pa.float64()))
-    return run
-
-
 def majority_bootstrap(votes: DataFrame, keys: list[str], pred: str, value: str, row_id: str, seed,
                        trials: int = 1000, group_votes: int = GROUP_VOTES) -> DataFrame:
     """Mean and std of the majority value over resamples of k votes, k = 2, 4, ..., n.
 
     Each trial has a hash, and its draws are multiples of it modulo a prime: indexes into the numbered
-    votes of the group. A group of at most `group_votes` votes is resampled where it lies, trial after trial; only
-    votes move. The draws of a larger group are rows of a join, so it is resampled by many tasks. Groups with a NULL key
-    are left out.
+    votes of the group. A group of at most `group_votes` votes is resampled where it lies; only votes move. Groups over
+    PART_VOTES go to several tasks, each with all votes and some of the trials. The draws of a group over `group_votes`
+    are rows of a join. Groups with a NULL key are left out.
     """
     rows = votes.select(*keys, row_id, pred, value).dropna(subset=keys)
-    large = cut(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group_votes).select(*keys))  # few by construction
-    own = rows.join(F.broadcast(large), keys, "left_anti").select(
-        *keys, key_text(seed, *[F.col(x) for x in keys]).alias("_key"), F.col(row_id).alias("_o"), F.col(pred).alias("_p"), F.col(value).cast("double").alias("_v"))
-    types = dict(votes.dtypes)
-    out = own.groupBy(*keys).applyInArrow(_resampled(keys, trials), ", ".join(f"`{x}` {types[x]}" for x in keys) + ", k bigint, maj_mean double, maj_std double")
-    if large.isEmpty():
+    least = min(group_votes, PART_VOTES)
+    large = cut(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > least))  # few by construction
+    most = large.agg(F.max("_n")).first()[0] or 0
+    if not most:
+        whole = rows.withColumn("_part", F.lit(0)).withColumn("_parts", F.lit(1))
+        return _resampled(whole, keys, keys, pred, value, row_id, seed, trials).drop("_count")
+    marked = rows.join(F.broadcast(large), keys, "left")
+    parts = F.ceil(F.coalesce("_n", F.lit(1)) / PART_VOTES).cast("int")
+    own = marked.where(F.coalesce("_n", F.lit(0)) <= group_votes).withColumn("_parts", parts).withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    out = _merged(_resampled(own, keys, [*keys, "_part"], pred, value, row_id, seed, trials), keys)
+    if most <= group_votes:
         return out
-    return out.unionByName(_joined_bootstrap(rows.join(F.broadcast(large), keys, "left_semi"), keys, pred, value, row_id, seed, trials))
+    joined = marked.where(F.col("_n") > group_votes).drop("_n")
+    return out.unionByName(_joined_bootstrap(joined, keys, pred, value, row_id, seed, trials))
+
+
+def _resampled(votes: DataFrame, keys: list[str], by: list[str], pred: str, value: str, row_id: str, seed, trials: int) -> DataFrame:
+    """keys, k, _count, maj_mean, maj_std of each part of a group; tasks are as many as cores at least, as they compute much on few bytes."""
+    spark = votes.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    at = F.row_number().over(Window.partitionBy(*by).orderBy(F.col(row_id).asc_nulls_last()))
+    lying = votes.repartition(tasks, *by).withColumn("_at", at)
+    text = F.when(F.col("_at") == 1, key_text(seed, *[F.col(x) for x in keys])).alias("_key")
+    types = dict(votes.dtypes)
+    return lying.select(*keys, "_part", "_parts", "_at", text, F.col(pred).alias("_p"), F.col(value).cast("double").alias("_v")).mapInArrow(
+        resampled(keys, trials), ", ".join(f"`{x}` {types[x]}" for x in keys) + ", k bigint, _count bigint, maj_mean double, maj_std double")
+
+
+def _merged(moments: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of the parts of a group and k, by their counts, means and stds."""
+    whole = moments.groupBy(*keys, "k").agg(F.sum("_count").alias("_of"), F.collect_list(F.struct("_count", "maj_mean", "maj_std")).alias("_x"))
+    some = whole.withColumn("_x", F.filter("_x", lambda x: x["_count"] > 0)).withColumn("maj_mean", F.when(F.col("_of") > 0, F.aggregate(
+        "_x", F.lit(0.0), lambda s, x: s + x["_count"] * x["maj_mean"]) / F.col("_of")))
+    spread = F.aggregate("_x", F.lit(0.0), lambda s, x: s + x["_count"] * (
+        x["maj_std"] * x["maj_std"] + (x["maj_mean"] - F.col("maj_mean")) * (x["maj_mean"] - F.col("maj_mean"))))
+    return some.select(*keys, "k", "maj_mean", F.when(F.col("_of") > 0, F.sqrt(spread / F.col("_of"))).alias("maj_std"))
 
 
 def _joined_bootstrap(votes: DataFrame, keys: list[str], pred: str, value: str, row_id: str, seed, trials: int) -> DataFrame:
