@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import batched, groupby
+
 import numpy as np
 import pyarrow as pa
 
@@ -9,8 +11,8 @@ from ..functions.digests import numbered_hashes, numbered_tails
 
 PRIME, FACTOR = 2_147_483_647, 40_503
 PRIME32 = np.uint32(PRIME)
-FEW, STEP_CELLS = 32, 1 << 16
-RUN_VOTES, RUN_HASHES, RUN_GROUPS = 10_000, 2_000, 8
+FEW, BEGUN, STEP_CELLS, TABLE_CELLS = 64, 128, 1 << 16, 16
+RUN_VOTES, RUN_HASHES, RUN_TRIALS = 10_000, 2_000, 16_000
 
 
 def draw_sizes(n: int) -> list[int]:
@@ -34,10 +36,23 @@ def _doublings(k: int, s: int = 1) -> list[np.ndarray]:
     return out
 
 
-def _first_draws(hashes: np.ndarray, k: int) -> np.ndarray:
+class Room:
+    """Arrays that are written again and again: fresh ones of this size cost as much as the steps that fill them."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, shape: tuple[int, int], kind) -> np.ndarray:
+        cells = shape[0] * shape[1]
+        if name not in self.held or len(self.held[name]) < cells:
+            self.held[name] = np.empty(cells, kind)
+        return self.held[name][:cells].reshape(shape)
+
+
+def _first_draws(hashes: np.ndarray, k: int, room: Room) -> np.ndarray:
     """h(2j+1) + 40503 j^2 modulo the prime, a row for each j = 1..k and a column for each hash."""
-    h = hashes.astype(np.int64)
-    draws, spare, s = np.empty((k, len(h)), np.uint32), np.empty((k, len(h)), np.uint32), 1
+    h, s = hashes.astype(np.int64), 1
+    draws, spare = (room(name, (k, len(h)), np.uint32) for name in ("first", "spare"))
     draws[0] = (3 * h + FACTOR) % PRIME
     shift = (2 * h % PRIME).astype(np.uint32)
     for added in _doublings(k):
@@ -70,60 +85,89 @@ def _twice(shift: np.ndarray) -> np.ndarray:
     return shift
 
 
-def _places(draws: np.ndarray, n: int) -> np.ndarray:
-    """draws modulo n; a division by one number is much faster than the remainder."""
-    turns = draws // np.uint32(n)
-    turns *= np.uint32(n)
-    return np.subtract(draws, turns, dtype=np.uint32).astype(np.intp)
+def _places(draws: np.ndarray, sizes: np.ndarray, room: Room) -> np.ndarray:
+    """draws modulo `sizes`, one for each of as many equal runs of columns; a division by one number is much faster than the remainder."""
+    turns, at, wide = room("spare", draws.shape, np.uint32), room("at", draws.shape, np.intp), draws.shape[1] // len(sizes)
+    edges = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(sizes)]
+    for begin, end in zip(edges, edges[1:]):
+        some = slice(begin * wide, end * wide)
+        np.floor_divide(draws[:, some], sizes[begin], out=turns[:, some])
+    turns *= sizes[0] if len(edges) == 2 else np.repeat(sizes, wide)
+    np.subtract(draws, turns, out=turns)
+    at[...] = turns
+    return at
 
 
-def majorities_of_few(preds: np.ndarray, hashes: np.ndarray, k: int) -> np.ndarray:
-    """`majorities` of several groups of one size at once, for k <= FEW: preds and hashes have a row for each group.
+def majorities_of_few(preds: np.ndarray, begins: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, k: int, room: Room) -> np.ndarray:
+    """`majorities` of several groups at once, for k <= FEW: runs of preds, with a row of hashes each; places are those in preds.
 
     Draws are counted by comparing each with the others.
     """
-    groups, n = preds.shape
-    at = _places(_first_draws(hashes.ravel(), k), n)
-    drawn = preds.ravel().take(at + np.repeat(np.arange(groups) * n, hashes.shape[1]))
-    count = np.zeros(drawn.shape, np.uint8)
+    at = _places(_first_draws(hashes.ravel(), k, room), sizes.astype(np.uint32), room)
+    at += np.repeat(begins, hashes.shape[1])
+    shape, kind = at.shape, preds.dtype
+    drawn = np.take(preds, at, out=room(f"drawn {kind}", shape, kind), mode="clip")
+    count, equal = room("count", shape, np.uint8), room("equal", shape, np.bool_)
+    count[...] = 0
     for d in range(1, k):
-        same = (drawn[d:] == drawn[:-d]).view(np.uint8)
+        same = np.equal(drawn[d:], drawn[:-d], out=equal[d:]).view(np.uint8)
         count[d:] += same
         count[:-d] += same
-    rank = count.astype(np.uint16) * np.uint16(2 * FEW) + np.arange(2 * FEW - 1, 2 * FEW - 1 - k, -1, dtype=np.uint16)[:, None]
+    rank = np.multiply(count, np.uint16(2 * FEW), out=room("rank", shape, np.uint16), dtype=np.uint16)
+    rank += np.arange(2 * FEW - 1, 2 * FEW - 1 - k, -1, dtype=np.uint16)[:, None]
     first = (2 * FEW - 1 - rank.max(axis=0) % (2 * FEW)).astype(np.intp)
     return at[first, np.arange(len(first))].reshape(hashes.shape)
 
 
-def majorities(preds: np.ndarray, hashes: np.ndarray, k: int) -> np.ndarray:
+def majorities(preds: np.ndarray, hashes: np.ndarray, k: int, room: Room) -> np.ndarray:
     """The vote (its place) that gives each trial's majority its value: the first one drawn for the most frequent prediction.
 
-    That is the first draw of a prediction drawn as often as any.
+    That is the first draw of a prediction drawn as often as any. preds are numbers from 0 on.
     """
-    n, out = len(preds), np.empty(len(hashes), np.intp)
+    size, out = np.array([len(preds)], np.uint32), np.empty(len(hashes), np.intp)
     kinds = int(preds.max()) + 1
-    turn, begun = min(len(hashes), max(1, STEP_CELLS // max(k, kinds))), min(k, FEW)
-    first, shift, doublings = _first_draws(hashes, begun), (hashes.astype(np.int64) * (2 * begun) % PRIME).astype(np.uint32), _doublings(k, begun)
-    draws, spare = np.empty((turn, k), np.uint32), np.empty((turn, k), np.uint32)
+    table = kinds if kinds <= TABLE_CELLS * k else 0  # a table of counts for each trial, unless most of it were empty
+    turn, begun = min(len(hashes), max(1, STEP_CELLS // max(k, table))), min(k, BEGUN)
+    first, shift, doublings = _first_draws(hashes, begun, room), (hashes.astype(np.int64) * (2 * begun) % PRIME).astype(np.uint32), _doublings(k, begun)
     for begin in range(0, len(hashes), turn):
         rows = min(turn, len(hashes) - begin)
-        draws[:rows, :begun] = first[:, begin:begin + rows].T
-        _more_draws(draws[:rows], begun, shift[begin:begin + rows], doublings, spare[:rows])
-        at = _places(draws[:rows], n)
-        cell = preds.take(at).astype(np.intp, copy=False)
-        cell += (np.arange(rows) * kinds)[:, None]
-        count = np.bincount(cell.ravel(), minlength=rows * kinds)
-        top = count.reshape(rows, kinds).max(axis=1)
-        left, j, width = np.arange(rows), 0, FEW
-        while len(left):
-            best = count[cell[left, j:j + width]] == top[left, None]
-            found, place = best.any(axis=1), best.argmax(axis=1)
-            done = left[found]
-            out[begin + done] = at[done, j + place[found]]
-            left, j, width = left[~found], j + width, 4 * width
+        draws = room("draws", (rows, k), np.uint32)
+        draws[:, :begun] = first[:, begin:begin + rows].T
+        _more_draws(draws, begun, shift[begin:begin + rows], doublings, room("spare", (rows, k), np.uint32))
+        at, drawn = _places(draws, size, room), room("drawn", (rows, k), np.intp)
+        if preds.dtype == np.intp:
+            np.take(preds, at, out=drawn, mode="clip")
+        else:
+            drawn[...] = preds.take(at)
+        place = _first_of_table(drawn, table, room) if table else _first_of_sorted(drawn)
+        out[begin:begin + rows] = at[np.arange(rows), place]
     return out
 
 
+def _first_of_table(drawn: np.ndarray, kinds: int, room: Room) -> np.ndarray:
+    """Place in each row of the first number that no other one exceeds in frequency. Changes `drawn`."""
+    rows = len(drawn)
+    drawn += (np.arange(rows) * kinds)[:, None]
+    count = np.bincount(drawn.ravel(), minlength=rows * kinds).reshape(rows, kinds)
+    most = count == count.max(axis=1)[:, None]
+    return np.take(most.ravel(), drawn, out=room("equal", drawn.shape, np.bool_), mode="clip").argmax(axis=1)
+
+
+def _first_of_sorted(drawn: np.ndarray) -> np.ndarray:
+    """The same by runs of equal numbers, sorted with their places. Changes `drawn`."""
+    rows, k = drawn.shape
+    bits = k.bit_length()
+    drawn <<= bits
+    drawn |= np.arange(k)
+    drawn.sort(axis=1)
+    new = np.ones(drawn.shape, bool)
+    np.not_equal(drawn[:, 1:] >> bits, drawn[:, :-1] >> bits, out=new[:, 1:])
+    starts = np.flatnonzero(new)
+    rank = (np.diff(starts, append=rows * k) << bits) + (k - (drawn.ravel()[starts] & ((1 << bits) - 1)))
+    best = np.maximum.reduceat(rank, np.flatnonzero(starts % k == 0))
+    return k - (best & ((1 << bits) - 1))
+
+
 def _moments(values: np.ndarray, known: np.ndarray) -> list[np.ndarray]:
     """Number, mean and std of the known values of each row; the others are 0."""
     count = known.sum(axis=1)
@@ -138,33 +182,13 @@ def _compact(preds: np.ndarray) -> np.ndarray:
     return preds.astype(np.intp if len(preds) <= STEP_CELLS else np.min_scalar_type(len(kinds)), copy=False)
 
 
-def _of_one_size(n: int, hashes: np.ndarray, preds: np.ndarray, values: np.ndarray, known: np.ndarray) -> list[list[np.ndarray]]:
-    """For each draw size, the moments of groups of n votes each, which are rows of hashes (by draw size), preds, values and known."""
-    groups, out = np.arange(len(preds))[:, None], []
-    small = [_compact(p) for p in preds] if n > FEW else []
-    for i, k in enumerate(draw_sizes(n)):
-        h = hashes[:, i]
-        won = majorities_of_few(preds, h, k) if k <= FEW else np.stack([majorities(p, x, k) for p, x in zip(small, h)])
-        out.append(_moments(values[groups, won], known[groups, won]))
-    return out
-
-
-def _runs(alike: dict[tuple[int, int, int], list[int]]):
-    """(part, parts, [(n, groups)]) of about RUN_HASHES groups and draw sizes, and pieces of at most RUN_GROUPS groups."""
-    run, held, last = [], 0, None
-    for (p, of, n), members in sorted(alike.items()):
-        for at in range(0, len(members), RUN_GROUPS):
-            some = members[at:at + RUN_GROUPS]
-            if run and (last != (p, of) or held >= RUN_HASHES):
-                yield *last, run
-                run, held = [], 0
-            run.append((n, some))
-            held, last = held + len(some) * len(draw_sizes(n)), (p, of)
-    if run:
-        yield *last, run
+def _runs(rows: list[tuple], alike: slice, limit: int):
+    """Runs of at most `limit` rows that begin alike."""
+    for _, same in groupby(rows, lambda r: r[alike]):
+        yield from batched(same, limit)
 
 
-def _run_of_groups(keys: list[str], heads: pa.Table, starts: list[int], preds: list[pa.Array], values: list[pa.Array], trials: int) -> pa.Table:
+def _run_of_groups(keys: list[str], heads: pa.Table, starts: list[int], preds: list[pa.Array], values: list[pa.Array], trials: int, room: Room) -> pa.Table:
     """The moments of whole groups whose votes lie one behind the other."""
     pred = pa.chunked_array(preds).combine_chunks()
     kinds = len(pred.dictionary) + 1  # NULL is one
@@ -175,25 +199,26 @@ def _run_of_groups(keys: list[str], heads: pa.Table, starts: list[int], preds: l
     size = np.diff(begin, append=len(codes))
     texts, part, parts = (heads[c].to_pylist() for c in ("_key", "_part", "_parts"))
     digits, lengths = numbered_tails(trials)
-    alike: dict[tuple[int, int, int], list[int]] = {}
-    for g, (n, p, of) in enumerate(zip(size.tolist(), part, parts)):
-        if n > 1 and p < trials:
-            alike.setdefault((p, of, n), []).append(g)
-    who, ks, found = [], [], []
-    for p, of, some in _runs(alike):
-        tails = digits[p::of], lengths[p::of]
-        hashes = numbered_hashes([f"{texts[g]}|{k}|".encode() for n, members in some for g in members for k in draw_sizes(n)], tails)
-        for n, members in some:
-            sizes = draw_sizes(n)
-            own, hashes = np.split(hashes, [len(members) * len(sizes)])
-            rows = begin[members][:, None] + np.arange(n)
-            found += _of_one_size(n, own.reshape(len(members), len(sizes), -1), codes[rows], value[rows], known[rows])
-            who += members * len(sizes)
-            ks += [k for k in sizes for _ in members]
+    draws = sorted((part[g], parts[g], k, n, g) for g, n in enumerate(size.tolist()) if part[g] < trials for k in draw_sizes(n))
+    compact, found = {}, []
+    for run in _runs(draws, slice(2), RUN_HASHES):
+        p, of = run[0][:2]
+        hashes = numbered_hashes([f"{texts[g]}|{k}|".encode() for _, _, k, _, g in run], (digits[p::of], lengths[p::of]))
+        for some in _runs(run, slice(3), max(1, RUN_TRIALS // hashes.shape[1])):
+            own, hashes = np.split(hashes, [len(some)])
+            k, groups = some[0][2], [x[4] for x in some]
+            if k <= FEW:
+                won = majorities_of_few(codes, begin[groups], size[groups], own, k, room)
+            else:
+                for g in groups:
+                    if g not in compact:
+                        compact[g] = _compact(codes[begin[g]:begin[g] + size[g]])
+                won = np.stack([begin[g] + majorities(compact[g], h, k, room) for g, h in zip(groups, own)])
+            found.append(_moments(value[won], known[won]))
     count, mean, std = (np.concatenate(x) if x else np.zeros(0) for x in zip(*found)) if found else [np.zeros(0)] * 3
     nothing = count == 0
-    out = heads.select(keys).take(pa.array(who, pa.int64()))
-    for name, column in (("k", pa.array(ks, pa.int64())), ("_count", pa.array(count.astype(np.int64))),
+    out = heads.select(keys).take(pa.array([x[4] for x in draws], pa.int64()))
+    for name, column in (("k", pa.array([x[2] for x in draws], pa.int64())), ("_count", pa.array(count.astype(np.int64))),
                          ("maj_mean", pa.array(mean, pa.float64(), mask=nothing)), ("maj_std", pa.array(std, pa.float64(), mask=nothing))):
         out = out.append_column(name, column)
     return out
@@ -206,7 +231,7 @@ def resampled(keys: list[str], trials: int):
     time; of a group's votes a task holds the number of the prediction and the value.
     """
     def run(batches):
-        heads, starts, preds, values, held = [], [], [], [], 0
+        heads, starts, preds, values, held, room = [], [], [], [], 0, Room()
 
         def add(batch, new):
             nonlocal held
@@ -218,7 +243,7 @@ def resampled(keys: list[str], trials: int):
 
         def done():
             nonlocal heads, starts, preds, values, held
-            out = _run_of_groups(keys, pa.Table.from_batches(heads), starts, preds, values, trials)
+            out = _run_of_groups(keys, pa.Table.from_batches(heads), starts, preds, values, trials, room)
             heads, starts, preds, values, held = [], [], [], [], 0
             return out.to_batches()
 

@@ -72,7 +72,7 @@ def test_runs_of_groups_end_between_groups(monkeypatch):
 
     lies = found(1000)
     assert {k for g, k in lies if g == 4} == {2, 4, 8, 16, 32, 64, 90} and not any(g == 1 for g, _ in lies)
-    for name, value in (("RUN_VOTES", 60), ("RUN_HASHES", 3), ("RUN_GROUPS", 1), ("STEP_CELLS", 40), ("FEW", 2)):
+    for name, value in (("RUN_VOTES", 60), ("RUN_HASHES", 3), ("RUN_TRIALS", 50), ("STEP_CELLS", 40), ("TABLE_CELLS", 0), ("FEW", 2)):
         monkeypatch.setattr(resampling, name, value)
         assert found(1000) == found(7) == found(50) == lies, name
 
